@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import byte_bpe, decontaminate, secret_scan
+from meterflow.llm import byte_bpe, dart_minhash, decontaminate, importance, quality_rules, secret_scan, token_counts, toxicity, warc
+from meterflow.plans.stage import new_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -19,6 +20,24 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    return warc.page_records(warc.read_archives(spark, path, "part-*"))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -31,6 +50,17 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), *vocabulary())
 
 
-QUERIES = {f.__name__: f for f in (op5_secrets, op6_decontaminate, op7_byte_bpe)}
+def op9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), *vocabulary())
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_warc, op2_quality_rules, op3_near_duplicates, op4_toxicity, op5_secrets, op6_decontaminate, op7_byte_bpe, op9_importance, op10_token_counts)
+}
 
 ORACLES: dict[str, str] = {}
