@@ -3,12 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterflow.llm import byte_bpe, decontaminate, secret_scan
+from meterflow.llm import byte_bpe, dart_minhash, decontaminate, importance, secret_scan
 from meterflow.llm.queries import table, vocabulary
 from meterflow.plans.stage import staged
 
 
+def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling rejects go. An id goes if all its rows are rejected;
+    rows without an id stay."""
+    verdicts = importance.resample(docs, table(spark, sf_dir, "labels"))
+    rejected = verdicts.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept").select("doc_id")
+    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+
+
+def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every class of near copies the document with the smallest id stays; so do rows without an id."""
+    copies = dart_minhash.duplicate_classes(docs).where("not representative").select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an occurrence of a benchmark window go; all others stay as they are."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -17,8 +32,6 @@ def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def _secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets in its text are replaced and n_chars follows the new text."""
-    from pyspark.sql import functions as F
-
     clean = secret_scan.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
@@ -29,6 +42,8 @@ def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", _quality),
+    ("minhash_near_dedup", _near_duplicates),
     ("benchmark_decontamination", _decontaminate),
     ("secret_scan", _secrets),
     ("byte_bpe", _tokens),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import byte_bpe, dart_minhash, decontaminate, importance, quality_rules, secret_scan, token_counts, toxicity, warc
+from meterflow.llm import byte_bpe, dart_minhash, decontaminate, importance, license_scan, quality_rules, secret_scan, token_counts, toxicity, warc
 from meterflow.plans.stage import new_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -50,6 +50,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), *vocabulary())
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.digest(license_scan.scan(docs, license_scan.train(docs)))
+
+
 def op9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,7 +65,55 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc, op2_quality_rules, op3_near_duplicates, op4_toxicity, op5_secrets, op6_decontaminate, op7_byte_bpe, op9_importance, op10_token_counts)
+    for f in (
+        op1_warc, op2_quality_rules, op3_near_duplicates, op4_toxicity, op5_secrets,
+        op6_decontaminate, op7_byte_bpe, op8_licenses, op9_importance, op10_token_counts,
+    )
+}
+
+#: DuckDB SQL. The others depend on learned models, hashed signatures, token ids or entropy windows;
+#: tests/llm holds them against brute force, a library or held-out rows.
+ORACLES = {
+    "op1_warc": """
+        with p as (
+            select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as n,
+                   sha256(coalesce(html, '')) as digest
+            from pages
+        ), o as (
+            select *, min(page_id) over (partition by digest) as origin from p
+        )
+        select page_id, cast(n as bigint) as payload_bytes, digest as payload_digest,
+               case when n >= 100 and page_id <> origin then 'revisit' else 'response' end as record_type,
+               case when n >= 100 and page_id <> origin then origin end as refers_to
+        from o
+    """,
+    "op6_decontaminate": """
+        with d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents
+        ), b as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from benchmark
+        ), starts as (
+            select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0
+        ), windows as (
+            select distinct item_id, w[i : i + 9] as win, len(w[i : i + 9]) as n from starts
+        ), sizes as (
+            select distinct n from windows
+        ), places as (
+            select d.doc_id, s.n, d.w, unnest(range(1, len(d.w) - s.n + 2)) as i from d, sizes s where len(d.w) >= s.n
+        ), hits as (
+            select p.doc_id, p.i, p.n, x.item_id from places p join windows x on x.n = p.n and x.win = p.w[p.i : p.i + p.n - 1]
+        ), words as (
+            select doc_id, count(distinct k) as n_hit from (select doc_id, unnest(range(i, i + n)) as k from hits) group by doc_id
+        ), named as (
+            select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+            from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id
+        )
+        select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+               cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join words using (doc_id) left join named using (doc_id)
+    """,
 }
-
-ORACLES: dict[str, str] = {}
