@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from meterflow.queries import flow, places
+from meterflow.queries import flow, places, registers, sources
 
-MODULES = (flow, places)
+MODULES = (flow, places, sources, registers)
 QUERIES = {name: run for m in MODULES for name, run in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
