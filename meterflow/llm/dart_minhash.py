@@ -16,15 +16,20 @@ Classes:
 
 1. Texts with equal shingle weights become one node, under their smallest id.
 2. A node is put into one bucket per band of its signature. Every node of a bucket is compared
-   with the bucket's pivot, its smallest id: buckets give as many pairs as nodes, however large.
+   with the bucket's pivot, the node that shares the most bucket entries with others: buckets give
+   as many pairs as nodes, however large, and in a group of near copies the pivot is close to what
+   they are copies of.
 3. Similar pairs are links; their connected components are found.
-4. Pairs of one bucket in different components are still to be compared. By the triangle
-   inequality of the distance 1 - similarity, only those whose distances to the pivot differ by at
-   most 0.2 can be links. They are verified, and the components joined.
+4. Pairs of one bucket in different components are still to be compared. In buckets of up to
+   `small` nodes they become rows; by the triangle inequality of the distance 1 - similarity, only
+   those whose distances to the pivot differ by at most 0.2. In larger buckets the nodes outside
+   the bucket's largest component meet all of its nodes in blocks, and a block returns, of the
+   links it finds, one for each node and component. The components are joined by these links.
 
 So every two texts that share a bucket are compared, are in one component already, or cannot be
-similar: nothing is capped, and groups of near copies never turn into all their pairs. At 24 bands
-of 4, two texts at the threshold share no bucket with probability 3e-6, more similar ones less.
+similar: nothing is capped, and groups of near copies never turn into rows for all their pairs. At
+24 bands of 4, two texts at the threshold share no bucket with probability 3e-6, more similar ones
+less.
 
 Texts without words (null and empty ones too) are in a class with equal texts only; null is as
 empty. Rows with a null id are left out of the result. Repeated rows of an id give one row.
@@ -35,6 +40,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +61,9 @@ class Settings:
     similarity: float = 0.8
     bands: int = 24
     rows: int = 4
+    #: buckets of more nodes are compared in blocks of about `block` nodes
+    small: int = 12
+    block: int = 256
 
     @property
     def k(self) -> int:
@@ -207,6 +216,59 @@ def similarities(pairs: DataFrame, units: DataFrame) -> DataFrame:
     return both.select("a", "b", (shared / (F.size("ua") + F.size("ub") - shared)).alias("similarity"))
 
 
+def _merge(component: DataFrame, compared: DataFrame, s: Settings) -> DataFrame:
+    """`component` (id, component) after joining the components that similar pairs link."""
+    of = lambda end, name: component.select(F.col("id").alias(end), F.col("component").alias(name))
+    links = compared.where(F.col("similarity") >= s.similarity).join(of("a", "src"), "a").join(of("b", "dst"), "b").where("src <> dst").select("src", "dst")
+    joined = connected_components(links).select(F.col("id").alias("component"), F.col("component").alias("into"))
+    return staged(component.join(joined, "component", "left").select("id", F.coalesce("into", "component").alias("component")), "components")
+
+
+def _block_links(similarity: float):
+    """For applyInPandas: links between the rows of side "l" and those of side "r", one per left
+    node and right component; units as 32-bit hashes, so a link may be a little too many."""
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = rows[rows["side"] == "l"], rows[rows["side"] == "r"]
+        out: list[tuple] = []
+        sizes = right["units"].map(len).to_numpy(np.int64)
+        if len(left) and sizes.sum():
+            owner = np.repeat(np.arange(len(right)), sizes)
+            units = np.concatenate(right["units"].to_list())
+            order = np.argsort(units, kind="stable")
+            units, owner = units[order], owner[order]
+            component, node = right["component"].to_numpy(), right["node"].to_numpy()
+            for a, own, mine in zip(left["node"], left["component"], left["units"]):
+                lo, hi = np.searchsorted(units, mine, "left"), np.searchsorted(units, mine, "right")
+                n = hi - lo
+                at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                shared = np.bincount(owner[at], minlength=len(right))
+                score = shared / (len(mine) + sizes - shared)
+                for j in np.flatnonzero((score >= similarity) & (component != own))[::-1]:
+                    out.append((a, node[j], component[j]))
+        found = pd.DataFrame(out, columns=["a", "b", "component"]).drop_duplicates(["a", "component"], keep="last")
+        return found[["a", "b"]]
+
+    return links
+
+
+def block_pairs(large: DataFrame, units: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): links across components in buckets of entries (band, hash, node, component), found in blocks."""
+    per = large.groupBy("band", "hash", "component").agg(F.count("*").alias("n"))
+    shape = per.groupBy("band", "hash").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
+    blocks_of = lambda n: F.ceil(n / s.block).cast("int")
+    shape = shape.select("band", "hash", "main.component", blocks_of(F.col("n")).alias("nr"), blocks_of(F.col("n") - F.col("main.n")).alias("nl")).withColumnRenamed("component", "main")
+    short = units.select(F.col("id").alias("node"), F.transform("units", lambda x: F.shiftright(x, 32).cast("int")).alias("units"))
+    rows = large.select("band", "hash", "node", "component").join(shape, ["band", "hash"]).join(short, "node")
+    mine = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    left = rows.where("component <> main").withColumn("bl", mine(F.col("nl"))).withColumn("br", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
+    right = rows.withColumn("br", mine(F.col("nr"))).withColumn("bl", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)))
+    cols = ["band", "hash", "bl", "br", "node", "component", "units"]
+    both = left.select(F.lit("l").alias("side"), *cols).unionByName(right.select(F.lit("r").alias("side"), *cols))
+    kind = large.schema["node"].dataType.simpleString()
+    return both.groupBy("band", "hash", "bl", "br").applyInPandas(_block_links(s.similarity), f"a {kind}, b {kind}").distinct()
+
+
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """(id_col, class_id, representative boolean): one row per id; class_id is the smallest id of the
     class of near copies, exact copies included, and its document is the representative."""
@@ -215,30 +277,29 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     nodes = sketch.groupBy("key_1", "key_2").agg(F.min("id").alias("node"), F.first("bands").alias("bands"))
     spread = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     # buckets of two or more nodes, with the pivot of each
-    pivots = spread.groupBy("band", "hash").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = staged(spread.join(pivots, ["band", "hash"]), "members")
-    first_pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = members.select(F.col("node").alias("id")).distinct()
+    sizes = spread.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    entries = staged(spread.join(sizes, ["band", "hash"]), "entries")
+    weight = entries.groupBy("node").agg(F.sum("n").alias("weight"))
+    wanted = weight.select(F.col("node").alias("id"))
+    heavy = F.max_by("node", F.struct(F.col("weight"), F.xxhash64("node")))
+    pivots = entries.join(weight, "node").groupBy("band", "hash").agg(heavy.alias("pivot"))
+    members = staged(entries.join(pivots, ["band", "hash"]), "members")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"])
     units = staged(unit_elements(texts, "id", "text", s), "units")
+    first_pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     compared = staged(similarities(first_pairs, units), "compared")
-    links = compared.where(F.col("similarity") >= s.similarity).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    component = connected_components(links)
-    # what is left: pairs of a bucket in different components that may be similar by their distances to the pivot
-    to_pivot = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("d"))
-    placed = (
-        members.join(to_pivot, ["pivot", "node"], "left")
-        .join(component.withColumnRenamed("id", "node"), "node", "left")
-        .select("band", "hash", "pivot", "node", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("component", "node").alias("component"))
-    )
+    component = _merge(wanted.withColumn("component", F.col("id")), compared, s)
+    placed = members.join(component.withColumnRenamed("id", "node"), "node")
     mixed = placed.groupBy("band", "hash").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band", "hash")
     placed = staged(placed.join(mixed, ["band", "hash"], "left_semi"), "placed")
-    x = placed.where("node <> pivot").select("band", "hash", F.col("node").alias("a"), F.col("d").alias("da"), F.col("component").alias("ca"))
-    y = placed.where("node <> pivot").select("band", "hash", F.col("node").alias("b"), F.col("d").alias("db"), F.col("component").alias("cb"))
+    to_pivot = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("d"))
+    rest = placed.where((F.col("n") <= s.small) & (F.col("node") != F.col("pivot"))).join(to_pivot, ["pivot", "node"])
+    x = rest.select("band", "hash", F.col("node").alias("a"), F.col("d").alias("da"), F.col("component").alias("ca"))
+    y = rest.select("band", "hash", F.col("node").alias("b"), F.col("d").alias("db"), F.col("component").alias("cb"))
     near = F.abs(F.col("da") - F.col("db")) <= 1 - s.similarity + 1e-9
-    rest = x.join(y, ["band", "hash"]).where(F.col("a") < F.col("b")).where(F.col("ca") != F.col("cb")).where(near).select("a", "b").distinct()
-    late = similarities(rest, units).where(F.col("similarity") >= s.similarity).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    merged = connected_components(links.unionByName(late)) if not (late := staged(late, "late")).isEmpty() else component
-    by_key = nodes.select("key_1", "key_2", "node").join(merged.withColumnRenamed("id", "node"), "node", "left")
+    pairs = x.join(y, ["band", "hash"]).where("a < b and ca <> cb").where(near).select("a", "b")
+    pairs = pairs.unionByName(block_pairs(placed.where(F.col("n") > s.small), units, s)).distinct()
+    component = _merge(component, staged(similarities(pairs, units), "compared"), s)
+    by_key = nodes.select("key_1", "key_2", "node").join(component.withColumnRenamed("id", "node"), "node", "left")
     classed = sketch.select("id", "key_1", "key_2").join(by_key.select("key_1", "key_2", F.coalesce("component", "node").alias("class_id")), ["key_1", "key_2"])
     return classed.select(F.col("id").alias(id_col), "class_id").distinct().withColumn("representative", F.col(id_col) == F.col("class_id"))

@@ -61,6 +61,9 @@ def test_classes_equal_brute_force(spark):
     df = spark.createDataFrame([(i, t, "a", "b") for i, t in docs], DOCS)
     got = {r.doc_id: r.class_id for r in dm.duplicate_classes(df).collect()}
     assert got == classes(docs)
+    # the same with all buckets compared in blocks
+    blocked = dm.duplicate_classes(df, settings=dm.Settings(small=1, block=3)).collect()
+    assert {r.doc_id: r.class_id for r in blocked} == got
     again = dm.duplicate_classes(df.unionByName(df)).collect()
     assert len(again) == len(docs) and {r.doc_id: r.class_id for r in again} == got
     assert all(r.representative == (r.doc_id == r.class_id) for r in again)
