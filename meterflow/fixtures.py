@@ -87,6 +87,20 @@ FIXTURES: dict[str, str] = {
         select concat('B', u % 25) as building_id, month, sum(dv) * (case when max(u) % 3 = 0 then 2 else 1 end) as value
         from (select u, dv, concat('2024-0', cast(floor((day(d) - 1) / 5.0) + 1 as int)) as month from running where u % 10 <> 0) x
         where u % 25 <> 7 group by u % 25, month""",
+    # series that hand over on 15 January: by number a plain swap, a rollover, a reset, or one counter
+    "parts": """
+        select concat('P', u, 'a') as timeseries_id, cast(d as timestamp) as timestamp,
+               case u % 4 when 0 then c when 1 then 990000 + day(d) * 10.0 when 2 then 150000 + day(d) * 100.0 else 100000 + day(d) * 7.0 end as value
+        from running where d < date '2024-01-15'
+        union all
+        select concat('P', u, 'b'), cast(d as timestamp), case u % 4 when 0 then c + 5000 when 1 then c % 900 when 2 then day(d) * 11.0 else 100000 + day(d) * 7.0 end
+        from running where d >= date '2024-01-15'""",
+    "derived_refs": """
+        select concat('M', u, '.x') as timeseries_id, case u % 5 when 0 then 'slice' when 1 then 'sum' when 2 then 'bracket' when 3 then 'interpolate' else 'rolling_sum' end as aggregation,
+               case u % 5 when 0 then date '2024-01-05' when 1 then date '2024-01-08' when 2 then date '2024-01-10' when 3 then date '2024-01-10' end as valid_from,
+               case u % 5 when 0 then date '2024-01-20' when 2 then date '2024-01-14' when 3 then (case when u % 2 = 0 then date '2024-01-15' else date '2024-03-01' end) end as valid_to,
+               case u % 5 when 1 then concat('T', u, '|T', u + 1) when 4 then concat('P', u, 'a|P', u, 'b') else concat('T', u) end as sources
+        from users""",
     "computed": """
         select building_id, month, sum(delta) as value
         from meter_monthly join meters on meter_monthly.meter_id = meters.meter_id
