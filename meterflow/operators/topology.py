@@ -124,9 +124,6 @@ def merge_candidates(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
 def _override_state(edges: DataFrame, overrides: DataFrame) -> DataFrame:
     """Per unordered pair (x <= y): fold of its overrides in order over the state of its two
     directions, as structs (coefficient, derived_from) or null."""
-    cols = ["action", "from_meter", "to_meter", "coefficient", "reason", "date", "author", "position"]
-    if missing := [c for c in cols if c not in overrides.columns]:
-        raise ValueError(f"overrides lack columns: {missing}")
     pair = lambda df: df.withColumn("x", F.least("from_meter", "to_meter")).withColumn("y", F.greatest("from_meter", "to_meter"))
     edge = F.struct(F.col("coefficient").cast("double").alias("k"), F.col("derived_from").alias("d"))
     state = pair(edges).groupBy("x", "y").agg(F.first(F.when(F.col("from_meter") == F.col("x"), edge), ignorenulls=True).alias("xy"), F.first(F.when(F.col("from_meter") != F.col("x"), edge), ignorenulls=True).alias("yx"))
@@ -141,8 +138,12 @@ def apply_overrides(edges: DataFrame, overrides: DataFrame) -> tuple[DataFrame,
     """(edges, audit) after add, remove and force_direction in the order of `position`.
 
     edges (from_meter, to_meter, coefficient, derived_from), audit (position, result). Overrides of
-    different pairs of meters do not touch each other, so each pair is folded on its own.
+    different pairs of meters do not touch each other, so each pair is folded on its own. Missing
+    columns raise.
     """
+    cols = ["action", "from_meter", "to_meter", "coefficient", "reason", "date", "author", "position"]
+    if missing := [c for c in cols if c not in overrides.columns]:
+        raise ValueError(f"overrides lack columns: {missing}")
     none = F.lit(None).cast(_EDGE)
 
     def step(a, o):
