@@ -60,35 +60,27 @@ def sub_total(relations: DataFrame, flow: DataFrame) -> DataFrame:
     return rows.groupBy("parent_meter_id", "timestamp").agg(F.sum(F.col("delta") * F.coalesce("flow_coefficient", F.lit(1.0))).alias("total"))
 
 
-def feed_depth(relations: DataFrame, most: int = MAX_HOPS) -> int:
-    """Edges of the longest chain of feeds edges, at most `most`. Only this number reaches the driver."""
-    e = staged(relations.where("relation_type = 'feeds'").select(F.col("parent_meter_id").alias("a"), F.col("child_meter_id").alias("b")).distinct(), "feeds")
-    ends, depth = e.select("b").distinct(), 0
-    while depth < most and not ends.isEmpty():
-        depth += 1
-        ends = staged(e.join(ends.withColumnRenamed("b", "a"), "a", "left_semi").select("b").distinct(), "feeds") if depth < most else ends
-    return depth
-
-
 def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """(meter_id, timestamp, delta): measured flow plus what feeds edges deliver.
 
     A feeds child gets coefficient times (the parent's row less the parent's sub-meters), for every
     row the parent has: a parent with several deliveries subtracts its sub-meters from each. Hops
-    are unrolled as far as the edges go; frames of one hop are added up per meter and time at the
-    end, not between hops.
+    go on until one delivers nothing, `max_hops` at most; rows are added up per meter and time at
+    the end, not between hops.
     """
-    measured = staged(measured, "measured")
+    measured, relations = staged(measured, "measured"), staged(relations, "relations")
     feeds = relations.where("relation_type = 'feeds'")
     subs = sub_total(relations, measured).withColumnRenamed("parent_meter_id", "meter_id")
     frame, frames = measured, [measured]
-    for _ in range(feed_depth(relations, max_hops)):
+    for _ in range(max_hops):
         # what a parent hands on; the sub-meters' sum is joined by (meter, time)
         rest = frame.join(subs, ["meter_id", "timestamp"], "left").select("meter_id", "timestamp", (F.col("delta") - F.coalesce("total", F.lit(0.0))).alias("delta"))
         frame = staged(
             _active(feeds, rest, "parent_meter_id").select(F.col("child_meter_id").alias("meter_id"), "timestamp", (F.col("flow_coefficient") * F.col("delta")).alias("delta")),
             "hop",
         )
+        if frame.isEmpty():
+            break
         frames.append(frame)
     out = frames[0]
     for f in frames[1:]:
