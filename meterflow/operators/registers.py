@@ -262,3 +262,33 @@ def signal_table(daily: DataFrame, refs: DataFrame, today: str, silent_days: int
     known = refs.select(F.col("external_id").alias("meter_id")).where("meter_id is not null")
     strange = m.join(known, "meter_id", "left_anti").select("meter_id", F.lit("unknown_source").alias("signal"))
     return sparse.unionByName(off).unionByName(strange)
+
+
+def silent_among_siblings(daily: DataFrame, edges: DataFrame, least: int = 7) -> DataFrame:
+    """(meter_id, parent, starts, ends, n): runs of at least `least` rows on which a meter shows no
+    change while its siblings together do. edges (parent, meter_id)."""
+    rows = daily.select("meter_id", "day", "delta").join(edges.select("parent", "meter_id").distinct(), "meter_id")
+    totals = rows.groupBy("parent", "day").agg(F.sum("delta").alias("total"))
+    rows = rows.join(totals, ["parent", "day"]).withColumn("silent", (F.col("delta") == 0) & (F.col("total") > 0))
+    run = F.sum((~F.col("silent")).cast("int")).over(Window.partitionBy("parent", "meter_id").orderBy("day"))
+    runs = rows.withColumn("run", run).where("silent").groupBy("parent", "meter_id", "run").agg(F.min("day").alias("starts"), F.max("day").alias("ends"), F.count("*").alias("n"))
+    return runs.where(F.col("n") >= least).select("meter_id", "parent", "starts", "ends", "n")
+
+
+def synchronized_catch_up(daily: DataFrame, places: DataFrame, flat: int = 2, meters: int = 3) -> DataFrame:
+    """(place, day, n): days on which at least `meters` meters of a place move again after `flat` rows
+    or more without change. places (meter_id, place)."""
+    by_day = Window.partitionBy("meter_id").orderBy("day")
+    still = F.sum((F.col("delta") == 0).cast("int")).over(by_day.rowsBetween(-flat, -1))
+    back = daily.select("meter_id", "day", "delta", still.alias("still")).where((F.col("delta") > 0) & (F.col("still") == flat))
+    return back.join(places, "meter_id").groupBy("place", "day").agg(F.count_distinct("meter_id").alias("n")).where(F.col("n") >= meters)
+
+
+def stitch_artefacts(daily: DataFrame, segments: DataFrame, share: float = 0.01) -> DataFrame:
+    """(meter_id, day, jump): first rows of segments after the first (meter_id, position, valid_from)
+    that start away from the end of the row before by more than `share` of it."""
+    before = F.lag("v_last").over(Window.partitionBy("meter_id").orderBy("day"))
+    rows = daily.select("meter_id", "day", "v_first", before.alias("before"))
+    at = segments.where("position > 0 and valid_from is not null").select("meter_id", F.col("valid_from").alias("day"))
+    jump = F.abs(F.col("v_first") - F.col("before"))
+    return rows.join(at, ["meter_id", "day"]).where((F.col("before") > 0) & (jump > share * F.col("before"))).select("meter_id", "day", jump.alias("jump"))

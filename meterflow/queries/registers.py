@@ -201,3 +201,29 @@ def e17_quality_scan(s):
 def e18_signal_table(s):
     rows = s.timeseries_daily.where("not (meter_id like 'X%3' and day(day) % 2 = 0) and not (meter_id like 'X%4' and day(day) > 12)")
     return op.signal_table(rows, s.refs.where("timeseries_id not like '%7'"), "2024-01-31")
+
+
+KIN = "kin as (select concat('X', substr(parent_meter_id, 2)) as parent, concat('X', substr(child_meter_id, 2)) as meter_id from relations where derived_from = 'tree')"
+
+
+@R.query(f"""with {QUIET}, {KIN}, r as (select k.parent, q.meter_id, q.day, q.delta, sum(q.delta) over (partition by k.parent, q.day) as total from q join kin k using (meter_id)),
+    z as (select *, delta = 0 and total > 0 as silent from r), n as (select *, sum(case when silent then 0 else 1 end) over (partition by parent, meter_id order by day) as run from z)
+    select meter_id, parent, min(day) as starts, max(day) as ends, count(*) as n from n where silent group by meter_id, parent, run having count(*) >= 4""")
+def e17_silent_among_siblings(s):
+    x = lambda c: F.concat(F.lit("X"), F.expr(f"substr({c}, 2)"))
+    kin = s.relations.where("derived_from = 'tree'").select(x("parent_meter_id").alias("parent"), x("child_meter_id").alias("meter_id"))
+    return op.silent_among_siblings(quiet_of(s), kin, least=4)
+
+
+@R.query(f"""with {QUIET}, b as (select *, sum(case when delta = 0 then 1 else 0 end) over (partition by meter_id order by day rows between 2 preceding and 1 preceding) as still from q)
+    select cast(substr(meter_id, 2) as int) % 3 as place, day, count(distinct meter_id) as n from b where delta > 0 and still = 2 group by 1, 2 having count(distinct meter_id) >= 3""")
+def e17_synchronized_catch_up(s):
+    places = s.listed.select("meter_id", F.expr("cast(substr(meter_id, 2) as int) % 3").alias("place"))
+    more = s.users.where("u % 4 = 3").select(F.concat(F.lit("X"), "u").alias("meter_id"), (F.col("u") % 3).cast("int").alias("place"))
+    return op.synchronized_catch_up(quiet_of(s), places.unionByName(more))
+
+
+@R.query(f"""with {SEG}, p as (select *, lag(v_last) over (partition by meter_id order by day) as before_ from q)
+    select p.meter_id, p.day, abs(v_first - before_) as jump from p join segments g on g.meter_id = p.meter_id and g.valid_from = p.day where g.position > 0 and before_ > 0 and abs(v_first - before_) > 0.01 * before_""")
+def e17_stitch_artefacts(s):
+    return op.stitch_artefacts(quiet_of(s), segments_of(s))
