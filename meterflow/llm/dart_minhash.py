@@ -274,15 +274,17 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     class of near copies, exact copies included, and its document is the representative."""
     s = settings
     sketch = staged(sketches(docs, id_col, text_col, s), "sketches")
-    nodes = sketch.groupBy("key_1", "key_2").agg(F.min("id").alias("node"), F.first("bands").alias("bands"))
+    # counts per key or bucket are written before they are joined to the rows they were counted from:
+    # the join then has an exchange of its own on both sides, and Spark can split a hot key
+    nodes = staged(sketch.groupBy("key_1", "key_2").agg(F.min("id").alias("node"), F.first("bands").alias("bands")), "nodes")
     spread = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     # buckets of two or more nodes, with the pivot of each
-    sizes = spread.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = staged(spread.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     entries = staged(spread.join(sizes, ["band", "hash"]), "entries")
-    weight = entries.groupBy("node").agg(F.sum("n").alias("weight"))
+    weight = staged(entries.groupBy("node").agg(F.sum("n").alias("weight")), "weight")
     wanted = weight.select(F.col("node").alias("id"))
     heavy = F.max_by("node", F.struct(F.col("weight"), F.xxhash64("node")))
-    pivots = entries.join(weight, "node").groupBy("band", "hash").agg(heavy.alias("pivot"))
+    pivots = staged(entries.join(weight, "node").groupBy("band", "hash").agg(heavy.alias("pivot")), "pivots")
     members = staged(entries.join(pivots, ["band", "hash"]), "members")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"])
     units = staged(unit_elements(texts, "id", "text", s), "units")
@@ -291,6 +293,7 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     component = _merge(wanted.withColumn("component", F.col("id")), compared, s)
     placed = members.join(component.withColumnRenamed("id", "node"), "node")
     mixed = placed.groupBy("band", "hash").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band", "hash")
+    mixed = staged(mixed, "mixed")
     placed = staged(placed.join(mixed, ["band", "hash"], "left_semi"), "placed")
     to_pivot = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("d"))
     rest = placed.where((F.col("n") <= s.small) & (F.col("node") != F.col("pivot"))).join(to_pivot, ["pivot", "node"])
@@ -301,5 +304,6 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     pairs = pairs.unionByName(block_pairs(placed.where(F.col("n") > s.small), units, s)).distinct()
     component = _merge(component, staged(similarities(pairs, units), "compared"), s)
     by_key = nodes.select("key_1", "key_2", "node").join(component.withColumnRenamed("id", "node"), "node", "left")
-    classed = sketch.select("id", "key_1", "key_2").join(by_key.select("key_1", "key_2", F.coalesce("component", "node").alias("class_id")), ["key_1", "key_2"])
+    by_key = staged(by_key.select("key_1", "key_2", F.coalesce("component", "node").alias("class_id")), "classes")
+    classed = sketch.select("id", "key_1", "key_2").join(by_key, ["key_1", "key_2"])
     return classed.select(F.col("id").alias(id_col), "class_id").distinct().withColumn("representative", F.col(id_col) == F.col("class_id"))
