@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm import byte_bpe, dart_minhash, decontaminate, importance, secret_scan
 from meterflow.llm.queries import table, vocabulary
+from meterflow.llm.ship import ship_package
 from meterflow.plans.stage import staged
 
 
@@ -20,6 +21,7 @@ def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every class of near copies the document with the smallest id stays; so do rows without an id."""
+    ship_package(spark)
     copies = dart_minhash.duplicate_classes(docs).where("not representative").select("doc_id")
     return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 
@@ -32,12 +34,14 @@ def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def _secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets in its text are replaced and n_chars follows the new text."""
+    ship_package(spark)
     clean = secret_scan.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document the number of its tokens and digests of the ids and of the bytes they decode to."""
+    ship_package(spark)
     return byte_bpe.round_trip(docs, *vocabulary())
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.llm import byte_bpe, dart_minhash, decontaminate, importance, license_scan, quality_rules, secret_scan, token_counts, toxicity, warc
+from meterflow.llm.ship import ship_package
 from meterflow.plans.stage import new_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
