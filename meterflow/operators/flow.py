@@ -12,9 +12,12 @@ MAX_HOPS = 10
 
 
 def latest_correction(readings: DataFrame) -> DataFrame:
-    """One row per (series, time): that recorded last; no recording time counts as the earliest."""
-    newest = F.max_by(F.struct("value", "recorded_at"), F.coalesce(F.col("recorded_at"), F.lit(FAR_PAST).cast("timestamp")))
-    return readings.groupBy("timeseries_id", "timestamp").agg(newest.alias("r")).select("timeseries_id", "timestamp", "r.value", "r.recorded_at")
+    """One row per (series, time): that recorded last; no recording time counts as the earliest, and
+    of equal recording times the larger value is taken. Rows stay dealt out by series, in the order
+    of time, as what follows needs them."""
+    order = Window.partitionBy("timeseries_id").orderBy("timestamp", F.col("recorded_at").asc_nulls_first(), "value")
+    rows = readings.withColumn("_next", F.lead("timestamp").over(order)).withColumn("_more", F.lead(F.lit(True)).over(order))
+    return rows.where(F.col("_more").isNull() | ~F.col("_next").eqNullSafe(F.col("timestamp"))).drop("_next", "_more")
 
 
 def _difference(readings: DataFrame) -> DataFrame:
@@ -24,11 +27,11 @@ def _difference(readings: DataFrame) -> DataFrame:
 
 def measured_flow(readings: DataFrame, refs: DataFrame, sensors: DataFrame, corrected: bool = True) -> DataFrame:
     """(meter_id, timestamp, delta): differences of the preferred counters. `corrected` picks the
-    latest correction of every reading first. The first reading of a series gives no row."""
+    latest correction of every reading first. The first reading of a series gives no row. One
+    shuffle and one sort, by series and time, serve both steps."""
     counters = refs.where("preferred and reading_type = 'counter'").join(sensors, "sensor_id").select("timeseries_id", "meter_id")
-    rows = readings.join(counters, "timeseries_id", "left_semi")
-    steps = _difference(latest_correction(rows) if corrected else rows)
-    return steps.join(counters, "timeseries_id").select("meter_id", "timestamp", "delta")
+    rows = readings.join(counters, "timeseries_id")
+    return _difference(latest_correction(rows) if corrected else rows).select("meter_id", "timestamp", "delta")
 
 
 def counter_rate(readings: DataFrame, series: DataFrame, start: str, end: str, cumulative: bool = False) -> DataFrame:
