@@ -185,7 +185,7 @@ def q15_filter_by_media(s):
     return op.table_counts(op.filter_by_media(dataset(s), "heat"))
 
 
-@R.query("""select b.campus_id, count(*) as n_meters, sum(case when m.is_virtual_meter then 1 else 0 end) as n_virtual
+@R.query("""select b.campus_id, count(*) as n_meters, cast(sum(case when m.is_virtual_meter then 1 else 0 end) as bigint) as n_virtual
     from meters m join buildings b on b.building_id = m.building_id group by 1""")
 def q19_ad_hoc_sql(s):
     op.register_views({"meters": s.meters, "buildings": s.buildings}, "site_")
