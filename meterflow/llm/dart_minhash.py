@@ -258,6 +258,7 @@ def block_pairs(large: DataFrame, units: DataFrame, s: Settings) -> DataFrame:
     shape = per.groupBy("band", "hash").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
     blocks_of = lambda n: F.ceil(n / s.block).cast("int")
     shape = shape.select("band", "hash", "main.component", blocks_of(F.col("n")).alias("nr"), blocks_of(F.col("n") - F.col("main.n")).alias("nl")).withColumnRenamed("component", "main")
+    shape = staged(shape, "shape")
     short = units.select(F.col("id").alias("node"), F.transform("units", lambda x: F.shiftright(x, 32).cast("int")).alias("units"))
     rows = large.select("band", "hash", "node", "component").join(shape, ["band", "hash"]).join(short, "node")
     mine = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
