@@ -31,7 +31,7 @@ from meterflow.llm.text import blocks, buffers
 #: Pre-tokens of more bytes than this are merged with a heap.
 LONG = 256
 #: Pre-tokens remembered per Python worker; the memory starts anew when it is full.
-REMEMBER = 400_000
+REMEMBER = 150_000
 _NONE = np.int32(2**31 - 1)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from meterflow.llm.text import blocks, buffers
 
 #: Pre-tokens whose counts a Python worker remembers; the memory starts anew when it is full.
-REMEMBER = 500_000
+REMEMBER = 250_000
 
 
 class UnigramCounter:
