@@ -1,12 +1,15 @@
 """Licence scan: a trained paragraph classifier whose findings are confirmed against templates.
 
-A paragraph is a line with words. Its features are hashed words and word pairs, weighed by the
-inverse root of their number. A softmax regression with an L1 penalty is trained on paragraphs made from the
-templates below (parts of them, words left out, prose around them) and, as the class "unknown",
-on paragraphs of at most `max_docs` corpus documents, picked by a hash of their id. Its scale is
-calibrated on held-out paragraphs (one temperature). A paragraph is a candidate if "unknown" has
-less than half of the probability; it is reported if a template of the predicted family confirms
-it: enough of the template's word pairs in the paragraph, or of the paragraph's in the template.
+A paragraph is a line with words. Where enough of a template's word pairs stand within about the
+template's length, the stretch from the first to the last of them is a window; a paragraph shorter
+than the template needs as large a share of its own pairs in the template. So prose around a notice
+takes nothing from it. A softmax regression with an L1 penalty scores every window. Its features are
+hashed words and word pairs, weighed by the inverse root of their number. It is trained on stretches
+made from the templates below (parts of them, words left out, prose before and behind) and, as the
+class "unknown", on paragraphs and stretches of paragraphs of at most `max_docs` corpus documents,
+picked by a hash of their id. Its scale is calibrated on held-out stretches (one temperature). A
+window counts if "unknown" has less than half of the probability; of windows that overlap the one
+that agrees best counts, and a paragraph is reported once for every family found in it.
 
 Null and empty texts have no paragraphs. Rows with a null id are scanned but not sampled.
 Repeated rows give repeated results; every paragraph of a long text is read.
@@ -139,6 +142,54 @@ def agreement(paragraph: set[int], template: set[int]) -> float:
     return len(paragraph & template) / least if least else 0.0
 
 
+@dataclass(frozen=True)
+class Template:
+    label: int
+    words: int
+    pairs: np.ndarray
+
+
+def all_templates(classes: list[str]) -> list[Template]:
+    out = []
+    for y, family in enumerate(classes[1:], 1):
+        for text, pairs in zip(TEMPLATES[family], word_pairs(TEMPLATES[family])):
+            out.append(Template(y, len(_block([text]).hash), np.array(sorted(pairs), np.uint64)))
+    return out
+
+
+def windows(w: Words, templates: list[Template], confirm: float) -> list[tuple[int, int, int, int, float]]:
+    """(paragraph, first word, end, label, agreement) of every stretch that a template confirms."""
+    at, pair = grams(w.hash, w.last, 2)
+    row, size = w.row[at], np.diff(w.first) - 1
+    k = np.flatnonzero(np.isin(pair, np.concatenate([t.pairs for t in templates])))
+    k = k[np.bincount(row[k], minlength=len(size))[row[k]] > 1]
+    out = []
+    for t in templates:
+        j = k[np.isin(pair[k], t.pairs)]
+        pos, line = at[j], row[j]
+        stop = np.searchsorted(pos, np.minimum(pos + t.words + t.words // 4 - 1, w.first[line + 1]))
+        short = size[line] < len(t.pairs)
+        count = stop - np.arange(len(j))
+        for i in np.flatnonzero((count > 1) & (short | (count >= confirm * len(t.pairs)))).tolist():
+            least = len(t.pairs)
+            if short[i]:
+                lo, hi = np.searchsorted(row, (line[i], line[i] + 1))
+                least = len(np.unique(pair[lo:hi]))
+            share = len(np.unique(pair[j[i : stop[i]]])) / least
+            if least > 1 and share >= confirm:
+                out.append((int(line[i]), int(pos[i]), int(pos[stop[i] - 1]) + 2, t.label, share))
+    return out
+
+
+def probabilities(m: Model, w: Words, a: int, b: int, bits: int) -> np.ndarray:
+    """Of every class, for the words a to b (exclusive) of one paragraph."""
+    h = w.hash[a:b]
+    slot = (np.concatenate([mix(h), grams(h, np.full(len(h), len(h)), 2)[1]]) >> np.uint64(64 - bits)).astype(np.int64)
+    x = m.weights[slot].sum(0, dtype=np.float64) / np.sqrt(len(slot)) + m.bias
+    e = np.exp(np.clip(x / m.temperature, -50, 50))
+    return e / e.sum()
+
+
 def training_set(prose: list[str], s: Settings) -> tuple[list[str], list[int], list[str]]:
     """(texts, labels, class names): prose that no template confirms is "unknown"."""
     rng = np.random.default_rng(11)
@@ -146,6 +197,10 @@ def training_set(prose: list[str], s: Settings) -> tuple[list[str], list[int], l
     known = [t for f in classes[1:] for t in word_pairs(TEMPLATES[f])]
     plain = [p for p, pairs in zip(prose, word_pairs(prose)) if pairs and max(agreement(pairs, t) for t in known) < s.confirm]
     texts, labels = list(plain), [0] * len(plain)
+    for i in range(1, len(plain), 2):  # windows are short
+        words = plain[i].split()
+        at = int(rng.integers(0, max(len(words) - 4, 0) + 1))
+        texts[i] = " ".join(words[at : at + int(rng.integers(4, 27))])
     filler = [w for p in plain[:200] for w in p.split()] or ["text"]
     for y, family in enumerate(classes[1:], 1):
         for template in TEMPLATES[family]:
@@ -157,7 +212,7 @@ def training_set(prose: list[str], s: Settings) -> tuple[list[str], list[int], l
                     at = int(rng.integers(0, len(words) - size + 1))
                     part = [w for w in words[at : at + size] if rng.random() > 0.05]
                 if i % 3 == 2:
-                    part = [*rng.choice(filler, int(rng.integers(1, 6))), *part]
+                    part = [*rng.choice(filler, int(rng.integers(0, 6))), *part, *rng.choice(filler, int(rng.integers(0, 6)))]
                 texts.append(" ".join(part))
                 labels.append(y)
     return texts, labels, classes
@@ -217,15 +272,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """(id_col, found array<struct<family, start, end, probability>>): the confirmed paragraphs of
-    every text in order, positions in code points."""
+    every text in order, once per family, positions in code points."""
     s = settings
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** bits rows of one number per class
     entry = pa.struct([("family", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())])
 
     def run(batches):
         m = shared.value
-        live = m.weights.any(1)
-        templates = {f: word_pairs(TEMPLATES[f]) for f in m.classes[1:]}
+        templates = all_templates(m.classes)
         for batch in batches:
             offs, data = buffers(batch.column("text"))
             for lo, hi in blocks(offs):
@@ -235,28 +289,25 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 cut = np.unique(np.concatenate([offs[lo : hi + 1], breaks]))
                 found: list[list[dict]] = [[] for _ in range(hi - lo)]
                 if len(cut) > 1:
-                    row, slot, value = features(find_words(cut, data, ALNUM), s.bits)
-                    k = np.flatnonzero(live[slot])
-                    row, slot, value = row[k], slot[k], value[k]
-                    seen, at = np.unique(row, return_inverse=True)
-                    x = np.zeros((len(seen), len(m.classes)))
-                    np.add.at(x, at, m.weights[slot] * value[:, None])
-                    e = np.exp(np.clip((x + m.bias) / m.temperature, -50, 50))
-                    p = e / e.sum(1, keepdims=True)
-                    for i in np.flatnonzero(p[:, 0] < 0.5).tolist():
-                        y = 1 + int(p[i, 1:].argmax())
-                        a, b = int(cut[seen[i]]), int(cut[seen[i] + 1])
-                        pairs = word_pairs([data[a:b].tobytes().decode("utf-8", "replace")])[0]
-                        # the family of the template that agrees best, the predicted one on a tie
-                        scores = {f: max(agreement(pairs, t) for t in ts) for f, ts in templates.items()}
-                        family = max(scores, key=lambda f: (scores[f], f == m.classes[y]))
-                        if scores[family] < s.confirm or scores[family] > scores[m.classes[y]]:
-                            continue
+                    w = find_words(cut, data, ALNUM)
+                    scored = []
+                    for line, a, b, y, share in windows(w, templates, s.confirm):
+                        p = probabilities(m, w, a, b, s.bits)
+                        if p[0] < 0.5:
+                            scored.append((-share, -float(p[y]), b - a, line, a, y, float(1 - p[0])))
+                    taken = np.zeros(len(w.hash), bool)
+                    best: dict[tuple[int, str], float] = {}
+                    for _, _, n, line, a, y, sure in sorted(scored):
+                        if not taken[a : a + n].any():
+                            taken[a : a + n] = True
+                            best.setdefault((line, m.classes[y]), sure)
+                    chars = lambda u, v: int(((data[u:v] & 0xC0) != 0x80).sum())
+                    for (line, family), sure in sorted(best.items()):
+                        a, b = int(cut[line]), int(cut[line + 1])
                         doc = int(np.searchsorted(offs[lo : hi + 1], a, "right")) - 1
-                        chars = lambda u, v: int(((data[u:v] & 0xC0) != 0x80).sum())
                         start = chars(int(offs[lo + doc]), a)
                         stop = start + chars(a, b - (b > a and data[b - 1] == 10))
-                        found[doc].append({"family": m.classes[y], "start": start, "end": stop, "probability": float(1 - p[i, 0])})
+                        found[doc].append({"family": family, "start": start, "end": stop, "probability": sure})
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), pa.array(found, pa.list_(entry))], ["id", "found"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -270,6 +321,6 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return found.select(
         id_col,
         F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda x: x["family"]))), ",").alias("licences"),
-        F.size("found").cast("long").alias("n_paragraphs"),
+        F.size(F.array_distinct(F.transform("found", lambda x: x["start"]))).cast("long").alias("n_paragraphs"),
         F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["family"], x["start"], x["end"])), ",").alias("spans"),
     )

@@ -145,3 +145,28 @@ def test_gumbel_free_features_are_partition_independent():
     assert np.diff(w.first).tolist() == [4, 0, 0, 1, 1]
     assert w.hash[0] == w.hash[1] == w.hash[4] and w.word(2) == "B!!"
     assert len(set(importance.shape_hashes(w).tolist())) == 3
+
+
+NOTICES = {
+    "Released under the MIT License.": "MIT",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files": "MIT",
+    "Released under the 3-Clause BSD License.": "BSD-3-Clause",
+}
+
+
+def test_licence_notices_inside_long_paragraphs(spark):
+    rng = random.Random(8)
+    rows = [(i, "\n".join(prose(rng) for _ in range(3))) for i in range(60)]
+    inside = {}
+    for notice, family in NOTICES.items():
+        for n in (5, 20, 100):
+            inside[1000 + len(inside)] = (f"{prose(rng, n)} {notice} {prose(rng, n)}", family)
+    both = f"{prose(rng)} Licensed under CC BY 4.0. {prose(rng)} Released under the MIT License. {prose(rng)}"
+    df = table(spark, rows + [(i, t) for i, (t, _) in inside.items()] + [(2000, both)])
+    got = {r.doc_id: r for r in license_scan.digest(license_scan.scan(df, license_scan.train(table(spark, rows)))).collect()}
+    assert {i: got[i].licences for i in inside} == {i: f for i, (_, f) in inside.items()}
+    assert got[2000].licences == "CC-BY-4.0,MIT" and got[2000].n_paragraphs == 1
+    assert all(got[i].licences == "" for i, _ in rows)
