@@ -11,12 +11,18 @@ picked by a hash of their id. Its scale is calibrated on held-out stretches (one
 window counts if "unknown" has less than half of the probability; of windows that overlap the one
 that agrees best counts, and a paragraph is reported once for every family found in it.
 
+Word pairs cannot tell versions or variants, so the reported name comes from the words of the window
+and those behind it up to the version: the version, Lesser or Affero, the clauses, NC, ND and SA. A
+notice without a template's version or variant is reported as the family without it ("GPL"), and one
+that does not name a family of the templates at all as "unknown".
+
 Null and empty texts have no paragraphs. Rows with a null id are scanned but not sampled.
 Repeated rows give repeated results; every paragraph of a long text is read.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -92,6 +98,66 @@ TEMPLATES: dict[str, list[str]] = {
 }
 
 
+#: Notices of licences without a template; the class "unknown" is trained on them too.
+NEAR_MISSES = [
+    "Released under the zlib License.",
+    "Licensed under the Eclipse Public License, version 2.0.",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "Licensed under the Artistic License 2.0.",
+    "Licensed under the European Union Public Licence, version 1.2.",
+    "This work is licensed under the Open Data Commons Open Database License.",
+    "SPDX-License-Identifier: Zlib",
+    "SPDX-License-Identifier: EPL-2.0",
+    "SPDX-License-Identifier: BSL-1.0",
+    "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
+    "This file is subject to the terms and conditions of the licence agreement between the parties.",
+]
+
+#: The version that a name, or the word version, is followed by.
+_VERSION = re.compile(
+    r"(?:\bversion[\s,:(]*|\bv[\s.]*|(?:gpl|mpl|apache|licen[sc]es?|attribution|non-?commercial|share-?alike|noderiv\w*|\bby|\bnc|\bnd|\bsa)(?:[\s(/-]|licen[sc]e)*v?[\s.]*)"
+    r"(\d+(?:\.\d+)*)"
+)
+#: Words behind a window in which its version may stand.
+_BEHIND = 12
+
+
+def licence_name(family: str, notice: str, behind: str = "") -> str:
+    """The licence that a notice confirmed as `family` names: with version and variant if they are a
+    template's, else the family without them, or "unknown" if its own words are missing."""
+    text = (notice + behind).lower()
+    m = _VERSION.search(text)
+    version = re.sub(r"(\.0+)+$", "", m[1]) if m else ""
+    text = text[: max(len(notice), m.end() if m else 0)]
+    has = lambda p: re.search(p, text) is not None
+    versioned = lambda stem, known, full: f"{stem}-{full}" if version == known else stem
+    if family.endswith("GPL-3.0"):
+        if not has(r"general public licen[sc]e|gpl"):
+            return UNKNOWN
+        stem = "AGPL" if has("affero|agpl") else "LGPL" if has(r"lesser|lgpl|library general") else "GPL"
+        return versioned(stem, "3", "3.0")
+    if family == "Apache-2.0":
+        return versioned("Apache", "2", "2.0") if has("apache") else UNKNOWN
+    if family == "MPL-2.0":
+        return versioned("MPL", "2", "2.0") if has("mozilla public licen[sc]e|mpl") else UNKNOWN
+    if family.startswith("CC-"):
+        if not has(r"\bcc\b|creative commons"):
+            return UNKNOWN
+        stem = "CC" + "-BY" * has(r"\bby\b|attribution") + "-NC" * has(r"\bnc\b|non-?commercial") + "-ND" * has(r"\bnd\b|no-?deriv") + "-SA" * has(r"\bsa\b|share-?alike")
+        return versioned(stem, "4", "4.0")
+    if family == "BSD-3-Clause":
+        if has(r"\b(3|three)[\s-]clause|bsd-3|neither the name"):
+            return family
+        return "BSD" if has(r"\bbsd\b|redistributions? and use|binary forms|endorse or promote") else UNKNOWN
+    own = {
+        "MIT": r"\bmit\b(?!-0|\s+no\s+attribution)|free of charge|and associated documentation|permission notice shall",
+        "ISC": r"\bisc\b|with or without fee",
+        "Unlicense": r"unencumbered|publish, use, compile|source code form or as",
+    }[family]
+    return family if has(own) else UNKNOWN
+
+
 @dataclass(frozen=True)
 class Settings:
     bits: int = 16
@@ -201,6 +267,9 @@ def training_set(prose: list[str], s: Settings) -> tuple[list[str], list[int], l
         words = plain[i].split()
         at = int(rng.integers(0, max(len(words) - 4, 0) + 1))
         texts[i] = " ".join(words[at : at + int(rng.integers(4, 27))])
+    for notice in NEAR_MISSES:
+        texts += [notice] * s.copies
+        labels += [0] * s.copies
     filler = [w for p in plain[:200] for w in p.split()] or ["text"]
     for y, family in enumerate(classes[1:], 1):
         for template in TEMPLATES[family]:
@@ -297,10 +366,12 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                             scored.append((-share, -float(p[y]), b - a, line, a, y, float(1 - p[0])))
                     taken = np.zeros(len(w.hash), bool)
                     best: dict[tuple[int, str], float] = {}
+                    text = lambda a, b: data[base + a : base + b].tobytes().decode("utf-8", "replace")
                     for _, _, n, line, a, y, sure in sorted(scored):
                         if not taken[a : a + n].any():
                             taken[a : a + n] = True
-                            best.setdefault((line, m.classes[y]), sure)
+                            end, far = w.end[a + n - 1], w.end[min(a + n + _BEHIND, w.first[line + 1]) - 1]
+                            best.setdefault((line, licence_name(m.classes[y], text(w.start[a], end), text(end, far))), sure)
                     chars = lambda u, v: int(((data[u:v] & 0xC0) != 0x80).sum())
                     for (line, family), sure in sorted(best.items()):
                         a, b = int(cut[line]), int(cut[line + 1])

@@ -170,3 +170,37 @@ def test_licence_notices_inside_long_paragraphs(spark):
     assert {i: got[i].licences for i in inside} == {i: f for i, (_, f) in inside.items()}
     assert got[2000].licences == "CC-BY-4.0,MIT" and got[2000].n_paragraphs == 1
     assert all(got[i].licences == "" for i, _ in rows)
+
+
+NEAR = {
+    "This work is licensed under the GNU General Public License, version 2.": "GPL",
+    "This library is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL",
+    "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+    "This program is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.": "MPL",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0",
+    "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0",
+    "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+    "Licensed under CC BY 3.0.": "CC-BY",
+    "Licensed under the Apache License, Version 1.1.": "Apache",
+    "Released under the 2-Clause BSD License.": "BSD",
+    "Released under the zlib License.": "",
+    "SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+    "SPDX-License-Identifier: MIT": "MIT",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+    "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "GPL-3.0",
+}
+
+
+def test_licence_versions_and_variants(spark):
+    rng = random.Random(9)
+    rows = [(i, "\n".join(prose(rng) for _ in range(3))) for i in range(60)]
+    near = {1000 + i: f for i, f in enumerate(NEAR.values())}
+    texts = [(1000 + i, t) for i, t in enumerate(NEAR)] + [(2000 + i, f"{prose(rng, 30)} {t} {prose(rng, 30)}") for i, t in enumerate(NEAR)]
+    df = table(spark, rows + texts)
+    got = {r.doc_id: r.licences for r in license_scan.digest(license_scan.scan(df, license_scan.train(table(spark, rows)))).collect()}
+    assert {i: got[i] for i in near} == near
+    assert {i: got[i + 1000] for i in near} == near
+    # every template is found, with the name its own words give
+    assert license_scan.licence_name("MIT", "SPDX-License-Identifier: Zlib") == "unknown"
+    assert license_scan.licence_name("BSD-3-Clause", "Redistribution and use in source and binary forms") == "BSD"
