@@ -11,16 +11,23 @@ a record (version line, header, Content-Length, closing blank lines, block diges
 fails it searches for the next gzip magic or version line at which all checks hold, goes on from
 there, and reports the bytes between as one gap with the first failure as its reason.
 
+Members are inflated in pieces, as far as they can be read, and the same search runs over what they
+inflate to, so a bad record or a damaged or cut member costs no other record. Records and gaps inside
+a member have the place of the member; a gap's reason has its inflated bytes. Of a member that breaks
+off with an error or fails its CRC only records count whose own digest holds.
+
 Null html is an empty payload, a null URL is left out of the record, control characters and spaces
 in URLs are percent-encoded. Rows of equal payload and equal, smallest page_id are all responses.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +41,8 @@ CRLF = "\r\n"
 MIN_REVISIT = 100
 #: Most records of a file that the writer makes.
 MAX_RECORDS = 2_000
-#: A gzip member may inflate to at most this many bytes.
-MAX_MEMBER = 1 << 30
+#: Bytes of a member read at once, and of what they inflate to.
+PIECE = 1 << 16
 
 
 def _record(kind: str, identity: Column, url: Column, digest: Column, extra: list[Column], http: Column, payload: Column) -> Column:
@@ -75,17 +82,39 @@ _HEADER = re.compile(rb"^WARC/1\.[01]\r?\n")
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
 
 
+_LINE = re.compile(rb"WARC/1\.[01]\r?\n")
+
+
 class Broken(ValueError):
     """A member or record that fails a check."""
 
 
+class Short(Broken):
+    """A record that goes on behind the data at hand: `need` bytes are wanted."""
+
+    def __init__(self, why: str, need: int):
+        super().__init__(why)
+        self.need = need
+
+
+def digest_holds(head: dict[str, str], block: bytes) -> bool | None:
+    """Whether the block has the header's digest; None without one that can be checked."""
+    algorithm, _, digest = head.get("warc-block-digest", "").partition(":")
+    if algorithm.lower() == "sha256":
+        return hashlib.sha256(block).hexdigest() == digest.lower()
+    if algorithm.lower() == "sha1" and len(digest) in (32, 40):
+        h = hashlib.sha1(block)
+        return digest.upper() in (h.hexdigest().upper(), base64.b32encode(h.digest()).decode())
+    return None
+
+
 def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """(header, block, end) of the record at `at`, or Broken."""
     if not (m := _HEADER.match(data[at : at + 16])):
         raise Broken("no version line")
     close = data.find(b"\r\n\r\n", at)
     if close < 0:
-        raise Broken("header without end")
+        raise Short("header without end", 2 * (len(data) - at))
     head: dict[str, str] = {}
     for line in data[at + m.end() : close].split(b"\r\n"):
         name, colon, value = line.partition(b":")
@@ -97,50 +126,149 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         raise Broken("no content length")
     start, end = close + 4, close + 4 + int(size)
     if data[end : end + 4] != b"\r\n\r\n":
-        raise Broken("record without end")
+        raise Short("record without end", end + 4 - at) if len(data) < end + 4 else Broken("record without end")
     block = data[start:end]
-    algorithm, _, digest = head.get("warc-block-digest", "").partition(":")
-    if algorithm.lower() == "sha256" and hashlib.sha256(block).hexdigest() != digest.lower():
+    if digest_holds(head, block) is False:
         raise Broken("block digest differs")
     return head, block, end + 4
 
 
-def parse_at(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records of the member or record at `at`, and where it ends; Broken if any check fails."""
-    if data[at : at + 3] != b"\x1f\x8b\x08":
-        head, block, end = parse_record(data, at)
-        return [(head, block)], end
-    inflate = zlib.decompressobj(31)
+class Member:
+    """The gzip member at `at`: after `pieces` has run, where it ends (`end`) and its first failure
+    (`why`, empty for an intact one). `cut`: the data ended first."""
+
+    def __init__(self, data: bytes, at: int):
+        self.data, self.at, self.end, self.why, self.cut = data, at, at, "", False
+
+    def pieces(self) -> Iterator[bytes]:
+        z, view, pos, rest = zlib.decompressobj(31), memoryview(self.data), self.at, b""
+        while not z.eof:
+            if not rest:
+                rest = view[pos : pos + PIECE]
+                pos += len(rest)
+            kept = z.copy()
+            try:
+                out = z.decompress(rest, PIECE) if len(rest) else z.flush()
+            except zlib.error as e:
+                self.end, self.why = pos, f"gzip member: {e}"
+                for i in range(len(rest)):  # all that comes before the failure
+                    try:
+                        yield kept.decompress(rest[i : i + 1])
+                    except zlib.error:
+                        self.end = pos - len(rest) + i + 1
+                        return
+                return
+            if not len(rest) and not z.eof:
+                self.end, self.why, self.cut = pos, "gzip member without end", True
+                yield out
+                return
+            rest = z.unconsumed_tail
+            yield out
+        self.end = pos - len(z.unused_data)
+
+    def check(self) -> Member:
+        for _ in self.pieces():
+            pass
+        return self
+
+    def salvage(self) -> Iterator[tuple[str, int, int, object]]:
+        """Records and gaps as of `salvage`, by inflated bytes; run `check` first."""
+        doubtful, pieces = bool(self.why) and not self.cut, self.pieces()
+        buf, base, at, gap, why, more = b"", 0, 0, -1, "", True
+        while more or at < len(buf):
+            try:
+                if at == len(buf):
+                    raise Short("", 1)
+                if more and len(buf) - at < 16:
+                    raise Short("no version line", 16)
+                head, block, end = parse_record(buf, at)
+                if doubtful and not digest_holds(head, block):
+                    raise Broken("no digest in a damaged member")
+            except Broken as e:
+                if more and isinstance(e, Short):
+                    parts, size = [buf[at:]], len(buf) - at
+                    while size < e.need and more:
+                        piece = next(pieces, None)
+                        more = piece is not None
+                        parts.append(piece or b"")
+                        size += len(parts[-1])
+                    buf, base, at = b"".join(parts), base + at, 0
+                    continue
+                if gap < 0:
+                    gap, why = base + at, str(e)
+                m = _LINE.search(buf, at + 1)
+                # a version line may begin in the last bytes
+                at = m.start() if m else max(at + 1, len(buf) - 10) if more else len(buf)
+                continue
+            if gap >= 0:
+                yield "gap", gap, base + at, why
+                gap = -1
+            yield "record", base + at, base + end, (head, block)
+            at = end
+        if gap >= 0 or self.why:
+            yield "gap", gap if gap >= 0 else base + at, base + at, self.why or why
+
+
+def _key(head: dict[str, str], block: bytes) -> bytes:
+    return hashlib.sha256(repr(sorted(head.items())).encode() + b"\0" + block).digest()
+
+
+def _holds(data: bytes, at: int, seen: set[bytes]) -> bool:
+    """Whether a record can be read at `at` that is not in `seen`."""
+    if data[at : at + 3] == b"\x1f\x8b\x08":
+        return any(x[0] == "record" for x in Member(data, at).check().salvage())
     try:
-        plain = inflate.decompress(memoryview(data)[at:], MAX_MEMBER)
-    except zlib.error as e:
-        raise Broken(f"gzip member: {e}") from None
-    if not inflate.eof:
-        raise Broken("gzip member without end")
-    records, pos = [], 0
-    while pos < len(plain):
-        head, block, pos = parse_record(plain, pos)
-        records.append((head, block))
-    return records, len(data) - len(inflate.unused_data)
+        head, block, _ = parse_record(data, at)
+    except Broken:
+        return False
+    return not seen or _key(head, block) not in seen
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
     """("record", start, end, (header, block)) and ("gap", start, end, reason), covering `data`."""
     at, gap, why = 0, -1, ""
+    seen: set[bytes] = set()  # of a damaged member that ends before `until`; stored ones can be read twice
+    until = 0
     while at < len(data):
-        try:
-            records, end = parse_at(data, at)
-        except Broken as e:
-            if gap < 0:
-                gap, why = at, str(e)
-            m = _NEXT.search(data, at + 1)
-            at = m.start() if m else len(data)
-            continue
+        items, failed, end = [], "", at
+        if data[at : at + 3] == b"\x1f\x8b\x08":
+            member = Member(data, at).check()
+            inner = member.salvage()
+            first = []
+            for x in inner:
+                first.append(x)
+                if x[0] == "record":
+                    break
+            items, end, failed = chain(first, inner), member.end, member.why
+            if first and first[-1][0] == "gap":  # no record at all
+                if gap < 0:
+                    gap, why = at, str(failed or first[0][3])
+                if failed:
+                    m = _NEXT.search(data, at + 1)
+                    end = m.start() if m else len(data)
+                at = end
+                continue
+            if failed:
+                until = end
+                seen = {_key(*x[3]) for x in member.salvage() if x[0] == "record"}
+                end = next((m.start() for m in _NEXT.finditer(data, at + 1) if _holds(data, m.start(), seen if m.start() < until else set())), len(data))
+        else:
+            try:
+                head, block, end = parse_record(data, at)
+                if at < until and _key(head, block) in seen:
+                    raise Broken("record read from its member")
+            except Broken as e:
+                if gap < 0:
+                    gap, why = at, str(e)
+                m = _NEXT.search(data, at + 1)
+                at = m.start() if m else len(data)
+                continue
+            items = [("record", at, end, (head, block))]
         if gap >= 0:
             yield "gap", gap, at, why
             gap = -1
-        for record in records:
-            yield "record", at, end, record
+        for kind, a, b, what in items:
+            yield kind, at, end, what if kind == "record" else f"{what}, inflated bytes {a} to {b}"
         at = end
     if gap >= 0:
         yield "gap", gap, len(data), why

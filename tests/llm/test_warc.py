@@ -74,3 +74,30 @@ def test_salvage_plain_and_gzip(spark, tmp_path):
     rows = warc.read_archives(spark, f"file://{tmp_path}", "*.warc.gz").collect()
     assert sorted(r.kind for r in rows) == ["gap"] + ["record"] * 5
     assert all(r.reason for r in rows if r.kind == "gap")
+
+
+def test_salvage_inside_members():
+    plain = [record(i, f"body {i} {hashlib.sha256(bytes([i])).hexdigest()} WARC/1.0\r\n" * 40) for i in range(8)]
+    bad = bytearray(b"".join(plain))
+    at = len(plain[0]) + len(plain[1]) + len(plain[2]) - 20
+    bad[at] ^= 1
+    after = gzip.compress(record(9, "after"))
+    for level in (0, 9):
+        # a bad record in an intact member
+        one = gzip.compress(bytes(bad), level)
+        out = list(warc.salvage(one + after))
+        assert ids(one + after) == list("01345679")
+        assert [r[1:3] for r in out if r[0] == "gap"] == [(0, len(one))]
+        whole = gzip.compress(b"".join(plain), level)
+        # a wrong CRC, a cut member, and a cut one before an intact one
+        assert ids(whole[:-8] + b"\x00" * 8 + after) == list("012345679")
+        cut = ids(whole[: len(whole) * 3 // 4])
+        assert cut == [str(i) for i in range(len(cut))] and 3 <= len(cut) < 8
+        out = list(warc.salvage(whole[: len(whole) * 3 // 4] + after))
+        assert [r[3][0]["warc-record-id"][10:-1] for r in out if r[0] == "record"][-1] == "9"
+        assert sum(r[0] == "record" for r in out) <= len(cut) + 2
+        spans = sorted({(r[1], r[2]) for r in out})
+        assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    # large blocks and long garbage, over many pieces
+    big = record(1, "x" * 300_000) + b"?" * 200_000 + record(2, "y" * 70_000)
+    assert ids(gzip.compress(big)) == list("12") and ids(gzip.compress(b"")) == []
