@@ -4,8 +4,9 @@ Three patterns are always reported (kinds assign, access and hex). Besides, ever
 (a run of 20 or more letters, digits and ``+/_=-``) is read by a window for each character class
 that the whole run belongs to. The window's entropy follows from counts that are updated by the
 character that enters and the one that leaves, so a run costs time in proportion to its length.
-Stretches whose windows reach the class's threshold are reported as kind ``entropy`` unless the
-allow list names them, a pattern's span covers them or they look like an identifier or a path.
+Stretches whose windows reach the class's threshold are reported as kind ``entropy`` unless a
+pattern's span covers them or the whole run looks like an identifier or a path of words. Windows that
+lie within a substring named by the allow list, or hold at most `REST` characters besides such, do not count.
 
 Null and empty texts have no spans; every match of a repeated or very long text is reported.
 Positions count code points, ends are exclusive.
@@ -17,6 +18,7 @@ import hashlib
 import math
 import re
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +32,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGIT = re.compile(r"[0-9]")
+#: A window needs so many characters that the allow list does not name.
+REST = 12
 KINDS = ("assign", "access", "hex", "entropy")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
@@ -50,11 +54,12 @@ CLASSES = (
     CharClass("base64", frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 20, 3.8),
 )
 
-#: Suppressed candidates: placeholders, UUIDs, file or URL paths, words joined by dashes or underscores.
+#: Suppressed: placeholders (words name all of their part of a path), UUIDs; whole runs that are file or
+#: URL paths or words joined by dashes or underscores, with a short number at the end at most.
 ALLOW = (
-    re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|test[_-]?key|xxxx|0{8}|1234567890"),
+    re.compile(r"(?i)(?:example|sample|dummy|placeholder|changeme|your[_-]|test[_-]?key)(?P<part>[^/+=]*)|xxxx|0{8}|1234567890"),
     re.compile(r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"),
-    re.compile(r"/?(?:[a-z]+[/_-])+[a-z0-9]+"),
+    re.compile(r"/?(?:[a-z]+[/_-])+(?:[a-z]+[0-9]{0,4}|[0-9]{1,4})"),
 )
 
 
@@ -77,9 +82,9 @@ def window_entropies(s: str, window: int) -> list[float]:
     return out
 
 
-def high_entropy(s: str, classes=CLASSES) -> list[tuple[int, int]]:
+def high_entropy(s: str, classes=CLASSES, skip: tuple | list = ()) -> list[tuple[int, int]]:
     """Merged [start, end) stretches of `s` in windows that reach the threshold of the narrowest
-    class that all of `s` belongs to. Needs a digit: long words of letters alone are prose."""
+    class that all of `s` belongs to and have `REST` characters outside of `skip`. Needs a digit: long words of letters alone are prose."""
     if not DIGIT.search(s):
         return []
     chars = set(s)
@@ -87,8 +92,12 @@ def high_entropy(s: str, classes=CLASSES) -> list[tuple[int, int]]:
     if cls is None:
         return []
     spans: list[tuple[int, int]] = []
+    free = [1] * len(s)
+    for a, b in skip:
+        free[a:b] = [0] * (b - a)
+    free = [0, *accumulate(free)] if skip else range(len(s) + 1)
     for i, bits in enumerate(window_entropies(s, cls.window)):
-        if bits >= cls.bits:
+        if bits >= cls.bits and free[i + cls.window] - free[i] >= REST:
             if spans and i <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], i + cls.window)
             else:
@@ -96,6 +105,18 @@ def high_entropy(s: str, classes=CLASSES) -> list[tuple[int, int]]:
     return spans
 
 
+def named(run: str, allow=ALLOW) -> list[tuple[int, int]]:
+    """The stretches of `run` that the allow list names; a placeholder's word names its part of a path."""
+    out = []
+    for p in allow[:2]:
+        for m in p.finditer(run):
+            a = m.start()
+            if m.groupdict().get("part") is not None:
+                a = max(run.rfind(c, 0, a) for c in "/+=") + 1
+            out.append((a, m.end()))
+    return out
+
+
 def scan_text(text: str, classes=CLASSES, allow=ALLOW) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every secret, by start and then kind in the order of `KINDS`."""
     found: list[tuple[str, int, int]] = []
@@ -108,9 +129,9 @@ def scan_text(text: str, classes=CLASSES, allow=ALLOW) -> list[tuple[str, int, i
         base = list(found)
         for m in CANDIDATE.finditer(text):
             run, at = m.group(), m.start()
-            if any(p.search(run) if i < 2 else p.fullmatch(run) for i, p in enumerate(allow)):
+            if any(p.fullmatch(run) for p in allow[2:]):
                 continue
-            for a, b in high_entropy(run, classes):
+            for a, b in high_entropy(run, classes, named(run, allow)):
                 if not any(s <= at + a and at + b <= e for _, s, e in base):
                     found.append(("entropy", at + a, at + b))
     else:

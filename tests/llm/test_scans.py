@@ -120,3 +120,17 @@ def test_byte_bpe_equals_library(spark):
         assert got[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert got[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
     assert byte_bpe.round_trip(df.limit(0), path, P.PATTERN).count() == 0
+
+
+def test_allow_list_hides_only_what_it_names():
+    found = lambda t: [t[a:b] for k, a, b in secret_scan.scan_text(t) if k == "entropy"]
+    for prefix, secret in (
+        ("key-", "3ax6xnjp29jd6fds4gc373sgvjxteol0"), ("glpat-", "zq4k9w7x2m8p1v5n3c6t"), ("prod/sample/", "Zx9qLw3Tr8Vb2Nm5Kj7Hg4FdQp1"),
+        ("Zx9qLw3Tr8Vb2Nm5Kj7Hg4Fd+xxxx+", "Pq8sRt2Uv6Wy1Za5Bc9De3Fg"), ("123e4567-e89b-12d3-a456-426614174000-", "Zx9qLw3Tr8Vb2Nm5Kj7Hg4Fd"),
+    ):
+        assert any(secret[2:-2] in x for x in found(prefix + secret)), prefix
+    for plain in (
+        "example-Zx9qLw3Tr8Vb2Nm5Kj7Hg4Fd", "123e4567-e89b-12d3-a456-426614174000", "id-123e4567-e89b-12d3-a456-426614174000",
+        "some/long/path_with_words/chapter12", "a-very-long-file-name-with-words-2024",
+    ):
+        assert found(plain) == [], plain
