@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,9 +24,10 @@ def _edge() -> Column:
     return F.concat_ws("->", "parent_meter_id", "child_meter_id")
 
 
-def no_cycles(relations: DataFrame, max_length: int = 50) -> DataFrame:
+def no_cycles(relations: DataFrame, max_length: int | None = None) -> DataFrame:
     """Cycles of edges that hold at one instant, each once, from its smallest meter on. Nodes that
-    are on no cycle for lack of edges in or out are trimmed first."""
+    are on no cycle for lack of edges in or out are trimmed first. No path visits a node twice, so
+    the search ends by itself; with max_length it raises if a path has more edges."""
     e = relations.select(F.col("parent_meter_id").alias("a"), F.col("child_meter_id").alias("b"), lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi")).where("lo < hi")
     e = staged(e.distinct(), "cyclic")
     before = -1
@@ -34,10 +36,12 @@ def no_cycles(relations: DataFrame, max_length: int = 50) -> DataFrame:
         e = staged(e.join(e.select(F.col("a").alias("b")).distinct(), "b", "left_semi").join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a", "b", "lo", "hi"), "cyclic")
     found = None
     path = e.where("a <= b").select(F.col("a").alias("start"), F.col("b").alias("at"), F.array("a", "b").alias("path"), "lo", "hi")
-    for _ in range(max_length):
+    for length in count(1):
         path = staged(path, "paths")
         if path.isEmpty():
             break
+        if max_length is not None and length > max_length:
+            raise ValueError(f"paths of more than {max_length} edges")
         closed = path.where("at = start").select(F.slice("path", 1, F.size("path") - 1).alias("path"))
         found = closed if found is None else found.unionByName(closed)
         step = path.where("at <> start").join(e.select(F.col("a").alias("at"), F.col("b").alias("next"), F.col("lo").alias("l2"), F.col("hi").alias("h2")), "at")

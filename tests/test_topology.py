@@ -115,3 +115,11 @@ def test_formulas_nest_and_name_what_is_missing(spark):
     v = spark.createDataFrame([("m1", "2024-01", 10.0), ("m2", "2024-01", 3.0)], "meter_id string, month string, value double")
     got = {r.building: (r.value, r.unresolved) for r in accounting.evaluate_formulas(terms, v).collect()}
     assert got == {"F": (17.0, None), "G": (3.0, None), "H": (None, "nowhere"), "L": (None, "L")}
+
+
+def test_cycles_of_any_length(spark):
+    ring = [(f"M{i:02}", f"M{(i + 1) % 52:02}", "hasSubMeter", 1.0, None, None) for i in range(52)]
+    got = validate.no_cycles(spark.createDataFrame(ring, EDGE)).collect()
+    assert [r.subject for r in got] == ["->".join(f"M{i:02}" for i in range(52))]
+    with pytest.raises(ValueError):
+        validate.no_cycles(spark.createDataFrame(ring[:2] + [("M02", "M00", "hasSubMeter", 1.0, None, None)], EDGE), max_length=2)
