@@ -2,11 +2,16 @@
 
 Writing uses Spark's text writer: a record is one row, and the blank lines that end a WARC record
 are its line separator. Response records hold an HTTP response; a record whose payload equals that
-of an earlier one becomes a revisit that refers to it and repeats only the HTTP header.
-
-Reading takes whole archive files, plain or with gzip members, one per row of Spark's binaryFile
-source (``spark.sql.sources.binaryFile.maxLength`` bounds them; the writer keeps its own to
-`MAX_RECORDS` records). At every position the reader checks a gzip member (its CRC and length) or
+of an earlier one becomes a revisit that refers to it and repeats only the HTTP header. Pages are
+shuffled as digests and ids: the digests that repeat are written first, and every page meets them by
+a broadcast join; where they pass `BROADCAST` bytes, the revisits' ids are found by a shuffle of ids
+and digests, and pages meet those by id, so that a payload many pages share makes no hot key. Pages
+of `LONG_PAGE` bytes or more get a file each, others at most `MAX_RECORDS` to a file: no file of the
+writer passes the 2 GiB that Spark's binaryFile source can read.
+
+Reading takes whole archive files, plain or with gzip members, one per row of the binaryFile source
+(``spark.sql.sources.binaryFile.maxLength`` bounds them; larger ones make the read fail, none is
+skipped). At every position the reader checks a gzip member (its CRC and length) or
 a record (version line, header, Content-Length, closing blank lines, block digest). Where a check
 fails it searches for the next gzip magic or version line at which all checks hold, goes on from
 there, and reports the bytes between as one gap with the first failure as its reason.
@@ -17,7 +22,11 @@ a member have the place of the member; a gap's reason has its inflated bytes. Of
 off with an error or fails its CRC only records count whose own digest holds.
 
 Null html is an empty payload, a null URL is left out of the record, control characters and spaces
-in URLs are percent-encoded. Rows of equal payload and equal, smallest page_id are all responses.
+in URLs are percent-encoded. Rows of equal payload and equal, smallest page_id are all responses; so
+are rows without a page_id, unless another page has their payload. Every row has a record, repeated
+and very long ones too. An empty table makes archives without records, an empty archive has neither
+records nor gaps. Other columns of the table are not read, whatever their names. No damage makes the
+reader fail: what cannot be read is a gap.
 """
 
 from __future__ import annotations
@@ -30,17 +39,21 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from meterflow.plans.stage import staged
+
 VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
 #: Payloads below this many bytes are always stored.
 MIN_REVISIT = 100
-#: Most records of a file that the writer makes.
-MAX_RECORDS = 2_000
+#: Most records of a file that the writer makes of pages below `LONG_PAGE` bytes; longer ones stand alone.
+MAX_RECORDS, LONG_PAGE = 1_000, 1 << 18
+#: Largest size of the table of repeated digests that is broadcast.
+BROADCAST = 16 << 20
 #: Bytes of a member read at once, and of what they inflate to.
 PIECE = 1 << 16
 
@@ -57,15 +70,37 @@ def _record(kind: str, identity: Column, url: Column, digest: Column, extra: lis
     return F.concat(head, block)
 
 
+def _origins(p: DataFrame) -> tuple[DataFrame, bool, bool]:
+    """`p` (id, url, html, digest) with the `origin` of every revisit, null for responses; whether it
+    has pages below `LONG_PAGE` bytes, and longer ones."""
+    size, seen = F.octet_length("html"), Observation()
+    ids = p.select("id", F.unhex("digest").alias("sha"), size.alias("size"))
+    ids = ids.observe(seen, F.min("size").alias("least"), F.max("size").alias("most"))
+    # only payloads that repeat: a few rows per group before the shuffle, one after
+    groups = ids.where(F.col("size") >= MIN_REVISIT).groupBy("sha").agg(F.min("id").alias("origin"), F.count("*").alias("n"))
+    repeated = staged(groups.where("n > 1 and origin is not null").drop("n"), "repeated")
+    least, most = (seen.get[x] for x in ("least", "most"))
+    bytes_ = repeated.agg(F.sum(F.octet_length(F.col("origin").cast("string")) + 64)).first()[0] or 0
+    again = ~F.col("id").eqNullSafe(F.col("origin"))
+    sha = F.unhex("digest")
+    if bytes_ <= BROADCAST:
+        placed = p.withColumn("sha", sha).join(F.broadcast(repeated), "sha", "left")
+        placed = placed.withColumn("origin", F.when(again & (size >= MIN_REVISIT), F.col("origin")))
+    else:
+        found = ids.where(F.col("size") >= MIN_REVISIT).join(repeated, "sha").where(again)
+        found = staged(found.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("of"), "sha", "origin").distinct(), "revisits")
+        placed = p.withColumns({"of": F.coalesce(F.col("id").cast("string"), F.lit("")), "sha": sha}).join(found, ["of", "sha"], "left")
+    return placed, least < LONG_PAGE, most >= LONG_PAGE
+
+
 def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
-    """One record per page, in WARC files under `path`."""
+    """One record per page, in WARC files in folders under `path`."""
     p = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    p = p.withColumn("digest", F.sha2("html", 256))
-    long = p.where(F.octet_length("html") >= MIN_REVISIT)
-    # only payloads that repeat: a few rows per group before the shuffle, one after
-    repeated = long.groupBy("digest").agg(F.min("id").alias("origin"), F.count("*").alias("n")).where("n > 1 and origin is not null").drop("n")
-    placed = p.join(repeated, "digest", "left")
-    revisit = F.col("origin").isNotNull() & (F.octet_length("html") >= MIN_REVISIT) & ~F.col("id").eqNullSafe(F.col("origin"))
+    if p.isEmpty():
+        p.select(F.col("html").alias("value")).write.text(path)
+        return
+    placed, usual, long = _origins(p.withColumn("digest", F.sha2("html", 256)))
+    revisit = F.col("origin").isNotNull()
     url = F.regexp_replace(F.regexp_replace("url", " ", "%20"), "[\\x00-\\x1F\\x7F]", "%0A")
     identity = F.coalesce(F.col("id").cast("string"), F.lit(""))
     http = F.concat(
@@ -75,7 +110,11 @@ def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: s
     record = F.when(revisit, _record("revisit", identity, url, F.col("digest"), refers, http, F.lit(""))).otherwise(
         _record("response", identity, url, F.col("digest"), [], http, F.col("html"))
     )
-    placed.select(record.alias("value")).write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", MAX_RECORDS).text(path)
+    is_long = F.octet_length("html") >= LONG_PAGE
+    for wanted, which, most, folder in ((usual, ~is_long, MAX_RECORDS, "usual"), (long, is_long, 1, "long")):
+        if wanted:
+            rows = placed.where(which).select(record.alias("value"))
+            rows.write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", most).text(f"{path}/{folder}")
 
 
 _HEADER = re.compile(rb"^WARC/1\.[01]\r?\n")
@@ -83,6 +122,7 @@ _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
 
 
 _LINE = re.compile(rb"WARC/1\.[01]\r?\n")
+_LENGTH = re.compile(r"[0-9]{1,18}")
 
 
 class Broken(ValueError):
@@ -122,7 +162,7 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
             raise Broken("header line without colon")
         head[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
     size = head.get("content-length", "")
-    if not size.isdigit():
+    if not _LENGTH.fullmatch(size):
         raise Broken("no content length")
     start, end = close + 4, close + 4 + int(size)
     if data[end : end + 4] != b"\r\n\r\n":
@@ -279,7 +319,7 @@ def http_payload(head: dict[str, str], block: bytes) -> tuple[bytes, int]:
     if not head.get("content-type", "").startswith("application/http"):
         return block, len(block)
     top, _, body = block.partition(b"\r\n\r\n")
-    size = re.search(rb"(?im)^content-length:\s*(\d+)", top)
+    size = re.search(rb"(?im)^content-length:\s*(\d{1,18})(?!\d)", top)
     return body, int(size[1]) if size and head.get("warc-type") == "revisit" else len(body)
 
 

@@ -2,6 +2,9 @@
 
 import gzip
 import hashlib
+import random
+
+import pytest
 
 from meterflow.llm import warc
 
@@ -17,7 +20,10 @@ def pages(spark):
     return rows, spark.createDataFrame([(*r, "clash") for r in rows], PAGES)
 
 
-def test_round_trip_with_revisits(spark, tmp_path):
+@pytest.mark.parametrize("broadcast", [warc.BROADCAST, -1])
+def test_round_trip_with_revisits(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST", broadcast)
+    monkeypatch.setattr(warc, "LONG_PAGE", 400)
     rows, df = pages(spark)
     warc.write_pages(df, f"file://{tmp_path}/w")
     records = warc.read_archives(spark, f"file://{tmp_path}/w", "part-*")
@@ -32,6 +38,21 @@ def test_round_trip_with_revisits(spark, tmp_path):
     assert got == sorted(want, key=lambda t: (t[0], t[1]))
     urls = {r.record_id: r.target_uri for r in records.collect()}
     assert urls["<urn:page:5>"] == "http://a/x%20y%0A" and urls["<urn:page:9>"] is None
+    # long pages stand alone
+    files = {}
+    for r in records.collect():
+        files.setdefault(r.path, []).append(r.payload_bytes)
+    assert all(len(n) == 1 or max(n) < 400 for n in files.values()) and sum(max(n) >= 400 for n in files.values()) == 3
+
+
+def test_null_ids_and_long_pages(spark, tmp_path):
+    rows = [(None, "u", LONG), (None, "u", LONG), (3, "u", LONG), (None, "u", "q" * 200), (4, None, "z" * 400_000), (5, "u", "z" * 400_000)]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], PAGES)
+    warc.write_pages(df, f"file://{tmp_path}/n")
+    got = warc.page_records(warc.read_archives(spark, f"file://{tmp_path}/n", "part-*")).collect()
+    size = len(LONG.encode())
+    want = [(None, 200, "response", None), (None, size, "revisit", 3), (None, size, "revisit", 3), (3, size, "response", None), (4, 400_000, "response", None), (5, 400_000, "revisit", 4)]
+    assert sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got), key=repr) == sorted(want, key=repr)
 
 
 def test_empty_table(spark, tmp_path):
@@ -101,3 +122,42 @@ def test_salvage_inside_members():
     # large blocks and long garbage, over many pieces
     big = record(1, "x" * 300_000) + b"?" * 200_000 + record(2, "y" * 70_000)
     assert ids(gzip.compress(big)) == list("12") and ids(gzip.compress(b"")) == []
+
+
+def test_random_damage_never_raises():
+    """Whatever happens to an archive: records and gaps cover it, and records away from the damage come through."""
+    rng = random.Random(4)
+    plain = [record(i, f"body {i} {hashlib.sha256(bytes([i])).hexdigest()} WARC/1.1\r\n" * rng.randint(1, 60)) for i in range(8)]
+    forms = [plain, [gzip.compress(x) for x in plain], [gzip.compress(b"".join(plain[:4])), gzip.compress(b"".join(plain[4:]))]]
+    junk = ["\u00b2\u0663".encode(), b"\r\n\r\n", b"WARC/1.0\r\n", b"\x1f\x8b\x08", b"Content-Length: 99999999999999999999999\r\n", b":", b"\xff\xfe"]
+    for trial in range(240):
+        parts = rng.choice(forms)
+        data = bytearray(b"".join(parts))
+        hurt = set()
+        for _ in range(rng.randint(1, 3)):
+            at, how = rng.randrange(len(data)), rng.randrange(4)
+            if how == 0:
+                data[at] ^= 1 << rng.randrange(8)
+            elif how == 1:
+                data[at : at + len(junk[trial % 7])] = junk[trial % 7]
+            elif how == 2 and trial % 2:
+                del data[at : at + rng.randint(1, 300)]
+            else:
+                data[at:at] = rng.choice(junk)
+            hurt.add(at)
+        out = list(warc.salvage(bytes(data)))
+        spans = sorted({(r[1], r[2]) for r in out})
+        assert spans[0][0] == 0 and spans[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+        first = min(hurt)
+        end, whole = 0, []
+        for i, x in enumerate(parts):
+            end += len(x)
+            if end <= first:
+                whole += [str(i)] if len(parts) == 8 else [str(k) for k in range(4 * i, 4 * i + 4)]
+        got = [r[3][0].get("warc-record-id", "")[10:-1] for r in out if r[0] == "record"]
+        assert got[: len(whole)] == whole
+    one = record(1, "x").replace(b"Content-Length: 1", "Content-Length: \u00b2".encode())
+    assert ids(one + record(2, "y")) == ["2"]
+    revisit = record(3, "HTTP/1.1 200 OK\r\nContent-Length: 99999999999999999999\r\n\r\n").replace(b"resource", b"revisit")
+    head, block = list(warc.salvage(revisit))[0][3]
+    assert warc.http_payload(head | {"content-type": "application/http"}, block) == (b"", 0)
