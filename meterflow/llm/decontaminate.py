@@ -5,18 +5,21 @@ All of a window's words have to occur, in order, so one word of it is a sufficie
 rarest by its count over the whole corpus. Steps:
 
 1. Counts of the benchmark's words over all documents give the order of rarity.
-2. Every window is filed under its rarest word. Windows with a word that no document has are
-   dropped: they cannot occur.
+2. Every distinct window is filed under its rarest word and the place of it in the window. Windows
+   with a word that no document has are dropped: they cannot occur.
 3. Every occurrence of a prefix word in a document is a candidate, with the `size` - 1 words on
    either side. A bitmap of fixed size keeps other words from being shipped.
-4. Candidates join windows on the word. The length bound (words needed before and after exist)
-   and the positional bound (the window starts where the word's place in it says) leave one place
-   per window, where its words are compared.
-
-The bitmap has 2 MB whatever the benchmark's size, and the join is Spark's, so neither side need
-be small. Documents and items that are null or have no words have no windows and no hits.
-Repeated rows of a document each get their own result if their ids differ; rows with one id are
-taken as one document's, their counts added.
+4. Candidates join the places of their word: at most size * (size + 1) / 2 of them, however many
+   windows have the word. The length bound (words needed before and after exist) and the positional
+   bound (the window starts where the word's place in it says) leave one stretch of words per place.
+5. Stretches join windows by hash and are compared word for word. Hits name windows, and windows
+   their items, so that a window which many items share is compared once.
+
+The bitmap has 2 MB whatever the benchmark's size, and the joins are Spark's, so neither side need
+be small. Every row of the documents has a result of its own, rows with equal or null ids too.
+Null and empty texts, and texts and items without words, have no windows and no hits; items with a
+null id are left out, repeated items count once. Texts are read whole, however long. Empty tables
+give no rows, or no hits. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -88,22 +91,25 @@ def word_counts(docs: DataFrame, text_col: str, passes: np.ndarray) -> DataFrame
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def prefix_windows(items: DataFrame, counts: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(word, windows array<struct<item, at, words>>): every window under its rarest word, which
-    stands at place `at` of it. Equal counts are told apart by the word, then the place."""
-    n = F.size("words")
-    windows = items.select(
-        "item", F.explode(F.transform(F.sequence(F.lit(0), F.greatest(n - size, F.lit(0))), lambda i: F.slice("words", i + 1, size))).alias("words")
-    ).distinct()
-    per_word = windows.select("item", "words", F.posexplode("words").alias("at", "word")).join(counts, "word", "left")
-    rarest = per_word.groupBy("item", "words").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("p"))
-    filed = rarest.where("p.n > 0").select(F.col("p.word").alias("word"), F.struct("item", F.col("p.at").alias("at"), "words").alias("w"))
-    return filed.groupBy("word").agg(F.collect_list("w").alias("windows"))
+def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(item, words): the distinct windows of every item of `item_words`."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))
+    return items.select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i + 1, size))).alias("words")).distinct()
+
+
+def prefixes(texts: DataFrame, counts: DataFrame) -> DataFrame:
+    """(window, words, hash, word, at): windows of distinct words with the rarest one, which stands
+    at place `at`. Equal counts are told apart by the word, then the place."""
+    per_word = texts.select("window", F.posexplode("words").alias("at", "word")).join(counts, "word", "left")
+    rarest = per_word.groupBy("window").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("p"))
+    known = texts.join(rarest.where("p.n > 0"), "window")
+    return known.select("window", "words", F.xxhash64("words").alias("hash"), "p.word", "p.at")
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, passes: np.ndarray, size: int = WINDOW) -> DataFrame:
-    """(doc, n_words, found array<struct<word, pos, at, near>>): the occurrences of words that pass
-    the filter, `near` with up to size - 1 words on either side, `at` the word's place in it."""
+    """(doc, n_words, found array<struct<word, pos, at, near>>), a row for each of `docs`: the
+    occurrences of words that pass the filter, `near` with up to size - 1 words on either side, `at`
+    the word's place in it."""
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(passes))
     entry = pa.struct([("word", pa.string()), ("pos", pa.int32()), ("at", pa.int32()), ("near", pa.list_(pa.string()))])
 
@@ -132,43 +138,43 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, passes: np.ndarray,
 
 
 def verified(cands: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc, lo, hi, items): for each candidate with true windows, the words [lo, hi) that they
-    cover together (all of them contain the candidate) and their items."""
-    one = cands.select("doc", F.explode("found").alias("c")).select("doc", "c.*")
-    hit = lambda w: (
-        (F.col("at") >= w["at"])
-        & (F.size("near") >= F.col("at") - w["at"] + F.size(w["words"]))
-        & (F.slice("near", F.greatest(F.col("at") - w["at"], F.lit(0)) + 1, F.size(w["words"])) == w["words"])
-    )
-    true = one.join(windows, "word").withColumn("hits", F.filter("windows", hit)).where(F.size("hits") > 0)
-    return true.select(
-        "doc",
-        F.array_min(F.transform("hits", lambda w: F.col("pos") - w["at"])).alias("lo"),
-        F.array_max(F.transform("hits", lambda w: F.col("pos") - w["at"] + F.size(w["words"]))).alias("hi"),
-        F.array_distinct(F.transform("hits", lambda w: w["item"])).alias("items"),
-    )
+    """(row, lo, hi, window): every occurrence [lo, hi) of a window in the words of a row."""
+    size = F.size("words")
+    places = staged(windows.groupBy("word").agg(F.collect_set(F.struct(F.col("at").alias("before"), size.alias("n"))).alias("places")), "places")
+    one = cands.select("row", F.explode("found").alias("c")).select("row", "c.*").join(places, "word")
+    start = F.col("at") - F.col("before")
+    one = one.select("row", "pos", "at", "near", F.explode("places").alias("p")).select("row", "pos", "at", "near", "p.*")
+    fits = one.where((start >= 0) & (F.size("near") >= start + F.col("n"))).select(
+        "row", (F.col("pos") - F.col("before")).alias("lo"), (F.col("pos") - F.col("before") + F.col("n")).alias("hi"),
+        F.col("before").alias("at"), F.slice("near", start + 1, F.col("n")).alias("words"),
+    )
+    hits = fits.withColumn("hash", F.xxhash64("words")).join(windows.select("hash", "at", "words", "window"), ["hash", "at", "words"])
+    return hits.select("row", "lo", "hi", "window")
 
 
 def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW
 ) -> DataFrame:
-    """(id_col, n_words, n_hit, items array): for every document its words, the words inside an
+    """(id_col, n_words, n_hit, items array): for every row of `docs` its words, the words inside an
     occurrence of a window of an item, and the items, sorted as strings, with such windows."""
     words = staged(item_words(items, item_id, item_text), "items")
     counts = staged(word_counts(docs, text_col, word_filter(words.select(F.explode("words").alias("word")).distinct())), "counts")
-    windows = staged(prefix_windows(words, counts, size), "windows")
-    cands = staged(candidates(docs, id_col, text_col, word_filter(windows), size), "candidates")
-    hits = verified(cands, windows)
-    # covered words: every interval adds what reaches beyond the furthest end before it
-    by_start = Window.partitionBy("doc").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    of_items = staged(item_windows(words, size), "windows")
+    texts = staged(of_items.select("words").distinct().withColumn("window", F.monotonically_increasing_id()), "texts")
+    windows = staged(prefixes(texts, counts), "prefixes")
+    cands = candidates(docs, id_col, text_col, word_filter(windows), size).withColumn("row", F.monotonically_increasing_id())
+    cands = staged(cands, "candidates")  # rows keep their numbers from here on
+    hits = staged(verified(cands, windows), "hits")
+    # covered words: every occurrence adds what reaches beyond the furthest end before it
+    by_start = Window.partitionBy("row").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
     added = F.greatest(F.lit(0), F.col("hi") - F.greatest(F.col("lo"), F.coalesce(F.max("hi").over(by_start), F.lit(0))))
-    nothing = F.lit(None).cast(windows.schema["windows"].dataType.elementType["item"].dataType)
-    rows = cands.select("doc", "n_words", F.lit(0).alias("added"), F.array(nothing).alias("items")).unionByName(
-        hits.select("doc", F.lit(0).cast("long").alias("n_words"), added.alias("added"), "items")
-    )
-    out = rows.groupBy("doc").agg(F.sum("n_words").alias("n_words"), F.sum("added").alias("n_hit"), F.flatten(F.collect_set("items")).alias("items"))
-    names = F.array_distinct(F.filter(F.transform("items", lambda x: x.cast("string")), lambda x: x.isNotNull()))
-    return out.select(F.col("doc").alias(id_col), "n_words", "n_hit", F.array_sort(names).alias("items"))
+    covered = hits.select("row", "lo", "hi").distinct().select("row", added.cast("long").alias("n_hit")).groupBy("row").agg(F.sum("n_hit").alias("n_hit"))
+    owners = of_items.join(texts, "words").select("window", F.col("item").cast("string").alias("item"))
+    named = hits.select("row", "window").distinct().join(owners, "window").groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    found = covered.join(named, "row")
+    out = cands.select("row", "doc", "n_words").join(found, "row", "left")
+    no_items = F.array().cast("array<string>")
+    return out.select(F.col("doc").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", no_items).alias("items"))
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
