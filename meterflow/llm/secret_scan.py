@@ -1,14 +1,18 @@
 """Secret scanning: fixed patterns, and sliding-window Shannon entropy per character class.
 
-Three patterns are always reported (kinds assign, access and hex). Besides, every candidate string
-(a run of 20 or more letters, digits and ``+/_=-``) is read by a window for each character class
-that the whole run belongs to. The window's entropy follows from counts that are updated by the
-character that enters and the one that leaves, so a run costs time in proportion to its length.
-Stretches whose windows reach the class's threshold are reported as kind ``entropy`` unless a
+Three patterns are always reported (kinds assign, access and hex). Besides, in every candidate string
+(a run of 20 or more letters, digits and ``+/_=-``) a window slides over each maximal stretch of every
+character class, so that a hexadecimal or base32 part of a longer run meets its own threshold. The
+window's entropy follows from counts that are updated by the character that enters and the one that
+leaves, so a run costs time in proportion to its length. Windows that reach the class's threshold and
+hold its least number of digits are merged, over all classes, to spans of kind ``entropy``, unless a
 pattern's span covers them or the whole run looks like an identifier or a path of words. Windows that
-lie within a substring named by the allow list, or hold at most `REST` characters besides such, do not count.
+lie within a substring named by the allow list, or hold at most `REST` characters besides such, do
+not count. The classes given ask for one digit, since letters alone are prose more often than keys;
+`CharClass.digits` = 0 takes letters too.
 
-Null and empty texts have no spans; every match of a repeated or very long text is reported.
+Null and empty texts have no spans; every match of a repeated or very long text is reported. An empty
+table gives no rows. Columns other than id and text are not read by `scan` and pass through `redact`.
 Positions count code points, ends are exclusive.
 """
 
@@ -18,6 +22,7 @@ import hashlib
 import math
 import re
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import accumulate
 
 import pyarrow as pa
@@ -40,17 +45,23 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 @dataclass(frozen=True)
 class CharClass:
-    """Strings of `chars` only; a window of `window` characters counts from `bits` of entropy on."""
+    """Stretches of `chars`; a window of `window` characters counts from `bits` of entropy on, with `digits` digits at least."""
 
     name: str
     chars: frozenset[str]
     window: int
     bits: float
+    digits: int = 1
+
+    @cached_property
+    def stretch(self) -> re.Pattern:
+        return re.compile(f"[{re.escape(''.join(sorted(self.chars)))}]{{{self.window},}}")
 
 
 CLASSES = (
     CharClass("hexadecimal", frozenset("0123456789abcdefABCDEF"), 20, 3.0),
     CharClass("base32", frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567="), 20, 3.5),
+    CharClass("base36", frozenset("abcdefghijklmnopqrstuvwxyz0123456789"), 20, 3.5, digits=2),
     CharClass("base64", frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 20, 3.8),
 )
 
@@ -83,26 +94,27 @@ def window_entropies(s: str, window: int) -> list[float]:
 
 
 def high_entropy(s: str, classes=CLASSES, skip: tuple | list = ()) -> list[tuple[int, int]]:
-    """Merged [start, end) stretches of `s` in windows that reach the threshold of the narrowest
-    class that all of `s` belongs to and have `REST` characters outside of `skip`. Needs a digit: long words of letters alone are prose."""
-    if not DIGIT.search(s):
-        return []
-    chars = set(s)
-    cls = next((c for c in classes if chars <= c.chars and len(s) >= c.window), None)
-    if cls is None:
-        return []
+    """Merged [start, end) stretches of `s` in windows that reach the threshold of a class and have
+    `REST` characters outside of `skip`."""
     spans: list[tuple[int, int]] = []
     free = [1] * len(s)
     for a, b in skip:
         free[a:b] = [0] * (b - a)
     free = [0, *accumulate(free)] if skip else range(len(s) + 1)
-    for i, bits in enumerate(window_entropies(s, cls.window)):
-        if bits >= cls.bits and free[i + cls.window] - free[i] >= REST:
-            if spans and i <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], i + cls.window)
-            else:
-                spans.append((i, i + cls.window))
-    return spans
+    digits = [0, *accumulate("0" <= c <= "9" for c in s)]
+    for cls in classes:
+        n = cls.window
+        for m in cls.stretch.finditer(s):
+            for i, bits in enumerate(window_entropies(m.group(), n), m.start()):
+                if bits >= cls.bits and digits[i + n] - digits[i] >= cls.digits and free[i + n] - free[i] >= REST:
+                    spans.append((i, i + n))
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        else:
+            merged.append((a, b))
+    return merged
 
 
 def named(run: str, allow=ALLOW) -> list[tuple[int, int]]:
@@ -124,8 +136,8 @@ def scan_text(text: str, classes=CLASSES, allow=ALLOW) -> list[tuple[str, int, i
         found += [("assign", *m.span()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= MIN_ASSIGN]
     if "AKIA" in text:
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
-    if DIGIT.search(text):
-        found += [("hex", *m.span()) for m in HEX.finditer(text)]
+    found += [("hex", *m.span()) for m in HEX.finditer(text)]
+    if DIGIT.search(text) or not all(c.digits for c in classes):
         base = list(found)
         for m in CANDIDATE.finditer(text):
             run, at = m.group(), m.start()
@@ -134,8 +146,6 @@ def scan_text(text: str, classes=CLASSES, allow=ALLOW) -> list[tuple[str, int, i
             for a, b in high_entropy(run, classes, named(run, allow)):
                 if not any(s <= at + a and at + b <= e for _, s, e in base):
                     found.append(("entropy", at + a, at + b))
-    else:
-        found += [("hex", *m.span()) for m in HEX.finditer(text)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
