@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.plans.stage import staged
+from meterflow.plans.stage import release, staged
 
 MAX_ROUNDS = 60
 
@@ -28,12 +28,15 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
             .groupBy(F.col("a").alias("id"))
             .agg(F.min("component").alias("near"))
         )
-        lowered = labels.join(near, "id", "left").select("id", F.col("component").alias("was"), F.least("component", F.coalesce("near", "component")).alias("low"))
-        jump = labels.select(F.col("id").alias("low"), F.col("component").alias("up"))
+        now = labels.select("id", "component")
+        lowered = now.join(near, "id", "left").select("id", F.col("component").alias("was"), F.least("component", F.coalesce("near", "component")).alias("low"))
+        jump = now.select(F.col("id").alias("low"), F.col("component").alias("up"))
         step = staged(
             lowered.join(jump, "low", "left").select("id", F.least("low", F.coalesce("up", "low")).alias("component"), "was"), "labels"
         )
+        release(labels)
         if step.where("component <> was").isEmpty():
+            release(both)
             return step.select("id", "component")
-        labels = step.select("id", "component")
+        labels = step
     raise RuntimeError(f"components still change after {max_rounds} rounds")

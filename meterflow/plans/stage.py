@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,18 +10,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``). Where the setting is missing, as in
-    local tests, a new temporary folder is made and set for the rest of the session."""
+    """The cluster's shared folder (``spark.checkpoint.dir``). Where the setting is missing in local
+    mode, as in tests, a new temporary folder is made and set for the rest of the session; elsewhere
+    executors could not see it, and the call raises."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="meterflow-")
         spark.sparkContext.setCheckpointDir(where)
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+def _on_disk(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is written to it goes when the application ends."""
+    path = f"{shared_dir(spark)}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
+    fs, where = _on_disk(spark, path)
+    fs.deleteOnExit(where)
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -29,4 +43,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that `staged` returned and nothing will read any more."""
+    for t in tables:
+        fs, where = _on_disk(t.sparkSession, t._staged_path)
+        fs.delete(where, True)
