@@ -14,7 +14,7 @@ similarity.
 
 Classes:
 
-1. Texts with equal shingle weights become one node, under their smallest id.
+1. Texts with equal shingle weights become one node, whatever their ids.
 2. A node is put into one bucket per band of its signature. Every node of a bucket is compared
    with the bucket's pivot, the node that shares the most bucket entries with others: buckets give
    as many pairs as nodes, however large, and in a group of near copies the pivot is close to what
@@ -22,9 +22,13 @@ Classes:
 3. Similar pairs are links; their connected components are found.
 4. Pairs of one bucket in different components are still to be compared. In buckets of up to
    `small` nodes they become rows; by the triangle inequality of the distance 1 - similarity, only
-   those whose distances to the pivot differ by at most 0.2. In larger buckets the nodes outside
-   the bucket's largest component meet all of its nodes in blocks, and a block returns, of the
-   links it finds, one for each node and component. The components are joined by these links.
+   those whose distances to the pivot differ by at most 0.2.
+5. Larger buckets are first thinned by a prefix filter: in the order of how many nodes have a unit of
+   weight, rarest first, the first n - ceil(0.8 n) + 1 of a node's n units must hold one of a similar
+   node's. Nodes without such a unit in common with another component leave, so that texts which
+   share a passage and nothing else are not compared in pairs. Of those left, the nodes outside the
+   bucket's largest component meet all of its nodes in blocks, and a block returns, of the links it
+   finds, one for each node and component. The components are joined by these links.
 
 So every two texts that share a bucket are compared, are in one component already, or cannot be
 similar: nothing is capped, and groups of near copies never turn into rows for all their pairs. At
@@ -32,7 +36,10 @@ similar: nothing is capped, and groups of near copies never turn into rows for a
 less.
 
 Texts without words (null and empty ones too) are in a class with equal texts only; null is as
-empty. Rows with a null id are left out of the result. Repeated rows of an id give one row.
+empty. Rows with a null id are left out of the result. Repeated rows of an id give one row; rows of
+one id with different texts are nodes of their own, and give a row for each class that they are in.
+Texts are read whole, however long. An empty table gives no rows. Ties for the pivot are told apart
+by a hash. Columns other than id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -42,12 +49,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.llm.text import ALNUM, Words, blocks, buffers, find_words, grams, mix, sums, unit
 from meterflow.plans.components import connected_components
-from meterflow.plans.stage import staged
+from meterflow.plans.stage import release, staged
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -168,8 +175,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFr
                 n = hi - lo
                 row, element, weight = weighted(*shingles(find_words(offs[lo : hi + 1], data, ALNUM), s.shingle))
                 first = np.searchsorted(row, np.arange(n + 1))
-                unit_hash = mix(element + weight.astype(_U) * _GOLD)
-                keys = [sums(unit_hash, first), sums(mix(unit_hash + _GOLD), first)]
+                keys = set_keys(element, weight, first)
                 bare = np.flatnonzero(first[1:] == first[:-1])
                 for i in bare:  # no words: the text itself is the key
                     raw = np.frombuffer(data[offs[lo + i] : offs[lo + i + 1]].tobytes() + b"\x01", np.uint8).astype(_U)
@@ -188,45 +194,74 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFr
     return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, key_1 long, key_2 long, bands array<long>")
 
 
-def unit_elements(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
-    """(id, units array<long>): a hash for each unit of weight, so that sharing units is sharing weight."""
+def set_keys(element: np.ndarray, weight: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of every weighted set."""
+    unit_hash = mix(element + weight.astype(_U) * _GOLD)
+    return [sums(unit_hash, first), sums(mix(unit_hash + _GOLD), first)]
+
+
+def unit_elements(texts: DataFrame, s: Settings) -> DataFrame:
+    """(node, units array<long>) of the rows (node, key_1, key_2, text) whose text has these keys: a
+    hash for each unit of weight, so that sharing units is sharing weight."""
 
     def run(batches):
         for batch in batches:
             offs, data = buffers(batch.column("text"))
             for lo, hi in blocks(offs, 1 << 20):
                 row, element, weight = weighted(*shingles(find_words(offs[lo : hi + 1], data, ALNUM), s.shingle))
+                first = np.searchsorted(row, np.arange(hi - lo + 1))
                 n = weight.astype(np.int64)
                 nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 units = mix(np.repeat(element, n) + nth.astype(_U) * _GOLD).view(np.int64)
                 ends = np.append(0, np.cumsum(np.bincount(row, n, hi - lo).astype(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(units))], ["id", "units"]
+                own = np.ones(hi - lo, bool)
+                for name, key in zip(("key_1", "key_2"), set_keys(element, weight, first)):
+                    own &= batch.column(name).slice(lo, hi - lo).to_numpy() == key.view(np.int64)
+                out = pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(units))], ["node", "units"]
                 )
+                yield out.filter(pa.array(own))
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, units array<long>")
+    found = texts.select("node", "key_1", "key_2", "text").mapInArrow(run, "node long, units array<long>")
+    return found.groupBy("node").agg(F.first("units").alias("units"))
 
 
 def similarities(pairs: DataFrame, units: DataFrame) -> DataFrame:
     """`pairs` (a, b) with their exact weighted Jaccard similarity."""
-    left = pairs.join(units.select(F.col("id").alias("b"), F.col("units").alias("ub")), "b")
-    both = left.join(units.select(F.col("id").alias("a"), F.col("units").alias("ua")), "a")
+    left = pairs.join(units.select(F.col("node").alias("b"), F.col("units").alias("ub")), "b")
+    both = left.join(units.select(F.col("node").alias("a"), F.col("units").alias("ua")), "a")
     shared = F.size(F.array_intersect("ua", "ub"))
     return both.select("a", "b", (shared / (F.size("ua") + F.size("ub") - shared)).alias("similarity"))
 
 
 def _merge(component: DataFrame, compared: DataFrame, s: Settings) -> DataFrame:
-    """`component` (id, component) after joining the components that similar pairs link."""
-    of = lambda end, name: component.select(F.col("id").alias(end), F.col("component").alias(name))
+    """`component` (node, component) after joining the components that similar pairs link."""
+    of = lambda end, name: component.select(F.col("node").alias(end), F.col("component").alias(name))
     links = compared.where(F.col("similarity") >= s.similarity).join(of("a", "src"), "a").join(of("b", "dst"), "b").where("src <> dst").select("src", "dst")
     joined = connected_components(links).select(F.col("id").alias("component"), F.col("component").alias("into"))
-    return staged(component.join(joined, "component", "left").select("id", F.coalesce("into", "component").alias("component")), "components")
+    return staged(component.join(joined, "component", "left").select("node", F.coalesce("into", "component").alias("component")), "components")
+
+
+def rare_partners(dense: DataFrame, units: DataFrame, s: Settings) -> DataFrame:
+    """(node): the nodes of `dense` (node, component) that share a unit of their prefixes with a node
+    of another component. All others are similar to none of another component."""
+    n = F.size("units")
+    each = dense.join(units, "node").select("node", "component", F.ceil(n * s.similarity - 1e-9).cast("int").alias("least"), F.explode("units").alias("unit"))
+    shared = staged(each.groupBy("unit").agg(F.count("*").alias("c")).where("c > 1"), "shared")
+    mine = each.join(shared, "unit")
+    # units that no other node has come first: `c > 1` ones begin at place n - m, so m - least + 1 of them are in the prefix
+    own = Window.partitionBy("node")
+    mine = mine.withColumn("m", F.count("*").over(own)).where("m >= least").withColumn("place", F.row_number().over(own.orderBy("c", "unit")))
+    prefix = staged(mine.where("place <= m - least + 1").select("node", "component", "unit"), "prefix")
+    mixed = prefix.groupBy("unit").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("unit")
+    found = staged(prefix.join(staged(mixed, "mixed units"), "unit", "left_semi").select("node").distinct(), "partners")
+    release(shared, prefix)
+    return found
 
 
 def _block_links(similarity: float):
     """For applyInPandas: links between the rows of side "l" and those of side "r", one per left
-    node and right component; units as 32-bit hashes, so a link may be a little too many."""
+    node and right component."""
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows["side"] == "l"], rows[rows["side"] == "r"]
@@ -257,17 +292,15 @@ def block_pairs(large: DataFrame, units: DataFrame, s: Settings) -> DataFrame:
     per = large.groupBy("band", "hash", "component").agg(F.count("*").alias("n"))
     shape = per.groupBy("band", "hash").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
     blocks_of = lambda n: F.ceil(n / s.block).cast("int")
-    shape = shape.select("band", "hash", "main.component", blocks_of(F.col("n")).alias("nr"), blocks_of(F.col("n") - F.col("main.n")).alias("nl")).withColumnRenamed("component", "main")
+    shape = shape.where("n > main.n").select("band", "hash", F.col("main.component").alias("main"), blocks_of(F.col("n")).alias("nr"), blocks_of(F.col("n") - F.col("main.n")).alias("nl"))
     shape = staged(shape, "shape")
-    short = units.select(F.col("id").alias("node"), F.transform("units", lambda x: F.shiftright(x, 32).cast("int")).alias("units"))
-    rows = large.select("band", "hash", "node", "component").join(shape, ["band", "hash"]).join(short, "node")
+    rows = large.select("band", "hash", "node", "component").join(shape, ["band", "hash"]).join(units, "node")
     mine = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     left = rows.where("component <> main").withColumn("bl", mine(F.col("nl"))).withColumn("br", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
     right = rows.withColumn("br", mine(F.col("nr"))).withColumn("bl", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)))
     cols = ["band", "hash", "bl", "br", "node", "component", "units"]
     both = left.select(F.lit("l").alias("side"), *cols).unionByName(right.select(F.lit("r").alias("side"), *cols))
-    kind = large.schema["node"].dataType.simpleString()
-    return both.groupBy("band", "hash", "bl", "br").applyInPandas(_block_links(s.similarity), f"a {kind}, b {kind}").distinct()
+    return both.groupBy("band", "hash", "bl", "br").applyInPandas(_block_links(s.similarity), "a long, b long").distinct()
 
 
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -277,22 +310,25 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sketch = staged(sketches(docs, id_col, text_col, s), "sketches")
     # counts per key or bucket are written before they are joined to the rows they were counted from:
     # the join then has an exchange of its own on both sides, and Spark can split a hot key
-    nodes = staged(sketch.groupBy("key_1", "key_2").agg(F.min("id").alias("node"), F.first("bands").alias("bands")), "nodes")
+    texts = sketch.groupBy("key_1", "key_2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
+    nodes = staged(texts.withColumn("node", F.monotonically_increasing_id()), "nodes")
     spread = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     # buckets of two or more nodes, with the pivot of each
     sizes = staged(spread.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     entries = staged(spread.join(sizes, ["band", "hash"]), "entries")
     weight = staged(entries.groupBy("node").agg(F.sum("n").alias("weight")), "weight")
-    wanted = weight.select(F.col("node").alias("id"))
+    wanted = weight.select("node")
     heavy = F.max_by("node", F.struct(F.col("weight"), F.xxhash64("node")))
     pivots = staged(entries.join(weight, "node").groupBy("band", "hash").agg(heavy.alias("pivot")), "pivots")
     members = staged(entries.join(pivots, ["band", "hash"]), "members")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"])
-    units = staged(unit_elements(texts, "id", "text", s), "units")
+    release(sizes, entries, pivots)
+    of_ids = staged(nodes.drop("bands").join(wanted, "node", "left_semi"), "wanted")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(of_ids, "id")
+    units = staged(unit_elements(rows, s), "units")
     first_pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     compared = staged(similarities(first_pairs, units), "compared")
-    component = _merge(wanted.withColumn("component", F.col("id")), compared, s)
-    placed = members.join(component.withColumnRenamed("id", "node"), "node")
+    component = _merge(wanted.withColumn("component", F.col("node")), compared, s)
+    placed = members.join(component, "node")
     mixed = placed.groupBy("band", "hash").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band", "hash")
     mixed = staged(mixed, "mixed")
     placed = staged(placed.join(mixed, ["band", "hash"], "left_semi"), "placed")
@@ -302,9 +338,16 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     y = rest.select("band", "hash", F.col("node").alias("b"), F.col("d").alias("db"), F.col("component").alias("cb"))
     near = F.abs(F.col("da") - F.col("db")) <= 1 - s.similarity + 1e-9
     pairs = x.join(y, ["band", "hash"]).where("a < b and ca <> cb").where(near).select("a", "b")
-    pairs = pairs.unionByName(block_pairs(placed.where(F.col("n") > s.small), units, s)).distinct()
-    component = _merge(component, staged(similarities(pairs, units), "compared"), s)
-    by_key = nodes.select("key_1", "key_2", "node").join(component.withColumnRenamed("id", "node"), "node", "left")
-    by_key = staged(by_key.select("key_1", "key_2", F.coalesce("component", "node").alias("class_id")), "classes")
+    large = placed.where(F.col("n") > s.small)
+    partners = rare_partners(large.select("node", "component").distinct(), units, s)
+    pairs = pairs.unionByName(block_pairs(large.join(partners, "node", "left_semi"), units, s)).distinct()
+    more = staged(similarities(pairs, units), "compared")
+    merged = _merge(component, more, s)
+    release(members, weight, units, compared, mixed, placed, partners, more, component)
+    lead = of_ids.select("node", "id").join(merged, "node").groupBy("component").agg(F.min("id").alias("class_id"))
+    of_nodes = staged(merged.join(staged(lead, "leads"), "component").select("node", "class_id"), "of nodes")
+    by_key = nodes.select("key_1", "key_2", "id", "node").join(of_nodes, "node", "left")
+    by_key = staged(by_key.select("key_1", "key_2", F.coalesce("class_id", "id").alias("class_id")), "classes")
+    release(nodes, of_ids, merged, of_nodes)
     classed = sketch.select("id", "key_1", "key_2").join(by_key, ["key_1", "key_2"])
     return classed.select(F.col("id").alias(id_col), "class_id").distinct().withColumn("representative", F.col(id_col) == F.col("class_id"))

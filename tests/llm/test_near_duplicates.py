@@ -69,6 +69,52 @@ def test_classes_equal_brute_force(spark):
     assert all(r.representative == (r.doc_id == r.class_id) for r in again)
 
 
+def test_texts_that_share_a_passage(spark):
+    """Several hundred texts that share a passage and fill large buckets, with planted pairs among them."""
+    rng = random.Random(21)
+    vocab = [f"w{i}" for i in range(5000)]
+    passage = [rng.choice(vocab) for _ in range(60)]
+    docs = []
+    for i in range(300):
+        docs.append((i, " ".join(passage + [rng.choice(vocab) for _ in range(40)])))
+    for i in range(0, 300, 10):
+        words = docs[i][1].split()
+        words[90 + i % 7] = "changed"
+        docs.append((1000 + i, " ".join(words)))
+    df = spark.createDataFrame([(i, t, "a", "b") for i, t in docs], DOCS)
+    want = classes(docs)
+    for settings in (dm.Settings(), dm.Settings(small=1, block=16)):
+        assert {r.doc_id: r.class_id for r in dm.duplicate_classes(df, settings=settings).collect()} == want
+
+
+def test_prefix_filter_keeps_every_similar_pair(spark):
+    rng = random.Random(22)
+    rows = []
+    for i in range(120):
+        base = [rng.randrange(400) for _ in range(40)] if i % 2 == 0 else [u if rng.random() < 0.9 else rng.randrange(400) for u in rows[-1][1]]
+        rows.append((i, sorted(set(base))))
+    units = spark.createDataFrame(rows, "node long, units array<long>")
+    component = spark.createDataFrame([(i, i - i % 6) for i, _ in rows], "node long, component long")
+    kept = {r.node for r in dm.rare_partners(component, units, dm.Settings()).collect()}
+    sets = {i: set(u) for i, u in rows}
+    for a in sets:
+        for b in sets:
+            if a - a % 6 != b - b % 6 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                assert a in kept and b in kept
+    lone = spark.createDataFrame([(i, list(range(100 * i, 100 * i + 60)) + list(range(-25, 0))) for i in range(20)], "node long, units array<long>")
+    assert dm.rare_partners(lone.selectExpr("node", "node as component"), lone, dm.Settings()).count() == 0
+
+
+def test_different_texts_under_one_id(spark):
+    a, b = "one two three four five six seven", "some other words that are not alike at all"
+    rows = [(1, a), (1, b), (2, b), (3, a), (3, a), (3, b), (4, "alone in the world is this one")]
+    df = spark.createDataFrame([(i, t, None, None) for i, t in rows], DOCS)
+    got = sorted(tuple(r) for r in dm.duplicate_classes(df).collect())
+    assert got == [(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
+    keyed = df.selectExpr("struct(doc_id, monotonically_increasing_id() as k) as row", "text")
+    assert sum(r.representative for r in dm.duplicate_classes(keyed, "row").collect()) == 3
+
+
 def test_empty_table_and_null_ids(spark):
     assert dm.duplicate_classes(spark.createDataFrame([], DOCS)).count() == 0
     one = spark.createDataFrame([(None, "a b c d e f", None, None), (1, "a b c d e f", None, None)], DOCS)
