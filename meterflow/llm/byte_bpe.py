@@ -8,7 +8,8 @@ Rows without a mergeable pair leave the matrix. Pre-tokens longer than `LONG` by
 matrix would need as many rounds as bytes, go through a heap that makes the same merges.
 
 Null texts are empty texts and have no ids. Repeated rows give repeated results; other columns of
-the table do not matter. A lone invalid character is encoded as UTF-8 replaces it.
+the table do not matter. A lone invalid character is encoded as UTF-8 replaces it. An empty table
+gives no rows. What a task remembers is bounded in bytes and dropped at its end.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from meterflow.llm.text import blocks, buffers
 
 #: Pre-tokens of more bytes than this are merged with a heap.
 LONG = 256
-#: Pre-tokens remembered per Python worker; the memory starts anew when it is full.
-REMEMBER = 150_000
+#: Bytes that a task remembers pre-tokens in, about; the memory starts anew when it is full.
+REMEMBER = 24 << 20
+#: What an entry of the memory takes besides four times its bytes.
+_ENTRY = 200
 _NONE = np.int32(2**31 - 1)
 
 
@@ -45,7 +48,7 @@ class PairTable:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     pairs[(a << 32) | b] = rank
-        self.pairs = pairs
+        self._pairs: dict[int, int] = {}
         keys = np.fromiter(pairs.keys(), np.uint64, len(pairs))
         vals = np.fromiter(pairs.values(), np.int32, len(pairs))
         self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
@@ -64,6 +67,17 @@ class PairTable:
             todo = todo[self.keys[slot[todo]] != keys[todo]]
             slot[todo] = (slot[todo] + 1) & (size - 1)
 
+    @property
+    def pairs(self) -> dict[int, int]:
+        """The same table as a dictionary, made when a long piece first needs it."""
+        if not self._pairs:
+            used = self.keys != np.uint64(2**64 - 1)
+            self._pairs = dict(zip(self.keys[used].tolist(), self.vals[used].tolist()))
+        return self._pairs
+
+    def forget(self) -> None:
+        self._pairs = {}
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -96,11 +110,20 @@ class Codec:
         for token, rank in ranks.items():
             self.bytes[rank] = token
         self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        #: one number per id, shared by all that is remembered
+        self.ids = list(range(len(self.bytes)))
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what has been remembered."""
         self.known: dict[str, tuple[int, ...]] = {}
+        self.held = 0
+        self.table.forget()
 
     def merge_matrix(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of pieces of similar length, all rows of one padded matrix."""
         out: list[tuple[int, ...]] = [()] * len(pieces)
+        same = self.ids
         size = np.array([len(x) for x in pieces])
         width = int(size.max())
         ids = np.full((len(pieces), width), -1, np.int32)
@@ -116,7 +139,7 @@ class Codec:
             done = least == _NONE
             if done.any():
                 for r, x in zip(rows[done].tolist(), ids[done].tolist()):
-                    out[r] = tuple(i for i in x if i >= 0)
+                    out[r] = tuple(same[i] for i in x if i >= 0)
                 keep = ~done
                 rows, ids, ranks, best, least = rows[keep], ids[keep], ranks[keep], best[keep], least[keep]
                 if not len(rows):
@@ -179,9 +202,11 @@ class Codec:
     def encode_block(self, texts: list[str]) -> Iterator[list[int]]:
         split = [self.pattern.findall(t) for t in texts]
         new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > REMEMBER:
-            self.known = {}
+        size = lambda pieces: _ENTRY * len(pieces) + 4 * sum(map(len, pieces))
+        if self.held + size(new) > REMEMBER:
+            self.forget()
             new = set().union(*split)
+        self.held += size(new)
         self.learn(new)
         get = self.known.__getitem__
         for pieces in split:
@@ -202,11 +227,14 @@ def codec(path: str, pattern: str) -> Codec:
 def _texts(batches, path: str, pattern: str):
     """(row range of a batch, texts, codec) by blocks of bounded size."""
     coder = codec(path, pattern)
-    for batch in batches:
-        offs, _ = buffers(batch.column("text"))
-        for lo, hi in blocks(offs, 1 << 20):
-            part = batch.slice(lo, hi - lo)
-            yield part, [t or "" for t in part.column("text").to_pylist()], coder
+    try:
+        for batch in batches:
+            offs, _ = buffers(batch.column("text"))
+            for lo, hi in blocks(offs, 1 << 20):
+                part = batch.slice(lo, hi - lo)
+                yield part, [t or "" for t in part.column("text").to_pylist()], coder
+    finally:
+        coder.forget()  # the worker goes on to other tasks
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -16,10 +16,12 @@ best, on the half of the labelled sample that the target model has not read, and
 all documents at or above it. The k-th
 largest sum is found exactly by counting 16 bits at a time; ties with it are kept.
 
-Fitting reads at most `max_labels` labelled rows per label, picked by a hash of their id; counts
+Fitting reads at most `max_labels` labelled ids per label, picked by a hash of their id; counts
 of the raw model, weights, k and the selection cover every document. Without labels of both kinds
 every document is kept. Null and empty texts have no n-grams and weight 0. Repeated rows have
-equal weights and noise.
+equal weights and noise; rows without an id are scored and sampled like others. Texts are read
+whole, however long. An empty table gives no rows. Columns of other names are not read by
+`resample`, and pass through `keep_sampled`, which has the same verdicts.
 """
 
 from __future__ import annotations
@@ -28,11 +30,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from meterflow.llm.text import SOLID, Words, blocks, buffers, find_words, grams, mix
-from meterflow.plans.stage import staged
+from meterflow.plans.stage import release, staged
 
 _U = np.uint64
 
@@ -116,19 +119,29 @@ def log_ratios(docs: DataFrame, picked: DataFrame, settings: Settings, id_col: s
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
+def _scorer(ratios: np.ndarray, settings: Settings):
+    """From a string array and the row range of a block to (log weights, numbers of words)."""
+
+    def of(offs, data, lo, hi):
+        w = find_words(offs[lo : hi + 1], data, SOLID)
+        row, slot = features(w, settings.bits)
+        total = np.bincount(row, ratios[slot], hi - lo) * settings.length / (np.bincount(row, minlength=hi - lo) + settings.length)
+        return total, np.diff(w.first)
+
+    return of
+
+
 def log_weights(docs: DataFrame, ratios: np.ndarray, settings: Settings, id_col: str, text_col: str) -> DataFrame:
-    """(id, log_weight), one row per row of `docs`."""
+    """(id, log_weight, n_words), one row per row of `docs`."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)  # 2 ** bits numbers
 
     def run(batches):
-        table = shared.value
+        score = _scorer(shared.value, settings)
         for batch in batches:
             offs, data = buffers(batch.column("text"))
             for lo, hi in blocks(offs):
-                w = find_words(offs[lo : hi + 1], data, SOLID)
-                row, slot = features(w, settings.bits)
-                total = np.bincount(row, table[slot], hi - lo) * settings.length / (np.bincount(row, minlength=hi - lo) + settings.length)
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), pa.array(total), pa.array(np.diff(w.first))], ["id", "log_weight", "n_words"])
+                total, n = score(offs, data, lo, hi)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), pa.array(total), pa.array(n)], ["id", "log_weight", "n_words"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, log_weight double, n_words long")
@@ -136,7 +149,8 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, settings: Settings, id_col:
 
 def best_cut(scored: DataFrame, picked: DataFrame) -> float | None:
     """The log weight that separates the labels best (largest sum of the two recalls)."""
-    rows = scored.join(F.broadcast(picked.where("label = 0 or half = 0")), "id").select("label", "log_weight").collect()  # at most 2 * max_labels rows
+    rows = scored.join(F.broadcast(picked.where("label = 0 or half = 0")), "id").groupBy("id").agg(F.max("label").alias("label"), F.max("log_weight").alias("log_weight"))
+    rows = rows.collect()  # at most 2 * max_labels ids
     x, y = np.array([r["log_weight"] for r in rows]), np.array([r["label"] for r in rows])
     if not (y == 1).any() or not (y == 0).any():
         return None
@@ -164,20 +178,71 @@ def kth_largest(values: DataFrame, col: str, k: int) -> int:
     return prefix
 
 
-def resample(
-    docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
-) -> DataFrame:
-    """(id_col, n_words, log_weight, kept boolean), one row per row of `docs`."""
+#: Bound of the sums of log weights and noise, in millionths.
+_LIMIT = 4_000_000_000_000_000_000
+
+
+def noisy_key(id_col: str = "id") -> Column:
+    """The sum of log weight and Gumbel noise in millionths, shifted to be positive: an order-preserving
+    whole number. The noise is drawn from the row itself, so that a lost task draws it again."""
+    u = (F.shiftrightunsigned(F.xxhash64(id_col, "log_weight", F.lit("gumbel")), 11) + 0.5) * F.lit(2.0**-53)
+    sums = (F.col("log_weight") - F.log(-F.log(u))) * 1e6
+    return F.least(F.greatest(sums, F.lit(-float(_LIMIT))), F.lit(float(_LIMIT))).cast("long") + F.lit(_LIMIT)
+
+
+@dataclass(frozen=True)
+class Sampler:
+    """Log ratios by bucket, and the smallest `noisy_key` that is kept (None: nothing is)."""
+
+    ratios: np.ndarray
+    least: int | None
+    settings: Settings
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> tuple[Sampler, DataFrame]:
+    """The sampler for `docs`, and the rows (id, log_weight, n_words) it was counted on."""
     picked = staged(labelled(labels, id_col, label_col, settings.max_labels), "labelled")
     ratios = log_ratios(docs, picked, settings, id_col, text_col)
     scored = staged(log_weights(docs, ratios, settings, id_col, text_col), "weights")
     cut = best_cut(scored, picked)
-    # noise from the row itself, so that a lost task draws it again
-    u = (F.shiftrightunsigned(F.xxhash64("id", "log_weight", F.lit("gumbel")), 11) + 0.5) * F.lit(2.0**-53)
-    # sums in millionths, shifted to be positive: an order-preserving whole number
-    limit = 4.0e18
-    key = F.least(F.greatest((F.col("log_weight") - F.log(-F.log(u))) * 1e6, F.lit(-limit)), F.lit(limit)).cast("long") + F.lit(int(limit))
-    noisy = scored.withColumn("key", key)
+    release(picked)
     k = scored.where(F.col("log_weight") >= F.lit(cut)).count() if cut is not None else scored.count()
-    kept = F.col("key") >= F.lit(kth_largest(noisy, "key", k)) if k else F.lit(False)
-    return noisy.select(F.col("id").alias(id_col), "n_words", "log_weight", kept.alias("kept"))
+    return Sampler(ratios, kth_largest(scored.withColumn("key", noisy_key()), "key", k) if k else None, settings), scored
+
+
+def _kept(sampler: Sampler, id_col: str) -> Column:
+    return noisy_key(id_col) >= F.lit(sampler.least) if sampler.least is not None else F.lit(False)
+
+
+def resample(
+    docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
+) -> DataFrame:
+    """(id_col, n_words, log_weight, kept boolean), one row per row of `docs`."""
+    sampler, scored = fit(docs, labels, label_col, id_col, text_col, settings)
+    return scored.select(F.col("id").alias(id_col), "n_words", "log_weight", _kept(sampler, "id").alias("kept"))
+
+
+def keep_sampled(
+    docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
+) -> DataFrame:
+    """The rows of `docs` that `resample` keeps. Weights are made again next to the text, so that no
+    text is shuffled to meet its verdict."""
+    sampler, scored = fit(docs, labels, label_col, id_col, text_col, settings)
+    release(scored)
+    shared = docs.sparkSession.sparkContext.broadcast(sampler.ratios)  # 2 ** bits numbers
+
+    # columns by place, whatever their names
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text, key = (names[docs.columns.index(c)] for c in (text_col, id_col))
+    schema = StructType([StructField(n, f.dataType) for n, f in zip(names, docs.schema)] + [StructField("log_weight", DoubleType())])
+
+    def run(batches):
+        score = _scorer(shared.value, settings)
+        for batch in batches:
+            offs, data = buffers(batch.column(text))
+            for lo, hi in blocks(offs):
+                cols = [c.slice(lo, hi - lo) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(score(offs, data, lo, hi)[0])], [*names, "log_weight"])
+
+    weighed = docs.toDF(*names).mapInArrow(run, schema)
+    return weighed.where(_kept(sampler, key)).select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once; a single longer text is one block of its own.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 _U = np.uint64
 
@@ -117,11 +117,20 @@ def find_words(offs: np.ndarray, data: np.ndarray, table: np.ndarray = ALNUM, cu
     start = np.flatnonzero(solid & ~before)
     if len(start) == 0:
         return Words(seg, start, start.copy(), np.zeros(0, _U), np.zeros(len(offs), np.int64))
-    body = seg[solid]
-    at = np.searchsorted(np.flatnonzero(solid), start) if len(start) < 64 else (np.cumsum(solid, dtype=np.int64)[start] - 1)
-    size = np.diff(np.append(at, len(body)))
-    off = np.arange(len(body), dtype=np.int64) - np.repeat(at, size)
-    h = np.add.reduceat(_BYTE[body] * powers(int(size.max()))[off], at)
+    # words end where no word goes on; the arrays over bytes are as narrow as they can be
+    ends = np.empty_like(solid)
+    ends[-1] = True
+    ends[:-1] = ~solid[1:]
+    ends[inner - 1] = True
+    size = np.flatnonzero(solid & ends) + 1 - start
+    at = np.cumsum(size) - size
+    del before, ends
+    off = np.arange(int(size.sum()), dtype=np.int32)
+    off -= np.repeat(at.astype(np.int32), size)
+    body = powers(int(size.max()))[off]
+    del off
+    body *= _BYTE[seg[solid]]
+    h = np.add.reduceat(body, at)
     h = mix(h + size.astype(_U))
     return Words(seg, start, start + size, h, np.searchsorted(start, rel).astype(np.int64))
 

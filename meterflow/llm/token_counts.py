@@ -10,7 +10,9 @@ and a text's tokens are the sum over its pre-tokens.
 
 Piece scores come from the vocabulary file: -log of the rank counted from 1, the usual stand-in
 for a log probability where a file holds only an order. Null and empty texts have no tokens;
-repeated rows give repeated results. A character that UTF-8 cannot hold is replaced first.
+repeated rows give repeated results. A character that UTF-8 cannot hold is replaced first. Texts are
+read whole, however long; an empty table gives no rows; other columns are not read, whatever their
+names. What a task remembers is bounded in bytes and dropped at its end.
 """
 
 from __future__ import annotations
@@ -28,8 +30,10 @@ from pyspark.sql import functions as F
 
 from meterflow.llm.text import blocks, buffers
 
-#: Pre-tokens whose counts a Python worker remembers; the memory starts anew when it is full.
-REMEMBER = 250_000
+#: Bytes that a task remembers pre-tokens in, about; the memory starts anew when it is full.
+REMEMBER = 24 << 20
+#: What an entry of the memory takes besides its bytes.
+_ENTRY = 150
 
 
 class UnigramCounter:
@@ -50,7 +54,11 @@ class UnigramCounter:
                 at = self.next[at][b]
             self.ends[at] = s
         self.known: dict[str, int] = {}
-        self.nodes = 0
+        self.nodes = self.held = 0
+
+    def forget(self) -> None:
+        """Drop what has been remembered."""
+        self.known, self.held = {}, 0
 
     def learn(self, pre_tokens: Iterable[str]) -> None:
         """Store the counts of distinct pre-tokens, each trie node computed once."""
@@ -86,9 +94,13 @@ class UnigramCounter:
     def count_block(self, texts: list[str]) -> list[int]:
         split = [self.pattern.findall(t) for t in texts]
         distinct = set(chain.from_iterable(split))
-        if len(self.known) + len(distinct) > REMEMBER:
-            self.known = {}
-        self.learn(distinct.difference(self.known))
+        new = distinct.difference(self.known)
+        size = lambda pieces: _ENTRY * len(pieces) + sum(map(len, pieces))
+        if self.held + size(new) > REMEMBER:
+            self.forget()
+            new = distinct
+        self.held += size(new)
+        self.learn(new)
         get = self.known.__getitem__
         return [sum(map(get, pieces)) for pieces in split]
 
@@ -106,13 +118,16 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
 
     def run(batches):
         model = counter(path, pattern)
-        for batch in batches:
-            offs, _ = buffers(batch.column("text"))
-            for lo, hi in blocks(offs, 1 << 20):
-                part = batch.slice(lo, hi - lo)
-                n = model.count_block([t or "" for t in part.column("text").to_pylist()])
-                size = pa.array(offs[lo + 1 : hi + 1] - offs[lo:hi])
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), size], ["id", "n_tokens", "n_bytes"])
+        try:
+            for batch in batches:
+                offs, _ = buffers(batch.column("text"))
+                for lo, hi in blocks(offs, 1 << 20):
+                    part = batch.slice(lo, hi - lo)
+                    n = model.count_block([t or "" for t in part.column("text").to_pylist()])
+                    size = pa.array(offs[lo + 1 : hi + 1] - offs[lo:hi])
+                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), size], ["id", "n_tokens", "n_bytes"])
+        finally:
+            model.forget()  # the worker goes on to other tasks
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {kind}, n_tokens long, n_bytes long").withColumnRenamed("id", id_col)

@@ -35,3 +35,38 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
     assert all(clean[i].text == t for i, t in docs if i not in (7, 8))
     out = {r.doc_id: r for r in corpus_pipeline.run(spark, d).collect()}
     assert set(out) == kept - {7} and all(r.n_tokens > 0 for r in out.values())
+
+
+def stage_of(name):
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def test_odd_rows_in_every_stage(spark, tmp_path):
+    """Null ids and texts, empty and repeated rows, ties, further columns with names used inside; empty tables."""
+    d = f"file://{tmp_path}"
+    passage = " ".join(f"bench{i}" for i in range(12))
+    plain = "quiet water ran over the stones while somebody counted boats and drank cold tea"
+    rows = [
+        (1, plain), (1, plain), (None, plain), (2, None), (None, None), (3, ""), (3, passage + " x"), (4, "alpha beta gamma delta epsilon zeta"),
+        (4, "other words under the same number stand here"), (None, passage), (5, "key = " + "x1Y2z3W4v5U6t7S8r9Q0p1O2"), (6, "long " * 60_000),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id string, row string, c0 int"
+    spark.createDataFrame([(i, t, "en", "s", len(t or ""), "i", "r", 7) for i, t in rows], schema).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, passage), (None, "x"), (2, None)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    read = spark.read.parquet(f"{d}/documents.parquet")
+    loose = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "i", "r", 7) for i, t in rows], schema)
+    texts = lambda df: sorted((str(r.doc_id), r.text) if r.text is not None else (str(r.doc_id), "-") for r in df.collect())
+    for docs in (read, loose):
+        assert texts(stage_of("quality_classifier")(spark, docs, d)) == texts(docs)
+        once = stage_of("minhash_near_dedup")(spark, docs, d)
+        # one of (1, 1, null) with one text, one of three without words, one of two with the passage; the rest
+        assert [i for i, t in texts(once) if t == plain] == ["1"] and once.count() == len(rows) - 5 and once.columns == docs.columns
+        assert "2" in [i for i, _ in texts(once)] and "3" in [i for i, _ in texts(once)]
+        clean = stage_of("benchmark_decontamination")(spark, docs, d)
+        assert clean.count() == len(rows) - 2 and not any("bench" in t for _, t in texts(clean)) and [i for i, _ in texts(clean)].count("3") == 1
+        safe = stage_of("secret_scan")(spark, docs, d)
+        assert safe.count() == len(rows) and sum("SECRET" in t for _, t in texts(safe)) == 1 and safe.where("c0 = 7 and id = 'i' and row = 'r'").count() == len(rows)
+        assert stage_of("byte_bpe")(spark, docs, d).count() == len(rows)
+        for name, stage in corpus_pipeline.STAGES:
+            assert stage(spark, docs.limit(0), d).count() == 0, name
