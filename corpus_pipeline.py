@@ -1,65 +1,5 @@
-"""Cleaning a corpus in stages: every stage works on all that its predecessor kept."""
+"""The corpus pipeline: its stages, and a run over all documents. The body is in `meterflow.llm.pipeline`."""
 
-from __future__ import annotations
+from meterflow.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from meterflow.llm import byte_bpe, dart_minhash, decontaminate, importance, secret_scan
-from meterflow.llm.queries import table, vocabulary
-from meterflow.llm.ship import ship_package
-from meterflow.plans.stage import staged
-
-
-def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling rejects go. An id goes if all its rows are rejected;
-    rows without an id stay."""
-    verdicts = importance.resample(docs, table(spark, sf_dir, "labels"))
-    rejected = verdicts.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
-
-
-def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every class of near copies the document with the smallest id stays; so do rows without an id."""
-    ship_package(spark)
-    copies = dart_minhash.duplicate_classes(docs).where("not representative").select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
-
-
-def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with an occurrence of a benchmark window go; all others stay as they are."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("n_hit > 0").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-
-
-def _secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; secrets in its text are replaced and n_chars follows the new text."""
-    ship_package(spark)
-    clean = secret_scan.redact(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
-
-
-def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document the number of its tokens and digests of the ids and of the bytes they decode to."""
-    ship_package(spark)
-    return byte_bpe.round_trip(docs, *vocabulary())
-
-
-STAGES = [
-    ("quality_classifier", _quality),
-    ("minhash_near_dedup", _near_duplicates),
-    ("benchmark_decontamination", _decontaminate),
-    ("secret_scan", _secrets),
-    ("byte_bpe", _tokens),
-]
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
-    return docs
-
-
-#: Model scores and token ids have no SQL; tests hold the stages against brute force.
-ORACLE_SQL = None
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
