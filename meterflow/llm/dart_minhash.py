@@ -23,12 +23,13 @@ Classes:
 4. Pairs of one bucket in different components are still to be compared. In buckets of up to
    `small` nodes they become rows; by the triangle inequality of the distance 1 - similarity, only
    those whose distances to the pivot differ by at most 0.2.
-5. Larger buckets are first thinned by a prefix filter: in the order of how many nodes have a unit of
-   weight, rarest first, the first n - ceil(0.8 n) + 1 of a node's n units must hold one of a similar
-   node's. Nodes without such a unit in common with another component leave, so that texts which
-   share a passage and nothing else are not compared in pairs. Of those left, the nodes outside the
-   bucket's largest component meet all of its nodes in blocks, and a block returns, of the links it
-   finds, one for each node and component. The components are joined by these links.
+   In larger buckets the nodes outside the bucket's largest component meet all of its nodes in
+   blocks, and a block returns, of the links it finds, one for each node and component.
+5. Buckets with more than `block` nodes outside their largest component are thinned before that by a
+   prefix filter: in the order of how many nodes have a unit of weight, rarest first, the first
+   n - ceil(0.8 n) + 1 of a node's n units must hold one of a similar node's. Nodes without such a
+   unit in common with another component leave, so that texts which share a passage and nothing else
+   are not compared in pairs. The components are joined by the links of both steps.
 
 So every two texts that share a bucket are compared, are in one component already, or cannot be
 similar: nothing is capped, and groups of near copies never turn into rows for all their pairs. At
@@ -287,13 +288,18 @@ def _block_links(similarity: float):
     return links
 
 
-def block_pairs(large: DataFrame, units: DataFrame, s: Settings) -> DataFrame:
-    """(a, b): links across components in buckets of entries (band, hash, node, component), found in blocks."""
+def shapes(large: DataFrame, s: Settings) -> DataFrame:
+    """(band, hash, main, nl, nr) of the buckets of several components: the largest component, the
+    numbers of blocks for the nodes outside of it and for all nodes."""
     per = large.groupBy("band", "hash", "component").agg(F.count("*").alias("n"))
-    shape = per.groupBy("band", "hash").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
+    shape = per.groupBy("band", "hash").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main")).where("n > main.n")
     blocks_of = lambda n: F.ceil(n / s.block).cast("int")
-    shape = shape.where("n > main.n").select("band", "hash", F.col("main.component").alias("main"), blocks_of(F.col("n")).alias("nr"), blocks_of(F.col("n") - F.col("main.n")).alias("nl"))
-    shape = staged(shape, "shape")
+    main = F.col("main.component").alias("main")
+    return staged(shape.select("band", "hash", main, blocks_of(F.col("n") - F.col("main.n")).alias("nl"), blocks_of(F.col("n")).alias("nr")), "shape")
+
+
+def block_pairs(large: DataFrame, shape: DataFrame, units: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): links across components in the buckets in `shape` of entries (band, hash, node, component), found in blocks."""
     rows = large.select("band", "hash", "node", "component").join(shape, ["band", "hash"]).join(units, "node")
     mine = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     left = rows.where("component <> main").withColumn("bl", mine(F.col("nl"))).withColumn("br", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
@@ -339,11 +345,16 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     near = F.abs(F.col("da") - F.col("db")) <= 1 - s.similarity + 1e-9
     pairs = x.join(y, ["band", "hash"]).where("a < b and ca <> cb").where(near).select("a", "b")
     large = placed.where(F.col("n") > s.small)
-    partners = rare_partners(large.select("node", "component").distinct(), units, s)
-    pairs = pairs.unionByName(block_pairs(large.join(partners, "node", "left_semi"), units, s)).distinct()
-    more = staged(similarities(pairs, units), "compared")
+    shape = shapes(large, s)
+    pairs = pairs.unionByName(block_pairs(large, shape.where("nl = 1"), units, s))
+    wide = shape.where("nl > 1").select("band", "hash")
+    if not wide.isEmpty():
+        crowded = large.join(wide, ["band", "hash"], "left_semi")
+        thinned = crowded.join(rare_partners(crowded.select("node", "component").distinct(), units, s), "node", "left_semi")
+        pairs = pairs.unionByName(block_pairs(thinned, shapes(thinned, s), units, s))
+    more = staged(similarities(pairs.distinct(), units), "compared")
     merged = _merge(component, more, s)
-    release(members, weight, units, compared, mixed, placed, partners, more, component)
+    release(members, weight, units, compared, mixed, placed, shape, more, component)
     lead = of_ids.select("node", "id").join(merged, "node").groupBy("component").agg(F.min("id").alias("class_id"))
     of_nodes = staged(merged.join(staged(lead, "leads"), "component").select("node", "class_id"), "of nodes")
     by_key = nodes.select("key_1", "key_2", "id", "node").join(of_nodes, "node", "left")

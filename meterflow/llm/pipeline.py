@@ -16,16 +16,18 @@ from meterflow.llm.queries import table, vocabulary
 from meterflow.llm.ship import ship_package
 from meterflow.plans.stage import staged
 
-#: Name of the column of row keys; most rows of a table of them that is broadcast (some 200 bytes each).
+#: Name of the column of row keys; most rows of a table of them that is broadcast (some 80 bytes each).
 ROW, BROADCAST_ROWS = "meterflow row", 100_000
 
 
 def with_rows(docs: DataFrame) -> DataFrame:
     """`docs` with a key for every row, ordered by doc_id (nulls last): its place in the Parquet file
-    it is read from, or, where it is not read from one, its place in a written copy."""
+    it is read from, of which 96 bits of hash stand for the path, or, where it is not read from one,
+    its place in a written copy."""
     key = lambda *place: F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), *place)
     try:
-        return docs.withColumn(ROW, key(F.col("_metadata.row_index").alias("at"), F.col("_metadata.file_path").alias("file")))
+        file = F.col("_metadata.file_path")
+        return docs.withColumn(ROW, key(F.col("_metadata.row_index").alias("at"), F.xxhash64(file).alias("file"), F.hash(file).alias("file_2")))
     except AnalysisException:
         return staged(docs.withColumn(ROW, key(F.monotonically_increasing_id().alias("at"))), "rows")
 
