@@ -1,23 +1,25 @@
 """Licence scan: a trained paragraph classifier whose findings are confirmed against templates.
 
-A paragraph is a line with words. Where enough of a template's word pairs stand within about the
+A paragraph ends at a blank line. Where enough of a template's word pairs stand within about the
 template's length, the stretch from the first to the last of them is a window; a paragraph shorter
 than the template needs as large a share of its own pairs in the template. So prose around a notice
 takes nothing from it. A softmax regression with an L1 penalty scores every window. Its features are
 hashed words and word pairs, weighed by the inverse root of their number. It is trained on stretches
 made from the templates below (parts of them, words left out, prose before and behind) and, as the
-class "unknown", on paragraphs and stretches of paragraphs of at most `max_docs` corpus documents,
-picked by a hash of their id. Its scale is calibrated on held-out stretches (one temperature). A
-window counts if "unknown" has less than half of the probability; of windows that overlap the one
-that agrees best counts, and a paragraph is reported once for every family found in it.
+class "unknown", on lines and stretches of lines of at most `max_docs` corpus documents, picked by a
+hash of their id. Its scale is calibrated on held-out stretches (one temperature). A window counts if
+"unknown" has less than half of the probability; of windows that overlap the one that agrees best
+counts (then the likelier, then the shorter one), and a paragraph is reported once for every licence
+found in it. A licence without its version is not reported beside the same one with it.
 
 Word pairs cannot tell versions or variants, so the reported name comes from the words of the window
 and those behind it up to the version: the version, Lesser or Affero, the clauses, NC, ND and SA. A
-notice without a template's version or variant is reported as the family without it ("GPL"), and one
-that does not name a family of the templates at all as "unknown".
+notice without a known version or variant is reported as the family without it ("GPL"), and one that
+does not name a family of the templates at all as "unknown".
 
-Null and empty texts have no paragraphs. Rows with a null id are scanned but not sampled.
-Repeated rows give repeated results; every paragraph of a long text is read.
+Null and empty texts have no paragraphs. Rows with a null id are scanned but not sampled. Repeated
+rows give repeated results; every paragraph of a long text is read. An empty table gives no rows.
+Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.text import ALNUM, Words, blocks, buffers, find_words, grams, mix
+from meterflow.llm.text import ALNUM, SOLID, Words, blocks, buffers, find_words, grams, mix
 
 UNKNOWN = "unknown"
 
@@ -40,12 +42,22 @@ TEMPLATES: dict[str, list[str]] = {
         "This program is licensed under the GNU Affero General Public License, version 3.",
         "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
     ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ],
+    "BSD-2-Clause": [
+        "Released under the 2-Clause BSD License.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation",
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ],
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software",
@@ -67,6 +79,21 @@ TEMPLATES: dict[str, list[str]] = {
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-SA-4.0",
     ],
+    "CC0-1.0": [
+        "This work is dedicated to the public domain under CC0 1.0 Universal.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "SPDX-License-Identifier: CC0-1.0",
+    ],
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+        "SPDX-License-Identifier: GPL-2.0-only",
+    ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
@@ -76,6 +103,10 @@ TEMPLATES: dict[str, list[str]] = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
         "Released under the ISC License.",
     ],
+    "LGPL-2.1": [
+        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+    ],
     "LGPL-3.0": [
         "This library is licensed under the GNU Lesser General Public License, version 3.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
@@ -95,28 +126,36 @@ TEMPLATES: dict[str, list[str]] = {
         "This is free and unencumbered software released into the public domain.",
         "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary",
     ],
+    "Zlib": [
+        "Released under the zlib License.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+        "SPDX-License-Identifier: Zlib",
+    ],
 }
 
 
 #: Notices of licences without a template; the class "unknown" is trained on them too.
 NEAR_MISSES = [
-    "Released under the zlib License.",
-    "Licensed under the Eclipse Public License, version 2.0.",
-    "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0",
-    "Distributed under the Boost Software License, Version 1.0.",
     "Licensed under the Artistic License 2.0.",
     "Licensed under the European Union Public Licence, version 1.2.",
     "This work is licensed under the Open Data Commons Open Database License.",
-    "SPDX-License-Identifier: Zlib",
-    "SPDX-License-Identifier: EPL-2.0",
-    "SPDX-License-Identifier: BSL-1.0",
+    "Released under the Do What The Fuck You Want To Public License.",
+    "SPDX-License-Identifier: EUPL-1.2",
+    "SPDX-License-Identifier: PSF-2.0",
     "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
     "This file is subject to the terms and conditions of the licence agreement between the parties.",
 ]
 
+#: Versions of licences, without trailing zeros, as their identifiers write them.
+VERSIONS: dict[str, dict[str, str]] = {
+    "AGPL": {"1": "1.0", "3": "3.0"}, "Apache": {"1": "1.0", "1.1": "1.1", "2": "2.0"}, "CC": {"1": "1.0", "2": "2.0", "2.5": "2.5", "3": "3.0", "4": "4.0"}, "EPL": {"1": "1.0", "2": "2.0"},
+    "GPL": {"1": "1.0", "2": "2.0", "3": "3.0"}, "LGPL": {"2": "2.0", "2.1": "2.1", "3": "3.0"}, "MPL": {"1": "1.0", "1.1": "1.1", "2": "2.0"},
+}
+
 #: The version that a name, or the word version, is followed by.
 _VERSION = re.compile(
-    r"(?:\bversion[\s,:(]*|\bv[\s.]*|(?:gpl|mpl|apache|licen[sc]es?|attribution|non-?commercial|share-?alike|noderiv\w*|\bby|\bnc|\bnd|\bsa)(?:[\s(/-]|licen[sc]e)*v?[\s.]*)"
+    r"(?:\bversion[\s,:(]*|\bv[\s.]*|(?:gpl|mpl|epl|apache|licen[sc]es?|attribution|non-?commercial|share-?alike|noderiv\w*|\bby|\bnc|\bnd|\bsa)(?:[\s(/-]|licen[sc]e)*v?[\s.]*)"
     r"(\d+(?:\.\d+)*)"
 )
 #: Words behind a window in which its version may stand.
@@ -124,45 +163,52 @@ _BEHIND = 12
 
 
 def licence_name(family: str, notice: str, behind: str = "") -> str:
-    """The licence that a notice confirmed as `family` names: with version and variant if they are a
-    template's, else the family without them, or "unknown" if its own words are missing."""
+    """The licence that a notice confirmed as `family` names: with version and variant if they are
+    known, else the family without them, or "unknown" if its own words are missing."""
     text = (notice + behind).lower()
     m = _VERSION.search(text)
     version = re.sub(r"(\.0+)+$", "", m[1]) if m else ""
     text = text[: max(len(notice), m.end() if m else 0)]
     has = lambda p: re.search(p, text) is not None
-    versioned = lambda stem, known, full: f"{stem}-{full}" if version == known else stem
-    if family.endswith("GPL-3.0"):
+
+    def versioned(name: str) -> str:
+        full = VERSIONS[name.split("-")[0]].get(version)
+        return f"{name}-{full}" if full else name
+
+    stem = family.split("-")[0]
+    if stem in ("AGPL", "GPL", "LGPL"):
         if not has(r"general public licen[sc]e|gpl"):
             return UNKNOWN
-        stem = "AGPL" if has("affero|agpl") else "LGPL" if has(r"lesser|lgpl|library general") else "GPL"
-        return versioned(stem, "3", "3.0")
-    if family == "Apache-2.0":
-        return versioned("Apache", "2", "2.0") if has("apache") else UNKNOWN
-    if family == "MPL-2.0":
-        return versioned("MPL", "2", "2.0") if has("mozilla public licen[sc]e|mpl") else UNKNOWN
-    if family.startswith("CC-"):
+        return versioned("AGPL" if has("affero|agpl") else "LGPL" if has(r"lesser|lgpl|library general") else "GPL")
+    if stem in ("CC", "CC0"):
+        if has(r"\bcc0\b|creative commons zero|waived all copyright"):
+            return "CC0-1.0"
         if not has(r"\bcc\b|creative commons"):
             return UNKNOWN
-        stem = "CC" + "-BY" * has(r"\bby\b|attribution") + "-NC" * has(r"\bnc\b|non-?commercial") + "-ND" * has(r"\bnd\b|no-?deriv") + "-SA" * has(r"\bsa\b|share-?alike")
-        return versioned(stem, "4", "4.0")
-    if family == "BSD-3-Clause":
+        return versioned("CC" + "-BY" * has(r"\bby\b|attribution") + "-NC" * has(r"\bnc\b|non-?commercial") + "-ND" * has(r"\bnd\b|no-?deriv") + "-SA" * has(r"\bsa\b|share-?alike"))
+    if stem == "BSD":
         if has(r"\b(3|three)[\s-]clause|bsd-3|neither the name"):
-            return family
-        return "BSD" if has(r"\bbsd\b|redistributions? and use|binary forms|endorse or promote") else UNKNOWN
+            return "BSD-3-Clause"
+        if has(r"\b(2|two)[\s-]clause|bsd-2"):
+            return "BSD-2-Clause"
+        return "BSD" if has(r"\bbsd\b|redistributions? |binary forms|endorse or promote") else UNKNOWN
     own = {
+        "Apache": "apache", "MPL": "mozilla public licen[sc]e|mpl", "EPL": "eclipse public licen[sc]e|epl",
         "MIT": r"\bmit\b(?!-0|\s+no\s+attribution)|free of charge|and associated documentation|permission notice shall",
         "ISC": r"\bisc\b|with or without fee",
         "Unlicense": r"unencumbered|publish, use, compile|source code form or as",
-    }[family]
-    return family if has(own) else UNKNOWN
+        "Zlib": r"\bzlib\b|altered source|held liable for any damages arising",
+        "BSL": r"\bboost software|\bbsl\b",
+    }[stem]
+    return UNKNOWN if not has(own) else versioned(stem) if stem in VERSIONS else family
 
 
 @dataclass(frozen=True)
 class Settings:
     bits: int = 16
     max_docs: int = 400
-    max_paragraphs: int = 4_000
+    max_lines: int = 4_000
+    max_chars: int = 4_096
     copies: int = 24
     steps: int = 300
     rate: float = 0.5
@@ -325,16 +371,16 @@ def fit(prose: list[str], s: Settings = Settings()) -> Model:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> Model:
-    """A model whose "unknown" is prose of at most max_docs documents and max_paragraphs paragraphs."""
+    """A model whose "unknown" is prose of at most max_docs documents and max_lines lines of up to max_chars characters."""
     s = settings
     order = F.xxhash64(F.col(id_col).cast("string"))
     ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct().orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(s.max_docs)
     lines = (
         docs.join(F.broadcast(ids.withColumnRenamed("id", id_col)), id_col, "left_semi")  # at most max_docs ids
         .select(order.alias("place"), F.posexplode(F.split(F.col(text_col), "\n")).alias("at", "line"))
-        .where(F.length("line") > 0)
+        .where(F.length("line").between(1, s.max_chars))
         .orderBy("place", "at", "line")
-        .limit(s.max_paragraphs)
+        .limit(s.max_lines)
     )
     return fit([r["line"] for r in lines.collect()], s)
 
@@ -352,9 +398,11 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             offs, data = buffers(batch.column("text"))
             for lo, hi in blocks(offs):
-                # lines of all texts as texts of their own; a line break stands in no word
+                # paragraphs of all texts as texts of their own; a line break stands in no word
                 base, end = int(offs[lo]), int(offs[hi])
-                breaks = np.flatnonzero(data[base:end] == 10) + base + 1
+                ink = np.cumsum(SOLID[data[base:end]] != 0, dtype=np.int32)
+                line_ends = np.flatnonzero(data[base:end] == 10)
+                breaks = line_ends[1:][ink[line_ends[1:]] == ink[line_ends[:-1]]] + base + 1
                 cut = np.unique(np.concatenate([offs[lo : hi + 1], breaks]))
                 found: list[list[dict]] = [[] for _ in range(hi - lo)]
                 if len(cut) > 1:
@@ -372,12 +420,17 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                             taken[a : a + n] = True
                             end, far = w.end[a + n - 1], w.end[min(a + n + _BEHIND, w.first[line + 1]) - 1]
                             best.setdefault((line, licence_name(m.classes[y], text(w.start[a], end), text(end, far))), sure)
+                    lacks_version = lambda line, name: any(k == line and other.startswith(name + "-") for k, other in best)
                     chars = lambda u, v: int(((data[u:v] & 0xC0) != 0x80).sum())
                     for (line, family), sure in sorted(best.items()):
+                        if lacks_version(line, family):
+                            continue
                         a, b = int(cut[line]), int(cut[line + 1])
                         doc = int(np.searchsorted(offs[lo : hi + 1], a, "right")) - 1
+                        inked = np.flatnonzero(SOLID[data[a:b]])
+                        a, b = a + int(inked[0]), a + int(inked[-1]) + 1
                         start = chars(int(offs[lo + doc]), a)
-                        stop = start + chars(a, b - (b > a and data[b - 1] == 10))
+                        stop = start + chars(a, b)
                         found[doc].append({"family": family, "start": start, "end": stop, "probability": sure})
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), pa.array(found, pa.list_(entry))], ["id", "found"])
 

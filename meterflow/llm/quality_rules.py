@@ -12,7 +12,9 @@ learned list becomes one ordered CASE expression: the first rule that holds reje
 Words are runs of characters other than space and \\x09-\\x0D. Null and empty texts have zero for
 every statistic. Labels that are null or not 0 or 1 are left out; without labels of both kinds the
 list is empty and keeps everything. If an id has several labels, the largest counts. Null ids are
-never labelled. Repeated rows get equal verdicts.
+never labelled. Repeated rows get equal verdicts. Of conditions with equal gain the first by name and
+cut is taken. Texts are read whole, however long. An empty table gives no rows. Other columns are
+not read, whatever their names. `judge` learns from rows that the base rules leave open.
 """
 
 from __future__ import annotations
@@ -224,7 +226,7 @@ def base_failed() -> Column:
 def judge(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """(id_col, the base statistics, base_failed, kept): kept is false where base_failed, else the list's verdict."""
     stats = staged(statistics(docs, id_col), "statistics")
-    verdict = learn(stats, labels, label_col, id_col, settings).keeps()
+    verdict = learn(stats.where(~base_failed()), labels, label_col, id_col, settings).keeps()
     return stats.select(
         id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & verdict).alias("kept")
     )

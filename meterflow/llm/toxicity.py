@@ -1,15 +1,18 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features are the distinct hashed words, word pairs and pairs with one word between them of a
-text, lower-cased. Training reads at most `max_rows` labelled rows, picked by a hash of their id
-(all of them if there are fewer): FTRL is an online method, and its passes over this bounded
-sample run in one task, from features that are made in parallel. Learning rates are kept per
+text, lower-cased. Training reads at most `max_rows` labelled ids, picked by a hash of their id (all
+of them if there are fewer), and of their rows, in the same order, as many as have `max_features`
+features in all: FTRL is an online method, and its passes over this bounded sample (4 bytes a
+feature, 320 MB) run in one task, from features that are made in parallel. Learning rates are kept per
 coordinate and L1 leaves most weights at zero, so the weights that scoring broadcasts are few:
 never more than 2 ** bits of them, 4 MB.
 
 Null and empty texts have no features and get the score of the intercept, the base rate. Without
 a label of either kind nothing can be learned, and every score is the base rate (0 without
-labels). Rows with a null id are scored but not trained on. Repeated rows get equal scores.
+labels). Labels other than 0 and 1 are left out; of several labels of an id the largest counts. Rows
+with a null id are scored but not trained on. Repeated rows get equal scores. Texts are scored whole,
+however long. An empty table gives no rows. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ class Ftrl:
     positive: float = 3.0
     min_rows: int = 3
     max_rows: int = 24_000
+    max_features: int = 80_000_000
 
 
 def features(w: Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +90,7 @@ def fit(xs: list[np.ndarray], ys: list[int], s: Ftrl) -> tuple[np.ndarray, np.nd
 
 def sample(labels: DataFrame, id_col: str, label_col: str, max_rows: int) -> DataFrame:
     """At most `max_rows` labelled ids: the first in the order of a hash of the id."""
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
     order = F.xxhash64("id")
     return known.orderBy(order, "id").limit(max_rows).withColumn("place", order)
 
@@ -109,11 +113,17 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
                 yield pa.RecordBatch.from_arrays([part.column("place"), part.column("id").cast(pa.string()), part.column("label"), slots], ["place", "id", "label", "slots"])
 
     def learn(batches):
-        xs, ys = [], []
+        xs, ys, held = [], [], 0
         for batch in batches:
             offs, vals = batch.column("slots").offsets.to_numpy(), batch.column("slots").values.to_numpy(zero_copy_only=False)
-            xs += [vals[a:b] for a, b in zip(offs[:-1], offs[1:])]
-            ys += batch.column("label").to_pylist()
+            for a, b, label in zip(offs[:-1], offs[1:], batch.column("label").to_pylist()):
+                held += int(b - a)
+                if held > s.max_features and xs:
+                    break
+                xs.append(vals[a:b])
+                ys.append(label)
+            if held > s.max_features:
+                break
         slots, weights, bias = fit(xs, ys, s)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(slots, -1), pa.int64()), pa.array(np.append(weights, bias), pa.float64())], ["slot", "weight"])
 
