@@ -101,6 +101,19 @@ FIXTURES: dict[str, str] = {
                case u % 5 when 0 then date '2024-01-20' when 2 then date '2024-01-14' when 3 then (case when u % 2 = 0 then date '2024-01-15' else date '2024-03-01' end) end as valid_to,
                case u % 5 when 1 then concat('T', u, '|T', u + 1) when 4 then concat('P', u, 'a|P', u, 'b') else concat('T', u) end as sources
         from users""",
+    # counters of suppliers' shipments: by far the largest tables here
+    "line_daily": "select l_suppkey as k, cast(l_shipdate as date) as d, cast(sum(l_quantity) as double) as q from {lineitem} group by l_suppkey, cast(l_shipdate as date)",
+    "line_readings": """
+        select concat('L', k) as timeseries_id, cast(d as timestamp) as timestamp,
+               sum(q) over (partition by k order by d rows between unbounded preceding and current row) as value, cast(null as timestamp) as recorded_at
+        from line_daily""",
+    "line_refs": "select concat('L', k) as timeseries_id, concat('LS', k) as sensor_id, 'counter' as reading_type, true as preferred from (select distinct l_suppkey as k from {lineitem}) x",
+    "line_sensors": "select concat('LS', k) as sensor_id, concat('K', k) as meter_id from (select distinct l_suppkey as k from {lineitem}) x",
+    "line_relations": """
+        select concat('K', cast(floor((k - 1) / 4.0) as bigint)) as parent_meter_id, concat('K', k) as child_meter_id, case when k % 3 = 0 then 'feeds' else 'hasSubMeter' end as relation_type,
+               case when k % 3 = 0 then 0.5e0 when k % 5 = 1 then cast(null as double) else 1.0e0 end as flow_coefficient,
+               case when k % 7 = 0 then date '1994-01-10' end as valid_from, case when k % 11 = 0 then date '1997-01-20' end as valid_to
+        from (select distinct l_suppkey as k from {lineitem}) x where k > 4""",
     "computed": """
         select building_id, month, sum(delta) as value
         from meter_monthly join meters on meter_monthly.meter_id = meters.meter_id

@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterflow.operators.topology import canonical_meter_id
 from meterflow.plans.stage import staged
 
 #: Levels of terms that formulas may nest; a term one level further is unresolved.
 MAX_DEPTH = 4
 
 
+def _every_month(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """`rows` repeated for every `month` that `values` has. The months come as one row, an array."""
+    months = values.agg(F.array_sort(F.collect_set("month")).alias("months"))
+    return rows.crossJoin(months).withColumn("month", F.explode("months")).drop("months")
+
+
 def monthly_conservation(edges: DataFrame, monthly: DataFrame, coefficients: bool = False) -> DataFrame:
     """(parent, month, delta, children, residual, residual_pct, n_children, dead_children) of every
     parent in every month. edges (parent, child[, coefficient]), monthly (meter_id, month, delta);
     what is missing counts as 0, coefficients as 1 unless asked for."""
-    months = monthly.select("month").distinct()
     one = monthly.groupBy("meter_id", "month").agg(F.sum("delta").alias("d"))
     k = F.coalesce("coefficient", F.lit(1.0)) if coefficients else F.lit(1.0)
-    kids = edges.crossJoin(F.broadcast(months)).join(one.withColumnRenamed("meter_id", "child"), ["child", "month"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
+    kids = _every_month(edges, monthly).join(one.withColumnRenamed("meter_id", "child"), ["child", "month"], "left")
+    kids = kids.withColumn("d", F.coalesce("d", F.lit(0.0)))
     sums = kids.groupBy("parent", "month").agg(F.sum(F.col("d") * k).alias("children"), F.count("*").alias("n_children"), F.count_if(F.col("d") == 0).alias("dead_children"))
     both = sums.join(one.withColumnRenamed("meter_id", "parent"), ["parent", "month"], "left").withColumn("delta", F.coalesce("d", F.lit(0.0)))
     residual = F.col("delta") - F.col("children")
@@ -49,10 +55,9 @@ def accounting_balance(terms: DataFrame, crosswalk: DataFrame, monthly: DataFram
     """(building, row, month, sum, n_add, n_sub, any_data) of every formula row in every month. terms
     (building, row, sign, meter_id), crosswalk (key, id); factors are not applied, terms without id
     or value are left out of the sum."""
-    months = F.broadcast(monthly.select("month").distinct())
     known = terms.join(crosswalk.select(F.col("key").alias("meter_id"), "id"), "meter_id", "left")
     values = monthly.groupBy(F.col("meter_id").alias("id"), "month").agg(F.sum("delta").alias("d"))
-    rows = known.crossJoin(months).join(values, ["id", "month"], "left")
+    rows = _every_month(known, monthly).join(values, ["id", "month"], "left")
     signed = F.when(F.col("sign") == "+", F.col("d")).otherwise(-F.col("d"))
     return rows.groupBy("building", "row", "month").agg(
         F.coalesce(F.sum(signed), F.lit(0.0)).alias("sum"), F.count_if(F.col("sign") == "+").alias("n_add"), F.count_if(F.col("sign") == "-").alias("n_sub"),
@@ -77,35 +82,47 @@ def silent_meters(terms: DataFrame, crosswalk: DataFrame, monthly: DataFrame) ->
     return quiet.unionByName(m.join(known, "meter_id", "left_anti").select("meter_id", F.lit("no_crosswalk").alias("problem")))
 
 
-def evaluate_formulas(terms: DataFrame, values: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def evaluate_formulas(terms: DataFrame, values: DataFrame, crosswalk: DataFrame | None = None, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(building, month, value, unresolved) of every formula in every month.
 
     terms (building, position, sign, meter_id, faktor): a term is a meter with a value, else the
     formula of that name, up to `max_depth` levels. A formula with a term that is neither (or too
     deep) is null and names the first such term in order. values (meter_id, month, value).
+
+    With a crosswalk (key, id) a term's meter is the id of its name, else of its canonical name, and
+    a formula is also found by its canonical name (of several the last in order of names); without
+    one, names are ids.
     """
-    months = F.broadcast(values.select("month").distinct())
-    v = values.groupBy("meter_id", "month").agg(F.sum("value").alias("value"))
+    v = values.groupBy(F.col("meter_id").alias("id"), "month").agg(F.sum("value").alias("value"))
     step = F.when(F.col("sign") == "+", F.col("faktor")).otherwise(-F.col("faktor"))
-    rule = terms.select(F.col("building").alias("meter_id"), F.col("meter_id").alias("inner"), step.alias("k"), F.col("position").alias("p"))
-    formulas = rule.select("meter_id").distinct().withColumn("is_formula", F.lit(True))
+    used, formulas = terms.select("meter_id").distinct(), terms.select(F.col("building").alias("formula")).distinct()
+    exact = used.join(formulas, F.col("meter_id") == F.col("formula"), "left")
+    if crosswalk is None:
+        names = exact.withColumn("id", F.col("meter_id"))
+    else:
+        canon = canonical_meter_id(F.col("meter_id"), "dashes")
+        by_canon = formulas.groupBy(canonical_meter_id(F.col("formula"), "dashes").alias("canon")).agg(F.max("formula").alias("same"))
+        ids = crosswalk.groupBy("key").agg(F.max("id").alias("id"))
+        named = exact.withColumn("canon", canon).join(by_canon, "canon", "left").join(ids.withColumnRenamed("key", "meter_id"), "meter_id", "left")
+        named = named.join(ids.select(F.col("key").alias("canon"), F.col("id").alias("other")), "canon", "left")
+        names = named.select("meter_id", F.coalesce("same", "formula").alias("formula"), F.coalesce("id", "other").alias("id"))
     # order: +terms before -terms, then position; of nested terms the path of positions
     order = F.format_string("%d%06d", (F.col("sign") != "+").cast("int"), F.col("position"))
-    open_ = terms.crossJoin(months).select("building", "month", "meter_id", step.alias("k"), F.array(order).alias("path"))
-    rank = terms.select(F.col("building").alias("outer"), F.col("meter_id").alias("inner"), step.alias("k2"), order.alias("o"))
+    open_ = _every_month(terms, values).select("building", "month", "meter_id", step.alias("k"), F.array(order).alias("path"))
+    rank = terms.select(F.col("building").alias("formula"), F.col("meter_id").alias("inner"), step.alias("k2"), order.alias("o"))
     leaves = None
     for depth in range(max_depth + 1):
-        open_ = staged(open_.join(v, ["meter_id", "month"], "left").join(formulas, "meter_id", "left"), "terms")
-        done = open_.where(F.col("value").isNotNull() | F.col("is_formula").isNull() | F.lit(depth == max_depth))
+        open_ = staged(open_.join(names, "meter_id", "left").join(v, ["id", "month"], "left"), "terms")
+        done = open_.where(F.col("value").isNotNull() | F.col("formula").isNull() | F.lit(depth == max_depth))
         value = F.lit(None).cast("double") if depth == max_depth else F.col("value")
         done = done.select("building", "month", "meter_id", "k", "path", value.alias("value"))
         leaves = done if leaves is None else leaves.unionByName(done)
         if depth == max_depth:
             break
-        more = open_.where("value is null and is_formula")
+        more = open_.where("value is null and formula is not null")
         if more.isEmpty():
             break
-        open_ = more.join(rank, F.col("meter_id") == F.col("outer")).select(
+        open_ = more.join(rank, "formula").select(
             "building", "month", F.col("inner").alias("meter_id"), (F.col("k") * F.col("k2")).alias("k"), F.array_append("path", F.col("o")).alias("path")
         )
     bad = F.min(F.when(F.col("value").isNull(), F.struct("path", "meter_id")))
@@ -129,20 +146,20 @@ def spot_totals(checked: DataFrame) -> DataFrame:
 
 
 def formula_check(terms: DataFrame, values: DataFrame, reported: DataFrame, unit_factor: float = 1.0, tolerance: float = 0.001) -> DataFrame:
-    """(building, media, month, reported, computed, ok): signed, factored sums against reported ones;
-    reported zeros are left out. A term takes the value of its own medium if there is one, else the
-    value of the first other medium. terms (building, media, sign, meter_id, faktor), values
-    (meter_id, media, month, value), reported (building, media, month, value)."""
-    months = F.broadcast(values.select("month").distinct())
-    t = terms.crossJoin(months)
+    """(building, media, month, reported, computed, ok): signed, factored sums against reported ones,
+    ok where they differ by less than `tolerance`; reported zeros are left out. A term takes the value
+    of its own medium if there is one, else the value of the first other medium, else 0. terms
+    (building, media, position, sign, meter_id, faktor), values (meter_id, media, month, value),
+    reported (building, media, month, value)."""
     v = values.select("meter_id", "month", F.col("media").alias("vm"), "value")
     best = F.min_by("value", F.struct((F.col("vm") != F.col("media")).cast("int"), "vm"))
-    keys = ["building", "media", "month", "sign", "meter_id", "faktor"]
-    picked = t.join(v, ["meter_id", "month"], "left").groupBy(*keys).agg(best.alias("value"))
+    # equal terms stand at different positions and count each
+    term = ["building", "media", "month", "position", "sign", "meter_id", "faktor"]
+    picked = _every_month(terms, values).join(v, ["meter_id", "month"], "left").groupBy(*term).agg(best.alias("value"))
     sign = F.when(F.col("sign") == "+", 1.0).otherwise(-1.0)
     total = picked.groupBy("building", "media", "month").agg((F.sum(sign * F.col("faktor") * F.coalesce("value", F.lit(0.0))) * unit_factor).alias("computed"))
     both = reported.where("value <> 0").withColumnRenamed("value", "reported").join(total, ["building", "media", "month"])
-    return both.select("building", "media", "month", "reported", "computed", (F.abs(F.col("computed") - F.col("reported")) <= tolerance * F.abs("reported")).alias("ok"))
+    return both.select("building", "media", "month", "reported", "computed", (F.abs(F.col("computed") - F.col("reported")) < tolerance).alias("ok"))
 
 
 def classify_diffs(reported: DataFrame, computed: DataFrame, metered: DataFrame, overrides: DataFrame) -> DataFrame:

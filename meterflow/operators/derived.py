@@ -107,23 +107,27 @@ def rolling_sums(refs: DataFrame, readings: DataFrame) -> DataFrame:
 
 def issues(refs: DataFrame, readings: DataFrame) -> DataFrame:
     """(timeseries_id, issue): references that give no readings: more than one source where one is
-    needed, no window, or no reading on one side of it."""
+    needed, no window, no reading on one side of it, or (interpolations) no day between those readings.
+    """
     single = refs.where(F.col("aggregation").isin("slice", "bracket", "interpolate"))
     many = single.where(F.size("sources") != 1).select("timeseries_id", F.lit("needs one source").alias("issue"))
     ranged = single.where("aggregation <> 'slice' and size(sources) = 1")
     open_ = ranged.where("valid_from is null or valid_to is null").select("timeseries_id", F.lit("needs a window").alias("issue"))
-    ends = [endpoints(ranged.where("valid_from is not null and valid_to is not null"), readings, k) for k in ("bracket", "interpolate")]
-    loose = ends[0].unionByName(ends[1]).where("v_lo is null or v_hi is null").select("timeseries_id", F.lit("no anchor").alias("issue"))
-    return many.unionByName(open_).unionByName(loose)
+    whole = ranged.where("valid_from is not null and valid_to is not null")
+    kinds = {k: endpoints(whole, readings, k) for k in ("bracket", "interpolate")}
+    loose = kinds["bracket"].unionByName(kinds["interpolate"]).where("v_lo is null or v_hi is null").select("timeseries_id", F.lit("no anchor").alias("issue"))
+    days = F.datediff(F.col("t_hi").cast("date"), F.col("t_lo").cast("date"))
+    flat = kinds["interpolate"].where(days <= 0).select("timeseries_id", F.lit("no span").alias("issue"))
+    return many.unionByName(open_).unionByName(loose).unionByName(flat)
 
 
 def materialize(refs: DataFrame, readings: DataFrame) -> DataFrame:
-    """Readings of all derived references, kind by kind: slices and sums, brackets, interpolations,
+    """Readings of all derived references, kind by kind: slices, sums, brackets, interpolations,
     rolling sums. Each kind reads raw series and what earlier kinds made."""
     cols = ["timeseries_id", "timestamp", "value"]
     base = readings.select(*cols, "recorded_at")
-    made = staged(slices(refs, base).select(cols).unionByName(sums(refs, base)), "derived")
-    for kind in (brackets, interpolations, rolling_sums):
+    made = staged(slices(refs, base).select(cols), "derived")
+    for kind in (sums, brackets, interpolations, rolling_sums):
         have = base.select(cols).unionByName(made)
         made = staged(made.unionByName(kind(refs, have).select(cols)), "derived")
     return made

@@ -34,10 +34,14 @@ def measured_flow(readings: DataFrame, refs: DataFrame, sensors: DataFrame, corr
     return _difference(latest_correction(rows) if corrected else rows).select("meter_id", "timestamp", "delta")
 
 
-def counter_rate(readings: DataFrame, series: DataFrame, start: str, end: str, cumulative: bool = False) -> DataFrame:
+def counter_rate(readings: DataFrame, series: DataFrame, start: str, end: str, cumulative: bool = False, corrected: bool = False) -> DataFrame:
     """(timeseries_id, timestamp, delta) of the listed series within [start, end); with `cumulative`
-    the counter relative to its first value there."""
-    rows = readings.join(series.select("timeseries_id").distinct(), "timeseries_id", "left_semi").where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
+    the counter relative to its first value there. `corrected` picks the latest correction of every
+    reading first: corrections stand at the time of what they correct, so series and times are chosen
+    before, and only what is left is shuffled."""
+    inside = readings.where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
+    rows = inside.join(series.select("timeseries_id").distinct(), "timeseries_id", "left_semi")
+    rows = latest_correction(rows) if corrected else rows
     if not cumulative:
         return _difference(rows).select("timeseries_id", "timestamp", "delta")
     first = F.first("value").over(Window.partitionBy("timeseries_id").orderBy("timestamp"))
@@ -63,32 +67,47 @@ def sub_total(relations: DataFrame, flow: DataFrame) -> DataFrame:
     return rows.groupBy("parent_meter_id", "timestamp").agg(F.sum(F.col("delta") * F.coalesce("flow_coefficient", F.lit(1.0))).alias("total"))
 
 
+def feeds_paths(relations: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
+    """(source, meter_id, k, lo, hi, legs array<struct<parent, k>>): every path of up to `max_hops`
+    feeds edges with the window in which all of them hold and the product of their coefficients; legs
+    are the parents on it with the product from there on. Found level by level from the edges alone,
+    until a level has none."""
+    feeds = relations.where("relation_type = 'feeds'").select("parent_meter_id", "child_meter_id", F.col("flow_coefficient").alias("c"), lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi"))
+    edge = staged(feeds.where("lo < hi"), "feeds")
+    leg = lambda parent, k: F.struct(parent.alias("parent"), k.alias("k"))
+    level = edge.select(F.col("parent_meter_id").alias("source"), F.col("child_meter_id").alias("meter_id"), F.col("c").alias("k"), "lo", "hi", F.array(leg(F.col("parent_meter_id"), F.col("c"))).alias("legs"))
+    hop = edge.select(F.col("parent_meter_id").alias("meter_id"), F.col("child_meter_id").alias("next"), "c", F.col("lo").alias("l2"), F.col("hi").alias("h2"))
+    out = level
+    for _ in range(max_hops - 1):
+        legs = F.array_append(F.transform("legs", lambda x: leg(x["parent"], x["k"] * F.col("c"))), leg(F.col("meter_id"), F.col("c")))
+        step = level.join(hop, "meter_id").select(
+            "source", F.col("next").alias("meter_id"), (F.col("k") * F.col("c")).alias("k"), F.greatest("lo", "l2").alias("lo"), F.least("hi", "h2").alias("hi"), legs.alias("legs")
+        )
+        level = staged(step.where("lo < hi"), "paths")
+        if level.isEmpty():
+            break
+        out = out.unionByName(level)
+    return out
+
+
 def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """(meter_id, timestamp, delta): measured flow plus what feeds edges deliver.
 
     A feeds child gets coefficient times (the parent's row less the parent's sub-meters), for every
-    row the parent has: a parent with several deliveries subtracts its sub-meters from each. Hops
-    go on until one delivers nothing, `max_hops` at most; rows are added up per meter and time at
-    the end, not between hops.
+    row the parent has: a parent with several deliveries subtracts its sub-meters from each. A
+    delivery over several edges is therefore the first parent's row times all coefficients, less the
+    sub-meters of every parent on the way times the coefficients from there on. So paths are found on
+    the edges, and the readings meet them in one join, whatever the depth; sub-meters' sums are joined
+    by (meter, time). Paths end after `max_hops` edges.
     """
-    measured, relations = staged(measured, "measured"), staged(relations, "relations")
-    feeds = relations.where("relation_type = 'feeds'")
-    subs = sub_total(relations, measured).withColumnRenamed("parent_meter_id", "meter_id")
-    frame, frames = measured, [measured]
-    for _ in range(max_hops):
-        # what a parent hands on; the sub-meters' sum is joined by (meter, time)
-        rest = frame.join(subs, ["meter_id", "timestamp"], "left").select("meter_id", "timestamp", (F.col("delta") - F.coalesce("total", F.lit(0.0))).alias("delta"))
-        frame = staged(
-            _active(feeds, rest, "parent_meter_id").select(F.col("child_meter_id").alias("meter_id"), "timestamp", (F.col("flow_coefficient") * F.col("delta")).alias("delta")),
-            "hop",
-        )
-        if frame.isEmpty():
-            break
-        frames.append(frame)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.groupBy("meter_id", "timestamp").agg(F.sum("delta").alias("delta"))
+    measured = staged(measured, "measured")
+    paths = feeds_paths(relations, max_hops)
+    subs = sub_total(relations, measured).withColumnRenamed("parent_meter_id", "parent")
+    sent = measured.withColumnRenamed("meter_id", "source").join(paths, "source").where((F.col("lo") <= F.col("timestamp")) & (F.col("timestamp") < F.col("hi")))
+    taken = sent.select("meter_id", "timestamp", F.explode("legs").alias("leg")).select("meter_id", "timestamp", "leg.*").join(subs, ["parent", "timestamp"])
+    parts = measured.unionByName(sent.select("meter_id", "timestamp", (F.col("k") * F.col("delta")).alias("delta")))
+    parts = parts.unionByName(taken.select("meter_id", "timestamp", (-F.col("k") * F.col("total")).alias("delta")))
+    return parts.groupBy("meter_id", "timestamp").agg(F.sum("delta").alias("delta"))
 
 
 def hs_total(relations: DataFrame, flow: DataFrame) -> DataFrame:

@@ -237,12 +237,14 @@ def meter_validity_hint(monthly: DataFrame, cutoff: str) -> DataFrame:
     return m.select("meter_id", F.when(F.col("first") > cutoff, day).alias("valid_from"), F.when(F.col("idle"), day).alias("valid_to"))
 
 
-def quality_scan(daily: DataFrame, flat_days: int = 4) -> DataFrame:
+def quality_scan(daily: DataFrame, flat_days: int = 4, active: Column | None = None) -> DataFrame:
     """(meter_id, flag, n): runs of at least `flat_days` rows without change (flat_run), deltas above
-    max(3 * p99, 10 * median) (spike) and above 10 * the third quartile (outlier), exact percentiles."""
+    max(3 * p99, 10 * median) (spike) and above 10 * the third quartile (outlier), exact percentiles.
+    `active` tells rows of the season in which a meter has to move: others end a flat run."""
     by_day = Window.partitionBy("meter_id").orderBy("day")
-    run = F.sum((F.col("delta") != 0).cast("int")).over(by_day)
-    flats = daily.withColumn("run", run).where("delta = 0").groupBy("meter_id", "run").agg(F.count("*").alias("n")).where(F.col("n") >= flat_days)
+    still = (F.col("delta") == 0) & (active if active is not None else F.lit(True))
+    run = F.sum((~still).cast("int")).over(by_day)
+    flats = daily.withColumn("still", still).withColumn("run", run).where("still").groupBy("meter_id", "run").agg(F.count("*").alias("n")).where(F.col("n") >= flat_days)
     flat = flats.groupBy("meter_id").agg(F.count("*").alias("n")).select("meter_id", F.lit("flat_run").alias("flag"), "n")
     q = daily.groupBy("meter_id").agg(F.percentile("delta", F.array(F.lit(0.5), F.lit(0.75), F.lit(0.99))).alias("q"))
     rows = daily.join(q, "meter_id")

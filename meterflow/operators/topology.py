@@ -20,10 +20,27 @@ ROLE_FEEDS = {"VP1": ("VS1", "VS2", "VÅ9"), "VP2": ("VÅ9",), "VS1": ("VÅ9",)}
 METER_ID = r"^(B\d+[A-Z]?)\.([A-ZÅÄÖ]+\d*)_VM{1,2}(\d+)(_E)?$"
 
 
-def canonical_meter_id(meter: Column, dashes: bool = False) -> Column:
-    """Without the energy suffix and with VMM; other ids stay. `dashes`: B1-VP1-VMM61 is read as B1.VP1_VMM61."""
-    m = F.regexp_replace(meter, r"^(B\d+[A-Z]?)-([A-ZÅÄÖ]+\d*)-(VM{1,2}\d+)", r"$1.$2_$3") if dashes else meter
-    return F.when(m.rlike(METER_ID), F.concat_ws("", F.regexp_extract(m, METER_ID, 1), F.lit("."), F.regexp_extract(m, METER_ID, 2), F.lit("_VMM"), F.regexp_extract(m, METER_ID, 3))).otherwise(m)
+#: Letters, digits and underscores of ids.
+_WORD = "[0-9A-Za-z_À-ÖØ-öø-ÿ]"
+
+
+def canonical_meter_id(meter: Column, scope: str = "parsed") -> Column:
+    """The id without the energy suffix _E and with VMM for VM.
+
+    Of scope "parsed" only ids that `METER_ID` parses change; of scope "any" every id does; of scope
+    "dashes" an id with dashes and no dot is first read with a dot for the first dash and underscores
+    for the others, so that B600-KB2 is B600.KB2.
+    """
+    if scope == "parsed":
+        part = lambda i: F.regexp_extract(meter, METER_ID, i)
+        return F.when(meter.rlike(METER_ID), F.concat(part(1), F.lit("."), part(2), F.lit("_VMM"), part(3))).otherwise(meter)
+    if scope not in ("any", "dashes"):
+        raise ValueError(f"unknown scope {scope!r}")
+    m = meter
+    if scope == "dashes":
+        dotted = F.concat(F.regexp_replace(m, "-.*$", ""), F.lit("."), F.translate(F.regexp_replace(m, "^[^-]*-", ""), "-", "_"))
+        m = F.when(m.contains("-") & ~m.contains("."), dotted).otherwise(m)
+    return F.regexp_replace(F.regexp_replace(m, "_E$", ""), rf"\.({_WORD}+?)_VM(\d+)$", r".$1_VMM$2")
 
 
 def parse_meter_id(meters: DataFrame, col: str = "meter_id") -> DataFrame:
@@ -121,6 +138,21 @@ def merge_candidates(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     raise RuntimeError(f"undecided edges after {max_rounds} rounds")
 
 
+def dropped_candidates(edges: DataFrame, merged: DataFrame) -> DataFrame:
+    """(from_meter, to_meter, rank, reason, dropped, kept) of the rejected edges that do not merely
+    repeat an accepted one, with their own source and the one they yield to: of the accepted edge that
+    is their reverse, or else of their child's parent. edges (rank, source), merged of
+    `merge_candidates`."""
+    rows = merged.join(edges.select("rank", "source"), "rank")
+    kept = rows.where("accepted").select("from_meter", "to_meter", "rank", F.col("source").alias("s"))
+    out = rows.where("not accepted").join(kept.select("from_meter", "to_meter"), ["from_meter", "to_meter"], "left_anti")
+    back = kept.select(F.col("to_meter").alias("from_meter"), F.col("from_meter").alias("to_meter"), F.col("s").alias("reverse"), F.col("rank").alias("r"))
+    out = out.join(back, ["from_meter", "to_meter"], "left").join(kept.select("to_meter", F.col("s").alias("parent")), "to_meter", "left")
+    flipped = F.coalesce(F.col("r") < F.col("rank"), F.lit(False))
+    reason = F.when(flipped, "reverse-direction").otherwise("child already has parent")
+    return out.select("from_meter", "to_meter", "rank", reason.alias("reason"), F.col("source").alias("dropped"), F.when(flipped, F.col("reverse")).otherwise(F.col("parent")).alias("kept"))
+
+
 def _override_state(edges: DataFrame, overrides: DataFrame) -> DataFrame:
     """Per unordered pair (x <= y): fold of its overrides in order over the state of its two
     directions, as structs (coefficient, derived_from) or null."""
@@ -315,16 +347,38 @@ def nearest_upstream(tree: DataFrame, meters: DataFrame, max_rounds: int = 64) -
     return found.join(tree.select("id", "root"), "id").select("up", F.col("id").alias("meter_id"), "root")
 
 
+#: Rules of `match_ids`, by rank.
+MATCH_RULES = ("exact", "normalised", "suffix", "transformed", "tail_in_building", "tail")
+
+
 def match_ids(wanted: DataFrame, known: DataFrame) -> DataFrame:
-    """(id, match, rule): the first rule of a cascade that finds a known id (meter_id, building,
-    quantity): equal; equal letters and digits; equal without energy suffix and M; equal tail in the
-    same building; equal tail in any building. wanted (id, building). The smallest id on a tie."""
-    bare = lambda c: F.upper(F.regexp_replace(c, r"[^0-9A-Za-zÅÄÖåäö]", ""))
-    loose = lambda c: F.regexp_replace(F.regexp_replace(bare(c), r"E$", ""), "VMM", "VM")
-    tail = lambda c: F.upper(F.regexp_extract(c, r"([0-9A-Za-zÅÄÖåäö]+)$", 1))
-    keys = lambda c: [F.col(c), bare(F.col(c)), loose(F.col(c)), F.concat_ws("|", F.col("building"), tail(F.col(c))), tail(F.col(c))]
-    spread = lambda df, c: df.select(F.col(c), F.posexplode(F.array(*keys(c))).alias("rank", "key")).where("key is not null and key <> ''")
-    hits = spread(wanted, "id").join(spread(known.withColumnRenamed("meter_id", "match"), "match"), ["rank", "key"])
-    best = hits.groupBy("id").agg(F.min(F.struct("rank", "match")).alias("b"))
-    rule = F.element_at(F.array(*map(F.lit, ("exact", "normalised", "suffix", "tail_in_building", "tail"))), F.col("b.rank") + 1)
+    """(id, match, rule): the known id that the first rule of a cascade finds, the smallest on a tie.
+
+    Rules: the same id; the same ASCII letters and digits, whatever their case; the id with a suffix
+    added or taken away; the id after a known change of its form (VM and VMM, a dot for the first dash,
+    no system code between dashes, underscores and dashes); the same letters and digits behind the
+    building prefix in the same building, then in any. An id of another quantity counts only if none
+    of the wanted quantity is found, as "other_quantity". wanted (id, building, quantity or null),
+    known (meter_id, building, quantity).
+    """
+    norm = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z0-9]", ""))
+    tail = lambda c: norm(F.regexp_replace(c, r"^B\d+[A-Z]?[^0-9A-Za-z]+", ""))
+    i = F.col("id")
+    # fixed values: suffixes that ids gain or lose
+    suffixes = [F.concat(i, F.lit(x)) for x in ("_E", "_V", "-S", "-1", "_1_1", "-A1", "-B1")] + [F.when(i.rlike("_[EV]$"), F.regexp_replace(i, "_[EV]$", ""))]
+    forms = [
+        F.regexp_replace(i, r"VMM(\d)", "VM$1"), F.regexp_replace(i, r"VM(\d)", "VMM$1"), F.regexp_replace(i, "^([^-]*)-", "$1."),
+        F.regexp_replace(i, r"-\d+-", "-"), F.translate(i, "-", "_"), F.translate(i, "_", "-"),
+    ]
+    keys = lambda c, two, three: F.array(
+        *(F.struct(F.lit(r).alias("rank"), k.alias("key")) for r, k in [(0, c), (1, norm(c)), *((2, x) for x in two), *((3, x) for x in three)]),
+        F.struct(F.lit(4).alias("rank"), F.concat_ws("|", "building", tail(c)).alias("key")), F.struct(F.lit(5).alias("rank"), tail(c).alias("key")),
+    )
+    m = F.col("meter_id")
+    have = known.select("meter_id", "quantity", F.explode(keys(m, [m], [m])).alias("k")).groupBy("k.rank", "k.key", "quantity").agg(F.min("meter_id").alias("match"))
+    have = have.withColumnRenamed("quantity", "found_quantity")
+    want = wanted.select("id", "quantity", F.explode(keys(i, suffixes, forms)).alias("k")).select("id", "quantity", "k.*").where("key is not null and key <> ''")
+    other = F.coalesce(F.col("quantity") != F.col("found_quantity"), F.lit(False))
+    best = want.join(have, ["rank", "key"]).groupBy("id").agg(F.min(F.struct(other.alias("other"), "rank", "match")).alias("b"))
+    rule = F.when(F.col("b.other"), "other_quantity").otherwise(F.element_at(F.array(*map(F.lit, MATCH_RULES)), F.col("b.rank") + 1))
     return best.select("id", F.col("b.match").alias("match"), rule.alias("rule"))

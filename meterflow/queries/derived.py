@@ -88,6 +88,39 @@ def d8_materialize(s):
     return op.materialize(refs_of(s), base_of(s))
 
 
+# references with faults: two sources, no window, a window that ends before it starts
+FAULTY = """faulty as (select timeseries_id, aggregation, case when k % 30 = 2 then null else valid_from end as valid_from, case when k % 35 = 3 then date '2024-01-03' else valid_to end as valid_to,
+    case when k % 20 = 0 then concat(sources, '|', sources) else sources end as sources from (select *, cast(regexp_extract(timeseries_id, '[0-9]+', 0) as int) as k from derived_refs) x)"""
+
+
+@R.query(f"""with {LATEST}, {FAULTY}, one as (select *, len(string_split(sources, '|')) as n from faulty where aggregation in ('slice', 'bracket', 'interpolate')),
+    w as (select * from one where n = 1 and aggregation <> 'slice'),
+    e as (select w.timeseries_id, w.aggregation, max(b.timestamp) filter (b.timestamp < w.valid_from) as lo, min(b.timestamp) filter (b.timestamp >= w.valid_to) as hi
+          from w left join latest b on b.timeseries_id = w.sources where w.valid_from is not null and w.valid_to is not null group by 1, 2)
+    select timeseries_id, 'needs one source' as issue from one where n <> 1 union all select timeseries_id, 'needs a window' from w where valid_from is null or valid_to is null
+    union all select timeseries_id, 'no anchor' from e where lo is null or hi is null union all select timeseries_id, 'no span' from e where aggregation = 'interpolate' and cast(hi as date) <= cast(lo as date)""")
+def d8_issues(s):
+    k = F.regexp_extract("timeseries_id", "[0-9]+", 0).cast("int")
+    refs = s.derived_refs.select(
+        "timeseries_id", "aggregation", F.when(k % 30 != 2, F.col("valid_from")).alias("valid_from"), F.when(k % 35 == 3, F.lit("2024-01-03").cast("date")).otherwise(F.col("valid_to")).alias("valid_to"),
+        split_list(F.when(k % 20 == 0, F.concat("sources", F.lit("|"), "sources")).otherwise(F.col("sources"))).alias("sources"),
+    )
+    return op.issues(refs, latest_correction(s.readings))
+
+
+# sums that read a slice
+STACKED = "stacked as (select concat('N', u) as timeseries_id, concat('M', u, '.x') as source from users where u % 5 = 0)"
+
+
+@R.query(f"""with {BASE}, {STACKED}, st as (select k.timeseries_id, b.timestamp, b.value - lag(b.value) over (partition by k.timeseries_id order by b.timestamp) as delta from stacked k join slices b on b.timeseries_id = k.source)
+    select timeseries_id, timestamp, value from slices union all select timeseries_id, timestamp, sum(greatest(delta, 0)) over (partition by timeseries_id order by timestamp) from st where delta is not null""")
+def d8_sums_of_slices(s):
+    sliced = refs_of(s).where("aggregation = 'slice'").select("timeseries_id", "aggregation", "valid_from", "valid_to", "sources")
+    day = F.lit(None).cast("date")
+    stacked = s.users.where("u % 5 = 0").select(F.concat(F.lit("N"), "u").alias("timeseries_id"), F.lit("sum").alias("aggregation"), day.alias("valid_from"), day.alias("valid_to"), F.array(F.concat(F.lit("M"), "u", F.lit(".x"))).alias("sources"))
+    return op.materialize(sliced.unionByName(stacked), base_of(s))
+
+
 @R.query(f"with {BASE} select timeseries_id, aggregation, valid_from, valid_to, cast(n_sources as int) as n_sources, cast(position as int) as position, source from src")
 def d9_explode_sources(s):
     return op.explode_sources(refs_of(s))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+from meterflow.functions.temporal import valid_at
 from meterflow.operators import flow as op
+from meterflow.plans.stage import new_path, staged
 from meterflow.queries.registry import Registry
+from meterflow.streaming.flow import run_once
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
@@ -63,8 +68,6 @@ def flow_of(s):
 
 
 def net_of(s):
-    from meterflow.plans.stage import staged
-
     return op.meter_net(staged(flow_of(s), "flow"), s.relations)
 
 
@@ -84,7 +87,7 @@ def c2_measured_flow(s):
     and timestamp >= timestamp '2024-01-05 00:00:00' and timestamp < timestamp '2024-01-20 00:00:00') x where delta is not null""")
 def c3_counter_rate(s):
     series = s.users.where("u % 2 = 0").select(F.concat(F.lit("T"), "u").alias("timeseries_id"))
-    return op.counter_rate(op.latest_correction(s.readings), series, "2024-01-05", "2024-01-20")
+    return op.counter_rate(s.readings, series, "2024-01-05", "2024-01-20", corrected=True)
 
 
 @R.query("""select r.timeseries_id, r.timestamp, r.value, r.recorded_at, s.meter_id, t.aggregate, t.reading_type, t.kind
@@ -131,6 +134,52 @@ def c10_subtree_rollup(s):
     return op.subtree_rollup(measured_of(s), s.relations)
 
 
+# the same over the line items' counters, some hundred times as many rows
+LINES = {"readings": "line_readings", "refs": "line_refs", "sensors": "line_sensors", "relations": "line_relations"}
+
+
+def over_lines(sql: str) -> str:
+    return re.sub(rf"\b({'|'.join(LINES)})\b", lambda m: LINES[m[0]], sql)
+
+
+@R.query(over_lines(f"with {MEASURED} select * from measured"))
+def c2_measured_lines(s):
+    return op.measured_flow(s.line_readings, s.line_refs, s.line_sensors)
+
+
+@R.query(over_lines(f"with recursive {FLOW} select * from flow"))
+def c6_line_flow(s):
+    return op.meter_flow(c2_measured_lines(s), s.line_relations)
+
+
+@R.query(over_lines(f"with recursive {NET} select * from net"))
+def c9_line_net(s):
+    return op.meter_net(staged(c6_line_flow(s), "flow"), s.line_relations)
+
+
+@R.query("""select r.timeseries_id, r.timestamp, m.meter_id, (m.valid_from is null or m.valid_from <= r.timestamp) and (m.valid_to is null or m.valid_to > r.timestamp) as valid
+    from readings r join meters m on substr(m.meter_id, 2) = substr(r.timeseries_id, 2) where r.recorded_at is null""")
+def c11_validity_mask(s):
+    """Every reading with whether its meter's window holds its time."""
+    m = s.meters.select("meter_id", "valid_from", "valid_to", F.concat(F.lit("T"), F.expr("substr(meter_id, 2)")).alias("timeseries_id"))
+    rows = s.readings.where("recorded_at is null").join(m, "timeseries_id")
+    return rows.select("timeseries_id", "timestamp", "meter_id", valid_at(F.col("timestamp"), F.col("valid_from"), F.col("valid_to")).alias("valid"))
+
+
+@R.query(f"""with {LATEST} select timeseries_id, timestamp, delta from (
+    select timeseries_id, timestamp, value - lag(value) over (partition by timeseries_id order by timestamp) as delta from latest) x where delta is not null""")
+def x1_measured_flow_stream(s):
+    """All readings through the stream, in three files that follow each other in time; a reading far
+    ahead moves the watermark on, so that the last ones are due."""
+    inbox = new_path(s.spark, "inbox")
+    readings = s.readings.select("timeseries_id", "timestamp", "value", "recorded_at")
+    readings.write.parquet(inbox)
+    ahead = readings.agg(F.max("timestamp").alias("t"))
+    for days in (30, 60):
+        ahead.select(F.lit("").alias("timeseries_id"), (F.col("t") + F.make_interval(days=F.lit(days))).alias("timestamp"), F.lit(0.0).alias("value"), F.lit(None).cast("timestamp").alias("recorded_at")).write.mode("append").parquet(inbox)
+    return run_once(s.spark, inbox).where("timeseries_id <> ''")
+
+
 @R.query(f"with {MEASURED} select meter_id, cast(date_trunc('month', timestamp) as date) as month, sum(delta) as delta from measured group by 1, 2")
 def c12_monthly_delta(s):
     return op.monthly_delta(measured_of(s))

@@ -117,7 +117,18 @@ def dipped_of(s):
     return op.daily_delta(quiet_of(s).withColumn("v_last", F.when(dip, 1.0).otherwise(F.col("v_last"))))
 
 
-@R.query()
+BACK = "abs(a{0} - prev) < abs(v_last - prev) * 0.1"
+
+
+@R.query(f"""with recursive {EVENTS}, dq as (select meter_id, day, case when cast(substr(meter_id, 2) as int) % 5 = 3 and day(day) % 9 < 2 and day(day) > 5 then 1.0 else v_last end as v_last from q),
+    dw as (select *, row_number() over w as i, lag(v_last) over w as prev, lead(day) over w as next_day, {", ".join(f"lead(v_last, {k}) over w as a{k}, lead(day, {k}) over w as d{k}" for k in range(1, 7))}
+           from dq window w as (partition by meter_id order by day)),
+    dk as (select *, case {" ".join(f"when {BACK.format(k)} then {k}" for k in range(1, 6))} end as k, case {" ".join(f"when {BACK.format(k)} then coalesce(d{k + 1}, d{k})" for k in range(1, 6))} end as glitch_end
+           from dw where v_last - prev < -100 and next_day is not null),
+    df as (select * from dk where k is not null and not exists (select 1 from merged m where m.meter_id = dk.meter_id and m.swap_date = dk.day)),
+    dn as (select x.meter_id, x.i, min(y.i) as after from df x left join df y on y.meter_id = x.meter_id and y.i > x.i + x.k group by 1, 2),
+    picked as (select meter_id, min(i) as i from df group by 1 union all select p.meter_id, dn.after from picked p join dn on dn.meter_id = p.meter_id and dn.i = p.i where dn.after is not null)
+    select df.meter_id, day as swap_date, 'glitch' as event_type, prev as old_last_value, glitch_end from df join picked on picked.meter_id = df.meter_id and picked.i = df.i""")
 def e12_glitches(s):
     return op.glitches(dipped_of(s), merged_of(s))
 
@@ -192,6 +203,12 @@ def e17_quality_scan(s):
     return op.quality_scan(quiet_of(s))
 
 
+@R.query(f"""with {QUIET}, r as (select *, sum(case when delta <> 0 or day(day) not between 4 and 25 then 1 else 0 end) over (partition by meter_id order by day) as run from q),
+    f as (select meter_id, run from r where delta = 0 and day(day) between 4 and 25 group by 1, 2 having count(*) >= 4) select meter_id, 'flat_run' as flag, count(*) as n from f group by 1""")
+def e17_flat_runs_in_season(s):
+    return op.quality_scan(quiet_of(s), active=F.dayofmonth("day").between(4, 25)).where("flag = 'flat_run'")
+
+
 @R.query("""with d as (select meter_id, day from timeseries_daily where not (meter_id like 'X%3' and day(day) % 2 = 0) and not (meter_id like 'X%4' and day(day) > 12)),
     g as (select meter_id, day, date_diff('day', lag(day) over (partition by meter_id order by day), day) as gap from d),
     m as (select meter_id, median(gap) as gap, max(day) as last from g group by 1)

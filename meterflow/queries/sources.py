@@ -1,16 +1,59 @@
-"""Queries S4-S18."""
+"""Queries S1-S18."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from meterflow.plans.stage import new_path
 from meterflow.queries.registry import Registry
+from meterflow.schemas import DEFAULTS, TABLES
 from meterflow.sources import reports, tables
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
 
 
+WORD = "case cast(substr(meter_id, 2) as int) % 6 when 0 then 'TRUE' when 1 then '' when 2 then 'No' when 3 then ' yes ' when 4 then '0' else 'odd' end"
+
+
+@R.query("""select meter_id, name, building_id, media_type_id, case cast(substr(meter_id, 2) as int) % 6 when 0 then true when 3 then true when 5 then null else false end as is_virtual_meter,
+    cast(null as varchar) as identifier, valid_from, cast(null as date) as valid_to from meters""")
+def s1_scan_table(s):
+    """A CSV file with Boolean words, empty cells and missing columns, read as the table of meters."""
+    path = new_path(s.spark, "meters.csv")
+    s.meters.select("meter_id", "name", "building_id", "media_type_id", F.expr(WORD).alias("is_virtual_meter"), F.col("valid_from").cast("string").alias("valid_from")).write.option("header", True).csv(path)
+    return tables.scan_table(s.spark, path, tables.schema_of("meters"), DEFAULTS["meters"])
+
+
+@R.query("select sources, timeseries_id, cast(valid_from as varchar) as valid_from, aggregation from derived_refs")
+def s2_write_table(s):
+    """What is written, as text cell by cell: lists joined by pipes, nulls empty, columns in the order asked for."""
+    path = new_path(s.spark, "refs.csv")
+    tables.write_table(s.derived_refs.withColumn("sources", tables.split_list(F.col("sources"))), path, ["sources", "timeseries_id", "valid_from", "aggregation"])
+    return s.spark.read.option("header", True).csv(path)
+
+
+STORED = {"campuses": "campuses", "buildings": "buildings", "zones": "zones", "meters": "meters", "meter_relations": "relations", "sensors": "sensors", "readings": "readings"}
+
+
+COLUMNS = {n: ",".join(c.split()[0] for c in ddl.split(", ")) for n, ddl in TABLES.items()}
+
+
+@R.query(" union all ".join(
+    f"select '{n}' as name, '{c}' as columns, " + (f"(select count(*) from {STORED[n]}) as n" if n in STORED else "cast(0 as bigint) as n") for n, c in COLUMNS.items()
+))
+def s3_load_dataset(s):
+    """Rows and columns of the 13 tables of a folder that lacks some of the files."""
+    folder = new_path(s.spark, "dataset")
+    for name, fixture in STORED.items():
+        tables.write_table(getattr(s, fixture), f"{folder}/{name}.csv")
+    loaded = tables.load_dataset(s.spark, folder)
+    rows = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), F.lit(",".join(df.columns)).alias("columns"), "n") for name, df in loaded.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 @R.query("""select parent_meter_id, child_meter_id, relation_type, flow_coefficient, valid_from, cast(null as date) as valid_to, derived_from from relations""")
 def s4_typed_dates(s):
     text = s.relations.select(*(F.col(c).cast("string").alias(c) for c in s.relations.columns)).withColumn("valid_to", F.lit(""))
@@ -100,15 +143,18 @@ def s10_unpivot_months(s):
     return reports.unpivot_months(cells, "meter_id", {"jan": "2024-01", "feb": "2024-02"})
 
 
-@R.query("""with l as (select u, case u % 8 when 0 then concat(' ', u % 90, ' ') when 1 then concat('b', u % 90, 'a (T)') when 2 then concat('Summa ', u) when 3 then concat('B', u % 90, '.VP1_VMM61')
-        when 4 then concat(u, ':1') when 5 then 'Intag 1' when 6 then 'Parkering' else concat(u, 'C') end as label from users)
-    select label, case when u % 8 = 0 then concat('B', u % 90) when u % 8 = 1 then concat('B', u % 90, 'A') when u % 8 = 7 then concat('B', u, 'C') end as building_id from l""")
+# labels of every kind: what they are made of, and the id they stand for
+LABELS = [
+    ("concat(' ', u % 90, ' ')", "concat('B', u % 90)"), ("concat('B', u % 90, 'A (T)')", "concat('B', u % 90, 'A')"), ("concat(u % 90, ' (T)')", "concat('B', u % 90)"),
+    ("concat('Summa ', u)", "null"), ("concat('B', u % 90, '.VP1_VMM61')", "null"), ("concat(u, '-A')", "concat('B', u, '-A')"), ("concat('Intagsmätare ånga B', u % 7, ' ny')", "concat('B', u % 7)"),
+    ("'INTAGSMÄTARE'", "'BINTAGSMÄTARE'"), ("'parkering'", "'BPARKING'"), ("concat('B', u, ' Norra')", "concat('B', u, ' Norra')"), ("concat(u, ' (I&L)')", "null"), ("'Trädgård'", "null"), ("concat(u, 'c')", "concat('B', u, 'c')"),
+]
+LABEL, LABEL_ID = ("case u % 13 " + " ".join(f"when {i} then {x[k]}" for i, x in enumerate(LABELS)) + " end" for k in (0, 1))
+
+
+@R.query(f"select {LABEL} as label, {LABEL_ID} as building_id from users")
 def s11_building_id(s):
-    u = F.col("u")
-    text = [F.concat(F.lit(" "), u % 90, F.lit(" ")), F.concat(F.lit("b"), u % 90, F.lit("a (T)")), F.concat(F.lit("Summa "), u), F.concat(F.lit("B"), u % 90, F.lit(".VP1_VMM61")),
-            F.concat(u, F.lit(":1")), F.lit("Intag 1"), F.lit("Parkering"), F.concat(u, F.lit("C"))]
-    label = F.get(F.array(*text), (u % 8).cast("int"))
-    return s.users.select(label.alias("label")).withColumn("building_id", reports.building_id_of(F.col("label")))
+    return s.users.select(F.expr(LABEL).alias("label")).withColumn("building_id", reports.building_id_of(F.col("label")))
 
 
 TOTALS = "totals as (select building_id, month, value, 1 as position from reported union all select building_id, month, case when month = '2024-02' then -value else value - 1 end, 2 from reported)"

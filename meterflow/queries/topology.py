@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meterflow.operators import topology as op
 from meterflow.plans.components import connected_components
+from meterflow.plans.stage import staged
 from meterflow.queries.registry import Registry
 from meterflow.sources.reports import building_id_of
 
@@ -44,11 +45,20 @@ def names_of(s):
     return one.unionByName(two).unionByName(s.users.where("u % 25 = 0").select("u", F.concat(F.lit("loose "), u).alias("meter_id"), F.lit("accounts").alias("source")))
 
 
-@R.query(f"""with {NAMES}, d as (select distinct meter_id, regexp_replace(meter_id, '^(B\\d+[A-Z]?)-([A-ZÅÄÖ]+\\d*)-(VM{{1,2}}\\d+)', '\\1.\\2_\\3') as m from names)
-    select meter_id, {canon("meter_id")} as plain, {canon("m")} as dashed from d""")
+def loose(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '_E$', ''), '\\.([0-9A-Za-z_À-ÖØ-öø-ÿ]+?)_VM([0-9]+)$', '.\\1_VMM\\2')"
+
+
+DOTTED = "case when contains(meter_id, '-') and not contains(meter_id, '.') then concat(split_part(meter_id, '-', 1), '.', replace(substr(meter_id, strpos(meter_id, '-') + 1), '-', '_')) else meter_id end"
+
+
+@R.query(f"""with {NAMES}, d as (select distinct meter_id, {DOTTED} as m from (select meter_id from names union all select concat('B', u, case when u % 2 = 0 then '-KB2' else '.X_E' end) from users) x)
+    select meter_id, {canon("meter_id")} as plain, {loose("meter_id")} as loose, {loose("m")} as dashed from d""")
 def t1_canonical_meter_id(s):
     m = F.col("meter_id")
-    return names_of(s).select("meter_id", op.canonical_meter_id(m).alias("plain"), op.canonical_meter_id(m, dashes=True).alias("dashed")).distinct()
+    more = s.users.select(F.concat(F.lit("B"), "u", F.when(F.col("u") % 2 == 0, "-KB2").otherwise(".X_E")).alias("meter_id"))
+    ids = names_of(s).select("meter_id").union(more).distinct()
+    return ids.select("meter_id", op.canonical_meter_id(m).alias("plain"), op.canonical_meter_id(m, "any").alias("loose"), op.canonical_meter_id(m, "dashes").alias("dashed"))
 
 
 @R.query(f"with {PARSED} select * from parsed")
@@ -135,11 +145,30 @@ def candidates_of(s):
     return a.unionByName(b).unionByName(c).where("p <> c").groupBy("rank").agg(F.min("p").alias("from_meter"), F.min("c").alias("to_meter"))
 
 
-@R.query()
+CU = "cast(substr(child_meter_id, 2) as int)"
+CANDIDATES = f"""ce as (select parent_meter_id as p, child_meter_id as c, {CU} as u, derived_from as d from relations),
+    cl as (select p, c, u * 10 + case when d = 'tree' then 0 else 5 end as rank from ce where u % 4 <> 1
+           union all select c, p, u * 10 - 17 from ce where u % 5 = 2 and d = 'tree' union all select concat('M', u * 7 % 40), c, u + 100000 from ce where d = 'tree'),
+    cand as (select rank, min(p) as f, min(c) as t from cl where p <> c group by 1),
+    turn as (select *, row_number() over (order by rank) as i from cand),
+    state as (select cast(0 as bigint) as i, cast([] as varchar[]) as kept, cast([] as varchar[]) as kids, cast(null as bigint) as rank, cast(null as varchar) as f, cast(null as varchar) as t, false as accepted
+        union all select n.i, case when n.ok then list_append(n.kept, concat(n.f, '>', n.t)) else n.kept end, case when n.ok then list_append(n.kids, n.t) else n.kids end, n.rank, n.f, n.t, n.ok
+        from (select x.i, s.kept, s.kids, x.rank, x.f, x.t, not list_contains(s.kids, x.t) and not list_contains(s.kept, concat(x.t, '>', x.f)) as ok from state s join turn x on x.i = s.i + 1) n)"""
+
+
+@R.query(f"with recursive {CANDIDATES} select f as from_meter, t as to_meter, rank, accepted from state where i > 0")
 def t9_merge_candidates(s):
     return op.merge_candidates(candidates_of(s))
 
 
+@R.query(f"""with recursive {CANDIDATES}, m as (select *, concat('L', rank % 10) as source from state where i > 0), k as (select * from m where accepted)
+    select m.f as from_meter, m.t as to_meter, m.rank, case when r.f is not null then 'reverse-direction' else 'child already has parent' end as reason, m.source as dropped, coalesce(r.source, k.source) as kept
+    from m left join k r on r.f = m.t and r.t = m.f and r.rank < m.rank left join k on k.t = m.t where not m.accepted and not exists (select 1 from k x where x.f = m.f and x.t = m.t)""")
+def t9_dropped_candidates(s):
+    c = staged(candidates_of(s).withColumn("source", F.concat(F.lit("L"), F.col("rank") % 10)), "candidates")
+    return op.dropped_candidates(c, op.merge_candidates(c))
+
+
 def overrides_of(s):
     u = F.col("u")
     action = F.when(u % 3 == 0, "add").when(u % 3 == 1, "remove").otherwise("force_direction")
@@ -155,12 +184,33 @@ def tree_of(s):
     return s.relations.where("derived_from = 'tree' and child_meter_id not like '%7'").select(F.col("parent_meter_id").alias("from_meter"), F.col("child_meter_id").alias("to_meter"), F.coalesce("flow_coefficient", F.lit(1.0)).alias("coefficient"), "derived_from")
 
 
-@R.query()
+OVERRIDES = f"""ou as (select u, cast(floor((u - 1) / 4.0) as bigint) as up, case when u % 2 = 0 then 0.5e0 end as k from users where u > 0),
+    ov as (select case u % 3 when 0 then 'add' when 1 then 'remove' else 'force_direction' end as action, up as f, u as t, k, u * 10 as position from ou where u % 2 = 1
+           union all select 'force_direction', u, up, k, u * 10 + 1 from ou where u % 5 = 2 union all select 'add', up, u, k, u * 10 + 2 from ou where u % 7 = 3),
+    opair as (select action, k, position, concat('M', f) as f, concat('M', t) as t, least(concat('M', f), concat('M', t)) as x, greatest(concat('M', f), concat('M', t)) as y from ov),
+    oturn as (select *, f = x as forward, row_number() over (partition by x, y order by position) as i from opair),
+    otree as (select parent_meter_id as f, child_meter_id as t, coalesce(flow_coefficient, 1.0) as k, derived_from as d from relations where derived_from = 'tree' and child_meter_id not like '%7'),
+    start as (select x, y, max(k) filter (f = x) as xk, max(d) filter (f = x) as xd, max(k) filter (f <> x) as yk, max(d) filter (f <> x) as yd
+        from (select x, y, null as f, null as k, null as d from opair union select least(f, t), greatest(f, t), f, k, d from otree) z group by 1, 2),
+    fold as (select x, y, xk, xd, yk, yd, cast(0 as bigint) as i, cast(null as bigint) as position, cast(null as varchar) as result from start
+        union all select x, y, case when forward then hk2 else bk2 end, case when forward then hd2 else bd2 end, case when forward then bk2 else hk2 end, case when forward then bd2 else hd2 end, i, position, result
+        from (select *, case when action = 'add' and hk is null then coalesce(k, 1.0) when action = 'remove' or action = 'force_direction' and hk is not null then null else hk end as hk2,
+                case when action = 'add' and hk is null then tag when action = 'remove' or action = 'force_direction' and hk is not null then null else hd end as hd2,
+                case when action = 'force_direction' and hk is not null then hk else bk end as bk2, case when action = 'force_direction' and hk is not null then concat(tag, ' [was ', hd, ']') else bd end as bd2,
+                case action when 'add' then case when hk is null then 'applied' else 'skipped (edge already present)' end
+                    when 'remove' then case when hk is null then 'error (edge not present to remove)' else concat('applied (removed ', hd, ')') end
+                    else case when hk is not null then 'applied (flipped edge)' when bk is not null then 'skipped (edge already in forced direction)' else 'error (no edge between these meters)' end end as result
+            from (select o.*, 'override_2024-01-02_me' as tag, case when forward then xk else yk end as hk, case when forward then xd else yd end as hd,
+                    case when forward then yk else xk end as bk, case when forward then yd else xd end as bd from fold g join oturn o on o.x = g.x and o.y = g.y and o.i = g.i + 1) w) v)"""
+
+
+@R.query(f"""with recursive {OVERRIDES}, final as (select * from fold qualify row_number() over (partition by x, y order by i desc) = 1)
+    select x as from_meter, y as to_meter, xk as coefficient, xd as derived_from from final where xk is not null union all select y, x, yk, yd from final where yk is not null""")
 def t10_apply_overrides(s):
     return op.apply_overrides(tree_of(s), overrides_of(s))[0]
 
 
-@R.query()
+@R.query(f"with recursive {OVERRIDES} select position, result from fold where i > 0")
 def t10_override_audit(s):
     return op.apply_overrides(tree_of(s), overrides_of(s))[1]
 
@@ -208,24 +258,24 @@ def t14_allocations_out(s):
     return op.allocations_out(t, building_id_of(label))
 
 
-# meters of one decade share a building; every fifth meter has lost its edge
-FIT = """fe as (select parent_meter_id as p, child_meter_id as c from relations where derived_from = 'tree' and cast(substr(child_meter_id, 2) as int) % 5 <> 3 and cast(substr(child_meter_id, 2) as int) < 60),
+# sixty meters share a building; every fifth meter has lost its edge
+FIT = """fe as (select parent_meter_id as p, child_meter_id as c from relations where derived_from = 'tree' and cast(substr(child_meter_id, 2) as int) % 5 <> 3),
     fv as (select meter_id, month, case when cast(substr(meter_id, 2) as int) < 15 then delta * 6 else delta end as delta from meter_monthly),
     kids as (select p, month, sum(delta) as k from fe join fv on meter_id = c group by 1, 2),
     resid as (select v.meter_id as p, v.month, v.delta - coalesce(k, 0) as r from fv v left join kids k on k.p = v.meter_id and k.month = v.month where v.meter_id in (select p from fe)),
     enough as (select p from resid group by 1 having count(*) >= 4),
     alone as (select * from fv where meter_id not in (select p from fe) and meter_id not in (select c from fe)),
     fits as (select r.p, a.meter_id as o, count(*) as months, sum(abs(r)) as before_, sum(abs(r - a.delta)) as after_ from resid r join alone a on a.month = r.month
-             and cast(substr(r.p, 2) as int) % 4 = cast(substr(a.meter_id, 2) as int) % 4 where r.p in (select p from enough) group by 1, 2),
+             and floor(cast(substr(r.p, 2) as int) / 60.0) = floor(cast(substr(a.meter_id, 2) as int) / 60.0) where r.p in (select p from enough) group by 1, 2),
     ok as (select *, (before_ - after_) / before_ as gain from fits where months >= 4 and before_ >= 5 and (before_ - after_) / before_ >= 0.05)"""
 
 
 @R.query(f"with {FIT} select p as from_meter, o as to_meter, gain as improvement, months from (select *, row_number() over (partition by o order by gain desc, p) as rn from ok) x where rn = 1")
 def t15_residual_fit(s):
     n = lambda c: F.expr(f"cast(substr({c}, 2) as int)")
-    e = s.relations.where("derived_from = 'tree'").where((n("child_meter_id") % 5 != 3) & (n("child_meter_id") < 60)).select(F.col("parent_meter_id").alias("from_meter"), F.col("child_meter_id").alias("to_meter"))
+    e = s.relations.where("derived_from = 'tree'").where(n("child_meter_id") % 5 != 3).select(F.col("parent_meter_id").alias("from_meter"), F.col("child_meter_id").alias("to_meter"))
     v = s.meter_monthly.withColumn("delta", F.when(n("meter_id") < 15, F.col("delta") * 6).otherwise(F.col("delta")))
-    b = s.meters.select("meter_id", (n("meter_id") % 4).alias("building"))
+    b = s.meters.select("meter_id", F.floor(n("meter_id") / 60.0).alias("building"))
     return op.residual_fit(e, v, b, min_months=4, threshold=0.05)
 
 
@@ -321,20 +371,27 @@ def t21_nearest_upstream(s):
     return op.nearest_upstream(tree, tree.select(F.col("id").alias("meter_id")).where("meter_id not like '%0'"))
 
 
-@R.query(f"""with {PARSED}, w as (select distinct meter_id as id, concat('B', cast(floor(u / 6.0) as int) + 100) as building from names),
-    k as (select distinct case when u % 3 = 0 then lower(replace(meter_id, '.', ' ')) when u % 3 = 1 then replace(meter_id, '_E', '') else concat('Q-', regexp_extract(meter_id, '([0-9A-Za-z]+)$', 1)) end as m,
-          concat('B', cast(floor(u / 6.0) as int) + 100) as building from names where u % 4 <> 2),
-    wk as (select id, 0 as r, id as key from w union all select id, 1, upper(regexp_replace(id, '[^0-9A-Za-zÅÄÖåäö]', '', 'g')) from w
-           union all select id, 2, replace(regexp_replace(upper(regexp_replace(id, '[^0-9A-Za-zÅÄÖåäö]', '', 'g')), 'E$', ''), 'VMM', 'VM') from w
-           union all select id, 3, concat(building, '|', upper(regexp_extract(id, '([0-9A-Za-zÅÄÖåäö]+)$', 1))) from w union all select id, 4, upper(regexp_extract(id, '([0-9A-Za-zÅÄÖåäö]+)$', 1)) from w),
-    kk as (select m, 0 as r, m as key from k union all select m, 1, upper(regexp_replace(m, '[^0-9A-Za-zÅÄÖåäö]', '', 'g')) from k
-           union all select m, 2, replace(regexp_replace(upper(regexp_replace(m, '[^0-9A-Za-zÅÄÖåäö]', '', 'g')), 'E$', ''), 'VMM', 'VM') from k
-           union all select m, 3, concat(building, '|', upper(regexp_extract(m, '([0-9A-Za-zÅÄÖåäö]+)$', 1))) from k union all select m, 4, upper(regexp_extract(m, '([0-9A-Za-zÅÄÖåäö]+)$', 1)) from k)
-    select id, m as match, ['exact', 'normalised', 'suffix', 'tail_in_building', 'tail'][r + 1] as rule from (
-        select id, m, r, row_number() over (partition by id order by r, m) as rn from (select distinct wk.id, kk.m, wk.r from wk join kk on kk.r = wk.r and kk.key = wk.key where wk.key <> '') y) x where rn = 1""")
+# known ids: drifted names of each kind, some in another building or of another quantity
+KNOWN = """case u % 8 when 0 then lower(replace(meter_id, '.', ' ')) when 1 then replace(meter_id, '_E', '') when 2 then concat(meter_id, '_V') when 3 then replace(meter_id, 'VMM', 'VM')
+    when 4 then concat('B999.', {rest}) when 5 then concat({b}, 'Z.', {rest}) when 6 then meter_id else concat('none', u) end"""
+B_SQL = "concat('B', cast(floor(u / 6.0) as int) + 100)"
+NORM, TAIL = "lower(regexp_replace({0}, '[^A-Za-z0-9]', '', 'g'))", "lower(regexp_replace(regexp_replace({0}, '^B[0-9]+[A-Z]?[^0-9A-Za-z]+', ''), '[^A-Za-z0-9]', '', 'g'))"
+SUFFIXES = ["concat(id, '" + x + "')" for x in ("_E", "_V", "-S", "-1", "_1_1", "-A1", "-B1")] + ["case when id like '%\\_E' escape '\\' or id like '%\\_V' escape '\\' then substr(id, 1, length(id) - 2) end"]
+FORMS = [r"regexp_replace(id, 'VMM([0-9])', 'VM\1', 'g')", r"regexp_replace(id, 'VM([0-9])', 'VMM\1', 'g')", r"regexp_replace(id, '^([^-]*)-', '\1.')", "regexp_replace(id, '-[0-9]+-', '-', 'g')", "replace(id, '-', '_')", "replace(id, '_', '-')"]
+PLAIN = [(0, "{0}"), (1, NORM), (4, "concat(building, '|', " + TAIL + ")"), (5, TAIL)]
+WANT_KEYS = " union all ".join(f"select id, quantity, {r} as rank, {k} as key from w" for r, k in [(r, k.format("id")) for r, k in PLAIN] + [(2, k) for k in SUFFIXES] + [(3, k) for k in FORMS])
+HAVE_KEYS = " union all ".join(f"select m, quantity, {r} as rank, {k} as key from k" for r, k in [(r, k.format("m")) for r, k in [*PLAIN, (2, "{0}"), (3, "{0}")]])
+
+
+@R.query(f"""with {NAMES}, w as (select distinct meter_id as id, {B_SQL} as building, case when u % 9 <> 1 then 'q' end as quantity from names),
+    k as (select distinct {KNOWN.format(rest="regexp_extract(meter_id, '^[^.-]*[.-](.*)$', 1)", b=B_SQL)} as m, case when u % 8 = 4 then 'B999' else {B_SQL} end as building, case when u % 8 = 6 then 'r' else 'q' end as quantity from names),
+    wk as ({WANT_KEYS}), hk as ({HAVE_KEYS}),
+    hit as (select wk.id, coalesce(wk.quantity <> hk.quantity, false) as other, wk.rank, hk.m from wk join hk on hk.rank = wk.rank and hk.key = wk.key where wk.key <> '')
+    select id, m as match, case when other then 'other_quantity' else ['exact', 'normalised', 'suffix', 'transformed', 'tail_in_building', 'tail'][rank + 1] end as rule
+    from hit qualify row_number() over (partition by id order by other, rank, m) = 1""")
 def t22_match_ids(s):
-    u = F.col("u")
-    b = F.concat(F.lit("B"), F.floor(u / 6.0).cast("int") + 100)
-    n = names_of(s)
-    m = F.when(u % 3 == 0, F.lower(F.replace("meter_id", F.lit("."), F.lit(" ")))).when(u % 3 == 1, F.replace("meter_id", F.lit("_E"), F.lit(""))).otherwise(F.concat(F.lit("Q-"), F.regexp_extract("meter_id", "([0-9A-Za-z]+)$", 1)))
-    return op.match_ids(n.select(F.col("meter_id").alias("id"), b.alias("building")).distinct(), n.where("u % 4 <> 2").select(m.alias("meter_id"), b.alias("building")).distinct())
+    n, q = names_of(s), F.when(F.col("u") % 9 != 1, "q")
+    m = F.expr(KNOWN.format(rest="regexp_extract(meter_id, '^[^.-]*[.-](.*)$', 1)", b=B_SQL))
+    wanted = n.select(F.col("meter_id").alias("id"), F.expr(B_SQL).alias("building"), q.alias("quantity")).distinct()
+    place = F.when(F.col("u") % 8 == 4, "B999").otherwise(F.expr(B_SQL))
+    return op.match_ids(wanted, n.select(m.alias("meter_id"), place.alias("building"), F.when(F.col("u") % 8 == 6, "r").otherwise("q").alias("quantity")).distinct())

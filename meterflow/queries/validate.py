@@ -89,7 +89,8 @@ rule(
     p as (select a as start, b as z, [a, b] as path, lo, hi from e where a <= b and lo < hi
           union all select p.start, e.b, list_append(p.path, e.b), greatest(p.lo, e.lo), least(p.hi, e.hi) from p join e on e.a = p.z
           where p.z <> p.start and (e.b = p.start or (e.b > p.start and not list_contains(p.path, e.b))) and greatest(p.lo, e.lo) < least(p.hi, e.hi))
-    select distinct 'no_cycles' as rule, array_to_string(path[1:len(path) - 1], '->') as subject from p where z = start""",
+    select 'no_cycles' as rule, array_to_string(path[1:len(path) - 1], '->') as subject from p where z = start
+    qualify row_number() over (partition by start order by len(path), path) = 1""",
     lambda s: op.no_cycles(edges_of(s)),
 )
 rule("v2_feeds_requires_k", f"with {EDGES} select 'feeds_requires_flow_coefficient' as rule, {EDGE} as subject from bad_edges where relation_type = 'feeds' and flow_coefficient is null", lambda s: op.feeds_requires_coefficient(edges_of(s)))

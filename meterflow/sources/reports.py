@@ -31,14 +31,26 @@ def unpivot_months(wide: DataFrame, id_col: str, months: dict[str, str]) -> Data
 
 
 def building_id_of(label: Column) -> Column:
-    """Building id of a report's row label, or null: summaries, sub-sections, intakes, parking and
-    meter-like labels are no buildings; a suffix (T) is dropped and the prefix B added."""
-    t = F.trim(label)
+    """Building id of a report's row label, or null for rows to skip.
+
+    Summaries and gardens are skipped; an intake's id is the last word with B and a digit in its
+    label; of labels with a bracket only those with (T) are buildings, without it; parking is
+    BPARKING; labels that start like a building but have a dot are meters and skipped; every other
+    label is kept, with the prefix B. Null and empty labels are null.
+    """
+    t = F.regexp_replace(label, r"^\s+|\s+$", "")
     low = F.lower(t)
-    bare = F.trim(F.regexp_replace(t, r"\(T\)\s*$", ""))
-    number = F.regexp_extract(bare, r"^[Bb]?(\d+[A-Za-z]?)$", 1)
-    no = low.startswith("sum") | low.startswith("tot") | low.contains("intag") | low.contains("park") | t.contains(":") | t.rlike(r"_VMM?\d|\.")
-    return F.when(t.isNull() | no | (number == ""), None).otherwise(F.concat(F.lit("B"), F.upper(number)))
+    words = F.filter(F.split(t, r"\s+"), lambda w: w.startswith("B") & w.rlike("[0-9]"))
+    bare = F.trim(F.substring_index(t, "(", 1))
+    in_brackets = F.trim(F.regexp_extract(t, r"^[^(]*\(([^)]*)\)", 1))
+    return (
+        F.when(t.isNull() | (t == "") | low.startswith("summa") | low.startswith("trädgård"), None)
+        .when(low.startswith("intagsmätare"), F.coalesce(F.get(words, F.size(words) - 1), F.concat(F.lit("B"), t)))
+        .when(t.contains("("), F.when(in_brackets == "T", F.when(bare.startswith("B"), bare).otherwise(F.concat(F.lit("B"), bare))))
+        .when(low == "parkering", "BPARKING")
+        .when(t.rlike("^B[0-9]"), F.when(~t.contains("."), t))
+        .otherwise(F.concat(F.lit("B"), t))
+    )
 
 
 def dedupe_totals(totals: DataFrame) -> DataFrame:

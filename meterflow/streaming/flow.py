@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from meterflow.plans.stage import new_path
+
 OUTPUT = "timeseries_id string, timestamp timestamp, delta double"
 
 
@@ -72,3 +74,20 @@ def measured_flow_stream(readings: DataFrame, lateness: str = "2 days") -> DataF
     return rows.withWatermark("timestamp", lateness).groupBy("timeseries_id").transformWithStateInPandas(
         statefulProcessor=DeltaProcessor(), outputStructType=StructType.fromDDL(OUTPUT), outputMode="Append", timeMode="EventTime"
     )
+
+
+def run_once(spark: SparkSession, inbox: str, lateness: str = "2 days") -> DataFrame:
+    """`measured_flow_stream` over the Parquet files in `inbox`, one at a time in the order of their
+    making, until all are read; the rows that came out by then."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        schema = spark.read.parquet(inbox).schema
+        stream = measured_flow_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox), lateness)
+        out, log = new_path(spark, "stream"), new_path(spark, "stream-checkpoint")
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", log).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return spark.read.schema(OUTPUT).parquet(out)
+    finally:
+        spark.conf.set(provider, before)

@@ -1,7 +1,11 @@
 """Reading and writing tables, fixtures, the stream, and the driver's contract."""
 
 import datetime as dt
+import os
 import re
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -56,10 +60,27 @@ def test_contract(spark):
         assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in queries} and "pipeline" in queries
 
 
-def test_core_stands_without_the_optional_part():
+def test_core_stands_without_the_optional_part(tmp_path):
     for path in (ROOT / "meterflow").rglob("*.py"):
         if "llm" not in path.parts:
             assert "meterflow.llm" not in path.read_text() and "corpus_pipeline" not in path.read_text()
+    count = "import __spark_entry__ as e; print(len(e.queries()), any(q.startswith('op1_') for q in e.queries()), e.llm is None)"
+
+    def run(*where):
+        env = os.environ | {"PYTHONPATH": os.pathsep.join(map(str, where))}
+        out = subprocess.run([sys.executable, "-c", count], cwd=where[0], env=env, capture_output=True, text=True, timeout=120)
+        assert out.returncode == 0, out.stderr
+        return out.stdout.split()
+
+    bare = tmp_path / "bare"
+    shutil.copytree(ROOT / "meterflow", bare / "meterflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", bare)
+    n = run(bare)
+    assert int(n[0]) > 120 and n[1:] == ["False", "True"]
+    # a dependency of the part is missing
+    (tmp_path / "hide").mkdir()
+    (tmp_path / "hide/regex.py").write_text("raise ModuleNotFoundError('hidden', name='regex')")
+    assert run(ROOT, tmp_path / "hide")[0] >= n[0]
 
 
 def test_oracles_agree_on_the_smallest_tables(spark):
