@@ -29,7 +29,8 @@ def monthly_conservation(edges: DataFrame, monthly: DataFrame, coefficients: boo
     sums = kids.groupBy("parent", "month").agg(F.sum(F.col("d") * k).alias("children"), F.count("*").alias("n_children"), F.count_if(F.col("d") == 0).alias("dead_children"))
     both = sums.join(one.withColumnRenamed("meter_id", "parent"), ["parent", "month"], "left").withColumn("delta", F.coalesce("d", F.lit(0.0)))
     residual = F.col("delta") - F.col("children")
-    return both.select("parent", "month", "delta", "children", residual.alias("residual"), F.when(F.col("delta") > 0.01, 100 * residual / F.col("delta")).alias("residual_pct"), "n_children", "dead_children")
+    pct = F.when(F.col("delta") > 0.01, 100 * residual / F.col("delta"))
+    return both.select("parent", "month", "delta", "children", residual.alias("residual"), pct.alias("residual_pct"), "n_children", "dead_children")
 
 
 def classify_conservation(rows: DataFrame) -> DataFrame:

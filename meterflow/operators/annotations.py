@@ -15,13 +15,16 @@ def resolve_targets(annotations: DataFrame, meters: DataFrame, buildings: DataFr
     m = meters.select("meter_id", "building_id")
     by_meter = of("meter").join(m, F.col("t") == m["meter_id"]).select("annotation_id", "meter_id", "building_id")
     by_building = of("building").withColumnRenamed("t", "building_id").join(m, "building_id", "left").select("annotation_id", "meter_id", "building_id")
-    by_campus = of("campus").withColumnRenamed("t", "campus_id").join(buildings.select("campus_id", "building_id"), "campus_id").join(m, "building_id", "left").select("annotation_id", "meter_id", "building_id")
+    by_campus = of("campus").withColumnRenamed("t", "campus_id").join(buildings.select("campus_id", "building_id"), "campus_id")
+    by_campus = by_campus.join(m, "building_id", "left").select("annotation_id", "meter_id", "building_id")
     series = refs.select("timeseries_id", "sensor_id").join(sensors.select("sensor_id", "meter_id"), "sensor_id").join(m, "meter_id")
     by_series = of("timeseries").join(series, F.col("t") == series["timeseries_id"]).select("annotation_id", "meter_id", "building_id")
     return by_meter.unionByName(by_building).unionByName(by_campus).unionByName(by_series).distinct()
 
 
-def annotations_view(annotations: DataFrame, meters: DataFrame, buildings: DataFrame, sensors: DataFrame, refs: DataFrame, selected: DataFrame, start: str, end: str, resolved: bool | None = None) -> DataFrame:
+def annotations_view(
+    annotations: DataFrame, meters: DataFrame, buildings: DataFrame, sensors: DataFrame, refs: DataFrame, selected: DataFrame, start: str, end: str, resolved: bool | None = None
+) -> DataFrame:
     """(annotation_id, category, starts, ends): annotations about the selected meters (meter_id) that
     overlap [start, end], clipped to it; open ends reach to it, and what begins and ends on one day
     or the next is shown at least a day long. `resolved` keeps one status."""

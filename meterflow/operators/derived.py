@@ -54,7 +54,8 @@ def endpoints(refs: DataFrame, readings: DataFrame, kind: str) -> DataFrame:
     ends = one.join(of, "source", "left").groupBy("timeseries_id", "source", "valid_from", "valid_to").agg(
         F.max_by(F.when(before, at), F.when(before, F.col("timestamp"))).alias("lo"), F.min_by(F.when(after, at), F.when(after, F.col("timestamp"))).alias("hi")
     )
-    return ends.select("timeseries_id", "source", "valid_from", "valid_to", F.col("lo.timestamp").alias("t_lo"), F.col("lo.value").alias("v_lo"), F.col("hi.timestamp").alias("t_hi"), F.col("hi.value").alias("v_hi"))
+    found = ["lo.timestamp as t_lo", "lo.value as v_lo", "hi.timestamp as t_hi", "hi.value as v_hi"]
+    return ends.selectExpr("timeseries_id", "source", "valid_from", "valid_to", *found)
 
 
 def brackets(refs: DataFrame, readings: DataFrame) -> DataFrame:

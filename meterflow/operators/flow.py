@@ -72,10 +72,13 @@ def feeds_paths(relations: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     feeds edges with the window in which all of them hold and the product of their coefficients; legs
     are the parents on it with the product from there on. Found level by level from the edges alone,
     until a level has none."""
-    feeds = relations.where("relation_type = 'feeds'").select("parent_meter_id", "child_meter_id", F.col("flow_coefficient").alias("c"), lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi"))
+    feeds = relations.where("relation_type = 'feeds'").select(
+        "parent_meter_id", "child_meter_id", F.col("flow_coefficient").alias("c"), lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi")
+    )
     edge = staged(feeds.where("lo < hi"), "feeds")
     leg = lambda parent, k: F.struct(parent.alias("parent"), k.alias("k"))
-    level = edge.select(F.col("parent_meter_id").alias("source"), F.col("child_meter_id").alias("meter_id"), F.col("c").alias("k"), "lo", "hi", F.array(leg(F.col("parent_meter_id"), F.col("c"))).alias("legs"))
+    first = F.array(leg(F.col("parent_meter_id"), F.col("c")))
+    level = edge.select(F.col("parent_meter_id").alias("source"), F.col("child_meter_id").alias("meter_id"), F.col("c").alias("k"), "lo", "hi", first.alias("legs"))
     hop = edge.select(F.col("parent_meter_id").alias("meter_id"), F.col("child_meter_id").alias("next"), "c", F.col("lo").alias("l2"), F.col("hi").alias("h2"))
     out = level
     for _ in range(max_hops - 1):

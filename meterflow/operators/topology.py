@@ -74,7 +74,8 @@ def role_edges(meters: DataFrame) -> DataFrame:
     first = meters.groupBy("building", "role").agg(F.min_by("meter_id", F.struct("vmm_index", "meter_id")).alias("from_meter"))
     rules = F.create_map(*(x for k, v in ROLE_FEEDS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
     parents = first.select("building", "from_meter", F.explode(rules[F.col("role")]).alias("role"))
-    return parents.join(meters.select("building", "role", F.col("meter_id").alias("to_meter")), ["building", "role"]).select("from_meter", "to_meter", F.lit("naming_role_hierarchy").alias("derived_from"))
+    children = meters.select("building", "role", F.col("meter_id").alias("to_meter"))
+    return parents.join(children, ["building", "role"]).select("from_meter", "to_meter", F.lit("naming_role_hierarchy").alias("derived_from"))
 
 
 def index_chain_edges(meters: DataFrame, gap: int = 2) -> DataFrame:
@@ -97,7 +98,8 @@ def principal_inlet(terms: DataFrame, primary_role: str) -> DataFrame:
     bucket = F.when(m.contains(f".{primary_role}_"), 0).when(m.rlike(r"\.VP\d*_"), 1).when(m.rlike(r"\.VS\d*_"), 2).when(m.rlike(r"\.Å\d*_"), 3).otherwise(4)
     index = F.when(bucket == 4, 0).otherwise(F.coalesce(F.regexp_extract(m, r"VMM(\d+)", 1).try_cast("int"), F.lit(999)))
     plus = terms.where("role = 'add'").withColumn("faktor", F.coalesce("faktor", F.lit(1.0)))
-    return plus.groupBy("building").agg(F.min_by(F.struct("meter_id", "faktor"), F.struct(bucket, index, "position")).alias("i")).select("building", F.col("i.meter_id").alias("inlet"), F.col("i.faktor").alias("factor"))
+    first = F.min_by(F.struct("meter_id", "faktor"), F.struct(bucket, index, "position"))
+    return plus.groupBy("building").agg(first.alias("i")).select("building", F.col("i.meter_id").alias("inlet"), F.col("i.faktor").alias("factor"))
 
 
 def accounting_edges(terms: DataFrame, primary_role: str, known: DataFrame | None = None) -> DataFrame:
@@ -107,7 +109,8 @@ def accounting_edges(terms: DataFrame, primary_role: str, known: DataFrame | Non
     t = terms.withColumn("meter_id", canonical_meter_id(F.col("meter_id"))).withColumn("faktor", F.coalesce("faktor", F.lit(1.0)))
     rows = t.where("role = 'sub'").join(principal_inlet(t, primary_role), "building").where("inlet <> meter_id")
     k = F.when(F.abs(F.col("faktor") - 1) > 1e-9, F.col("faktor")).otherwise(F.col("factor"))
-    edges = rows.select(F.col("inlet").alias("from_meter"), F.col("meter_id").alias("to_meter"), "building", F.regexp_extract("inlet", r"\.([A-ZÅÄÖ]+\d*)_", 1).alias("inlet_role"), k.alias("coefficient"))
+    role = F.regexp_extract("inlet", r"\.([A-ZÅÄÖ]+\d*)_", 1)
+    edges = rows.select(F.col("inlet").alias("from_meter"), F.col("meter_id").alias("to_meter"), "building", role.alias("inlet_role"), k.alias("coefficient"))
     if known is None:
         return edges.withColumn("dropped", F.lit(None).cast("string"))
     ids = known.select(F.col("meter_id").alias("from_meter")).distinct()
@@ -131,7 +134,8 @@ def merge_candidates(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
         ahead = rest.withColumn("a", first).withColumn("b", F.min("rank").over(pair))
         win = staged(ahead.where("rank = a and rank = b").select("from_meter", "to_meter", "rank"), "accepted")
         done = win if done is None else done.unionByName(win)
-        left = rest.join(win.select("to_meter"), "to_meter", "left_anti").join(win.select(F.col("from_meter").alias("to_meter"), F.col("to_meter").alias("from_meter")), ["from_meter", "to_meter"], "left_anti")
+        reverse = win.select(F.col("from_meter").alias("to_meter"), F.col("to_meter").alias("from_meter"))
+        left = rest.join(win.select("to_meter"), "to_meter", "left_anti").join(reverse, ["from_meter", "to_meter"], "left_anti")
         rest = staged(left.select("from_meter", "to_meter", "rank"), "undecided")
         if rest.isEmpty():
             return edges.join(done.select("rank", F.lit(True).alias("ok")), "rank", "left").select("from_meter", "to_meter", "rank", F.coalesce("ok", F.lit(False)).alias("accepted"))
@@ -158,8 +162,11 @@ def _override_state(edges: DataFrame, overrides: DataFrame) -> DataFrame:
     directions, as structs (coefficient, derived_from) or null."""
     pair = lambda df: df.withColumn("x", F.least("from_meter", "to_meter")).withColumn("y", F.greatest("from_meter", "to_meter"))
     edge = F.struct(F.col("coefficient").cast("double").alias("k"), F.col("derived_from").alias("d"))
-    state = pair(edges).groupBy("x", "y").agg(F.first(F.when(F.col("from_meter") == F.col("x"), edge), ignorenulls=True).alias("xy"), F.first(F.when(F.col("from_meter") != F.col("x"), edge), ignorenulls=True).alias("yx"))
-    todo = pair(overrides).groupBy("x", "y").agg(F.array_sort(F.collect_list(F.struct("position", "action", (F.col("from_meter") == F.col("x")).alias("forward"), F.col("coefficient").cast("double").alias("k"), F.concat(F.lit("override_"), F.col("date").cast("string"), F.lit("_"), "author").alias("tag")))).alias("ops"))
+    forward = F.col("from_meter") == F.col("x")
+    state = pair(edges).groupBy("x", "y").agg(F.first(F.when(forward, edge), ignorenulls=True).alias("xy"), F.first(F.when(~forward, edge), ignorenulls=True).alias("yx"))
+    tag = F.concat(F.lit("override_"), F.col("date").cast("string"), F.lit("_"), "author")
+    one = F.struct("position", "action", forward.alias("forward"), F.col("coefficient").cast("double").alias("k"), tag.alias("tag"))
+    todo = pair(overrides).groupBy("x", "y").agg(F.array_sort(F.collect_list(one)).alias("ops"))
     return state.join(todo, ["x", "y"], "full_outer")
 
 
@@ -188,18 +195,26 @@ def apply_overrides(edges: DataFrame, overrides: DataFrame) -> tuple[DataFrame,
         result = (
             F.when(act == "add", F.when(here.isNull(), "applied").otherwise("skipped (edge already present)"))
             .when(act == "remove", F.when(here.isNull(), "error (edge not present to remove)").otherwise(F.concat(F.lit("applied (removed "), F.coalesce(here["d"], F.lit("?")), F.lit(")"))))
-            .when(act == "force_direction", F.when(here.isNotNull(), "applied (flipped edge)").when(back.isNotNull(), "skipped (edge already in forced direction)").otherwise("error (no edge between these meters)"))
+            .when(
+                act == "force_direction",
+                F.when(here.isNotNull(), "applied (flipped edge)")
+                .when(back.isNotNull(), "skipped (edge already in forced direction)")
+                .otherwise("error (no edge between these meters)"),
+            )
             .otherwise("error (unknown action)")
         )
         log = F.array_append(a["log"], F.struct(o["position"].alias("position"), result.alias("result")))
         return F.struct(F.when(o["forward"], here2).otherwise(back2).cast(_EDGE).alias("xy"), F.when(o["forward"], back2).otherwise(here2).cast(_EDGE).alias("yx"), log.alias("log"))
 
-    start = F.struct(F.col("xy").cast(_EDGE).alias("xy"), F.col("yx").cast(_EDGE).alias("yx"), F.array().cast(f"array<struct<position:{overrides.schema['position'].dataType.simpleString()},result:string>>").alias("log"))
+    place = overrides.schema["position"].dataType.simpleString()
+    no_log = F.array().cast(f"array<struct<position:{place},result:string>>")
+    start = F.struct(F.col("xy").cast(_EDGE).alias("xy"), F.col("yx").cast(_EDGE).alias("yx"), no_log.alias("log"))
     rows = _override_state(edges, overrides)
     ops = F.coalesce("ops", F.array().cast(rows.schema["ops"].dataType))
     rows = staged(rows.select("x", "y", F.aggregate(ops, start, step).alias("s")), "overrides")
     sides = F.array(F.struct(F.col("x").alias("f"), F.col("y").alias("t"), F.col("s.xy").alias("e")), F.struct(F.col("y").alias("f"), F.col("x").alias("t"), F.col("s.yx").alias("e")))
-    out = rows.select(F.explode(sides).alias("r")).where("r.e is not null").select(F.col("r.f").alias("from_meter"), F.col("r.t").alias("to_meter"), F.col("r.e.k").alias("coefficient"), F.col("r.e.d").alias("derived_from"))
+    out = rows.select(F.explode(sides).alias("r")).where("r.e is not null")
+    out = out.selectExpr("r.f as from_meter", "r.t as to_meter", "r.e.k as coefficient", "r.e.d as derived_from")
     return out, rows.select(F.explode("s.log").alias("l")).select("l.position", "l.result")
 
 
@@ -209,7 +224,8 @@ def building_virtuals(terms: DataFrame, media: str, meters: DataFrame, edges: Da
     b = F.regexp_replace("building", r"[ ()]", "")
     t = terms.withColumn("virtual", F.concat(F.lit("B"), b, F.lit(f".{media}_BUILDING"))).withColumn("meter_id", canonical_meter_id(F.col("meter_id")))
     number = F.regexp_extract(b, r"^(\d+)", 1)
-    new = t.select(F.col("virtual").alias("meter_id"), F.when(number != "", number).otherwise(b).alias("building"), F.lit("virtual").alias("meter_type")).distinct().join(meters.select("meter_id"), "meter_id", "left_anti")
+    new = t.select(F.col("virtual").alias("meter_id"), F.when(number != "", number).otherwise(b).alias("building"), F.lit("virtual").alias("meter_type"))
+    new = new.distinct().join(meters.select("meter_id"), "meter_id", "left_anti")
     plus = F.col("role") == "add"
     rows = t.where("role in ('add', 'sub')").select(
         F.when(plus, F.col("meter_id")).otherwise(F.col("virtual")).alias("from_meter"), F.when(plus, F.col("virtual")).otherwise(F.col("meter_id")).alias("to_meter"),
@@ -227,7 +243,8 @@ def relation_type_of(edges: DataFrame) -> DataFrame:
     given = F.nullif(F.col("relation_type"), F.lit("")) if "relation_type" in edges.columns else F.lit(None).cast("string")
     kind = F.coalesce(given, F.when((F.abs(k - 1) > 1e-9) & (F.abs(k - 0.001) > 1e-9), "feeds").otherwise("hasSubMeter"))
     rows = edges.where(~F.coalesce(F.col("derived_from"), F.lit("")).startswith("building_virtual")).withColumn("kind", kind)
-    return rows.select(F.col("from_meter").alias("parent_meter_id"), F.col("to_meter").alias("child_meter_id"), F.col("kind").alias("relation_type"), F.when(F.col("kind") == "feeds", k).alias("flow_coefficient"))
+    parent, child = F.col("from_meter").alias("parent_meter_id"), F.col("to_meter").alias("child_meter_id")
+    return rows.select(parent, child, F.col("kind").alias("relation_type"), F.when(F.col("kind") == "feeds", k).alias("flow_coefficient"))
 
 
 def meters_out(meters: DataFrame, media: str) -> DataFrame:
@@ -236,14 +253,18 @@ def meters_out(meters: DataFrame, media: str) -> DataFrame:
     pair = lambda key, c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.concat(F.lit(f"{key}:"), c))
     return meters.where(~F.col("meter_id").endswith("_BUILDING")).select(
         "meter_id", F.col("meter_id").alias("name"), F.when(F.coalesce(F.col("building"), F.lit("")) != "", F.concat(F.lit("B"), "building")).alias("building_id"),
-        F.lit(media).alias("media_type_id"), (F.col("meter_type") == "virtual").alias("is_virtual_meter"), F.concat_ws("; ", pair("register", "register_id"), pair("label", "label")).alias("identifier"),
+        F.lit(media).alias("media_type_id"), (F.col("meter_type") == "virtual").alias("is_virtual_meter"),
+        F.concat_ws("; ", pair("register", "register_id"), pair("label", "label")).alias("identifier"),
     )
 
 
 def allocations_out(terms: DataFrame, building_id: Column) -> DataFrame:
     """(building_id, formula_row, sign, role, meter_id, faktor) of terms whose label is a building."""
     sign = F.when(F.col("role") == "add", "+").otherwise("-")
-    rows = terms.select(building_id.alias("building_id"), F.col("row").alias("formula_row"), sign.alias("sign"), "role", canonical_meter_id(F.col("meter_id")).alias("meter_id"), F.coalesce("faktor", F.lit(1.0)).alias("faktor"))
+    rows = terms.select(
+        building_id.alias("building_id"), F.col("row").alias("formula_row"), sign.alias("sign"), "role",
+        canonical_meter_id(F.col("meter_id")).alias("meter_id"), F.coalesce("faktor", F.lit(1.0)).alias("faktor"),
+    )
     return rows.where("building_id is not null")
 
 
