@@ -72,6 +72,8 @@ class Settings:
     #: buckets of more nodes are compared in blocks of about `block` nodes
     small: int = 12
     block: int = 256
+    #: most nodes (some 100 bytes each) whose ids are broadcast
+    broadcast_rows: int = 200_000
 
     @property
     def k(self) -> int:
@@ -329,7 +331,9 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     members = staged(entries.join(pivots, ["band", "hash"]), "members")
     release(sizes, entries, pivots)
     of_ids = staged(nodes.drop("bands").join(wanted, "node", "left_semi"), "wanted")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(of_ids, "id")
+    # texts meet the ids of nodes where they are, if these are few; else both are shuffled
+    here = F.broadcast(of_ids) if of_ids.count() <= s.broadcast_rows else of_ids
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(here, "id")
     units = staged(unit_elements(rows, s), "units")
     first_pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     compared = staged(similarities(first_pairs, units), "compared")
