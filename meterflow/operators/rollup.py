@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.temporal import month_of, valid_at
@@ -88,6 +88,20 @@ def compare_reported(reported: DataFrame, computed: DataFrame, reasons: DataFram
 
 #: Short labels of unit codes.
 UNIT_LABELS = {"KiloW-HR": "kWh", "MegaW-HR": "MWh", "M3": "m³"}
+#: What values of a unit are multiplied by to be comparable: energy in kWh, volume in cubic metres.
+UNIT_FACTORS = {"KiloW-HR": 1.0, "MegaW-HR": 1000.0, "M3": 1.0}
+
+
+def unit_factor(unit: Column) -> Column:
+    """The factor of a unit, null for others and for "mixed"."""
+    return F.coalesce(*(F.when(unit == code, k) for code, k in UNIT_FACTORS.items()))
+
+
+def rescaled(flow: DataFrame, units: DataFrame) -> DataFrame:
+    """`flow` (meter_id, timestamp, delta) in comparable units, by the units of `unit_of`; rows of meters
+    without a known unit have a null delta."""
+    k = units.select("meter_id", unit_factor(F.col("unit")).alias("k"))
+    return flow.join(k, "meter_id", "left").select("meter_id", "timestamp", (F.col("delta") * F.col("k")).alias("delta"))
 
 
 def unit_of(sensors: DataFrame, refs: DataFrame) -> DataFrame:

@@ -118,6 +118,12 @@ def q10_unit_of(s):
     return op.unit_of(s.sensors, s.refs)
 
 
+@R.query(f"""with {MEASURED}, w as (select meter_id, case when count(distinct unit) = 1 then min(unit) else 'mixed' end as unit from sensors group by 1)
+    select m.meter_id, m.timestamp, delta * case unit when 'KiloW-HR' then 1.0 when 'MegaW-HR' then 1000.0 when 'M3' then 1.0 end as delta from measured m left join w on w.meter_id = m.meter_id""")
+def q10_rescaled(s):
+    return op.rescaled(measured_of(s), op.unit_of(s.sensors, s.refs))
+
+
 DOWN = """down as (select meter_id from meters where meter_id in ('M1', 'M7')
         union select e.child_meter_id from down d join relations e on e.parent_meter_id = d.meter_id)"""
 
