@@ -67,11 +67,11 @@ def sub_total(relations: DataFrame, flow: DataFrame) -> DataFrame:
     return rows.groupBy("parent_meter_id", "timestamp").agg(F.sum(F.col("delta") * F.coalesce("flow_coefficient", F.lit(1.0))).alias("total"))
 
 
-def feeds_paths(relations: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
+def feeds_paths(relations: DataFrame, max_hops: int = MAX_HOPS, strict: bool = False) -> DataFrame:
     """(source, meter_id, k, lo, hi, legs array<struct<parent, k>>): every path of up to `max_hops`
     feeds edges with the window in which all of them hold and the product of their coefficients; legs
     are the parents on it with the product from there on. Found level by level from the edges alone,
-    until a level has none."""
+    until a level has none. Longer paths are left out, or raise if `strict`."""
     feeds = relations.where("relation_type = 'feeds'").select(
         "parent_meter_id", "child_meter_id", F.col("flow_coefficient").alias("c"), lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi")
     )
@@ -81,7 +81,7 @@ def feeds_paths(relations: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     level = edge.select(F.col("parent_meter_id").alias("source"), F.col("child_meter_id").alias("meter_id"), F.col("c").alias("k"), "lo", "hi", first.alias("legs"))
     hop = edge.select(F.col("parent_meter_id").alias("meter_id"), F.col("child_meter_id").alias("next"), "c", F.col("lo").alias("l2"), F.col("hi").alias("h2"))
     out = level
-    for _ in range(max_hops - 1):
+    for length in range(2, max_hops + 2 if strict else max_hops + 1):
         legs = F.array_append(F.transform("legs", lambda x: leg(x["parent"], x["k"] * F.col("c"))), leg(F.col("meter_id"), F.col("c")))
         step = level.join(hop, "meter_id").select(
             "source", F.col("next").alias("meter_id"), (F.col("k") * F.col("c")).alias("k"), F.greatest("lo", "l2").alias("lo"), F.least("hi", "h2").alias("hi"), legs.alias("legs")
@@ -89,11 +89,13 @@ def feeds_paths(relations: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
         level = staged(step.where("lo < hi"), "paths")
         if level.isEmpty():
             break
+        if length > max_hops:
+            raise ValueError(f"paths of more than {max_hops} feeds edges")
         out = out.unionByName(level)
     return out
 
 
-def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
+def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HOPS, strict: bool = False) -> DataFrame:
     """(meter_id, timestamp, delta): measured flow plus what feeds edges deliver.
 
     A feeds child gets coefficient times (the parent's row less the parent's sub-meters), for every
@@ -101,10 +103,10 @@ def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HO
     delivery over several edges is therefore the first parent's row times all coefficients, less the
     sub-meters of every parent on the way times the coefficients from there on. So paths are found on
     the edges, and the readings meet them in one join, whatever the depth; sub-meters' sums are joined
-    by (meter, time). Paths end after `max_hops` edges.
+    by (meter, time). Paths end after `max_hops` edges; with `strict`, longer ones raise.
     """
     measured = staged(measured, "measured")
-    paths = feeds_paths(relations, max_hops)
+    paths = feeds_paths(relations, max_hops, strict)
     subs = sub_total(relations, measured).withColumnRenamed("parent_meter_id", "parent")
     sent = measured.withColumnRenamed("meter_id", "source").join(paths, "source").where((F.col("lo") <= F.col("timestamp")) & (F.col("timestamp") < F.col("hi")))
     taken = sent.select("meter_id", "timestamp", F.explode("legs").alias("leg")).select("meter_id", "timestamp", "leg.*").join(subs, ["parent", "timestamp"])

@@ -23,26 +23,35 @@ OUTPUT = "timeseries_id string, timestamp timestamp, delta double"
 
 
 class DeltaProcessor(StatefulProcessor):
-    """State per series: the last emitted (time, value), and readings that still wait, by time."""
+    """State per series: the last emitted (time, value), readings that still wait, by time, and the
+    smallest time of these, for which the timer is set."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "at timestamp, value double")
         self.waiting = handle.getMapState("waiting", "at timestamp", "value double, recorded timestamp")
+        self.first = handle.getValueState("first", "at timestamp")
+
+    def _wait_for(self, at: pd.Timestamp | None) -> None:
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        if at is None:
+            self.first.clear()
+            return
+        self.first.update((at.to_pydatetime(),))
+        # pandas timestamps are in UTC; timers are in milliseconds
+        self.handle.registerTimer(int(at.timestamp() * 1000) + 1)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = pd.Timestamp(self.first.get()[0]) if self.first.exists() else None
         for part in rows:
             for at, value, recorded in zip(part["timestamp"], part["value"], part["recorded_at"]):
                 recorded = None if pd.isna(recorded) else recorded
                 old = self.waiting.getValue((at,)) if self.waiting.containsKey((at,)) else None
                 if old is None or old[1] is None or (recorded is not None and pd.Timestamp(recorded) >= pd.Timestamp(old[1])):
                     self.waiting.updateValue((at,), (float(value), recorded))
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        pending = [pd.Timestamp(k[0]) for k in self.waiting.keys()]
-        if pending:
-            # pandas timestamps are in UTC; timers are in milliseconds
-            self.handle.registerTimer(int(min(pending).timestamp() * 1000) + 1)
+                first = at if first is None else min(first, at)
+        self._wait_for(first)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -56,9 +65,7 @@ class DeltaProcessor(StatefulProcessor):
             self.waiting.removeKey((at.to_pydatetime(),))
         if due:
             self.last.update((before[0].to_pydatetime(), before[1]))
-        pending = [pd.Timestamp(k[0]) for k in self.waiting.keys()]
-        if pending:
-            self.handle.registerTimer(int(min(pending).timestamp() * 1000) + 1)
+        self._wait_for(min((pd.Timestamp(k[0]) for k in self.waiting.keys()), default=None))
         if out:
             yield pd.DataFrame(out, columns=["timeseries_id", "timestamp", "delta"])
 

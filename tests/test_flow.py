@@ -68,3 +68,15 @@ def test_closure_follows_windows_and_refuses_cycles(spark):
     loop = spark.createDataFrame([("A", "B", "feeds", 1.0, None, None, ""), ("B", "A", "feeds", 1.0, None, None, "")], EDGE)
     with pytest.raises(ValueError):
         op.closure(loop, max_depth=5)
+
+
+def test_long_deliveries_are_cut_or_refused(spark):
+    import pytest
+
+    chain = spark.createDataFrame([(f"N{i}", f"N{i + 1}", "feeds", 0.5, None, None, "t") for i in range(4)], EDGE)
+    flow = spark.createDataFrame([("N0", dt.datetime(2024, 1, 1), 16.0)], "meter_id string, timestamp timestamp, delta double")
+    got = {r.meter_id: r.delta for r in op.meter_flow(flow, chain, max_hops=3).collect()}
+    assert got == {"N0": 16.0, "N1": 8.0, "N2": 4.0, "N3": 2.0}
+    assert op.meter_flow(flow, chain, max_hops=4, strict=True).count() == 5
+    with pytest.raises(ValueError):
+        op.meter_flow(flow, chain, max_hops=3, strict=True)
