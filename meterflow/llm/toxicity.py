@@ -36,7 +36,7 @@ class Ftrl:
     beta: float = 1.0
     l1: float = 16.0
     l2: float = 1.0
-    epochs: int = 8
+    epochs: int = 4
     positive: float = 3.0
     min_rows: int = 3
     max_rows: int = 24_000
