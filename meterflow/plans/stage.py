@@ -29,12 +29,19 @@ def _on_disk(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+_folders: dict[tuple[str, str], str] = {}
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; what is written to it goes when the application ends."""
-    path = f"{shared_dir(spark)}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
-    fs, where = _on_disk(spark, path)
-    fs.deleteOnExit(where)
-    return path
+    """A new path in the application's folder in the shared folder; that goes when the application ends."""
+    key = (spark.sparkContext.applicationId, shared_dir(spark))
+    if key not in _folders:
+        folder = f"{key[1]}/meterflow-{key[0]}-{uuid.uuid4().hex}"
+        fs, where = _on_disk(spark, folder)
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+        _folders[key] = folder
+    return f"{_folders[key]}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -99,6 +99,30 @@ def test_oracles_agree_on_the_smallest_tables(spark):
         assert sorted(str(tuple(r[c] for c in cols)) for r in got) == want, name
 
 
+def test_written_tables_go_with_the_application(tmp_path):
+    """Each application has a folder of its own, emptied by `release` and gone at its end; without a
+    shared folder only local masters are served."""
+    code = f"""
+import os
+from pyspark.sql import SparkSession
+from meterflow.plans import stage
+spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').config('spark.checkpoint.dir', 'file://{tmp_path}/s').getOrCreate()
+one, two = stage.staged(spark.range(3), 'one'), stage.staged(spark.range(3), 'two')
+stage.release(one)
+(folder,) = [x for x in os.listdir('{tmp_path}/s') if x.startswith('meterflow-')]
+print(len(os.listdir('{tmp_path}/s/' + folder)), two.count())
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=180)
+    assert out.stdout.split() == ["1", "3"], out.stdout + out.stderr
+    assert not [x for x in os.listdir(tmp_path / "s") if x.startswith("meterflow-")]
+    from types import SimpleNamespace
+
+    from meterflow.plans.stage import shared_dir
+
+    with pytest.raises(ValueError):
+        shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077")))
+
+
 def test_stream_of_readings(spark, tmp_path):
     from meterflow.streaming.flow import measured_flow_stream
 
