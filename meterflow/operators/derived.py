@@ -126,9 +126,10 @@ def materialize(refs: DataFrame, readings: DataFrame) -> DataFrame:
     """Readings of all derived references, kind by kind: slices, sums, brackets, interpolations,
     rolling sums. Each kind reads raw series and what earlier kinds made."""
     cols = ["timeseries_id", "timestamp", "value"]
-    base = readings.select(*cols, "recorded_at")
-    made = staged(slices(refs, base).select(cols), "derived")
-    for kind in (sums, brackets, interpolations, rolling_sums):
-        have = base.select(cols).unionByName(made)
-        made = staged(made.unionByName(kind(refs, have).select(cols)), "derived")
+    have, made = readings.select(*cols), None
+    for kind in (slices, sums, brackets, interpolations, rolling_sums):
+        new = kind(refs, readings if kind is slices else have).select(cols)
+        # each kind is written once; the last one has no readers here
+        new = new if kind is rolling_sums else staged(new, "derived")
+        have, made = have.unionByName(new), new if made is None else made.unionByName(new)
     return made
