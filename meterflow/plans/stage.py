@@ -44,12 +44,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{_folders[key]}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """`df` written once as Parquet and read back: what follows neither recomputes it nor depends
-    on the executors that made it."""
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """`df` written once as Parquet, with the writer's `options`, and read back: what follows neither
+    recomputes it nor depends on the executors that made it."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
