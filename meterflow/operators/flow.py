@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.functions.temporal import FAR_FUTURE, FAR_PAST, lower, upper, valid_at
+from meterflow.functions.temporal import FAR_FUTURE, FAR_PAST, lower, upper
+from meterflow.plans.intervals import breakpoints, by_interval, located
+from meterflow.plans.paths import path_sums
 from meterflow.plans.stage import staged
 
 MAX_HOPS = 10
@@ -54,45 +56,36 @@ def enrich_readings(readings: DataFrame, refs: DataFrame, sensors: DataFrame) ->
     return readings.join(series, "timeseries_id")
 
 
-def _active(edges: DataFrame, flow: DataFrame, end: str) -> DataFrame:
-    """`flow` rows of the edges' `end` meters, with the edges active at their time."""
-    e = edges.select("parent_meter_id", "child_meter_id", "flow_coefficient", "valid_from", "valid_to")
-    rows = flow.withColumnRenamed("meter_id", end).join(e, end)
-    return rows.where(valid_at(F.col("timestamp"), F.col("valid_from"), F.col("valid_to")))
+def _windows(relations: DataFrame, kind: str | None, meter: str) -> DataFrame:
+    """(meter_id, other, k, lo, hi) of the edges of a kind (all if None), by their `meter` end."""
+    other = "child_meter_id" if meter == "parent_meter_id" else "parent_meter_id"
+    e = relations if kind is None else relations.where(F.col("relation_type") == kind)
+    e = e.select(F.col(meter).alias("meter_id"), F.col(other).alias("other"), F.col("flow_coefficient").alias("k"), lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi"))
+    return e.where("lo < hi")
+
+
+def _sub_rows(rows: DataFrame, subs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(parent_meter_id, timestamp, total): of every located row of a sub-meter its share in each parent."""
+    share = (F.col("delta") * F.coalesce("k", F.lit(1.0))).alias("total")
+    return rows.join(by_interval(subs, marks), ["meter_id", "since"]).select(F.col("other").alias("parent_meter_id"), "timestamp", share)
 
 
 def sub_total(relations: DataFrame, flow: DataFrame) -> DataFrame:
     """(parent_meter_id, timestamp, total): flow of the active sub-meters times coefficient (null = 1)."""
-    rows = _active(relations.where("relation_type = 'hasSubMeter'"), flow, "child_meter_id")
-    return rows.groupBy("parent_meter_id", "timestamp").agg(F.sum(F.col("delta") * F.coalesce("flow_coefficient", F.lit(1.0))).alias("total"))
+    subs = _windows(relations, "hasSubMeter", "child_meter_id")
+    marks = breakpoints(subs)
+    return _sub_rows(located(flow, marks), subs, marks).groupBy("parent_meter_id", "timestamp").agg(F.sum("total").alias("total"))
 
 
 def feeds_paths(relations: DataFrame, max_hops: int = MAX_HOPS, strict: bool = False) -> DataFrame:
-    """(source, meter_id, k, lo, hi, legs array<struct<parent, k>>): every path of up to `max_hops`
-    feeds edges with the window in which all of them hold and the product of their coefficients; legs
-    are the parents on it with the product from there on. Found level by level from the edges alone,
-    until a level has none. Longer paths are left out, or raise if `strict`."""
-    feeds = relations.where("relation_type = 'feeds'").select(
-        "parent_meter_id", "child_meter_id", F.col("flow_coefficient").alias("c"), lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi")
-    )
-    edge = staged(feeds.where("lo < hi"), "feeds")
-    leg = lambda parent, k: F.struct(parent.alias("parent"), k.alias("k"))
-    first = F.array(leg(F.col("parent_meter_id"), F.col("c")))
-    level = edge.select(F.col("parent_meter_id").alias("source"), F.col("child_meter_id").alias("meter_id"), F.col("c").alias("k"), "lo", "hi", first.alias("legs"))
-    hop = edge.select(F.col("parent_meter_id").alias("meter_id"), F.col("child_meter_id").alias("next"), "c", F.col("lo").alias("l2"), F.col("hi").alias("h2"))
-    out = level
-    for length in range(2, max_hops + 2 if strict else max_hops + 1):
-        legs = F.array_append(F.transform("legs", lambda x: leg(x["parent"], x["k"] * F.col("c"))), leg(F.col("meter_id"), F.col("c")))
-        step = level.join(hop, "meter_id").select(
-            "source", F.col("next").alias("meter_id"), (F.col("k") * F.col("c")).alias("k"), F.greatest("lo", "l2").alias("lo"), F.least("hi", "h2").alias("hi"), legs.alias("legs")
-        )
-        level = staged(step.where("lo < hi"), "paths")
-        if level.isEmpty():
-            break
-        if length > max_hops:
-            raise ValueError(f"paths of more than {max_hops} feeds edges")
-        out = out.unionByName(level)
-    return out
+    """(source, meter_id, length, lo, hi, n, k): of the paths of up to `max_hops` feeds edges their number
+    and the sum of the products of their coefficients, by length and by the window in which all edges
+    hold. Longer paths are left out, or raise if `strict`."""
+    feeds = _windows(relations, "feeds", "parent_meter_id").select(F.col("meter_id").alias("a"), F.col("other").alias("b"), "lo", "hi", "k")
+    paths = path_sums(feeds, max_hops + 1 if strict else max_hops)
+    if strict and not paths.where(F.col("length") > max_hops).isEmpty():
+        raise ValueError(f"paths of more than {max_hops} feeds edges")
+    return paths
 
 
 def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HOPS, strict: bool = False) -> DataFrame:
@@ -101,17 +94,32 @@ def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HO
     A feeds child gets coefficient times (the parent's row less the parent's sub-meters), for every
     row the parent has: a parent with several deliveries subtracts its sub-meters from each. A
     delivery over several edges is therefore the first parent's row times all coefficients, less the
-    sub-meters of every parent on the way times the coefficients from there on. So paths are found on
-    the edges, and the readings meet them in one join, whatever the depth; sub-meters' sums are joined
-    by (meter, time). Paths end after `max_hops` edges; with `strict`, longer ones raise.
+    sub-meters of every parent on the way times the coefficients from there on. Both factors are sums
+    over paths, found on the edges alone: per source and meter, and per source, parent on the way and
+    meter. Every reading knows the interval between its meter's breakpoints, so it meets both, and the
+    edges to its parents, by key; sub-meters' sums are joined by (meter, time). Paths end after
+    `max_hops` edges; with `strict`, longer ones raise.
     """
-    measured = staged(measured, "measured")
-    paths = feeds_paths(relations, max_hops, strict)
-    subs = sub_total(relations, measured).withColumnRenamed("parent_meter_id", "parent")
-    sent = measured.withColumnRenamed("meter_id", "source").join(paths, "source").where((F.col("lo") <= F.col("timestamp")) & (F.col("timestamp") < F.col("hi")))
-    taken = sent.select("meter_id", "timestamp", F.explode("legs").alias("leg")).select("meter_id", "timestamp", "leg.*").join(subs, ["parent", "timestamp"])
-    parts = measured.unionByName(sent.select("meter_id", "timestamp", (F.col("k") * F.col("delta")).alias("delta")))
-    parts = parts.unionByName(taken.select("meter_id", "timestamp", (-F.col("k") * F.col("total")).alias("delta")))
+    paths = staged(feeds_paths(relations, max_hops, strict), "paths")
+    subs = _windows(relations, "hasSubMeter", "child_meter_id")
+    at_all_times = [F.lit(FAR_PAST).cast("date").alias("lo"), F.lit(FAR_FUTURE).cast("date").alias("hi")]
+    stay = paths.select("source").distinct().select("source", F.col("source").alias("meter_id"), *at_all_times, F.lit(1.0).alias("n"), F.lit(1.0).alias("k"), F.lit(0).alias("length"))
+    # the way to a parent counts as often as there are paths, the way on from it by its coefficients
+    counted = paths.unionByName(stay).withColumn("k", F.col("n")).withColumn("parent", F.col("meter_id"))
+    counted = counted.join(subs.select(F.col("other").alias("parent")).distinct(), "parent", "left_semi")
+    on = paths.select(F.col("source").alias("parent"), F.col("meter_id").alias("to"), F.col("lo").alias("l2"), F.col("hi").alias("h2"), F.col("k").alias("k2"), F.col("length").alias("length_2"))
+    legs = counted.join(on, "parent").where(F.col("length") + F.col("length_2") <= max_hops)
+    legs = legs.select(F.col("source").alias("meter_id"), "parent", "to", F.greatest("lo", "l2").alias("lo"), F.least("hi", "h2").alias("hi"), (F.col("n") * F.col("k2")).alias("k")).where("lo < hi")
+    legs = staged(legs.groupBy("meter_id", "parent", "to", "lo", "hi").agg(F.sum("k").alias("k")), "legs")
+    sums = paths.groupBy(F.col("source").alias("meter_id"), F.col("meter_id").alias("to"), "lo", "hi").agg(F.sum("k").alias("k"))
+    marks = staged(breakpoints(subs, sums, legs), "breakpoints")
+    rows = staged(located(measured, marks), "located")
+    whole = lambda windows, *key: by_interval(windows, marks).groupBy("meter_id", "since", *key).agg(F.sum("k").alias("k"))
+    sent = rows.join(whole(sums, "to"), ["meter_id", "since"]).select(F.col("to").alias("meter_id"), "timestamp", (F.col("k") * F.col("delta")).alias("delta"))
+    total = _sub_rows(rows, subs, marks).groupBy("parent_meter_id", "timestamp").agg(F.sum("total").alias("total")).withColumnRenamed("parent_meter_id", "parent")
+    taken = rows.select("meter_id", "since", "timestamp").join(whole(legs, "parent", "to"), ["meter_id", "since"]).select("parent", "timestamp", "to", "k").join(total, ["parent", "timestamp"])
+    parts = rows.select("meter_id", "timestamp", "delta").unionByName(sent)
+    parts = parts.unionByName(taken.select(F.col("to").alias("meter_id"), "timestamp", (-F.col("k") * F.col("total")).alias("delta")))
     return parts.groupBy("meter_id", "timestamp").agg(F.sum("delta").alias("delta"))
 
 
@@ -120,53 +128,69 @@ def hs_total(relations: DataFrame, flow: DataFrame) -> DataFrame:
     return sub_total(relations, flow)
 
 
+def _k_sums(feeds: DataFrame, marks: DataFrame) -> DataFrame:
+    return by_interval(feeds, marks).groupBy("meter_id", "since").agg(F.sum("k").alias("total_k"))
+
+
 def feeds_k_sum(relations: DataFrame, flow: DataFrame) -> DataFrame:
-    """(parent_meter_id, timestamp, total_k): coefficients of the feeds edges active at each row of a parent."""
-    rows = _active(relations.where("relation_type = 'feeds'"), flow.select("meter_id", "timestamp"), "parent_meter_id")
-    return rows.groupBy("parent_meter_id", "timestamp").agg(F.sum("flow_coefficient").alias("total_k"))
+    """(parent_meter_id, timestamp, total_k): coefficients of the feeds edges active at each row of a
+    parent, added up once per interval."""
+    feeds = _windows(relations, "feeds", "parent_meter_id")
+    marks = breakpoints(feeds)
+    rows = located(flow.select("meter_id", "timestamp"), marks).join(_k_sums(feeds, marks), ["meter_id", "since"])
+    return rows.select(F.col("meter_id").alias("parent_meter_id"), "timestamp", "total_k")
 
 
 def meter_net(flow: DataFrame, relations: DataFrame) -> DataFrame:
-    """(meter_id, timestamp, net) = (flow - sub-meters) * (1 - share fed on), one row per row of `flow`."""
-    subs = hs_total(relations, flow).withColumnRenamed("parent_meter_id", "meter_id")
-    fed = feeds_k_sum(relations, flow).withColumnRenamed("parent_meter_id", "meter_id")
-    net = (F.col("delta") - F.coalesce("total", F.lit(0.0))) * (1 - F.coalesce("total_k", F.lit(0.0)))
-    return flow.join(subs, ["meter_id", "timestamp"], "left").join(fed, ["meter_id", "timestamp"], "left").select("meter_id", "timestamp", net.alias("net"))
-
-
-def closure(relations: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(ancestor, meter_id, lo, hi): every path of edges from ancestor to meter, with the window in
-    which all of its edges hold; a meter is its own ancestor at all times. Paths of more than
-    `max_depth` edges, as cycles make them, raise."""
-    e = staged(
-        relations.select("parent_meter_id", "child_meter_id", lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi")), "edges"
-    )
-    nodes = e.select(F.col("parent_meter_id").alias("m")).union(e.select("child_meter_id")).distinct()
-    frames = [nodes.select(F.col("m").alias("ancestor"), F.col("m").alias("meter_id"), F.lit(FAR_PAST).cast("date").alias("lo"), F.lit(FAR_FUTURE).cast("date").alias("hi"))]
-    step = e.select(F.col("parent_meter_id").alias("ancestor"), F.col("child_meter_id").alias("meter_id"), "lo", "hi").where("lo < hi")
-    hop = e.select(F.col("parent_meter_id").alias("meter_id"), F.col("child_meter_id").alias("next"), F.col("lo").alias("l2"), F.col("hi").alias("h2"))
-    for _ in range(max_depth):
-        step = staged(step, "paths")
-        if step.isEmpty():
-            out = frames[0]
-            for f in frames[1:]:
-                out = out.unionByName(f)
-            return out
-        frames.append(step)
-        step = (
-            step.join(hop, "meter_id")
-            .select("ancestor", F.col("next").alias("meter_id"), F.greatest("lo", "l2").alias("lo"), F.least("hi", "h2").alias("hi"))
-            .where("lo < hi")
-        )
-    raise ValueError(f"paths of more than {max_depth} edges: the graph has a cycle in time")
+    """(meter_id, timestamp, net) = (flow - sub-meters) * (1 - share fed on), one row per row of `flow`,
+    which has one per meter and time. A meter's own row and those of its sub-meters meet in one aggregation."""
+    rows, subs, marks, fed = _net_rows(flow, relations)
+    own = rows.join(fed, ["meter_id", "since"], "left").select("meter_id", "timestamp", F.struct("delta", "total_k").alias("own"), F.lit(None).cast("double").alias("total"))
+    taken = _sub_rows(rows, subs, marks).select(F.col("parent_meter_id").alias("meter_id"), "timestamp", F.lit(None).cast(own.schema["own"].dataType).alias("own"), "total")
+    both = own.unionByName(taken).groupBy("meter_id", "timestamp").agg(F.first("own", ignorenulls=True).alias("own"), F.sum("total").alias("total"))
+    net = (F.col("own.delta") - F.coalesce("total", F.lit(0.0))) * (1 - F.coalesce("own.total_k", F.lit(0.0)))
+    return both.where("own is not null").select("meter_id", "timestamp", net.alias("net"))
+
+
+def _net_rows(flow: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    subs, feeds = _windows(relations, "hasSubMeter", "child_meter_id"), _windows(relations, "feeds", "parent_meter_id")
+    marks = staged(breakpoints(subs, feeds), "breakpoints")
+    return staged(located(flow, marks), "located"), subs, marks, _k_sums(feeds, marks)
+
+
+def lost_child_flow(flow: DataFrame, relations: DataFrame) -> DataFrame:
+    """(parent_meter_id, month, lost, n_times): what `meter_net` takes from nobody, per parent and calendar
+    month: flow of active sub-meters at times at which their parent has no row."""
+    rows, subs, marks, _ = _net_rows(flow, relations)
+    taken = _sub_rows(rows, subs, marks).groupBy("parent_meter_id", "timestamp").agg(F.sum("total").alias("total"))
+    parents = rows.select(F.col("meter_id").alias("parent_meter_id"), "timestamp")
+    lost = taken.join(parents, ["parent_meter_id", "timestamp"], "left_anti")
+    month = F.trunc(F.col("timestamp").cast("date"), "month").alias("month")
+    return lost.groupBy("parent_meter_id", month).agg(F.sum("total").alias("lost"), F.count(F.lit(1)).alias("n_times"))
+
+
+def closure(relations: DataFrame) -> DataFrame:
+    """(ancestor, meter_id, lo, hi, paths): from every ancestor to every meter below it the number of paths
+    that hold in a window; a meter is its own ancestor at all times. Cycles in time raise."""
+    below = _below(relations).select(F.col("source").alias("ancestor"), "meter_id", "lo", "hi", F.col("n").alias("paths"))
+    nodes = relations.select(F.col("parent_meter_id").alias("m")).union(relations.select("child_meter_id")).distinct()
+    at_all_times = [F.lit(FAR_PAST).cast("date").alias("lo"), F.lit(FAR_FUTURE).cast("date").alias("hi")]
+    return below.unionByName(nodes.select(F.col("m").alias("ancestor"), F.col("m").alias("meter_id"), *at_all_times, F.lit(1.0).alias("paths")))
+
+
+def _below(relations: DataFrame) -> DataFrame:
+    return path_sums(_windows(relations, None, "parent_meter_id").select(F.col("meter_id").alias("a"), F.col("other").alias("b"), "lo", "hi", F.lit(1.0).alias("k")))
 
 
 def subtree_rollup(own: DataFrame, relations: DataFrame) -> DataFrame:
-    """(meter_id, timestamp, delta): own flow plus that of all meters below, along edges active at the time."""
-    paths = closure(relations)
-    rows = own.join(paths, "meter_id").where((F.col("lo") <= F.col("timestamp")) & (F.col("timestamp") < F.col("hi")))
-    alone = own.join(paths.select("meter_id"), "meter_id", "left_anti").select(F.col("meter_id").alias("ancestor"), "timestamp", "delta")
-    return rows.select("ancestor", "timestamp", "delta").unionByName(alone).groupBy(F.col("ancestor").alias("meter_id"), "timestamp").agg(F.sum("delta").alias("delta"))
+    """(meter_id, timestamp, delta): own flow plus that of all meters below, along edges active at the
+    time, once for each path."""
+    paths = _below(relations).select("meter_id", F.col("source").alias("ancestor"), "lo", "hi", "n")
+    marks = staged(breakpoints(paths), "breakpoints")
+    per = by_interval(paths, marks).groupBy("meter_id", "since", "ancestor").agg(F.sum("n").alias("n"))
+    own = staged(located(own, marks), "located")
+    rows = own.join(per, ["meter_id", "since"]).select(F.col("ancestor").alias("meter_id"), "timestamp", (F.col("n") * F.col("delta")).alias("delta"))
+    return own.select("meter_id", "timestamp", "delta").unionByName(rows).groupBy("meter_id", "timestamp").agg(F.sum("delta").alias("delta"))
 
 
 def monthly_delta(flow: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.temporal import lower, overlaps, upper
-from meterflow.plans.stage import staged
+from meterflow.plans.cycles import shortest_cycles
 
 AGGREGATIONS = ("sum", "rolling_sum", "bracket", "interpolate", "slice")
 SCHEMA = "rule string, subject string, message string, context map<string,string>"
@@ -27,37 +27,11 @@ def no_cycles(relations: DataFrame) -> DataFrame:
     """Cycles of edges that hold at one instant: for every meter that is the smallest of a cycle, the
     shortest one (of several the first by the names on it).
 
-    Nodes that are on no cycle for lack of edges in or out are trimmed first. Then paths grow edge by
-    edge from every meter over larger ones. What counts of a path is where it began, where it is and
-    the window in which all of its edges hold: of paths that agree in these one goes on, and none that
-    was reached by fewer edges does. So the number of paths is bounded by edges and windows also in
-    dense parts, cycles have any length, and the search ends by itself. A shortest cycle visits no
-    meter twice.
+    The graph is reduced and split into strongly connected parts first; paths are searched only inside
+    those (see `plans.cycles`).
     """
     e = relations.select(F.col("parent_meter_id").alias("a"), F.col("child_meter_id").alias("b"), lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi"))
-    e = staged(e.where("lo < hi").distinct(), "cyclic")
-    before = -1
-    while (n := e.count()) != before and n:
-        before = n
-        out, into = e.select(F.col("a").alias("b")).distinct(), e.select(F.col("b").alias("a")).distinct()
-        e = staged(e.join(out, "b", "left_semi").join(into, "a", "left_semi").select("a", "b", "lo", "hi"), "cyclic")
-    state = ["start", "at", "lo", "hi"]
-    hop = e.select(F.col("a").alias("at"), F.col("b").alias("next"), F.col("lo").alias("l2"), F.col("hi").alias("h2"))
-    path = e.where("a <= b").select(F.col("a").alias("start"), F.col("b").alias("at"), "lo", "hi", F.array("a", "b").alias("path"))
-    found, seen = None, None
-    while True:
-        path = staged(path.groupBy(state).agg(F.min("path").alias("path")), "paths")
-        if path.isEmpty():
-            break
-        closed = path.where("at = start").groupBy("start").agg(F.min("path").alias("path"))
-        found = closed if found is None else found.unionByName(closed)
-        seen = path.select(state) if seen is None else seen.unionByName(path.select(state))
-        step = path.where("at <> start").join(closed.select("start"), "start", "left_anti").join(hop, "at").where("next >= start")
-        step = step.select("start", F.col("next").alias("at"), F.greatest("lo", "l2").alias("lo"), F.least("hi", "h2").alias("hi"), F.array_append("path", F.col("next")).alias("path"))
-        path = step.where("lo < hi").join(seen, state, "left_anti")
-    if found is None:
-        return relations.sparkSession.createDataFrame([], SCHEMA)
-    cycle = found.select(F.slice("path", 1, F.size("path") - 1).alias("path"))
+    cycle = shortest_cycles(e)
     return violation(cycle, "no_cycles", F.array_join("path", "->"), "edges that hold at one time form a cycle", length=F.size("path"))
 
 
