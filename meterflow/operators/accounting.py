@@ -48,8 +48,9 @@ def classify_conservation(rows: DataFrame) -> DataFrame:
 
 
 def flag_breakdown(flags: DataFrame) -> DataFrame:
-    """(flag, n, parents): sorted, pipe-joined."""
-    return flags.groupBy("flag").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("parent")), "|").alias("parents"))
+    """(flag, parent, n): every parent with the number of parents of its flag."""
+    n = flags.groupBy("flag").agg(F.count("*").alias("n"))
+    return flags.select("flag", "parent").join(n, "flag")
 
 
 def accounting_balance(terms: DataFrame, crosswalk: DataFrame, monthly: DataFrame) -> DataFrame:

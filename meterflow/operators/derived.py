@@ -6,11 +6,16 @@ works on all references of its kind at once and returns readings (timeseries_id,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.functions.temporal import valid_at
+from meterflow.functions.temporal import lower, upper
 from meterflow.operators.registers import CEILINGS, ROLLOVER_TOLERANCE
+from meterflow.plans.intervals import breakpoints, by_interval, located
+from meterflow.plans.overlap import overlapping_pairs
+from meterflow.plans.scan import CHUNK, chunked, with_previous, with_running_sum
 from meterflow.plans.stage import staged
 
 CONTINUOUS, RESET_FROM, RESET_TO = 0.01, 100_000.0, 1_000.0
@@ -27,43 +32,60 @@ def _source_rows(refs: DataFrame, readings: DataFrame, kind: str) -> DataFrame:
     return explode_sources(refs.where(F.col("aggregation") == kind)).join(of, "source")
 
 
+def _in_windows(refs: DataFrame, readings: DataFrame) -> DataFrame:
+    """Readings of the source of every row of `refs` (timeseries_id, source, lo, hi and others) within
+    [lo, hi). Readings and references meet by (source, interval), so that many windows on one source do
+    not each meet all of its readings."""
+    refs = refs.where("lo < hi")
+    marks = breakpoints(refs, key="source")
+    of = readings.withColumnRenamed("timeseries_id", "source").join(refs.select("source").distinct(), "source", "left_semi")
+    return located(of, marks, "source").join(by_interval(refs, marks, "source"), ["source", "since"]).drop("since")
+
+
 def slices(refs: DataFrame, readings: DataFrame) -> DataFrame:
     """The one source's readings within the window, their recording times kept."""
-    of = readings.withColumnRenamed("timeseries_id", "source")
-    rows = explode_sources(refs.where("aggregation = 'slice'")).where("n_sources = 1").join(of, "source")
-    return rows.where(valid_at(F.col("timestamp"), F.col("valid_from"), F.col("valid_to"))).select("timeseries_id", "timestamp", "value", "recorded_at")
+    one = explode_sources(refs.where("aggregation = 'slice'")).where("n_sources = 1")
+    one = one.select("timeseries_id", "source", lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi"))
+    return _in_windows(one, readings).select("timeseries_id", "timestamp", "value", "recorded_at")
 
 
 def sums(refs: DataFrame, readings: DataFrame) -> DataFrame:
     """A counter from 0 of the sources' increases added up per time from valid_from on; falls count as 0."""
-    before = F.lag("value").over(Window.partitionBy("timeseries_id", "position").orderBy("timestamp"))
-    steps = _source_rows(refs, readings, "sum").withColumn("before", before).where("before is not null")
-    steps = steps.where(F.col("valid_from").isNull() | (F.col("timestamp") >= F.col("valid_from"))).withColumn("delta", F.greatest(F.col("value") - F.col("before"), F.lit(0.0)))
-    per = steps.groupBy("timeseries_id", "timestamp").agg(F.sum("delta").alias("delta"))
-    total = F.sum("delta").over(Window.partitionBy("timeseries_id").orderBy("timestamp"))
-    return per.select("timeseries_id", "timestamp", total.alias("value"))
+    rows = chunked(_source_rows(refs, readings, "sum"))
+    steps = with_previous(rows, ["timeseries_id", "position"], ["timestamp", "value"], ["value"]).where("before.value is not null")
+    steps = steps.where(F.col("valid_from").isNull() | (F.col("timestamp") >= F.col("valid_from"))).withColumn("delta", F.greatest(F.col("value") - F.col("before.value"), F.lit(0.0)))
+    per = staged(steps.groupBy("timeseries_id", "timestamp", CHUNK).agg(F.sum("delta").alias("delta")), "steps")
+    return with_running_sum(per, ["timeseries_id"], ["timestamp"], "delta", "value").select("timeseries_id", "timestamp", "value")
 
 
 def endpoints(refs: DataFrame, readings: DataFrame, kind: str) -> DataFrame:
     """(timeseries_id, source, valid_from, valid_to, t_lo, v_lo, t_hi, v_hi) of references with one
-    source: its last reading before the window and its first at or after its end; null if missing."""
+    source: its last reading before the window and its first at or after its end; null if missing.
+
+    An as-of merge: the windows' bounds are put among their source's readings in order of time, and
+    each takes the last reading before it, or the next one; a series is read once for all windows on it."""
     one = explode_sources(refs.where(F.col("aggregation") == kind)).where("n_sources = 1").select("timeseries_id", "source", "valid_from", "valid_to")
-    of = readings.select(F.col("timeseries_id").alias("source"), "timestamp", "value")
-    at = F.struct("timestamp", "value")
-    before, after = F.col("timestamp") < F.col("valid_from"), F.col("timestamp") >= F.col("valid_to")
-    ends = one.join(of, "source", "left").groupBy("timeseries_id", "source", "valid_from", "valid_to").agg(
-        F.max_by(F.when(before, at), F.when(before, F.col("timestamp"))).alias("lo"), F.min_by(F.when(after, at), F.when(after, F.col("timestamp"))).alias("hi")
-    )
-    found = ["lo.timestamp as t_lo", "lo.value as v_lo", "hi.timestamp as t_hi", "hi.value as v_hi"]
-    return ends.selectExpr("timeseries_id", "source", "valid_from", "valid_to", *found)
+    at = lambda side: one.select("source", F.col(side).cast("timestamp").alias("timestamp"), F.lit(0).alias("row")).where("timestamp is not null")
+    bounds = at("valid_from").unionByName(at("valid_to")).distinct()
+    of = readings.select(F.col("timeseries_id").alias("source"), "timestamp", "value").join(one.select("source").distinct(), "source", "left_semi")
+    reading = F.struct("timestamp", "value")
+    both = of.withColumn("row", F.lit(1)).unionByName(bounds, allowMissingColumns=True).withColumn("reading", F.when(F.col("row") == 1, reading))
+    order = ["timestamp", "row", "value"]  # at equal times a bound stands before readings
+    by_source = Window.partitionBy("source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = both.withColumn("lo", F.last("reading", ignorenulls=True).over(by_source.orderBy(*order)))
+    both = both.withColumn("hi", F.last("reading", ignorenulls=True).over(by_source.orderBy(*(F.col(c).desc() for c in order))))
+    found = staged(both.where("row = 0").select("source", "timestamp", "lo", "hi"), "endpoints")
+    side = lambda bound, name: found.select("source", F.col("timestamp").cast("date").alias(bound), name)
+    ends = one.join(side("valid_from", "lo"), ["source", "valid_from"], "left").join(side("valid_to", "hi"), ["source", "valid_to"], "left")
+    return ends.selectExpr("timeseries_id", "source", "valid_from", "valid_to", "lo.timestamp as t_lo", "lo.value as v_lo", "hi.timestamp as t_hi", "hi.value as v_hi")
 
 
 def brackets(refs: DataFrame, readings: DataFrame) -> DataFrame:
     """The source's readings within the window whose values lie between those at its ends."""
     ends = endpoints(refs, readings, "bracket").where("v_lo is not null and v_hi is not null")
-    rows = ends.join(readings.select(F.col("timeseries_id").alias("source"), "timestamp", "value"), "source")
-    inside = (F.col("timestamp") >= F.col("valid_from")) & (F.col("timestamp") < F.col("valid_to"))
-    return rows.where(inside & F.col("value").between(F.least("v_lo", "v_hi"), F.greatest("v_lo", "v_hi"))).select("timeseries_id", "timestamp", "value")
+    ends = ends.select("timeseries_id", "source", F.col("valid_from").alias("lo"), F.col("valid_to").alias("hi"), "v_lo", "v_hi")
+    rows = _in_windows(ends, readings.select("timeseries_id", "timestamp", "value"))
+    return rows.where(F.col("value").between(F.least("v_lo", "v_hi"), F.greatest("v_lo", "v_hi"))).select("timeseries_id", "timestamp", "value")
 
 
 def interpolations(refs: DataFrame, readings: DataFrame) -> DataFrame:
@@ -93,22 +115,57 @@ def ceiling_of(value: Column) -> Column:
 def rolling_sums(refs: DataFrame, readings: DataFrame) -> DataFrame:
     """One continuous counter from several sources in time order (of equal times in source order).
     The running sum of increments that depend on the rows before and after a change of source."""
-    order = Window.partitionBy("timeseries_id").orderBy("timestamp", "position")
-    rows = _source_rows(refs, readings, "rolling_sum").withColumn("prev", F.lag("value").over(order)).withColumn("same", F.lag("source").over(order) == F.col("source"))
-    kind = F.when(F.col("same"), "same").otherwise(boundary(F.col("prev"), F.col("value")))
-    rows = rows.withColumn("kind", F.when(F.col("prev").isNull(), "first").otherwise(kind))
+    order = ["timestamp", "position"]
+    rows = with_previous(chunked(_source_rows(refs, readings, "rolling_sum")), ["timeseries_id"], order, ["value", "source"])
+    prev = F.col("before.value")
+    kind = F.when(F.col("before.source") == F.col("source"), "same").otherwise(boundary(prev, F.col("value")))
+    rows = rows.withColumn("kind", F.when(prev.isNull(), "first").otherwise(kind))
     step = (
-        F.when(F.col("kind").isin("same", "continuous"), F.col("value") - F.col("prev"))
-        .when(F.col("kind") == "rollover", ceiling_of(F.col("prev")) - F.col("prev") + F.col("value"))
+        F.when(F.col("kind").isin("same", "continuous"), F.col("value") - prev)
+        .when(F.col("kind") == "rollover", ceiling_of(prev) - prev + F.col("value"))
         .when(F.col("kind") == "swap", 0.0)
         .otherwise(F.col("value"))
     )
-    return rows.withColumn("step", step).select("timeseries_id", "timestamp", F.sum("step").over(order).alias("value"), "kind")
-
-
-def issues(refs: DataFrame, readings: DataFrame) -> DataFrame:
+    steps = staged(rows.select("timeseries_id", "timestamp", "position", CHUNK, "kind", step.alias("step")), "steps")
+    return with_running_sum(steps, ["timeseries_id"], order, "step", "value").select("timeseries_id", "timestamp", "value", "kind")
+
+
+def overlapping_sources(refs: DataFrame, readings: DataFrame) -> DataFrame:
+    """(timeseries_id, source, source_2): sources of one rolling sum whose readings overlap in time, or
+    share a time. Stitching changes over at every change of source, so such a counter jumps to and fro."""
+    sources = explode_sources(refs.where("aggregation = 'rolling_sum'")).select("timeseries_id", "position", "source")
+    spans = readings.join(sources.select(F.col("source").alias("timeseries_id")).distinct(), "timeseries_id", "left_semi")
+    spans = spans.groupBy(F.col("timeseries_id").alias("source")).agg(F.min("timestamp").alias("lo"), (F.max("timestamp") + F.expr("interval 1 microsecond")).alias("hi"))
+    pairs = overlapping_pairs(sources.join(spans, "source"), ["timeseries_id"])
+    in_order = F.col("one.position") < F.col("two.position")
+    first, second = (F.when(in_order, F.col(x)).otherwise(F.col(y)) for x, y in (("one.source", "two.source"), ("two.source", "one.source")))
+    return pairs.select("one.timeseries_id", first.alias("source"), second.alias("source_2"))
+
+
+def dependency_levels(refs: DataFrame) -> DataFrame:
+    """(timeseries_id, level): 0 for references over series that are no references themselves, else one
+    more than the highest of its sources; null for those on a cycle of sources, or behind one. A round
+    finds a level."""
+    ids = refs.select("timeseries_id").distinct()
+    needs = refs.select("timeseries_id", F.explode("sources").alias("source")).join(ids.withColumnRenamed("timeseries_id", "source"), "source", "left_semi").distinct()
+    open_, needs, levels, level = staged(ids, "open"), staged(needs, "needs"), [], 0
+    while not open_.isEmpty():
+        waiting = needs.select("timeseries_id").distinct()
+        ready = staged(open_.join(waiting, "timeseries_id", "left_anti"), "level")
+        if ready.isEmpty():
+            break
+        levels.append(ready.withColumn("level", F.lit(level)))
+        open_ = staged(open_.join(ready, "timeseries_id", "left_anti"), "open")
+        needs = staged(needs.join(ready.withColumnRenamed("timeseries_id", "source"), "source", "left_anti"), "needs")
+        level += 1
+    return reduce(DataFrame.unionByName, levels, open_.withColumn("level", F.lit(None).cast("int")))
+
+
+def issues(refs: DataFrame, readings: DataFrame, by_dependency: bool = False) -> DataFrame:
     """(timeseries_id, issue): references that give no readings: more than one source where one is
-    needed, no window, no reading on one side of it, or (interpolations) no day between those readings.
+    needed, no window, no reading on one side of it, or (interpolations) no day between those readings;
+    a source that is made later (or, `by_dependency`, a cycle of sources). And rolling sums whose
+    sources overlap in time, which give readings of no use.
     """
     single = refs.where(F.col("aggregation").isin("slice", "bracket", "interpolate"))
     many = single.where(F.size("sources") != 1).select("timeseries_id", F.lit("needs one source").alias("issue"))
@@ -119,17 +176,38 @@ def issues(refs: DataFrame, readings: DataFrame) -> DataFrame:
     loose = kinds["bracket"].unionByName(kinds["interpolate"]).where("v_lo is null or v_hi is null").select("timeseries_id", F.lit("no anchor").alias("issue"))
     days = F.datediff(F.col("t_hi").cast("date"), F.col("t_lo").cast("date"))
     flat = kinds["interpolate"].where(days <= 0).select("timeseries_id", F.lit("no span").alias("issue"))
-    return many.unionByName(open_).unionByName(loose).unionByName(flat)
+    mixed = overlapping_sources(refs, readings).select("timeseries_id").distinct().withColumn("issue", F.lit("sources overlap"))
+    if by_dependency:
+        late = dependency_levels(refs).where("level is null").select("timeseries_id", F.lit("cycle of sources").alias("issue"))
+    else:
+        turn = F.array_position(F.array(*(F.lit(k) for k in KINDS)), F.col("aggregation"))
+        made = refs.select(F.col("timeseries_id").alias("source"), turn.alias("made"))
+        late = explode_sources(refs).withColumn("turn", turn).join(made, "source").where("made >= turn or aggregation = 'slice'")
+        late = late.select("timeseries_id").distinct().withColumn("issue", F.lit("source made later"))
+    return many.unionByName(open_).unionByName(loose).unionByName(flat).unionByName(mixed).unionByName(late)
+
+
+#: The kinds in the order in which they are made.
+KINDS = {"slice": slices, "sum": sums, "bracket": brackets, "interpolate": interpolations, "rolling_sum": rolling_sums}
 
 
-def materialize(refs: DataFrame, readings: DataFrame) -> DataFrame:
+def materialize(refs: DataFrame, readings: DataFrame, by_dependency: bool = False) -> DataFrame:
     """Readings of all derived references, kind by kind: slices, sums, brackets, interpolations,
-    rolling sums. Each kind reads raw series and what earlier kinds made."""
+    rolling sums. Each kind reads raw series and what earlier kinds made. `by_dependency` makes
+    references level by level instead, so that each reads all of its sources, whatever their kinds;
+    those on a cycle of sources give nothing."""
+    if by_dependency:
+        levels = staged(dependency_levels(refs).where("level is not null"), "levels")
+        found = refs.join(levels, "timeseries_id").select("level", "aggregation").distinct().collect()  # five kinds per level at most
+        steps = [(refs.join(levels.where(F.col("level") == n), "timeseries_id", "left_semi"), [k for k in KINDS if (n, k) in found]) for n in sorted({r.level for r in found})]
+    else:
+        steps = [(refs.where(F.col("aggregation") == kind), [kind]) for kind in KINDS]
     cols = ["timeseries_id", "timestamp", "value"]
     have, made = readings.select(*cols), None
-    for kind in (slices, sums, brackets, interpolations, rolling_sums):
-        new = kind(refs, readings if kind is slices else have).select(cols)
-        # each kind is written once; the last one has no readers here
-        new = new if kind is rolling_sums else staged(new, "derived")
+    for i, (part, kinds) in enumerate(steps):
+        raw = have.withColumn("recorded_at", F.lit(None).cast("timestamp")) if by_dependency else readings
+        new = reduce(DataFrame.unionByName, (KINDS[kind](part, raw if kind == "slice" else have).select(cols) for kind in kinds))
+        # each step is written once; the last one has no readers here
+        new = new if i == len(steps) - 1 else staged(new, "derived")
         have, made = have.unionByName(new), new if made is None else made.unionByName(new)
-    return made
+    return have.limit(0) if made is None else made

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meterflow.functions.temporal import FAR_FUTURE, FAR_PAST, lower, upper
 from meterflow.plans.intervals import breakpoints, by_interval, located
 from meterflow.plans.paths import path_sums
+from meterflow.plans.scan import CHUNK, chunked, with_previous
 from meterflow.plans.stage import staged
 
 MAX_HOPS = 10
@@ -15,25 +16,33 @@ MAX_HOPS = 10
 
 def latest_correction(readings: DataFrame) -> DataFrame:
     """One row per (series, time): that recorded last; no recording time counts as the earliest, and
-    of equal recording times the larger value is taken. Rows stay dealt out by series, in the order
-    of time, as what follows needs them."""
-    order = Window.partitionBy("timeseries_id").orderBy("timestamp", F.col("recorded_at").asc_nulls_first(), "value")
-    rows = readings.withColumn("_next", F.lead("timestamp").over(order)).withColumn("_more", F.lead(F.lit(True)).over(order))
+    of equal recording times the larger value is taken. Rows are dealt out by series and month."""
+    return _corrected(chunked(readings)).drop(CHUNK)
+
+
+def _corrected(rows: DataFrame) -> DataFrame:
+    order = Window.partitionBy("timeseries_id", CHUNK).orderBy("timestamp", F.col("recorded_at").asc_nulls_first(), "value")
+    rows = rows.withColumn("_next", F.lead("timestamp").over(order)).withColumn("_more", F.lead(F.lit(True)).over(order))
     return rows.where(F.col("_more").isNull() | ~F.col("_next").eqNullSafe(F.col("timestamp"))).drop("_next", "_more")
 
 
-def _difference(readings: DataFrame) -> DataFrame:
-    by_time = Window.partitionBy("timeseries_id").orderBy("timestamp")
-    return readings.withColumn("delta", F.col("value") - F.lag("value").over(by_time)).where("delta is not null")
+def _difference(readings: DataFrame, corrected: bool) -> DataFrame:
+    """`readings` with `delta` to the one before, all but each series' first. Picking corrections and
+    taking differences share one shuffle, by series and month; the last reading of each month is
+    carried to the next one."""
+    rows = chunked(readings)
+    kept = _corrected(rows) if corrected else rows
+    # of the last time in a month, the row recorded last is the largest (nulls are smallest)
+    order = ["timestamp", "recorded_at", "value"]
+    out = with_previous(kept, ["timeseries_id"], order, ["value"], lasts=rows)
+    return out.withColumn("delta", F.col("value") - F.col("before.value")).where("delta is not null").drop("before", CHUNK)
 
 
 def measured_flow(readings: DataFrame, refs: DataFrame, sensors: DataFrame, corrected: bool = True) -> DataFrame:
     """(meter_id, timestamp, delta): differences of the preferred counters. `corrected` picks the
-    latest correction of every reading first. The first reading of a series gives no row. One
-    shuffle and one sort, by series and time, serve both steps."""
+    latest correction of every reading first. The first reading of a series gives no row."""
     counters = refs.where("preferred and reading_type = 'counter'").join(sensors, "sensor_id").select("timeseries_id", "meter_id")
-    rows = readings.join(counters, "timeseries_id")
-    return _difference(latest_correction(rows) if corrected else rows).select("meter_id", "timestamp", "delta")
+    return _difference(readings.join(counters, "timeseries_id"), corrected).select("meter_id", "timestamp", "delta")
 
 
 def counter_rate(readings: DataFrame, series: DataFrame, start: str, end: str, cumulative: bool = False, corrected: bool = False) -> DataFrame:
@@ -43,9 +52,9 @@ def counter_rate(readings: DataFrame, series: DataFrame, start: str, end: str, c
     before, and only what is left is shuffled."""
     inside = readings.where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
     rows = inside.join(series.select("timeseries_id").distinct(), "timeseries_id", "left_semi")
-    rows = latest_correction(rows) if corrected else rows
     if not cumulative:
-        return _difference(rows).select("timeseries_id", "timestamp", "delta")
+        return _difference(rows, corrected).select("timeseries_id", "timestamp", "delta")
+    rows = latest_correction(rows) if corrected else rows
     first = F.first("value").over(Window.partitionBy("timeseries_id").orderBy("timestamp"))
     return rows.select("timeseries_id", "timestamp", (F.col("value") - first).alias("delta"))
 
@@ -100,7 +109,7 @@ def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HO
     edges to its parents, by key; sub-meters' sums are joined by (meter, time). Paths end after
     `max_hops` edges; with `strict`, longer ones raise.
     """
-    paths = staged(feeds_paths(relations, max_hops, strict), "paths")
+    paths = feeds_paths(relations, max_hops, strict)
     subs = _windows(relations, "hasSubMeter", "child_meter_id")
     at_all_times = [F.lit(FAR_PAST).cast("date").alias("lo"), F.lit(FAR_FUTURE).cast("date").alias("hi")]
     stay = paths.select("source").distinct().select("source", F.col("source").alias("meter_id"), *at_all_times, F.lit(1.0).alias("n"), F.lit(1.0).alias("k"), F.lit(0).alias("length"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.functions.temporal import lower, overlaps, upper
+from meterflow.functions.temporal import lower, upper
 from meterflow.plans.cycles import shortest_cycles
+from meterflow.plans.overlap import overlapping_pairs
 
 AGGREGATIONS = ("sum", "rolling_sum", "bracket", "interpolate", "slice")
 SCHEMA = "rule string, subject string, message string, context map<string,string>"
@@ -87,12 +88,15 @@ def one_preferred_ref(refs: DataFrame) -> DataFrame:
 
 
 def _overlapping(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Pairs (columns of the first, valid_from_2, valid_to_2) of rows of one key whose windows overlap."""
-    rows = df.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    other = rows.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("valid_from").alias("valid_from_2"), F.col("valid_to").alias("valid_to_2"), F.col("_i").alias("_j"))
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
-    both = rows.join(other, same & (F.col("_i") < F.col("_j")))
-    return both.where(overlaps(F.col("valid_from"), F.col("valid_to"), F.col("valid_from_2"), F.col("valid_to_2")))
+    """Pairs (columns of the one first in `order`, valid_from_2, valid_to_2) of rows of one key whose
+    windows overlap."""
+    rows = df.withColumns({"lo": lower(F.col("valid_from")), "hi": upper(F.col("valid_to"))})
+    pairs = overlapping_pairs(rows, keys)
+    rank = lambda side: F.struct(*(F.col(f"{side}.{c}") for c in order))
+    swapped = rank("one") > rank("two")
+    first, second = (F.when(swapped, F.col(x)).otherwise(F.col(y)) for x, y in (("two", "one"), ("one", "two")))
+    pairs = pairs.select(first.alias("first"), second.alias("second"))
+    return pairs.select("first.*", F.col("second.valid_from").alias("valid_from_2"), F.col("second.valid_to").alias("valid_to_2")).drop("lo", "hi")
 
 
 def validity_non_overlapping(relations: DataFrame) -> DataFrame:

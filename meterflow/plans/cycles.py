@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from meterflow.plans.stage import release, staged
@@ -16,43 +16,51 @@ from meterflow.plans.stage import release, staged
 EDGE = ["a", "b", "lo", "hi", "inner"]
 
 
-def _reduced_once(e: DataFrame, seed: int) -> DataFrame:
+def _trimmed(e: DataFrame) -> DataFrame:
+    """Edges that some edge leads to and some edge leads on from."""
+    return e.join(e.select(F.col("b").alias("a")), "a", "left_semi").join(e.select(F.col("a").alias("b")), "b", "left_semi").select(EDGE)
+
+
+def _reduced_once(e: DataFrame) -> DataFrame:
     """Edges that some edge leads to and some edge leads on from; nodes with one edge in and one out are
     merged into one edge, those of them whose hash is the largest among such neighbours."""
-    into = e.groupBy(F.col("b").alias("m")).agg(F.count(F.lit(1)).alias("n_in"))
-    nodes = into.join(e.groupBy(F.col("a").alias("m")).agg(F.count(F.lit(1)).alias("n_out")), "m")
-    rank = F.when((F.col("n_in") == 1) & (F.col("n_out") == 1), F.struct(F.xxhash64("m", F.lit(seed)).alias("h"), "m"))
-    nodes = nodes.select("m", rank.alias("rank"))
-    live = e.join(nodes.select(F.col("m").alias("a"), F.col("rank").alias("rank_a")), "a").join(nodes.select(F.col("m").alias("b"), F.col("rank").alias("rank_b")), "b")
-    live = staged(live, "live")
-    beaten = live.where("rank_a is not null and rank_b is not null").select(F.least("rank_a", "rank_b").getField("m").alias("m"))
-    thin = live.where("rank_b is not null").select(F.col("b").alias("m"))
-    merge = thin.join(beaten, "m", "left_anti").withColumn("merge", F.lit(True))
-    live = live.join(merge.select(F.col("m").alias("a"), F.col("merge").alias("from_merged")), "a", "left").join(merge.select(F.col("m").alias("b"), F.col("merge").alias("to_merged")), "b", "left")
-    live = staged(live.select(*EDGE, "from_merged", "to_merged"), "live")
-    first = live.where("to_merged").select("a", F.col("b").alias("m"), "lo", "hi", "inner")
-    second = live.where("from_merged").select(F.col("a").alias("m"), "b", F.col("lo").alias("l2"), F.col("hi").alias("h2"), F.col("inner").alias("inner_2"))
-    joined = first.join(second, "m").select("a", "b", F.greatest("lo", "l2").alias("lo"), F.least("hi", "h2").alias("hi"), F.concat("inner", F.array("m"), "inner_2").alias("inner"))
+    ends = e.select(F.col("b").alias("m"), F.lit(1).alias("n_in"), F.lit(0).alias("n_out"), F.col("a").alias("before"), F.lit(None).cast("string").alias("behind")).unionByName(
+        e.select(F.col("a").alias("m"), F.lit(0).alias("n_in"), F.lit(1).alias("n_out"), F.lit(None).cast("string").alias("before"), F.col("b").alias("behind"))
+    )
+    nodes = ends.groupBy("m").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out"), F.max("before").alias("before"), F.max("behind").alias("behind"))
+    # a node without edges on one side is not here; one with a single edge on each knows its neighbours
+    thin = (F.col("n_in") == 1) & (F.col("n_out") == 1)
+    nodes = nodes.where("n_in > 0 and n_out > 0").select("m", F.when(thin, F.struct(F.xxhash64("m").alias("h"), "m")).alias("rank"), "before", "behind")
+    rank_of = lambda side: nodes.select(F.col("m").alias(side), F.col("rank").alias(f"rank_{side}"))
+    around = nodes.where("rank is not null").join(rank_of("before"), "before", "left").join(rank_of("behind"), "behind", "left")
+    first = F.coalesce(F.col("rank") > F.col("rank_before"), F.lit(True)) & F.coalesce(F.col("rank") > F.col("rank_behind"), F.lit(True))
+    known = nodes.select("m").join(around.where(first).select("m", F.lit(True).alias("merged")), "m", "left")
+    live = e.join(known.select(F.col("m").alias("a"), F.col("merged").alias("from_merged")), "a").join(known.select(F.col("m").alias("b"), F.col("merged").alias("to_merged")), "b")
+    head = live.where("to_merged").select("a", F.col("b").alias("m"), "lo", "hi", "inner")
+    tail = live.where("from_merged").select(F.col("a").alias("m"), "b", F.col("lo").alias("l2"), F.col("hi").alias("h2"), F.col("inner").alias("inner_2"))
+    joined = head.join(tail, "m").select("a", "b", F.greatest("lo", "l2").alias("lo"), F.least("hi", "h2").alias("hi"), F.concat("inner", F.array("m"), "inner_2").alias("inner"))
     return live.where("from_merged is null and to_merged is null").select(EDGE).unionByName(joined.where("lo < hi"))
 
 
 def reduced(e: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(edges left, edges from a node to itself): dead ends are trimmed and chains contracted until
     nothing changes. A chain or ring of n nodes takes a number of rounds that grows with log n. Cycles
-    are kept, with the windows in which all of their edges hold."""
+    are kept, with the windows in which all of their edges hold. As long as a tenth of the edges are dead
+    ends, as in trees, rounds do not look for chains."""
     loops: list[DataFrame] = []
-    before, seed = -1, 0
+    before, trim = -1, True
     while True:
-        e = staged(e, "edges")
-        own = staged(e.where("a = b"), "loops")
-        if not own.isEmpty():
-            loops.append(own)
+        seen = Observation()
+        e = staged(e.select(EDGE).observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") == F.col("b")).alias("own")), "edges")
+        n, own = (seen.get.get(x) or 0 for x in ("n", "own"))
+        if own:
+            loops.append(e.where("a = b"))
         e = e.where("a <> b")
-        n = e.count()
-        if n == before or not n:
+        if n == own or (n - own == before and not trim):
             return e, reduce(DataFrame.unionByName, loops) if loops else None
-        before, seed = n, seed + 1
-        e = _reduced_once(e, seed)
+        trim = trim and (before < 0 or n - own <= 0.9 * before)
+        before = n - own
+        e = _trimmed(e) if trim else _reduced_once(e)
 
 
 def _colours(e: DataFrame, source: str, target: str) -> DataFrame:

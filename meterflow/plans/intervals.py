@@ -13,22 +13,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def breakpoints(*windows: DataFrame) -> DataFrame:
-    """(meter_id, since) of all bounds of `windows` (meter_id, lo, hi)."""
-    return reduce(DataFrame.unionByName, (w.select("meter_id", F.explode(F.array("lo", "hi")).alias("since")) for w in windows)).distinct()
+def breakpoints(*windows: DataFrame, key: str = "meter_id") -> DataFrame:
+    """(key, since) of all bounds of `windows` (key, lo, hi)."""
+    return reduce(DataFrame.unionByName, (w.select(key, F.explode(F.array("lo", "hi")).alias("since")) for w in windows)).distinct()
 
 
-def by_interval(windows: DataFrame, marks: DataFrame) -> DataFrame:
-    """`windows` (meter_id, lo, hi and others) with `since` in place of lo and hi: a row for each of the
-    meter's breakpoints in [lo, hi)."""
-    return windows.join(marks, "meter_id").where("lo <= since and since < hi").drop("lo", "hi")
+def by_interval(windows: DataFrame, marks: DataFrame, key: str = "meter_id") -> DataFrame:
+    """`windows` (key, lo, hi and others) with `since` in place of lo and hi: a row for each of the key's
+    breakpoints in [lo, hi)."""
+    return windows.join(marks, key).where("lo <= since and since < hi").drop("lo", "hi")
 
 
-def located(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """`rows` (meter_id, timestamp and others) with `since`, their meter's last breakpoint at or before
-    their time; null before the first one."""
+def located(rows: DataFrame, marks: DataFrame, key: str = "meter_id") -> DataFrame:
+    """`rows` (key, timestamp and others) with `since`, their key's last breakpoint at or before their
+    time; null before the first one."""
     same = rows.withColumns({"since": F.lit(None).cast("date"), "_row": F.lit(True)})
-    mark = marks.select("meter_id", F.col("since").cast("timestamp").alias("timestamp"), "since", F.lit(False).alias("_row"))
-    order = Window.partitionBy("meter_id").orderBy("timestamp", "_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    mark = marks.select(key, F.col("since").cast("timestamp").alias("timestamp"), "since", F.lit(False).alias("_row"))
+    order = Window.partitionBy(key).orderBy("timestamp", "_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = same.unionByName(mark, allowMissingColumns=True)
     return both.withColumn("since", F.last("since", ignorenulls=True).over(order)).where("_row").drop("_row")

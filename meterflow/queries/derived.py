@@ -121,6 +121,66 @@ def d8_sums_of_slices(s):
     return op.materialize(sliced.unionByName(stacked), base_of(s))
 
 
+# sums over stitched counters and over other sums, and two that need each other
+CHAINED = """chained as (
+    select timeseries_id, aggregation, valid_from, valid_to, sources from derived_refs where aggregation = 'rolling_sum'
+    union all select concat('N', u), 'sum', null, null, concat('M', u, '.x') from users where u % 5 = 4
+    union all select concat('O', u), 'sum', null, null, concat('N', u, '|T', u) from users where u % 10 = 4
+    union all select concat('Q', u), 'sum', null, null, concat('Q', case when u % 10 = 6 then u + 1 else u - 1 end) from users where u % 10 in (6, 7))"""
+
+
+def chained_of(s):
+    u, day = F.col("u"), F.lit(None).cast("date")
+    named = lambda c, n=u: F.concat(F.lit(c), n)
+
+    def sums(where, name, *sources):
+        return s.users.where(where).select(name.alias("timeseries_id"), F.lit("sum").alias("aggregation"), day.alias("valid_from"), day.alias("valid_to"), F.array(*sources).alias("sources"))
+
+    rows = refs_of(s).where("aggregation = 'rolling_sum'").select("timeseries_id", "aggregation", "valid_from", "valid_to", "sources")
+    rows = rows.unionByName(sums("u % 5 = 4", named("N"), F.concat(F.lit("M"), u, F.lit(".x")))).unionByName(sums("u % 10 = 4", named("O"), named("N"), named("T")))
+    return rows.unionByName(sums("u % 10 in (6, 7)", named("Q"), named("Q", F.when(u % 10 == 6, u + 1).otherwise(u - 1))))
+
+
+SUM_OVER = """select {0} as timeseries_id, timestamp, sum(delta) over (partition by {0} order by timestamp) as value from (
+    select {0}, timestamp, sum(greatest(delta, 0)) as delta from (
+        select k.{0}, b.timestamp, b.value - lag(b.value) over (partition by k.{0}, k.source order by b.timestamp) as delta from {1} k join {2} b on b.timeseries_id = k.source) d
+    where delta is not null group by 1, 2) x"""
+
+
+@R.query(f"""with {BASE}, ns as (select concat('N', u) as n, concat('M', u, '.x') as source from users where u % 5 = 4), n_rows as ({SUM_OVER.format('n', 'ns', 'stitched')}),
+    os as (select concat('O', u) as o, unnest([concat('N', u), concat('T', u)]) as source from users where u % 10 = 4),
+    o_base as (select timeseries_id, timestamp, value from n_rows union all select timeseries_id, timestamp, value from base), o_rows as ({SUM_OVER.format('o', 'os', 'o_base')})
+    select timeseries_id, timestamp, value from stitched union all select * from n_rows union all select * from o_rows""")
+def d8_by_dependency(s):
+    return op.materialize(chained_of(s), base_of(s), by_dependency=True)
+
+
+@R.query(f"""with {CHAINED} select timeseries_id, 'source made later' as issue from chained where timeseries_id like 'N%' or timeseries_id like 'O%' or timeseries_id like 'Q%'""")
+def d8_issues_by_kind(s):
+    """In the default order a sum over a stitched counter, or over another sum, finds no readings."""
+    return op.issues(chained_of(s), base_of(s))
+
+
+@R.query(f"with {CHAINED} select timeseries_id, 'cycle of sources' as issue from chained where timeseries_id like 'Q%'")
+def d8_issues_by_dependency(s):
+    return op.issues(chained_of(s), base_of(s), by_dependency=True)
+
+
+# a full-period series stitched to the parts of another, as well as parts that follow each other
+@R.query(f"""with {BASE}, r as (select u, concat('R', u) as timeseries_id, concat('P', u, 'a') as a, concat('P', u, 'b') as b, case when u % 3 = 0 then concat('T', u) end as c from users where u % 5 = 4),
+    x as (select timeseries_id, unnest([a, b, c]) as source, unnest([0, 1, 2]) as position from r),
+    span as (select timeseries_id as source, min(timestamp) as lo, max(timestamp) as hi from base group by 1), y as (select x.*, lo, hi from x join span using (source))
+    select p.timeseries_id, p.source, q.source as source_2 from y p join y q on p.timeseries_id = q.timeseries_id and p.position < q.position where p.lo <= q.hi and q.lo <= p.hi""")
+def d6_overlapping_sources(s):
+    u, day = F.col("u"), F.lit(None).cast("date")
+    part = lambda x: F.concat(F.lit("P"), u, F.lit(x))
+    refs = s.users.where("u % 5 = 4").select(
+        F.concat(F.lit("R"), u).alias("timeseries_id"), F.lit("rolling_sum").alias("aggregation"), day.alias("valid_from"), day.alias("valid_to"),
+        F.when(u % 3 == 0, F.array(part("a"), part("b"), F.concat(F.lit("T"), u))).otherwise(F.array(part("a"), part("b"))).alias("sources"),
+    )
+    return op.overlapping_sources(refs, base_of(s))
+
+
 @R.query(f"with {BASE} select timeseries_id, aggregation, valid_from, valid_to, cast(n_sources as int) as n_sources, cast(position as int) as position, source from src")
 def d9_explode_sources(s):
     return op.explode_sources(refs_of(s))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.temporal import valid_at
 from meterflow.operators import flow as op
-from meterflow.plans.stage import new_path, staged
+from meterflow.plans.stage import new_path
 from meterflow.queries.registry import Registry
 from meterflow.streaming.flow import run_once
 
@@ -68,7 +68,7 @@ def flow_of(s):
 
 
 def net_of(s):
-    return op.meter_net(staged(flow_of(s), "flow"), s.relations)
+    return op.meter_net(flow_of(s), s.relations)
 
 
 @R.query(f"with {LATEST} select * from latest")
@@ -122,6 +122,13 @@ def c9_meter_net(s):
     return net_of(s)
 
 
+@R.query(f"""with recursive {FLOW}, hs as ({SUBS.format('flow')})
+    select parent_meter_id, cast(date_trunc('month', timestamp) as date) as month, sum(total) as lost, count(*) as n_times from hs
+    where not exists (select 1 from flow f where f.meter_id = hs.parent_meter_id and f.timestamp = hs.timestamp) group by 1, 2""")
+def c9_lost_child_flow(s):
+    return op.lost_child_flow(flow_of(s), s.relations)
+
+
 @R.query(f"""with recursive {MEASURED}, paths as (
         select meter_id as ancestor, meter_id, date '0001-01-01' as lo, date '9999-12-31' as hi from (select distinct meter_id from measured) m
         union all
@@ -154,15 +161,15 @@ def c6_line_flow(s):
 
 @R.query(over_lines(f"with recursive {NET} select * from net"))
 def c9_line_net(s):
-    return op.meter_net(staged(c6_line_flow(s), "flow"), s.line_relations)
+    return op.meter_net(c6_line_flow(s), s.line_relations)
 
 
 @R.query("""select r.timeseries_id, r.timestamp, m.meter_id, (m.valid_from is null or m.valid_from <= r.timestamp) and (m.valid_to is null or m.valid_to > r.timestamp) as valid
-    from readings r join meters m on substr(m.meter_id, 2) = substr(r.timeseries_id, 2) where r.recorded_at is null""")
+    from readings r join meters m on substr(m.meter_id, 2) = substr(r.timeseries_id, 2)""")
 def c11_validity_mask(s):
     """Every reading with whether its meter's window holds its time."""
     m = s.meters.select("meter_id", "valid_from", "valid_to", F.concat(F.lit("T"), F.expr("substr(meter_id, 2)")).alias("timeseries_id"))
-    rows = s.readings.where("recorded_at is null").join(m, "timeseries_id")
+    rows = s.readings.join(m, "timeseries_id")
     return rows.select("timeseries_id", "timestamp", "meter_id", valid_at(F.col("timestamp"), F.col("valid_from"), F.col("valid_to")).alias("valid"))
 
 

@@ -136,11 +136,13 @@ def s9_inject_manual(s):
     return reports.inject_manual(s.refs, have, manual)
 
 
-@R.query("""select meter_id, month, delta as value from meter_monthly where month in ('2024-01', '2024-02') and not (month = '2024-02' and delta % 2 = 0)""")
+@R.query("""select meter_id, month, delta as value from meter_monthly where not (month <> '2024-01' and delta % 2 = 0)""")
 def s10_unpivot_months(s):
-    wide = s.meter_monthly.groupBy("meter_id").pivot("month", ["2024-01", "2024-02"]).agg(F.sum("delta"))
-    cells = wide.select("meter_id", F.col("`2024-01`").cast("string").alias("jan"), F.when(F.col("`2024-02`") % 2 == 0, "-").otherwise(F.col("`2024-02`").cast("string")).alias("feb"))
-    return reports.unpivot_months(cells, "meter_id", {"jan": "2024-01", "feb": "2024-02"})
+    """All months as columns of text, with a dash for some values."""
+    months = [f"2024-0{k}" for k in range(1, 8)]
+    wide = s.meter_monthly.groupBy("meter_id").pivot("month", months).agg(F.sum("delta"))
+    cell = lambda m: F.when((F.col(f"`{m}`") % 2 == 0) & F.lit(m != months[0]), "-").otherwise(F.col(f"`{m}`").cast("string"))
+    return reports.unpivot_months(wide.select("meter_id", *(cell(m).alias(f"m{k}") for k, m in enumerate(months))), "meter_id", {f"m{k}": m for k, m in enumerate(months)})
 
 
 # labels of every kind: what they are made of, and the id they stand for

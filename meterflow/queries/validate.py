@@ -17,7 +17,7 @@ EDGES = """bad_edges as (
         case u % 5 when 0 then null when 1 then -0.5 when 2 then 1.5 else 0.25 end, null, null from users where u % 10 = 3 or u % 14 = 2 or u % 9 = 6
     union all select parent_meter_id, child_meter_id, relation_type, flow_coefficient, date '2024-01-15', null from relations where child_meter_id like 'M_4'
     union all select 'M9999', concat('M', u), 'hasSubMeter', 1.0, null, null from users where u % 50 = 7
-    union all select concat('M', u), concat('M', cast(floor((u - 1) / 4.0) as bigint)), 'hasSubMeter', 1.0, date '2024-01-18', null from users where u in (5, 22, 63, 77))"""
+    union all select concat('M', u), concat('M', cast(floor((u - 1) / 4.0) as bigint)), 'hasSubMeter', 1.0, date '2024-01-18', null from users where u % 58 = 5 or u % 41 = 22 or u % 72 = 5)"""
 COLS = ["parent_meter_id", "child_meter_id", "relation_type", "flow_coefficient", "valid_from", "valid_to"]
 
 
@@ -35,7 +35,7 @@ def edges_of(s):
         r.unionByName(rows(s.users.where("u % 10 = 3 or u % 14 = 2 or u % 9 = 6"), m(u), m(u + 1), F.when(u % 3 == 0, "feeds").otherwise("hasSubMeter"), k))
         .unionByName(r.where("child_meter_id like 'M_4'").withColumn("valid_from", day("2024-01-15")).withColumn("valid_to", day(None)))
         .unionByName(rows(s.users.where("u % 50 = 7"), F.lit("M9999"), m(u), sub, one))
-        .unionByName(rows(s.users.where("u in (5, 22, 63, 77)"), m(u), m(up), sub, one, "2024-01-18"))
+        .unionByName(rows(s.users.where("u % 58 = 5 or u % 41 = 22 or u % 72 = 5"), m(u), m(up), sub, one, "2024-01-18"))
     )
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from meterflow.functions.temporal import valid_at
+from meterflow.functions.temporal import lower, upper
+from meterflow.plans.intervals import breakpoints, by_interval, located
 from meterflow.schemas import DEFAULTS, TABLES
 
 TRUE, FALSE = ("", "true", "1", "yes"), ("false", "0", "no")
@@ -110,9 +111,12 @@ def assemble_site(workstreams: dict[str, dict[str, DataFrame]]) -> dict[str, Dat
 def extract_readings(export: DataFrame, refs: DataFrame) -> DataFrame:
     """(timeseries_id, timestamp, value): an export row gives a reading to every reference with its
     external id whose window holds the day; the value is the day's last."""
-    r = refs.where("external_id is not null and external_id <> ''").select("timeseries_id", F.col("external_id").alias("meter_id"), "valid_from", "valid_to")
-    rows = export.where("v_last is not null").join(r, "meter_id").where(valid_at(F.col("day"), F.col("valid_from"), F.col("valid_to")))
-    return rows.select("timeseries_id", F.col("day").cast("timestamp").alias("timestamp"), F.col("v_last").alias("value"))
+    r = refs.where("external_id is not null and external_id <> ''")
+    r = r.select("timeseries_id", F.col("external_id").alias("meter_id"), lower(F.col("valid_from")).alias("lo"), upper(F.col("valid_to")).alias("hi")).where("lo < hi")
+    marks = breakpoints(r)
+    rows = export.where("v_last is not null").join(r.select("meter_id").distinct(), "meter_id", "left_semi").withColumn("timestamp", F.col("day").cast("timestamp"))
+    rows = located(rows.select("meter_id", "timestamp", F.col("v_last").alias("value")), marks).join(by_interval(r, marks), ["meter_id", "since"])
+    return rows.select("timeseries_id", "timestamp", "value")
 
 
 def default_measures(meters: DataFrame, campus: str) -> DataFrame:

@@ -35,7 +35,7 @@ def searched(spark, edges):
     return {r.start: r.path for r in shortest_cycles(spark.createDataFrame(edges, SCHEMA)).collect()}
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_against_enumeration(spark, seed):
     rng = random.Random(seed)
     edges = []
