@@ -57,6 +57,9 @@ from meterflow.llm.text import ALNUM, Words, blocks, buffers, find_words, grams,
 from meterflow.plans.components import connected_components
 from meterflow.plans.stage import release, staged
 
+#: Bytes of a node's row besides its id.
+ID_BYTES = 40
+
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 #: Upper end of the lowest rank layer; every further layer is as wide as all below it.
@@ -73,7 +76,7 @@ class Settings:
     small: int = 12
     block: int = 256
     #: most nodes (some 100 bytes each) whose ids are broadcast
-    broadcast_rows: int = 200_000
+    broadcast: int = 16 << 20  # bytes of ids
 
     @property
     def k(self) -> int:
@@ -332,7 +335,8 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     release(sizes, entries, pivots)
     of_ids = staged(nodes.drop("bands").join(wanted, "node", "left_semi"), "wanted")
     # texts meet the ids of nodes where they are, if these are few; else both are shuffled
-    here = F.broadcast(of_ids) if of_ids.count() <= s.broadcast_rows else of_ids
+    size = of_ids.agg(F.sum(F.coalesce(F.octet_length(F.col("id").cast("string")), F.lit(0)) + ID_BYTES)).first()[0] or 0
+    here = F.broadcast(of_ids) if size <= s.broadcast else of_ids
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(here, "id")
     units = staged(unit_elements(rows, s), "units")
     first_pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()

@@ -65,10 +65,10 @@ CLASSES = (
     CharClass("base64", frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 20, 3.8),
 )
 
-#: Suppressed: placeholders (words name all of their part of a path), UUIDs; whole runs that are file or
+#: Suppressed: placeholders (words together with the letters joined to them), UUIDs; whole runs that are file or
 #: URL paths or words joined by dashes or underscores, with a short number at the end at most.
 ALLOW = (
-    re.compile(r"(?i)(?:example|sample|dummy|placeholder|changeme|your[_-]|test[_-]?key)(?P<part>[^/+=]*)|xxxx|0{8}|1234567890"),
+    re.compile(r"(?i)(?:example|sample|dummy|placeholder|changeme|your[_-]|test[_-]?key)(?P<word>)|xxxx|0{8}|1234567890"),
     re.compile(r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"),
     re.compile(r"/?(?:[a-z]+[/_-])+(?:[a-z]+[0-9]{0,4}|[0-9]{1,4})"),
 )
@@ -76,12 +76,12 @@ ALLOW = (
 
 def window_entropies(s: str, window: int) -> list[float]:
     """Shannon entropy in bits of every window of `s`, each from the one before in constant time."""
-    xlog = [0.0] + [k * math.log2(k) for k in range(1, window + 1)]
+    xlog = [0.0] + [k * math.log2(k) for k in range(1, window + 2)]  # for a moment one more is inside
     counts: dict[str, int] = {}
     total, out, base = 0.0, [], math.log2(window)
     for i, c in enumerate(s):
         n = counts.get(c, 0)
-        total += xlog[n + 1] - xlog[n] if n < window else 0.0
+        total += xlog[n + 1] - xlog[n]
         counts[c] = n + 1
         if i >= window:
             gone = s[i - window]
@@ -118,14 +118,20 @@ def high_entropy(s: str, classes=CLASSES, skip: tuple | list = ()) -> list[tuple
 
 
 def named(run: str, allow=ALLOW) -> list[tuple[int, int]]:
-    """The stretches of `run` that the allow list names; a placeholder's word names its part of a path."""
+    """The stretches of `run` that the allow list names; a placeholder's word names the letters joined
+    to it, but nothing beyond them: whether the rest is random is for its entropy to say."""
     out = []
     for p in allow[:2]:
-        for m in p.finditer(run):
-            a = m.start()
-            if m.groupdict().get("part") is not None:
-                a = max(run.rfind(c, 0, a) for c in "/+=") + 1
-            out.append((a, m.end()))
+        at = 0
+        while m := p.search(run, at):
+            a, b = m.span()
+            if m.groupdict().get("word") is not None:
+                while a > at and run[a - 1].isalpha():
+                    a -= 1
+                while b < len(run) and run[b].isalpha():
+                    b += 1
+            out.append((a, b))
+            at = b
     return out
 
 
@@ -201,14 +207,16 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """`docs` with every secret in `text_col` replaced by `mark`; null texts stay null."""
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            offs, _ = buffers(batch.column(text_col))
-            at = batch.schema.get_field_index(text_col)
+            offs, _ = buffers(batch.column(at))
             for lo, hi in blocks(offs):
                 part = batch.slice(lo, hi - lo)
-                got = [t and redact_text(t, scan_text(t), mark) for t in part.column(text_col).to_pylist()]
+                got = [t and redact_text(t, scan_text(t), mark) for t in part.column(at).to_pylist()]
                 yield part.set_column(at, part.schema.field(at), pa.array(got, part.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    # columns by place, whatever their names
+    placed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)

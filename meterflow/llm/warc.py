@@ -21,7 +21,7 @@ inflate to, so a bad record or a damaged or cut member costs no other record. Re
 a member have the place of the member; a gap's reason has its inflated bytes. Of a member that breaks
 off with an error or fails its CRC only records count whose own digest holds.
 
-Null html is an empty payload, a null URL is left out of the record, control characters and spaces
+Null html is an empty payload, a null URL, or one of more than 4 MiB, is left out of the record, control characters and spaces
 in URLs are percent-encoded. Rows of equal payload and equal, smallest page_id are all responses; so
 are rows without a page_id, unless another page has their payload. Every row has a record, repeated
 and very long ones too. An empty table makes archives without records, an empty archive has neither
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.plans.stage import staged
@@ -56,6 +56,9 @@ MAX_RECORDS, LONG_PAGE = 1_000, 1 << 18
 BROADCAST = 16 << 20
 #: Bytes of a member read at once, and of what they inflate to.
 PIECE = 1 << 16
+#: Most bytes of a record's header; bytes of a record in a member above which it is checked before it
+#: is kept; and of a URL above which it is left out.
+HEADER, AHEAD, LONG_URL = 8 << 20, 1 << 20, 4 << 20
 
 
 def _record(kind: str, identity: Column, url: Column, digest: Column, extra: list[Column], http: Column, payload: Column) -> Column:
@@ -73,13 +76,12 @@ def _record(kind: str, identity: Column, url: Column, digest: Column, extra: lis
 def _origins(p: DataFrame) -> tuple[DataFrame, bool, bool]:
     """`p` (id, url, html, digest) with the `origin` of every revisit, null for responses; whether it
     has pages below `LONG_PAGE` bytes, and longer ones."""
-    size, seen = F.octet_length("html"), Observation()
+    size = F.octet_length("html")
+    least, most = p.agg(F.min(size), F.max(size)).first()
     ids = p.select("id", F.unhex("digest").alias("sha"), size.alias("size"))
-    ids = ids.observe(seen, F.min("size").alias("least"), F.max("size").alias("most"))
     # only payloads that repeat: a few rows per group before the shuffle, one after
     groups = ids.where(F.col("size") >= MIN_REVISIT).groupBy("sha").agg(F.min("id").alias("origin"), F.count("*").alias("n"))
     repeated = staged(groups.where("n > 1 and origin is not null").drop("n"), "repeated")
-    least, most = (seen.get[x] for x in ("least", "most"))
     bytes_ = repeated.agg(F.sum(F.octet_length(F.col("origin").cast("string")) + 64)).first()[0] or 0
     again = ~F.col("id").eqNullSafe(F.col("origin"))
     sha = F.unhex("digest")
@@ -95,7 +97,7 @@ def _origins(p: DataFrame) -> tuple[DataFrame, bool, bool]:
 
 def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """One record per page, in WARC files in folders under `path`."""
-    p = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    p = pages.select(F.col(id_col).alias("id"), F.when(F.octet_length(F.col(url_col).cast("string")) <= LONG_URL, F.col(url_col).cast("string")).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     if p.isEmpty():
         p.select(F.col("html").alias("value")).write.text(path)
         return
@@ -152,19 +154,25 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """(header, block, end) of the record at `at`, or Broken."""
     if not (m := _HEADER.match(data[at : at + 16])):
         raise Broken("no version line")
-    close = data.find(b"\r\n\r\n", at)
-    if close < 0:
-        raise Short("header without end", 2 * (len(data) - at))
     head: dict[str, str] = {}
-    for line in data[at + m.end() : close].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+    pos, most = at + m.end(), at + HEADER
+    # line by line: a header that another version line stands in ends there, so no byte is read for many headers
+    while (stop := data.find(b"\n", pos, most)) >= 0:
+        line, pos = data[pos:stop], stop + 1
+        if not line.endswith(b"\r"):
+            raise Broken("header line without line end")
+        if line == b"\r":
+            break
+        name, colon, value = line[:-1].partition(b":")
         if not colon:
             raise Broken("header line without colon")
         head[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
+    else:
+        raise Short("header without end", min(2 * (len(data) - at), HEADER)) if len(data) < most else Broken("header without end")
     size = head.get("content-length", "")
     if not _LENGTH.fullmatch(size):
         raise Broken("no content length")
-    start, end = close + 4, close + 4 + int(size)
+    start, end = pos, pos + int(size)
     if data[end : end + 4] != b"\r\n\r\n":
         raise Short("record without end", end + 4 - at) if len(data) < end + 4 else Broken("record without end")
     block = data[start:end]
@@ -173,47 +181,66 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     return head, block, end + 4
 
 
+class Inflater:
+    """Reads a gzip member piece by piece; a copy reads on from the same place."""
+
+    def __init__(self, data: bytes, at: int):
+        self.z, self.view, self.pos, self.rest = zlib.decompressobj(31), memoryview(data), at, b""
+        self.why, self.cut, self.ended, self.queue = "", False, False, []
+
+    def copy(self) -> Inflater:
+        other = Inflater.__new__(Inflater)
+        other.__dict__ = self.__dict__ | {"z": self.z.copy() if not self.z.eof else self.z, "queue": list(self.queue)}
+        return other
+
+    def read(self) -> bytes | None:
+        """The next piece, at most `PIECE` bytes or so; None at the end."""
+        if self.queue:
+            return self.queue.pop(0)
+        if self.ended or self.z.eof:
+            return None
+        if not self.rest:
+            self.rest = self.view[self.pos : self.pos + PIECE]
+            self.pos += len(self.rest)
+        kept, rest = self.z.copy(), self.rest
+        try:
+            out = self.z.decompress(rest, PIECE) if len(rest) else self.z.flush()
+        except zlib.error as e:
+            self.why, self.ended = f"gzip member: {e}", True
+            for i in range(len(rest)):  # all that comes before the failure
+                try:
+                    self.queue.append(kept.decompress(rest[i : i + 1]))
+                except zlib.error:
+                    self.pos += i + 1 - len(rest)
+                    break
+            return self.read()
+        if not len(rest) and not self.z.eof:
+            self.why, self.cut, self.ended = "gzip member without end", True, True
+        self.rest = self.z.unconsumed_tail
+        return out
+
+    @property
+    def end(self) -> int:
+        return self.pos - len(self.z.unused_data) if not self.why else self.pos
+
+
 class Member:
-    """The gzip member at `at`: after `pieces` has run, where it ends (`end`) and its first failure
-    (`why`, empty for an intact one). `cut`: the data ended first."""
+    """The gzip member at `at`: after `check`, where it ends (`end`), its first failure (`why`, empty for
+    an intact one; `cut`: the data ended first) and how many bytes it inflates to (`size`)."""
 
     def __init__(self, data: bytes, at: int):
-        self.data, self.at, self.end, self.why, self.cut = data, at, at, "", False
-
-    def pieces(self) -> Iterator[bytes]:
-        z, view, pos, rest = zlib.decompressobj(31), memoryview(self.data), self.at, b""
-        while not z.eof:
-            if not rest:
-                rest = view[pos : pos + PIECE]
-                pos += len(rest)
-            kept = z.copy()
-            try:
-                out = z.decompress(rest, PIECE) if len(rest) else z.flush()
-            except zlib.error as e:
-                self.end, self.why = pos, f"gzip member: {e}"
-                for i in range(len(rest)):  # all that comes before the failure
-                    try:
-                        yield kept.decompress(rest[i : i + 1])
-                    except zlib.error:
-                        self.end = pos - len(rest) + i + 1
-                        return
-                return
-            if not len(rest) and not z.eof:
-                self.end, self.why, self.cut = pos, "gzip member without end", True
-                yield out
-                return
-            rest = z.unconsumed_tail
-            yield out
-        self.end = pos - len(z.unused_data)
+        self.data, self.at, self.end, self.why, self.cut, self.size = data, at, at, "", False, 0
 
     def check(self) -> Member:
-        for _ in self.pieces():
-            pass
+        z = Inflater(self.data, self.at)
+        while (piece := z.read()) is not None:
+            self.size += len(piece)
+        self.end, self.why, self.cut = z.end, z.why, z.cut
         return self
 
     def salvage(self) -> Iterator[tuple[str, int, int, object]]:
         """Records and gaps as of `salvage`, by inflated bytes; run `check` first."""
-        doubtful, pieces = bool(self.why) and not self.cut, self.pieces()
+        doubtful, pieces = bool(self.why) and not self.cut, Inflater(self.data, self.at)
         buf, base, at, gap, why, more = b"", 0, 0, -1, "", True
         while more or at < len(buf):
             try:
@@ -225,10 +252,10 @@ class Member:
                 if doubtful and not digest_holds(head, block):
                     raise Broken("no digest in a damaged member")
             except Broken as e:
-                if more and isinstance(e, Short):
+                if more and isinstance(e, Short) and self._whole(buf, base + at, at, e.need, pieces):
                     parts, size = [buf[at:]], len(buf) - at
                     while size < e.need and more:
-                        piece = next(pieces, None)
+                        piece = pieces.read()
                         more = piece is not None
                         parts.append(piece or b"")
                         size += len(parts[-1])
@@ -249,6 +276,20 @@ class Member:
             yield "gap", gap if gap >= 0 else base + at, base + at, self.why or why
 
 
+    def _whole(self, buf: bytes, place: int, at: int, need: int, pieces: Inflater) -> bool:
+        """Whether `need` bytes from `place` on are worth holding: a record must lie within its member, and
+        a long one must end as records do, which a copy of the inflater finds out without keeping it."""
+        if need <= AHEAD:
+            return True
+        if place + need > self.size:
+            return False
+        left, tail, z = need - (len(buf) - at), b"", pieces.copy()
+        while left > 0 and (piece := z.read()) is not None:
+            tail = (tail + piece[:left])[-4:]
+            left -= len(piece)
+        return tail.endswith(b"\r\n\r\n"[-len(tail) :] if tail else b"-")
+
+
 def _key(head: dict[str, str], block: bytes) -> bytes:
     return hashlib.sha256(repr(sorted(head.items())).encode() + b"\0" + block).digest()
 

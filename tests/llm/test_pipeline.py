@@ -50,12 +50,12 @@ def test_odd_rows_in_every_stage(spark, tmp_path):
         (1, plain), (1, plain), (None, plain), (2, None), (None, None), (3, ""), (3, passage + " x"), (4, "alpha beta gamma delta epsilon zeta"),
         (4, "other words under the same number stand here"), (None, passage), (5, "key = " + "x1Y2z3W4v5U6t7S8r9Q0p1O2"), (6, "long " * 60_000),
     ]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, id string, row string, c0 int"
-    spark.createDataFrame([(i, t, "en", "s", len(t or ""), "i", "r", 7) for i, t in rows], schema).write.parquet(f"{d}/documents.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id string, row string, c0 int, `a.b` int, `row_key` int, `ROW_KEY_` int, `it``s \"q\"` int"
+    spark.createDataFrame([(i, t, "en", "s", len(t or ""), "i", "r", 7, 1, 2, 3, 4) for i, t in rows], schema).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([(1, passage), (None, "x"), (2, None)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     read = spark.read.parquet(f"{d}/documents.parquet")
-    loose = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "i", "r", 7) for i, t in rows], schema)
+    loose = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "i", "r", 7, 1, 2, 3, 4) for i, t in rows], schema)
     texts = lambda df: sorted((str(r.doc_id), r.text) if r.text is not None else (str(r.doc_id), "-") for r in df.collect())
     for docs in (read, loose):
         assert texts(stage_of("quality_classifier")(spark, docs, d)) == texts(docs)
@@ -67,6 +67,7 @@ def test_odd_rows_in_every_stage(spark, tmp_path):
         assert clean.count() == len(rows) - 2 and not any("bench" in t for _, t in texts(clean)) and [i for i, _ in texts(clean)].count("3") == 1
         safe = stage_of("secret_scan")(spark, docs, d)
         assert safe.count() == len(rows) and sum("SECRET" in t for _, t in texts(safe)) == 1 and safe.where("c0 = 7 and id = 'i' and row = 'r'").count() == len(rows)
+        assert all(x.columns == docs.columns and x.where("`a.b` = 1 and row_key = 2 and row_key_ = 3").count() == x.count() for x in (once, clean, safe, stage_of("quality_classifier")(spark, docs, d)))
         assert stage_of("byte_bpe")(spark, docs, d).count() == len(rows)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, read.limit(0), d).count() == 0, name

@@ -96,10 +96,10 @@ def test_secrets_base_and_entropy(spark):
         assert rows[i].base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest()
         assert [rows[i].n_assign, rows[i].n_access, rows[i].n_hex] == [sum(b[0] == k for b in base) for k in ("assign", "access", "hex")]
         assert set(f"{k}:{s}:{e}" for k, s, e in base) <= set(rows[i].spans.split(","))
-    assert rows[8].spans == "entropy:6:30"
+    assert rows[8].spans == "entropy:6:30,entropy:36:68"
     clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
     assert clean[0] == 'é [SECRET]" x' and clean[4] == SECRET[4] and clean[6] is None
-    assert "Zx9qLw3" in clean[8] and clean[8].startswith("plain [SECRET] end")
+    assert "Zx9qLw3" not in clean[8] and clean[8].startswith("plain [SECRET] end; [SECRET]; 123e4567-e89b-12d3-a456")
 
 
 def test_window_entropy_is_incremental():
@@ -203,7 +203,17 @@ def test_allow_list_hides_only_what_it_names():
     ):
         assert any(secret[2:-2] in x for x in found(prefix + secret)), prefix
     for plain in (
-        "example-Zx9qLw3Tr8Vb2Nm5Kj7Hg4Fd", "123e4567-e89b-12d3-a456-426614174000", "id-123e4567-e89b-12d3-a456-426614174000",
+        "example-key-for-dummy-use-01", "123e4567-e89b-12d3-a456-426614174000", "id-123e4567-e89b-12d3-a456-426614174000",
         "some/long/path_with_words/chapter12", "a-very-long-file-name-with-words-2024",
     ):
         assert found(plain) == [], plain
+
+
+@pytest.mark.parametrize("key", ["Zx9qLw3Tr8Vb2Nm5Kj7Hg4FdQp1dummy", "sk_test_key_4eC39HqLyjWDarjtT1zdp7dc", "prod-example-Zx9qLw3Tr8Vb2Nm5Kj7Hg4FdQp1", "Zx9qLw3Tr8Vb2Nm5Kj7Hg4FdQp1/sample"])
+def test_placeholders_hide_only_themselves(key):
+    assert [k for k, *_ in secret_scan.scan_text(f"see {key} here")] == ["entropy"]
+
+
+@pytest.mark.parametrize("text", ["your-api-key-goes-here-1234", "EXAMPLEKEYexamplekeyEXAMPLEKEY12", "dummydummydummydummydummydummy99", "xxxxxxxxxxxxxxxxxxxxxxxxxxxx1234", "test_key_test_key_test_key_12"])
+def test_placeholders_alone_are_no_secrets(text):
+    assert secret_scan.scan_text(f"see {text} here") == []

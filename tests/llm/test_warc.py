@@ -161,3 +161,55 @@ def test_random_damage_never_raises():
     revisit = record(3, "HTTP/1.1 200 OK\r\nContent-Length: 99999999999999999999\r\n\r\n").replace(b"resource", b"revisit")
     head, block = list(warc.salvage(revisit))[0][3]
     assert warc.http_payload(head | {"content-type": "application/http"}, block) == (b"", 0)
+
+
+def sealed(body, n=None):
+    size = len(body) if n is None else n
+    return b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Block-Digest: sha256:" + hashlib.sha256(body).hexdigest().encode() + f"\r\nContent-Length: {size}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+
+def test_version_lines_take_linear_time():
+    import time
+
+    for line in (b"WARC/1.0\r\n", b"WARC/1.0\n", b"WARC/1.0\r\na: b\r\n", b"WARC/1.0\r\nContent-Length: 99999999\r\n\r\n"):
+        took = []
+        for size in (1 << 20, 1 << 22):
+            data = line * (size // len(line))
+            began = time.process_time()
+            assert [x[:3] for x in warc.salvage(data)] == [("gap", 0, len(data))]
+            took.append(time.process_time() - began)
+        assert took[1] < 8 * took[0] + 1
+
+
+def test_wrong_length_in_a_member_costs_one_record_and_little_memory():
+    """One number too large, by less and by more than what is left of a member of 40 MB."""
+    import gzip
+    import tracemalloc
+
+    rng = random.Random(5)
+    bodies = [rng.randbytes(20_000) for _ in range(2_000)]
+    for wrong in (25_000_000, 10**12):
+        data = gzip.compress(b"".join(sealed(b, wrong if i == 7 else None) for i, b in enumerate(bodies)), 1)
+        tracemalloc.start()
+        got = [x[0] for x in warc.salvage(data)]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got.count("record") == len(bodies) - 1 and got.count("gap") == 1
+        assert peak < 50 << 20
+
+
+def test_long_records_in_members_are_read():
+    import gzip
+
+    big = random.Random(6).randbytes(5 << 20)
+    got = list(warc.salvage(gzip.compress(sealed(b"a") + sealed(big) + sealed(b"c"), 1)))
+    assert [x[0] for x in got] == ["record"] * 3 and got[1][3][1] == big
+
+
+def test_odd_columns(spark, tmp_path):
+    """Columns with names used inside pass by; very long URLs are left out, long ones kept."""
+    rows = [(1, "u" * 300_000, "<p>", "x", "y", "z"), (2, "v" * (5 << 20), "q", "x", "y", "z"), (3, None, None, "x", "y", "z")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, id string, digest string, value string")
+    warc.write_pages(pages, f"file://{tmp_path}/odd")
+    got = {r.record_id: r.target_uri for r in warc.read_archives(spark, f"file://{tmp_path}/odd", "part-*").collect()}
+    assert got == {"<urn:page:1>": "u" * 300_000, "<urn:page:2>": None, "<urn:page:3>": None}
