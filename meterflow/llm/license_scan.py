@@ -1,30 +1,38 @@
-"""Licence scan: a trained paragraph classifier whose findings are confirmed against templates.
-
-A paragraph ends at a blank line. Where enough of a template's word pairs stand within about the
-template's length, the stretch from the first to the last of them is a window; a paragraph shorter
-than the template needs as large a share of its own pairs in the template. So prose around a notice
-takes nothing from it. A softmax regression with an L1 penalty scores every window. Its features are
-hashed words and word pairs, weighed by the inverse root of their number. It is trained on stretches
-made from the templates below (parts of them, words left out, prose before and behind) and, as the
-class "unknown", on lines and stretches of lines of at most `max_docs` corpus documents, picked by a
-hash of their id. Its scale is calibrated on held-out stretches (one temperature). A window counts if
-"unknown" has less than half of the probability; of windows that overlap the one that agrees best
-counts (then the likelier, then the shorter one), and a paragraph is reported once for every licence
-found in it. A licence without its version is not reported beside the same one with it.
-
-Word pairs cannot tell versions or variants, so the reported name comes from the words of the window
-and those behind it up to the version: the version, Lesser or Affero, the clauses, NC, ND and SA. A
-notice without a known version or variant is reported as the family without it ("GPL"), and one that
-does not name a family of the templates at all as "unknown".
+"""Licence scan: a trained classifier of stretches of paragraphs, confirmed against templates.
+
+A paragraph ends at a blank line. A softmax regression with an L1 penalty scores stretches of `LENGTHS`
+words of it, from every word on that speaks for some family. Features are hashed words and word pairs,
+weighed by the inverse root of their number; scores of stretches are differences of running sums, so
+prose around a notice takes nothing from it, and words without a weight cost nothing. The regression
+alone says which family a stretch belongs to. It is trained on notices made from the templates and names
+below (parts of them, words left out, prose before and behind) and, as the class "unknown", on lines and
+stretches of lines of at most `max_docs` corpus documents, picked by a hash of their id, and on notices
+of other licences. Its scale is calibrated on held-out stretches (one temperature), and a stretch in
+which "unknown" has half of the probability or more is rejected.
+
+Of the stretches from one word on, and of one family, the longest of about the best probability counts. In the order of
+their probability (to a tenth) and then length they are compared with the templates of the family that
+was predicted: one of the family's names, which must stand near a word that speaks of licensing unless
+it says so itself, or enough of the word pairs of a longer template, those aside that bring in any
+licence. What no template confirms is
+dropped, and what agrees (the name's words, or the stretch) counts unless it overlaps what counted
+before. Stretches of one family within `GAP` words are one notice, unless both are names.
+
+Word pairs cannot tell versions or variants, so the reported name comes from the words of the notice and
+those behind it up to the version, or the next notice: the version, the clauses, NC, ND and SA. A notice
+without a known version or variant is reported as the family without it ("GPL"), one without the
+family's own words as "unknown", unless it stands beside another. A paragraph is reported once for every licence found in it; a licence
+without its version is not reported beside the same one with it.
 
 Null and empty texts have no paragraphs. Rows with a null id are scanned but not sampled. Repeated
 rows give repeated results; every paragraph of a long text is read. An empty table gives no rows.
-Other columns are not read, whatever their names.
+Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -135,12 +143,43 @@ TEMPLATES: dict[str, list[str]] = {
 }
 
 
+#: Short names of the families, as notices and identifiers write them.
+NAMES: dict[str, list[str]] = {
+    "AGPL": ["AGPL", "AGPLv3", "AGPL-3.0", "AGPL-3.0-only", "GNU AGPL", "Affero General Public License"],
+    "Apache": ["Apache 2.0", "Apache-2.0", "Apache License", "Apache Licence", "Apache v2", "Apache Software License"],
+    "BSD": ["BSD", "BSD-2-Clause", "BSD-3-Clause", "BSD 2-Clause", "BSD 3-Clause", "2-Clause BSD", "3-Clause BSD"],
+    "BSL": ["BSL-1.0", "Boost Software License"],
+    "CC": ["CC BY", "CC BY 4.0", "CC BY-SA 4.0", "CC BY-NC 4.0", "CC BY-ND 4.0", "CC BY-NC-SA 4.0", "CC BY-NC-ND 4.0", "CC BY 3.0", "Creative Commons Attribution", "Creative Commons BY"],
+    "CC0": ["CC0", "CC0 1.0", "CC0-1.0", "Creative Commons Zero"],
+    "EPL": ["EPL", "EPL-1.0", "EPL-2.0", "Eclipse Public License"],
+    "GPL": ["GPL", "GPLv2", "GPLv3", "GPL-2.0", "GPL-3.0", "GPL-2.0-only", "GPL-3.0-or-later", "GNU GPL", "GNU General Public License", "GNU General Public Licence"],
+    "ISC": ["ISC"],
+    "LGPL": ["LGPL", "LGPLv2", "LGPLv3", "LGPL-2.1", "LGPL-3.0", "LGPL-2.1-or-later", "LGPL-3.0-only", "GNU LGPL", "Lesser General Public License", "Lesser General Public Licence"],
+    "MIT": ["MIT"],
+    "MPL": ["MPL", "MPL-1.1", "MPL-2.0", "Mozilla Public License", "Mozilla Public Licence"],
+    "Unlicense": ["Unlicense"],
+    "Zlib": ["Zlib"],
+}
+
+#: How notices bring a name in; words that speak of licensing; families whose names with a
+#: version or clause need no such word.
+PHRASES = [
+    "Licensed under {}", "Licensed under the {} license", "Released under {}", "Released under the {} license", "Available under {}", "Distributed under the {} licence",
+    "This project uses the {} license", "SPDX-License-Identifier: {}", "License: {}", "Dual licensed under {}", "made available under the terms of the {}", "published under the terms of {}", "{} licensed", "the {} license",
+]
+SPEAKS = ["license", "licence", "licensed", "licenced", "licenses", "licences", "spdx", "available under", "released under", "distributed under", "published under", "terms of"]
+PLAIN = ("AGPL", "BSD", "BSL", "CC", "CC0", "EPL", "GPL", "LGPL", "MPL")
+#: Words that stand alone in prose as well; the class "unknown" is trained on them so.
+ALONE = ["MIT", "ISC", "Apache", "Eclipse", "Mozilla", "Boost", "zlib", "the license", "a licence to", "released under a", "permission", "this software"]
+
 #: Notices of licences without a template; the class "unknown" is trained on them too.
 NEAR_MISSES = [
     "Licensed under the Artistic License 2.0.",
     "Licensed under the European Union Public Licence, version 1.2.",
     "This work is licensed under the Open Data Commons Open Database License.",
     "Released under the Do What The Fuck You Want To Public License.",
+    "Licensed under the Open Software License 3.0.", "Licensed under the Academic Free License, version 3.0.", "Licensed under the Microsoft Public License.",
+    "This work is licensed under the SIL Open Font License, Version 1.1.", "Released under the PostgreSQL License.", "SPDX-License-Identifier: OFL-1.1", "SPDX-License-Identifier: Artistic-2.0",
     "SPDX-License-Identifier: EUPL-1.2",
     "SPDX-License-Identifier: PSF-2.0",
     "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
@@ -149,17 +188,20 @@ NEAR_MISSES = [
 
 #: Versions of licences, without trailing zeros, as their identifiers write them.
 VERSIONS: dict[str, dict[str, str]] = {
-    "AGPL": {"1": "1.0", "3": "3.0"}, "Apache": {"1": "1.0", "1.1": "1.1", "2": "2.0"}, "CC": {"1": "1.0", "2": "2.0", "2.5": "2.5", "3": "3.0", "4": "4.0"}, "EPL": {"1": "1.0", "2": "2.0"},
+    "AGPL": {"1": "1.0", "3": "3.0"}, "BSL": {"1": "1.0"}, "Apache": {"1": "1.0", "1.1": "1.1", "2": "2.0"}, "CC": {"1": "1.0", "2": "2.0", "2.5": "2.5", "3": "3.0", "4": "4.0"}, "EPL": {"1": "1.0", "2": "2.0"},
     "GPL": {"1": "1.0", "2": "2.0", "3": "3.0"}, "LGPL": {"2": "2.0", "2.1": "2.1", "3": "3.0"}, "MPL": {"1": "1.0", "1.1": "1.1", "2": "2.0"},
 }
 
 #: The version that a name, or the word version, is followed by.
 _VERSION = re.compile(
-    r"(?:\bversion[\s,:(]*|\bv[\s.]*|(?:gpl|mpl|epl|apache|licen[sc]es?|attribution|non-?commercial|share-?alike|noderiv\w*|\bby|\bnc|\bnd|\bsa)(?:[\s(/-]|licen[sc]e)*v?[\s.]*)"
+    r"(?:\bversion[\s,:(]*|\bv[\s.]*|(?:gpl|mpl|epl|bsl|apache|licen[sc]es?|attribution|non-?commercial|share-?alike|noderiv\w*|\bby|\bnc|\bnd|\bsa)(?:[\s(/-]|licen[sc]e)*v?[\s.]*)"
     r"(\d+(?:\.\d+)*)"
 )
-#: Words behind a window in which its version may stand.
-_BEHIND = 12
+#: Words behind a notice in which its version may stand; words between stretches of one notice; words
+#: before and behind a name in which licensing may be spoken of.
+_BEHIND, GAP, BEFORE, AFTER = 12, 8, 8, 8
+#: Words of the stretches that are scored.
+LENGTHS = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 20, 24, 32, 40)
 
 
 def licence_name(family: str, notice: str, behind: str = "") -> str:
@@ -214,6 +256,10 @@ class Settings:
     rate: float = 0.5
     l1: float = 1e-5
     confirm: float = 0.6
+    #: least weight, over that for "unknown", of a word that speaks for a family
+    evidence: float = 0.1
+    #: word pairs that a longer template and a stretch must share at least
+    least_pairs: int = 4
 
 
 @dataclass(frozen=True)
@@ -254,43 +300,143 @@ def agreement(paragraph: set[int], template: set[int]) -> float:
     return len(paragraph & template) / least if least else 0.0
 
 
-@dataclass(frozen=True)
-class Template:
-    label: int
-    words: int
-    pairs: np.ndarray
+def family_of(name: str) -> str:
+    return name.split("-")[0]
 
 
-def all_templates(classes: list[str]) -> list[Template]:
-    out = []
-    for y, family in enumerate(classes[1:], 1):
-        for text, pairs in zip(TEMPLATES[family], word_pairs(TEMPLATES[family])):
-            out.append(Template(y, len(_block([text]).hash), np.array(sorted(pairs), np.uint64)))
-    return out
+@dataclass(frozen=True)
+class Templates:
+    """What confirms a family, by class: word pairs of its longer templates; hashed words of its names,
+    by their first word, with whether they need no word about licensing."""
+
+    pairs: dict[int, list[frozenset[int]]]
+    names: dict[int, dict[int, list[tuple[list[int], bool]]]]
+    speaks: frozenset[int]
+    speaks_pairs: frozenset[int]
+
+    @staticmethod
+    def of(classes: list[str], least: int) -> Templates:
+        pairs: dict[int, list[frozenset[int]]] = {y: [] for y in range(1, len(classes))}
+        common = _block([part for phrase in PHRASES for part in phrase.split("{}")])
+        common = set(grams(common.hash, common.last, 2)[1].tolist())  # they bring in any licence
+        for name, texts in TEMPLATES.items():
+            pairs[classes.index(family_of(name))] += [own for p in word_pairs(texts) if len(own := frozenset(p - common)) >= least]
+        names: dict[int, dict[int, list[tuple[list[int], bool]]]] = {y: {} for y in pairs}
+        for family, texts in NAMES.items():
+            w = _block(texts)
+            for text, a, b in zip(texts, w.first[:-1], w.first[1:]):
+                plain = bool(re.search("licen[sc]e", text, re.I)) or (family in PLAIN and bool(re.search(r"\d", text)))
+                names[classes.index(family)].setdefault(int(w.hash[a]), []).append((w.hash[a:b].tolist(), plain))
+        w = _block(SPEAKS)
+        one = np.diff(w.first) == 1
+        return Templates(pairs, names, frozenset(w.hash[w.first[:-1][one]].tolist()), frozenset(grams(w.hash, w.last, 2)[1].tolist()))
+
+    def confirm(self, y: int, words: list[int], pairs: list[int], a: int, b: int, lo: int, hi: int, s: Settings) -> tuple[int, int, bool] | None:
+        """Where words a to b (exclusive) of a paragraph from lo to hi agree with a template of class y: the
+        longest name (the first of several), else the whole stretch; and whether it is a name. `pairs[i]`
+        is the pair of words i and i + 1."""
+        best = None
+        for i in range(a, b):
+            for name, plain in self.names[y].get(words[i], ()):
+                n = len(name)
+                if (best is None or n > best[1] - best[0]) and i + n <= b and words[i : i + n] == name:
+                    near = range(max(lo, i - BEFORE), min(hi, i + n + AFTER))
+                    if plain or any(words[k] in self.speaks or (k + 1 in near and pairs[k] in self.speaks_pairs) for k in near):
+                        best = i, i + n, True
+        if best:
+            return best
+        own = set(pairs[a : b - 1])
+        for template in self.pairs[y]:
+            shared = len(own & template)
+            if shared >= s.least_pairs and shared >= s.confirm * min(len(template), len(own)):
+                return a, b, False
+        return None
 
 
-def windows(w: Words, templates: list[Template], confirm: float) -> list[tuple[int, int, int, int, float]]:
-    """(paragraph, first word, end, label, agreement) of every stretch that a template confirms."""
-    at, pair = grams(w.hash, w.last, 2)
-    row, size = w.row[at], np.diff(w.first) - 1
-    k = np.flatnonzero(np.isin(pair, np.concatenate([t.pairs for t in templates])))
-    k = k[np.bincount(row[k], minlength=len(size))[row[k]] > 1]
-    out = []
-    for t in templates:
-        j = k[np.isin(pair[k], t.pairs)]
-        pos, line = at[j], row[j]
-        stop = np.searchsorted(pos, np.minimum(pos + t.words + t.words // 4 - 1, w.first[line + 1]))
-        short = size[line] < len(t.pairs)
-        count = stop - np.arange(len(j))
-        for i in np.flatnonzero((count > 1) & (short | (count >= confirm * len(t.pairs)))).tolist():
-            least = len(t.pairs)
-            if short[i]:
-                lo, hi = np.searchsorted(row, (line[i], line[i] + 1))
-                least = len(np.unique(pair[lo:hi]))
-            share = len(np.unique(pair[j[i : stop[i]]])) / least
-            if least > 1 and share >= confirm:
-                out.append((int(line[i]), int(pos[i]), int(pos[stop[i] - 1]) + 2, t.label, share))
-    return out
+@dataclass(frozen=True)
+class Notice:
+    line: int
+    start: int
+    end: int
+    label: int
+    sure: float
+    named: bool
+
+
+class Scorer:
+    """A model made ready for blocks of paragraphs."""
+
+    def __init__(self, model: Model, s: Settings):
+        self.m, self.s, self.templates = model, s, Templates.of(model.classes, s.least_pairs)
+        self.live = (model.weights != 0).any(1)
+        self.speaks = (model.weights[:, 1:].max(1) - model.weights[:, 0]) >= s.evidence
+
+    def _sums(self, slot: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places with a weight, running sums of their weights)."""
+        k = np.flatnonzero(self.live[slot])
+        total = np.zeros((len(k) + 1, len(self.m.classes)))
+        np.cumsum(self.m.weights[slot[k]], axis=0, dtype=np.float64, out=total[1:])
+        return place[k], total
+
+    def stretches(self, w: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(start, end, probabilities) of all stretches of a length."""
+        shift = np.uint64(64 - self.s.bits)
+        at, pair = grams(w.hash, w.last, 2)
+        word_slot, pair_slot = ((h >> shift).astype(np.int64) for h in (mix(w.hash), pair))
+        (in_words, word_sum), (in_pairs, pair_sum) = self._sums(word_slot, np.arange(len(w.hash))), self._sums(pair_slot, at)
+        speaks = self.speaks[word_slot]
+        speaks[at[self.speaks[pair_slot]]] = True
+        start = np.flatnonzero(speaks)
+        last, before = w.last[start], start
+        base = word_sum[np.searchsorted(in_words, start)] + pair_sum[np.searchsorted(in_pairs, start)]
+        for n in LENGTHS:
+            end = np.minimum(start + n, last)
+            k = np.flatnonzero(end > before)  # not the same stretch again at a paragraph's end
+            before, e = end, end[k]
+            z = word_sum[np.searchsorted(in_words, e)] + pair_sum[np.searchsorted(in_pairs, e - 1)] - base[k]
+            z = z / np.sqrt(2 * (e - start[k]) - 1)[:, None] + self.m.bias
+            p = np.exp(np.clip(z / self.m.temperature, -50, 50))
+            yield start[k], e, p / p.sum(1, keepdims=True)
+
+    def notices(self, w: Words) -> list[Notice]:
+        """Confirmed notices that do not overlap, by place; probability is that of not being unknown."""
+        rows = []
+        for a, e, p in self.stretches(w):
+            y = p.argmax(1)
+            k = np.flatnonzero((y > 0) & (p[:, 0] < 0.5))
+            rows.append((a[k], e[k], y[k], p[k, y[k]], 1 - p[k, 0]))
+        a, e, y, p, sure = (np.concatenate(c) for c in zip(*rows))
+        if not len(a):
+            return []
+        of = a * len(self.m.classes) + y  # stretches from one word on, of one family
+        kinds, of = np.unique(of, return_inverse=True)
+        best = np.zeros(len(kinds))
+        np.maximum.at(best, of, p)
+        k = np.flatnonzero(p >= 0.9 * best[of])
+        k = k[np.lexsort((-e[k], of[k]))]  # the longest first
+        k = k[np.r_[True, np.diff(of[k]) > 0]]
+        k = k[np.lexsort((a[k], a[k] - e[k], -np.round(p[k], 1)))]
+        words, line = w.hash.tolist(), w.row
+        at, pair = grams(w.hash, w.last, 2)
+        pairs = np.zeros(len(w.hash), np.uint64)
+        pairs[at] = pair
+        pairs = pairs.tolist()
+        taken, found = np.zeros(len(w.hash), bool), []
+        for i in k.tolist():
+            lo, hi, n = int(a[i]), int(e[i]), int(line[a[i]])
+            if taken[lo:hi].all():
+                continue
+            at = self.templates.confirm(int(y[i]), words, pairs, lo, hi, int(w.first[n]), int(w.first[n + 1]), self.s)
+            if at and not taken[at[0] : at[1]].any():
+                taken[at[0] : at[1]] = True
+                found.append(Notice(n, at[0], at[1], int(y[i]), float(sure[i]), at[2]))
+        out: list[Notice] = []
+        for x in sorted(found, key=lambda x: x.start):
+            if out and (out[-1].line, out[-1].label) == (x.line, x.label) and x.start - out[-1].end <= GAP and not (out[-1].named and x.named):
+                out[-1] = Notice(x.line, out[-1].start, x.end, x.label, max(x.sure, out[-1].sure), False)
+            else:
+                out.append(x)
+        return out
 
 
 def probabilities(m: Model, w: Words, a: int, b: int, bits: int) -> np.ndarray:
@@ -302,34 +448,44 @@ def probabilities(m: Model, w: Words, a: int, b: int, bits: int) -> np.ndarray:
     return e / e.sum()
 
 
+def clean_notices() -> list[tuple[str, str]]:
+    """(family, text) of all templates, and of all names in all phrases and, if they can, alone."""
+    out = [(family_of(name), text) for name, texts in TEMPLATES.items() for text in texts]
+    for family, names in NAMES.items():
+        for name in names:
+            out += [(family, phrase.format(name)) for phrase in PHRASES]
+            if family in PLAIN and re.search(r"\d", name):
+                out += [(family, name)] * 3
+    return out
+
+
 def training_set(prose: list[str], s: Settings) -> tuple[list[str], list[int], list[str]]:
     """(texts, labels, class names): prose that no template confirms is "unknown"."""
     rng = np.random.default_rng(11)
-    classes = [UNKNOWN, *sorted(TEMPLATES)]
-    known = [t for f in classes[1:] for t in word_pairs(TEMPLATES[f])]
+    classes = [UNKNOWN, *sorted(NAMES)]
+    known = [t for f in TEMPLATES for t in word_pairs(TEMPLATES[f])]
     plain = [p for p, pairs in zip(prose, word_pairs(prose)) if pairs and max(agreement(pairs, t) for t in known) < s.confirm]
     texts, labels = list(plain), [0] * len(plain)
-    for i in range(1, len(plain), 2):  # windows are short
+    for i in range(1, len(plain), 2):  # stretches are short
         words = plain[i].split()
         at = int(rng.integers(0, max(len(words) - 4, 0) + 1))
-        texts[i] = " ".join(words[at : at + int(rng.integers(4, 27))])
-    for notice in NEAR_MISSES:
-        texts += [notice] * s.copies
-        labels += [0] * s.copies
+        texts[i] = " ".join(words[at : at + int(rng.integers(1, 27))])
     filler = [w for p in plain[:200] for w in p.split()] or ["text"]
-    for y, family in enumerate(classes[1:], 1):
-        for template in TEMPLATES[family]:
-            words = template.split()
-            for i in range(s.copies):
-                part = words
-                if i and len(words) > 8:
-                    size = int(rng.integers(max(6, len(words) * 6 // 10), len(words) + 1))
-                    at = int(rng.integers(0, len(words) - size + 1))
-                    part = [w for w in words[at : at + size] if rng.random() > 0.05]
-                if i % 3 == 2:
-                    part = [*rng.choice(filler, int(rng.integers(0, 6))), *part, *rng.choice(filler, int(rng.integers(0, 6)))]
-                texts.append(" ".join(part))
-                labels.append(y)
+    some = lambda most: [str(x) for x in rng.choice(filler, int(rng.integers(0, most)))]
+    for notice in NEAR_MISSES + ALONE:
+        for i in range(s.copies):
+            texts.append(" ".join([*some(6), notice, *some(6)] if i % 2 else [notice]))
+            labels.append(0)
+    for family, text in clean_notices():
+        words = text.split()
+        for i in range(s.copies if len(words) > 8 else 3):
+            part = words
+            if i and len(words) > 8:
+                size = int(rng.integers(max(6, len(words) * 6 // 10), len(words) + 1))
+                at = int(rng.integers(0, len(words) - size + 1))
+                part = [w for w in words[at : at + size] if rng.random() > 0.05]
+            texts.append(" ".join([*some(6), *part, *some(6)] if i % 3 == 2 else part))
+            labels.append(classes.index(family))
     return texts, labels, classes
 
 
@@ -338,7 +494,7 @@ def fit(prose: list[str], s: Settings = Settings()) -> Model:
     texts, labels, classes = training_set(prose, s)
     row, slot, value = features(_block(texts), s.bits)
     y = np.array(labels)
-    used = np.unique(slot[y[row] > 0])  # what only prose has cannot tell licences apart
+    used = np.unique(features(_block([text for _, text in clean_notices()]), s.bits)[1])  # what only prose has cannot tell licences apart
     k = np.flatnonzero(np.isin(slot, used))
     x = np.zeros((len(y), len(used)), np.float32)
     np.add.at(x, (row[k], np.searchsorted(used, slot[k])), value[k])
@@ -387,14 +543,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", setti
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """(id_col, found array<struct<family, start, end, probability>>): the confirmed paragraphs of
-    every text in order, once per family, positions in code points."""
+    every text in order, once per licence, positions in code points; probability is that of a licence
+    of any family."""
     s = settings
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** bits rows of one number per class
     entry = pa.struct([("family", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())])
 
     def run(batches):
         m = shared.value
-        templates = all_templates(m.classes)
+        scorer = Scorer(m, s)
         for batch in batches:
             offs, data = buffers(batch.column("text"))
             for lo, hi in blocks(offs):
@@ -407,23 +564,18 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 found: list[list[dict]] = [[] for _ in range(hi - lo)]
                 if len(cut) > 1:
                     w = find_words(cut, data, ALNUM)
-                    scored = []
-                    for line, a, b, y, share in windows(w, templates, s.confirm):
-                        p = probabilities(m, w, a, b, s.bits)
-                        if p[0] < 0.5:
-                            scored.append((-share, -float(p[y]), b - a, line, a, y, float(1 - p[0])))
-                    taken = np.zeros(len(w.hash), bool)
                     best: dict[tuple[int, str], float] = {}
                     text = lambda a, b: data[base + a : base + b].tobytes().decode("utf-8", "replace")
-                    for _, _, n, line, a, y, sure in sorted(scored):
-                        if not taken[a : a + n].any():
-                            taken[a : a + n] = True
-                            end, far = w.end[a + n - 1], w.end[min(a + n + _BEHIND, w.first[line + 1]) - 1]
-                            best.setdefault((line, licence_name(m.classes[y], text(w.start[a], end), text(end, far))), sure)
+                    notices = scorer.notices(w)
+                    for x, after in zip(notices, [*notices[1:], None]):
+                        far = min(x.end + _BEHIND, w.first[x.line + 1], after.start if after else len(w.hash))
+                        end = w.end[x.end - 1]
+                        name = licence_name(m.classes[x.label], text(w.start[x.start], end), text(end, w.end[far - 1]))
+                        best[x.line, name] = max(x.sure, best.get((x.line, name), 0.0))
                     lacks_version = lambda line, name: any(k == line and other.startswith(name + "-") for k, other in best)
                     chars = lambda u, v: int(((data[u:v] & 0xC0) != 0x80).sum())
                     for (line, family), sure in sorted(best.items()):
-                        if lacks_version(line, family):
+                        if lacks_version(line, family) or (family == UNKNOWN and any(k == line and other != UNKNOWN for k, other in best)):
                             continue
                         a, b = int(cut[line]), int(cut[line + 1])
                         doc = int(np.searchsorted(offs[lo : hi + 1], a, "right")) - 1
