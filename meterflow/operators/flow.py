@@ -26,23 +26,25 @@ def _corrected(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("_more").isNull() | ~F.col("_next").eqNullSafe(F.col("timestamp"))).drop("_next", "_more")
 
 
-def _difference(readings: DataFrame, corrected: bool) -> DataFrame:
+def _difference(readings: DataFrame, corrected: bool, lasts: DataFrame | None = None) -> DataFrame:
     """`readings` with `delta` to the one before, all but each series' first. Picking corrections and
-    taking differences share one shuffle, by series and month; the last reading of each month is
-    carried to the next one."""
+    taking differences share one shuffle, by series and month; the last reading of each month (those of
+    other months in `lasts`, if given) is carried to the next one."""
     rows = chunked(readings)
     kept = _corrected(rows) if corrected else rows
     # of the last time in a month, the row recorded last is the largest (nulls are smallest)
     order = ["timestamp", "recorded_at", "value"]
-    out = with_previous(kept, ["timeseries_id"], order, ["value"], lasts=rows)
+    out = with_previous(kept, ["timeseries_id"], order, ["value"], lasts=rows if lasts is None else lasts)
     return out.withColumn("delta", F.col("value") - F.col("before.value")).where("delta is not null").drop("before", CHUNK)
 
 
-def measured_flow(readings: DataFrame, refs: DataFrame, sensors: DataFrame, corrected: bool = True) -> DataFrame:
+def measured_flow(readings: DataFrame, refs: DataFrame, sensors: DataFrame, corrected: bool = True, lasts: DataFrame | None = None) -> DataFrame:
     """(meter_id, timestamp, delta): differences of the preferred counters. `corrected` picks the
-    latest correction of every reading first. The first reading of a series gives no row."""
+    latest correction of every reading first. The first reading of a series gives no row. `readings`
+    may be some months only, if `lasts` has every series' last reading of each month up to them, with
+    its month in `_chunk`."""
     counters = refs.where("preferred and reading_type = 'counter'").join(sensors, "sensor_id").select("timeseries_id", "meter_id")
-    return _difference(readings.join(counters, "timeseries_id"), corrected).select("meter_id", "timestamp", "delta")
+    return _difference(readings.join(counters, "timeseries_id"), corrected, lasts).select("meter_id", "timestamp", "delta")
 
 
 def counter_rate(readings: DataFrame, series: DataFrame, start: str, end: str, cumulative: bool = False, corrected: bool = False) -> DataFrame:

@@ -10,7 +10,9 @@ from meterflow.functions.temporal import valid_at
 from meterflow.operators import flow as op
 from meterflow.plans.stage import new_path
 from meterflow.queries.registry import Registry
+from meterflow.sources.store import put_months, read_months
 from meterflow.streaming.flow import run_once
+from meterflow.streaming.refresh import places_table, refresh
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
@@ -187,6 +189,38 @@ def x1_measured_flow_stream(s):
     return run_once(s.spark, inbox).where("timeseries_id <> ''")
 
 
+PLACES = NET + """, placed as (
+        select n.timestamp, n.net, case when m.target_kind = 'zone' then m.target_id end as zone_id,
+               case when m.target_kind = 'building' then m.target_id else z.building_id end as building_id, case when m.target_kind = 'campus' then m.target_id else b.campus_id end as campus_id
+        from net n join measures m on m.meter_id = n.meter_id and (m.valid_from is null or m.valid_from <= n.timestamp) and (m.valid_to is null or m.valid_to > n.timestamp)
+        left join zones z on m.target_kind = 'zone' and z.zone_id = m.target_id
+        left join buildings b on b.building_id = case when m.target_kind = 'building' then m.target_id else z.building_id end
+    ), places as (
+        select 'zone' as level, zone_id as id, timestamp, net from placed union all select 'building', building_id, timestamp, net from placed union all select 'campus', campus_id, timestamp, net from placed
+    )"""
+
+
+@R.query(f"with recursive {PLACES} select level, id, timestamp, sum(net) as net from places where id is not null group by 1, 2, 3")
+def x1_refreshed_places(s):
+    """First readings, then corrections, applied to a folder kept by month; consumption per place as it is then."""
+    folder = new_path(s.spark, "kept")
+    site = {n: getattr(s, n) for n in ("refs", "sensors", "relations", "measures", "zones", "buildings")}
+    for batch in ("recorded_at is null", "recorded_at is not null"):
+        refresh(s.readings.where(batch), folder, site)
+    return places_table(s.spark, folder)
+
+
+@R.query("""select timeseries_id, timestamp, case when year(timestamp) = 1995 and month(timestamp) = 3 then value + 1000 else value end as value from line_readings
+    where timestamp >= timestamp '1994-06-10 00:00:00' and timestamp < timestamp '1996-02-20 00:00:00'""")
+def s2_readings_by_month(s):
+    """Readings kept by month, one of them written again, and a range read back."""
+    path = new_path(s.spark, "months")
+    rows = s.line_readings
+    put_months(rows, path)
+    put_months(rows.where("year(timestamp) = 1995 and month(timestamp) = 3").withColumn("value", F.col("value") + 1000), path)
+    return read_months(s.spark, path, rows.schema, "1994-06-10", "1996-02-20").select("timeseries_id", "timestamp", "value")
+
+
 @R.query(f"with {MEASURED} select meter_id, cast(date_trunc('month', timestamp) as date) as month, sum(delta) as delta from measured group by 1, 2")
 def c12_monthly_delta(s):
     return op.monthly_delta(measured_of(s))
