@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.temporal import month_of
+from meterflow.plans.quantiles import percentiles
 
 EPS = 1e-6
 #: Values at which registers of known devices wrap.
@@ -246,7 +247,7 @@ def quality_scan(daily: DataFrame, flat_days: int = 4, active: Column | None = N
     run = F.sum((~still).cast("int")).over(by_day)
     flats = daily.withColumn("still", still).withColumn("run", run).where("still").groupBy("meter_id", "run").agg(F.count("*").alias("n")).where(F.col("n") >= flat_days)
     flat = flats.groupBy("meter_id").agg(F.count("*").alias("n")).select("meter_id", F.lit("flat_run").alias("flag"), "n")
-    q = daily.groupBy("meter_id").agg(F.percentile("delta", F.array(F.lit(0.5), F.lit(0.75), F.lit(0.99))).alias("q"))
+    q = percentiles(daily, "meter_id", "delta", [0.5, 0.75, 0.99])
     rows = daily.join(q, "meter_id")
     spike = rows.where(F.col("delta") > F.greatest(3 * F.col("q")[2], 10 * F.col("q")[0]))
     high = rows.where(F.col("delta") > 10 * F.col("q")[1])
