@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.operators import flow as fl
@@ -170,25 +173,33 @@ def dataset(s):
     return tables | {"meter_relations": s.relations, "meter_measures": s.measures, "timeseries_refs": s.refs, "campuses": s.campuses}
 
 
+KEYS = {
+    "annotations": "annotation_id", "buildings": "building_id", "campuses": "campus_id", "devices": "device_id", "media_types": "media_type_id", "meter_measures": "meter_id", "meter_relations": "child_meter_id", "meters": "meter_id", "readings": "timeseries_id", "sensors": "sensor_id", "timeseries_refs": "timeseries_id", "zones": "zone_id",
+}
+
+
 @R.query("""with m as (select * from meters where media_type_id = 'heat'), sn as (select * from sensors where meter_id in (select meter_id from m)),
     r as (select * from refs where sensor_id in (select sensor_id from sn)),
     a as (select * from annotations where (media is null or lower(media) = 'heat') and (target_kind = 'campus'
         or (target_kind = 'meter' and target_id in (select meter_id from m)) or (target_kind = 'building' and target_id in (select building_id from m))
         or (target_kind = 'timeseries' and target_id in (select timeseries_id from r))))
-    select 'annotations' as name, count(*) as n from a
-    union all select 'buildings', count(*) from buildings where building_id in (select building_id from m)
-    union all select 'campuses', count(*) from campuses
-    union all select 'devices', count(*) from devices where device_id in (select device_id from r)
-    union all select 'media_types', count(*) from media_types where media_type_id = 'heat'
-    union all select 'meter_measures', count(*) from measures where meter_id in (select meter_id from m)
-    union all select 'meter_relations', count(*) from relations where parent_meter_id in (select meter_id from m) or child_meter_id in (select meter_id from m)
-    union all select 'meters', count(*) from m
-    union all select 'readings', count(*) from readings where timeseries_id in (select timeseries_id from r)
-    union all select 'sensors', count(*) from sn
-    union all select 'timeseries_refs', count(*) from r
-    union all select 'zones', count(*) from zones where building_id in (select building_id from m)""")
+    select 'annotations' as name, annotation_id as id, count(*) as n from a group by 2
+    union all select 'buildings', building_id, count(*) from buildings where building_id in (select building_id from m) group by 2
+    union all select 'campuses', campus_id, count(*) from campuses group by 2
+    union all select 'devices', device_id, count(*) from devices where device_id in (select device_id from r) group by 2
+    union all select 'media_types', media_type_id, count(*) from media_types where media_type_id = 'heat' group by 2
+    union all select 'meter_measures', meter_id, count(*) from measures where meter_id in (select meter_id from m) group by 2
+    union all select 'meter_relations', child_meter_id, count(*) from relations where parent_meter_id in (select meter_id from m) or child_meter_id in (select meter_id from m) group by 2
+    union all select 'meters', meter_id, count(*) from m group by 2
+    union all select 'readings', timeseries_id, count(*) from readings where timeseries_id in (select timeseries_id from r) group by 2
+    union all select 'sensors', sensor_id, count(*) from sn group by 2
+    union all select 'timeseries_refs', timeseries_id, count(*) from r group by 2
+    union all select 'zones', zone_id, count(*) from zones where building_id in (select building_id from m) group by 2""")
 def q15_filter_by_media(s):
-    return op.table_counts(op.filter_by_media(dataset(s), "heat"))
+    """The ids that are left of every table, with their rows."""
+    t = op.filter_by_media(dataset(s), "heat")
+    count = lambda name, key: t[name].groupBy(F.col(key).alias("id")).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "id", "n")
+    return reduce(DataFrame.unionByName, (count(name, key) for name, key in KEYS.items()))
 
 
 @R.query("""select b.campus_id, count(*) as n_meters, cast(sum(case when m.is_virtual_meter then 1 else 0 end) as bigint) as n_virtual

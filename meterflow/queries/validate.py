@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from meterflow.operators import validate as op
@@ -75,12 +77,30 @@ def refs_of(s):
 EDGE = "concat(parent_meter_id, '->', child_meter_id)"
 
 
-def rule(name: str, sql: str, of, where: str = ""):
-    """Register a rule: rows (rule, subject); the SQL selects those pairs."""
+MESSAGES = {
+    "no_cycles": "edges that hold at one time form a cycle", "feeds_requires_flow_coefficient": "a feeds edge needs a coefficient", "feeds_flow_coefficient_positive": "a feeds coefficient must be positive",
+    "feeds_flow_coefficients_sum_to_one": "coefficients do not add up to 1", "hassubmeter_flow_coefficient_out_of_range": "a sub-meter's coefficient must be in (0, 1]",
+    "exactly_one_preferred_ref": "a sensor needs exactly one preferred reference", "validity_non_overlapping": "windows of one edge overlap", "ref_kind_invalid": "kind is neither raw nor derived",
+    "ref_raw_missing_addressing": "a raw reference needs an address", "ref_raw_has_derived_fields": "a raw reference has no sources or aggregation", "ref_derived_missing_declaration": "a derived reference needs sources and an aggregation",
+    "ref_derived_has_addressing": "a derived reference has no address", "ref_aggregation_vocabulary": "unknown aggregation", "ref_validity_non_overlapping": "windows of raw references of one sensor overlap",
+    "media_consistency": "an edge joins two media", "orphan_meter": "a meter without edges",
+}
+
+
+def rule(name: str, sql: str, of, details: str = ""):
+    """Register a rule: rows (rule, subject), with the message if it is a fixed one and, if `details` has
+    SQL for it, the context as text; the SQL selects rule and subject."""
+    which = re.findall(r"select '(\w+)' as rule", sql)
+    fixed = len(set(which)) == 1 and which[0] in MESSAGES
+    text = sql.replace(" as subject", f" as subject, {details} as details") if details else sql
+    if fixed:
+        text = "select *, '" + MESSAGES[which[0]].replace("'", "''") + f"' as message from ({text}) violations"
 
-    @R.query(sql, name=name)
+    @R.query(text, name=name)
     def run(s):
-        return of(s).select("rule", "subject")
+        entry = lambda k: F.concat(k, F.lit("="), F.coalesce(F.col("context")[k], F.lit("")))
+        context = F.array_join(F.transform(F.array_sort(F.map_keys("context")), entry), ",").alias("details")
+        return of(s).select("rule", "subject", *(["message"] if fixed else []), *([context] if details else []))
 
 
 rule(
@@ -92,15 +112,16 @@ rule(
     select 'no_cycles' as rule, array_to_string(path[1:len(path) - 1], '->') as subject from p where z = start
     qualify row_number() over (partition by start order by len(path), path) = 1""",
     lambda s: op.no_cycles(edges_of(s)),
+    "concat('length=', len(path) - 1)",
 )
 rule("v2_feeds_requires_k", f"with {EDGES} select 'feeds_requires_flow_coefficient' as rule, {EDGE} as subject from bad_edges where relation_type = 'feeds' and flow_coefficient is null", lambda s: op.feeds_requires_coefficient(edges_of(s)))
-rule("v3_feeds_k_positive", f"with {EDGES} select 'feeds_flow_coefficient_positive' as rule, {EDGE} as subject from bad_edges where relation_type = 'feeds' and flow_coefficient <= 0", lambda s: op.feeds_coefficient_positive(edges_of(s)))
+rule("v3_feeds_k_positive", f"with {EDGES} select 'feeds_flow_coefficient_positive' as rule, {EDGE} as subject from bad_edges where relation_type = 'feeds' and flow_coefficient <= 0", lambda s: op.feeds_coefficient_positive(edges_of(s)), "concat('coefficient=', flow_coefficient)")
 rule(
     "v4_feeds_sum_to_one",
     f"with {EDGES} select 'feeds_flow_coefficients_sum_to_one' as rule, parent_meter_id as subject from bad_edges where relation_type = 'feeds' and flow_coefficient is not null group by 2 having abs(sum(flow_coefficient) - 1) > 1e-9",
     lambda s: op.feeds_sum_to_one(edges_of(s)),
 )
-rule("v5_sub_k_range", f"with {EDGES} select 'hassubmeter_flow_coefficient_out_of_range' as rule, {EDGE} as subject from bad_edges where relation_type = 'hasSubMeter' and (flow_coefficient <= 0 or flow_coefficient > 1)", lambda s: op.sub_coefficient_range(edges_of(s)))
+rule("v5_sub_k_range", f"with {EDGES} select 'hassubmeter_flow_coefficient_out_of_range' as rule, {EDGE} as subject from bad_edges where relation_type = 'hasSubMeter' and (flow_coefficient <= 0 or flow_coefficient > 1)", lambda s: op.sub_coefficient_range(edges_of(s)), "concat('coefficient=', flow_coefficient)")
 
 
 def dataset(s):
@@ -132,20 +153,21 @@ rule(
     ),
     lambda s: op.referential_integrity(dataset(s)),
 )
-rule("v7_one_preferred_ref", f"with {REFS} select 'exactly_one_preferred_ref' as rule, sensor_id as subject from bad_refs group by 2 having sum(preferred::int) <> 1", lambda s: op.one_preferred_ref(refs_of(s)))
+rule("v7_one_preferred_ref", f"with {REFS} select 'exactly_one_preferred_ref' as rule, sensor_id as subject from bad_refs group by 2 having sum(preferred::int) <> 1", lambda s: op.one_preferred_ref(refs_of(s)), "concat('n=', sum(preferred::int))")
 OVER = "(a.valid_to is null or b.valid_from is null or b.valid_from < a.valid_to) and (b.valid_to is null or a.valid_from is null or a.valid_from < b.valid_to)"
 rule(
     "v8_validity_overlap",
     f"""with {EDGES}, n as (select *, row_number() over (partition by parent_meter_id, child_meter_id, relation_type order by valid_from nulls first, valid_to nulls first, flow_coefficient nulls first) as i from bad_edges)
     select 'validity_non_overlapping' as rule, concat(a.parent_meter_id, '->', a.child_meter_id) as subject from n a join n b using (parent_meter_id, child_meter_id, relation_type) where a.i < b.i and {OVER}""",
     lambda s: op.validity_non_overlapping(edges_of(s)),
+    "concat('first=', cast(a.valid_from as varchar), ',second=', cast(b.valid_from as varchar))",
 )
-rule("v9_ref_kind", f"with {REFS} select 'ref_kind_invalid' as rule, timeseries_id as subject from bad_refs where kind not in ('raw', 'derived')", lambda s: op.ref_kind(refs_of(s)))
+rule("v9_ref_kind", f"with {REFS} select 'ref_kind_invalid' as rule, timeseries_id as subject from bad_refs where kind not in ('raw', 'derived')", lambda s: op.ref_kind(refs_of(s)), "concat('kind=', kind)")
 rule("v10_raw_missing_address", f"with {REFS} select 'ref_raw_missing_addressing' as rule, timeseries_id as subject from bad_refs where kind = 'raw' and (coalesce(database_id, '') = '' or coalesce(path, '') = '' or coalesce(external_id, '') = '')", lambda s: op.raw_missing_address(refs_of(s)))
 rule("v11_raw_has_derived", f"with {REFS} select 'ref_raw_has_derived_fields' as rule, timeseries_id as subject from bad_refs where kind = 'raw' and (sources <> '' or coalesce(aggregation, '') <> '')", lambda s: op.raw_has_derived_fields(refs_of(s)))
 rule("v12_derived_undeclared", f"with {REFS} select 'ref_derived_missing_declaration' as rule, timeseries_id as subject from bad_refs where kind = 'derived' and (sources = '' or coalesce(aggregation, '') = '')", lambda s: op.derived_missing_declaration(refs_of(s)))
-rule("v13_derived_has_address", f"with {REFS} select 'ref_derived_has_addressing' as rule, concat(timeseries_id, ' database_id') as subject from bad_refs where kind = 'derived' and database_id is not null", lambda s: op.derived_has_address(refs_of(s)))
-rule("v14_aggregation_vocabulary", f"with {REFS} select 'ref_aggregation_vocabulary' as rule, timeseries_id as subject from bad_refs where aggregation = 'mean'", lambda s: op.aggregation_vocabulary(refs_of(s)))
+rule("v13_derived_has_address", f"with {REFS} select 'ref_derived_has_addressing' as rule, concat(timeseries_id, ' database_id') as subject from bad_refs where kind = 'derived' and database_id is not null", lambda s: op.derived_has_address(refs_of(s)), "'field=database_id'")
+rule("v14_aggregation_vocabulary", f"with {REFS} select 'ref_aggregation_vocabulary' as rule, timeseries_id as subject from bad_refs where aggregation = 'mean'", lambda s: op.aggregation_vocabulary(refs_of(s)), "concat('aggregation=', aggregation)")
 rule(
     "v15_ref_sources",
     f"""with {REFS}, x as (select timeseries_id, unnest(string_split(sources, '|')) as source from bad_refs where sources <> '')
@@ -159,11 +181,13 @@ rule(
     select 'ref_validity_non_overlapping' as rule, a.timeseries_id as subject from n a join n b on a.sensor_id = b.sensor_id and a.aggregate = b.aggregate
     and a.database_id is not distinct from b.database_id and a.path is not distinct from b.path where a.i < b.i and {OVER}""",
     lambda s: op.ref_validity_non_overlapping(refs_of(s)),
+    "concat('second=', cast(b.valid_from as varchar))",
 )
 rule(
     "v17_media_consistency",
     f"with {EDGES} select 'media_consistency' as rule, {EDGE} as subject from bad_edges e join meters p on p.meter_id = parent_meter_id join meters c on c.meter_id = child_meter_id where p.media_type_id <> c.media_type_id",
     lambda s: op.media_consistency(edges_of(s), s.meters),
+    "concat('child=', c.media_type_id, ',parent=', p.media_type_id)",
 )
 rule(
     "v18_orphan_meter",
