@@ -2,7 +2,8 @@
 
 All of it is DataFrame expressions and aggregations. Statistics are computed per document inside
 its row. For learning, labelled rows are joined to them and every feature is cut into bins at its
-quantiles; a third of the rows, by a hash of the id, is the prune set, the rest the grow set. A
+quantiles (approximate ones: beyond some ten thousand labelled rows cuts, and so the list, may differ
+a little with the partitioning); a third of the rows, by a hash of the id, is the prune set, the rest the grow set. A
 rule for "reject" grows by the condition (feature above or at most a cut) with the largest
 information gain on the rows that no earlier rule covers: one aggregation counts labels per
 feature and bin, which gives every condition's counts. It is then pruned to the prefix that does
