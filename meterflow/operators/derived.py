@@ -74,9 +74,11 @@ def endpoints(refs: DataFrame, readings: DataFrame, kind: str) -> DataFrame:
     by_source = Window.partitionBy("source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = both.withColumn("lo", F.last("reading", ignorenulls=True).over(by_source.orderBy(*order)))
     both = both.withColumn("hi", F.last("reading", ignorenulls=True).over(by_source.orderBy(*(F.col(c).desc() for c in order))))
-    found = staged(both.where("row = 0").select("source", "timestamp", "lo", "hi"), "endpoints")
-    side = lambda bound, name: found.select("source", F.col("timestamp").cast("date").alias(bound), name)
-    ends = one.join(side("valid_from", "lo"), ["source", "valid_from"], "left").join(side("valid_to", "hi"), ["source", "valid_to"], "left")
+    found = both.where("row = 0").select("source", F.col("timestamp").cast("date").alias("bound"), "lo", "hi")
+    end = lambda side: F.struct(F.lit(side).alias("side"), F.col(side).alias("bound"))
+    sides = one.select("*", F.inline(F.array(end("valid_from"), end("valid_to")))).join(found, ["source", "bound"], "left")
+    lo, hi = (F.max(F.when(F.col("side") == side, F.col(name))).alias(name) for side, name in (("valid_from", "lo"), ("valid_to", "hi")))
+    ends = sides.groupBy("timeseries_id", "source", "valid_from", "valid_to").agg(lo, hi)
     return ends.selectExpr("timeseries_id", "source", "valid_from", "valid_to", "lo.timestamp as t_lo", "lo.value as v_lo", "hi.timestamp as t_hi", "hi.value as v_hi")
 
 

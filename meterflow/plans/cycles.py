@@ -80,20 +80,19 @@ def _colours(e: DataFrame, source: str, target: str) -> DataFrame:
 
 def strong_parts(e: DataFrame) -> DataFrame:
     """The edges inside strongly connected parts, with `part`, the largest node of theirs. Edges between
-    nodes of different colours, forwards or backwards, are in no part; colours are given anew until
-    none is left. The number of rounds grows with the parts' diameters, not with their sizes."""
-    before = -1
+    nodes of different colours, forwards or backwards, are in no part. Where both colours of the nodes
+    left are the same, that node reaches them and is reached from them; else colours are given anew. The
+    number of rounds grows with the parts' diameters, not with their sizes."""
+    e = staged(e.select(EDGE), "parts")
     while True:
-        e = staged(e, "parts")
-        n = e.count()
-        if n == before or not n:
-            return e if "part" in e.columns else e.withColumn("part", F.col("a"))
-        before = n
-        e = e.select(EDGE)
-        for source, target in (("a", "b"), ("b", "a")):
+        for source, target, name in (("a", "b", "forth"), ("b", "a", "back")):
             c = _colours(e, source, target)
             of = lambda end: c.select(F.col("m").alias(end), F.col("colour").alias(f"colour_{end}"))  # noqa: E731, B023
-            e = staged(e.join(of("a"), "a").join(of("b"), "b").where("colour_a = colour_b").select(*EDGE, F.col("colour_a").alias("part")), "parts")
+            kept = e.join(of("a"), "a").join(of("b"), "b").where("colour_a = colour_b")
+            e = staged(kept.select(*e.columns, F.col("colour_a").alias(name)), "parts")
+        if e.where("forth <> back").isEmpty():
+            return e.select(*EDGE, F.col("forth").alias("part"))
+        e = e.select(EDGE)
 
 
 def shortest_cycles(edges: DataFrame) -> DataFrame:
