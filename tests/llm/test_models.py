@@ -373,3 +373,17 @@ def test_licences_of_wrapped_texts(spark):
     assert Counter((r.doc_id, r.licences) for r in got) == Counter({(1, "BSD-3-Clause"): 2, (2, "GPL-2.0"): 2, (3, ""): 2, (4, ""): 2})
     start = texts[0][1].index("Redis")
     assert next(r.spans for r in got if r.doc_id == 1) == f"BSD-3-Clause:{start}:{start + len(wrapped)}"
+
+
+def test_very_long_texts_and_null_ids(spark):
+    """Statistics and scores of texts of some megabytes, beside null ids; a text and its repetition agree."""
+    rng = random.Random(33)
+    line = prose(rng, 40)
+    rows = [(i, prose(rng)) for i in range(40)] + [(900, "\n".join([line] * 12_000)), (None, line), (None, None)]
+    y = spark.createDataFrame([(i, i % 2, i % 3 == 0) for i in range(40)], "doc_id long, quality int, toxic boolean").selectExpr("doc_id", "quality", "cast(toxic as int) as toxic")
+    stats = {r.doc_id: r for r in quality_rules.judge(table(spark, rows), y).where("doc_id = 900").collect()}
+    assert (stats[900].n_words, stats[900].n_dup_lines, stats[900].base_failed) == (480_000, 11_999, True)
+    scores = toxicity.classify(table(spark, rows), y).collect()
+    assert len(scores) == len(rows) and all(0 <= r.score <= 1 for r in scores)
+    weighed = importance.resample(table(spark, rows), y).collect()
+    assert len(weighed) == len(rows)

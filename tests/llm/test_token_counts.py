@@ -51,3 +51,15 @@ def test_texts(spark):
             total -= best[-1][1]
         assert (got[i].n_tokens, got[i].n_bytes) == (total, len((t or "").encode()))
     assert tc.count_tokens(df.limit(0), path, P.PATTERN).count() == 0
+
+
+def test_null_ids_and_a_very_long_text(spark):
+    import public_tokenizers as P
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    texts = [("a", "one two"), (None, "one two"), (None, None), ("long", " one two" * 150_000), ("short", " one two")]
+    df = spark.createDataFrame(texts, "doc_id string, text string")
+    got = [(r.doc_id, r.n_tokens, r.n_bytes) for r in tc.count_tokens(df, path, P.PATTERN).collect()]
+    n = {k: (t, b) for k, t, b in got if k}
+    assert n["long"] == (150_000 * n["short"][0], 150_000 * n["short"][1])
+    assert sorted((t, b) for k, t, b in got if k is None) == sorted([(0, 0), n["a"]])
