@@ -205,6 +205,9 @@ def materialize(refs: DataFrame, readings: DataFrame, by_dependency: bool = Fals
     else:
         steps = [(refs.where(F.col("aggregation") == kind), [kind]) for kind in KINDS]
     cols = ["timeseries_id", "timestamp", "value"]
+    # every kind reads its sources more than once: those of all are written once
+    needed = refs.select(F.explode("sources").alias("timeseries_id")).distinct()
+    readings = staged(readings.join(needed, "timeseries_id", "left_semi"), "sources")
     have, made = readings.select(*cols), None
     for i, (part, kinds) in enumerate(steps):
         raw = have.withColumn("recorded_at", F.lit(None).cast("timestamp")) if by_dependency else readings
