@@ -111,6 +111,7 @@ def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HO
     edges to its parents, by key; sub-meters' sums are joined by (meter, time). Paths end after
     `max_hops` edges; with `strict`, longer ones raise.
     """
+    relations = staged(relations, "relations")  # read several times, however it was made
     paths = feeds_paths(relations, max_hops, strict)
     subs = _windows(relations, "hasSubMeter", "child_meter_id")
     at_all_times = [F.lit(FAR_PAST).cast("date").alias("lo"), F.lit(FAR_FUTURE).cast("date").alias("hi")]
@@ -164,6 +165,7 @@ def meter_net(flow: DataFrame, relations: DataFrame) -> DataFrame:
 
 
 def _net_rows(flow: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    relations = staged(relations, "relations")
     subs, feeds = _windows(relations, "hasSubMeter", "child_meter_id"), _windows(relations, "feeds", "parent_meter_id")
     marks = staged(breakpoints(subs, feeds), "breakpoints")
     return staged(located(flow, marks), "located"), subs, marks, _k_sums(feeds, marks)

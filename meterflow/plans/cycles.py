@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.plans.stage import release, staged
+from meterflow.plans.stage import counted, release, staged
 
 EDGE = ["a", "b", "lo", "hi", "inner"]
 
@@ -50,9 +50,8 @@ def reduced(e: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     loops: list[DataFrame] = []
     before, trim = -1, True
     while True:
-        seen = Observation()
-        e = staged(e.select(EDGE).observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") == F.col("b")).alias("own")), "edges")
-        n, own = (seen.get.get(x) or 0 for x in ("n", "own"))
+        e, rows = counted(e.select(EDGE), "edges", n=F.lit(True), own=F.col("a") == F.col("b"))
+        n, own = rows["n"], rows["own"]
         if own:
             loops.append(e.where("a = b"))
         e = e.where("a <> b")
@@ -71,10 +70,11 @@ def _colours(e: DataFrame, source: str, target: str) -> DataFrame:
         sent = e.select(F.col(source).alias("from"), F.col(target).alias("m")).join(state.where("fresh").select(F.col("m").alias("from"), F.col("colour").alias("got")), "from")
         got = sent.groupBy("m").agg(F.max("got").alias("got"))
         grown = F.coalesce(F.col("got") > F.col("colour"), F.lit(False))
-        after = staged(state.join(got, "m", "left").select("m", F.when(grown, F.col("got")).otherwise(F.col("colour")).alias("colour"), grown.alias("fresh")), "colours")
+        after = state.join(got, "m", "left").select("m", F.when(grown, F.col("got")).otherwise(F.col("colour")).alias("colour"), grown.alias("fresh"))
+        after, rows = counted(after, "colours", fresh=F.col("fresh"))
         release(state)
         state = after
-        if state.where("fresh").isEmpty():
+        if not rows["fresh"]:
             return state.select("m", "colour")
 
 
@@ -89,8 +89,9 @@ def strong_parts(e: DataFrame) -> DataFrame:
             c = _colours(e, source, target)
             of = lambda end: c.select(F.col("m").alias(end), F.col("colour").alias(f"colour_{end}"))  # noqa: E731, B023
             kept = e.join(of("a"), "a").join(of("b"), "b").where("colour_a = colour_b")
-            e = staged(kept.select(*e.columns, F.col("colour_a").alias(name)), "parts")
-        if e.where("forth <> back").isEmpty():
+            mixed = F.col("forth") != F.col("back") if name == "back" else F.lit(False)
+            e, rows = counted(kept.select(*e.columns, F.col("colour_a").alias(name)), "parts", mixed=mixed)
+        if not rows["mixed"]:
             return e.select(*EDGE, F.col("forth").alias("part"))
         e = e.select(EDGE)
 
@@ -113,9 +114,8 @@ def shortest_cycles(edges: DataFrame) -> DataFrame:
         at = F.array_position("ring", F.array_min("ring")).cast("int")
         ring = ring.select(F.array_min("ring").alias("start"), F.concat(F.slice("ring", at, F.size("ring")), F.slice("ring", F.lit(1), at - 1)).alias("path"))
         found.append(ring.select("start", F.size("path").alias("length"), "path"))
-    core = strong_parts(core) if not core.isEmpty() else core
     if not core.isEmpty():
-        found.append(_searched(core.withColumn("low", F.array_min("inner"))))
+        found.append(_searched(strong_parts(core).withColumn("low", F.array_min("inner"))))
     if not found:
         return edges.sparkSession.createDataFrame([], "start string, path array<string>")
     best = F.min(F.struct("length", "path")).alias("best")
@@ -135,15 +135,17 @@ def _searched(e: DataFrame) -> DataFrame:
     )
     hop = e.select(F.col("a").alias("at"), "b", F.col("lo").alias("l2"), F.col("hi").alias("h2"), "inner", "low")
     best_path = F.min(F.struct(F.size("path").alias("n"), "path", "goal", "tail")).alias("best")
-    fresh = staged(nodes.unionByName(chains).groupBy(state).agg(best_path), "paths")
-    known, closed = fresh, None
-    while not fresh.isEmpty():
-        done = F.col("at") == F.col("best.goal")
+    done = F.col("at") == F.col("best.goal")
+    fresh, rows = counted(nodes.unionByName(chains).groupBy(state).agg(best_path), "paths", all=F.lit(True), done=done)
+    known = fresh
+    closed = e.sparkSession.createDataFrame([], "start string, length int, path array<string>")
+    while rows["all"]:
         # a node's path ends where it began; a chain's goes on over the nodes before its smallest one
         whole = F.when(F.col("best.goal") == F.col("start"), F.slice("best.path", F.lit(1), F.col("best.n") - 1)).otherwise(F.concat("best.path", "best.tail"))
-        ended = fresh.where(done).select("start", whole.alias("path")).select("start", F.size("path").alias("length"), "path")
-        ended = ended if closed is None else closed.unionByName(ended)
-        closed = staged(ended.groupBy("start").agg(F.min(F.struct("length", "path")).alias("c")).select("start", "c.*"), "closed")
+        if rows["done"]:
+            ended = fresh.where(done).select("start", whole.alias("path")).select("start", F.size("path").alias("length"), "path")
+            ended = closed.unionByName(ended).groupBy("start").agg(F.min(F.struct("length", "path")).alias("c"))
+            closed = staged(ended.select("start", "c.*"), "closed")
         step = fresh.where(~done).join(hop, "at").where((F.col("b") >= F.col("start")) & (F.col("low").isNull() | (F.col("low") > F.col("start"))))
         step = step.select(
             "start", F.col("b").alias("at"), F.greatest("lo", "l2").alias("lo"), F.least("hi", "h2").alias("hi"), F.concat("best.path", "inner", F.array("b")).alias("path"), F.col("best.goal").alias("goal"), F.col("best.tail").alias("tail")
@@ -153,6 +155,6 @@ def _searched(e: DataFrame) -> DataFrame:
         step = step.groupBy(state).agg(best_path)
         old = known.groupBy(state).agg(F.min("best").alias("old"))
         better = step.join(old, state, "left").where(F.col("old").isNull() | (F.col("best") < F.col("old"))).drop("old")
-        fresh = staged(better, "paths")
+        fresh, rows = counted(better, "paths", all=F.lit(True), done=done)
         known = known.unionByName(fresh)
     return closed

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.plans.stage import staged
+from meterflow.plans.stage import counted, staged
 
 _KEY = ["source", "meter_id", "lo", "hi"]
 
@@ -43,8 +43,8 @@ def path_sums(edges: DataFrame, limit: int | None = None) -> DataFrame:
     nodes = whole.select("source").union(whole.select("meter_id")).distinct().count() if limit is None else 0
     m = 1
     while limit is None or m < limit:
-        more = staged(_summed(composed(exact, whole, limit), key), "paths")
-        if more.isEmpty():
+        more, rows = counted(_summed(composed(exact, whole, limit), key), "paths", all=F.lit(True))
+        if not rows["all"]:
             break
         exact = staged(_summed(composed(exact, exact, None), key), "paths") if limit is None else more.where(F.col("length") == 2 * m)
         whole = staged(_summed(whole.unionByName(more), key), "paths") if limit is None else whole.unionByName(more)

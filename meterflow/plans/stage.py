@@ -6,7 +6,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,6 +56,14 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     return out
 
 
+def counted(df: DataFrame, name: str, **of: Column) -> tuple[DataFrame, dict[str, int]]:
+    """`staged`, and the number of rows for which each condition in `of` holds, counted on the way: loops
+    need no job of their own to see whether they are done."""
+    seen = Observation()
+    out = staged(df.observe(seen, *(F.count_if(c).alias(n) for n, c in of.items())), name)
+    return out, {n: seen.get.get(n) or 0 for n in of}
+
+
 def release(*tables: DataFrame) -> None:
     """Delete tables that `staged` returned and nothing will read any more."""
     for t in tables:
