@@ -89,7 +89,8 @@ def evaluate_formulas(terms: DataFrame, values: DataFrame, crosswalk: DataFrame
 
     terms (building, position, sign, meter_id, faktor): a term is a meter with a value, else the
     formula of that name, up to `max_depth` levels. A formula with a term that is neither (or too
-    deep) is null and names the first such term in order. values (meter_id, month, value).
+    deep) is null and names the first such term in order. values (meter_id, month, value). Formulas are
+    worked out level by level, one row per formula, month and formula that it uses, not per path of terms.
 
     With a crosswalk (key, id) a term's meter is the id of its name, else of its canonical name, and
     a formula is also found by its canonical name (of several the last in order of names); without
@@ -110,25 +111,23 @@ def evaluate_formulas(terms: DataFrame, values: DataFrame, crosswalk: DataFrame
         names = named.select("meter_id", F.coalesce("same", "formula").alias("formula"), F.coalesce("id", "other").alias("id"))
     # order: +terms before -terms, then position; of nested terms the path of positions
     order = F.format_string("%d%06d", (F.col("sign") != "+").cast("int"), F.col("position"))
-    open_ = _every_month(terms, values).select("building", "month", "meter_id", step.alias("k"), F.array(order).alias("path"))
-    rank = terms.select(F.col("building").alias("formula"), F.col("meter_id").alias("inner"), step.alias("k2"), order.alias("o"))
-    leaves = None
-    for depth in range(max_depth + 1):
-        open_ = staged(open_.join(names, "meter_id", "left").join(v, ["id", "month"], "left"), "terms")
-        done = open_.where(F.col("value").isNotNull() | F.col("formula").isNull() | F.lit(depth == max_depth))
-        value = F.lit(None).cast("double") if depth == max_depth else F.col("value")
-        done = done.select("building", "month", "meter_id", "k", "path", value.alias("value"))
-        leaves = done if leaves is None else leaves.unionByName(done)
-        if depth == max_depth:
-            break
-        more = open_.where("value is null and formula is not null")
-        if more.isEmpty():
-            break
-        open_ = more.join(rank, "formula").select(
-            "building", "month", F.col("inner").alias("meter_id"), (F.col("k") * F.col("k2")).alias("k"), F.array_append("path", F.col("o")).alias("path")
-        )
-    bad = F.min(F.when(F.col("value").isNull(), F.struct("path", "meter_id")))
-    out = leaves.groupBy("building", "month").agg(F.sum(F.col("k") * F.col("value")).alias("total"), bad.alias("bad"))
+    rows = _every_month(terms, values).select("building", "month", "meter_id", step.alias("k"), F.array(order).alias("path"))
+    rows = rows.join(names, "meter_id", "left").join(v, ["id", "month"], "left")
+    # terms that are the same formula have the same value and problem: they are one row, with the sum of
+    # their factors and the first of their places
+    inner, term = F.when(F.col("value").isNull(), F.col("formula")).alias("inner"), F.struct("path", "meter_id")
+    sums = rows.groupBy("building", "month", inner).agg(
+        F.sum(F.col("k") * F.col("value")).alias("total"), F.sum("k").alias("k"), F.min(term).alias("first"), F.min(F.when(F.col("value").isNull(), term)).alias("bad")
+    )
+    sums = staged(sums, "terms")
+    own = sums.where("inner is null").select("building", "month", "total", "bad")
+    # from the deepest level, at which no term counts, outwards
+    out = sums.groupBy("building", "month").agg(F.lit(None).cast("double").alias("total"), F.min("first").alias("bad"))
+    for _ in range(max_depth):
+        below = out.select(F.col("building").alias("inner"), "month", F.col("total").alias("t"), F.col("bad").alias("b"))
+        bad = F.when(F.col("b").isNotNull(), F.struct(F.concat("first.path", "b.path").alias("path"), F.col("b.meter_id").alias("meter_id")))
+        nested = sums.join(below, ["inner", "month"]).select("building", "month", (F.col("k") * F.col("t")).alias("total"), bad.alias("bad"))
+        out = own.unionByName(nested).groupBy("building", "month").agg(F.sum("total").alias("total"), F.min("bad").alias("bad"))
     return out.select("building", "month", F.when(F.col("bad").isNull(), F.col("total")).alias("value"), F.col("bad.meter_id").alias("unresolved"))
 
 
