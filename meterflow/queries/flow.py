@@ -178,15 +178,12 @@ def c11_validity_mask(s):
 @R.query(f"""with {LATEST} select timeseries_id, timestamp, delta from (
     select timeseries_id, timestamp, value - lag(value) over (partition by timeseries_id order by timestamp) as delta from latest) x where delta is not null""")
 def x1_measured_flow_stream(s):
-    """All readings through the stream, in three files that follow each other in time; a reading far
-    ahead moves the watermark on, so that the last ones are due."""
-    inbox = new_path(s.spark, "inbox")
+    """All readings through the stream as one arrival, then two that are a single reading far ahead each:
+    they move the watermark on, so that the last readings are due."""
     readings = s.readings.select("timeseries_id", "timestamp", "value", "recorded_at")
-    readings.write.parquet(inbox)
-    ahead = readings.agg(F.max("timestamp").alias("t"))
-    for days in (30, 60):
-        ahead.select(F.lit("").alias("timeseries_id"), (F.col("t") + F.make_interval(days=F.lit(days))).alias("timestamp"), F.lit(0.0).alias("value"), F.lit(None).cast("timestamp").alias("recorded_at")).write.mode("append").parquet(inbox)
-    return run_once(s.spark, inbox).where("timeseries_id <> ''")
+    last = readings.agg(F.max("timestamp").alias("t"))
+    ahead = (last.select(F.lit("").alias("timeseries_id"), (F.col("t") + F.make_interval(days=F.lit(days))).alias("timestamp"), F.lit(0.0).alias("value"), F.lit(None).cast("timestamp").alias("recorded_at")) for days in (30, 60))
+    return run_once(s.spark, [readings, *ahead]).where("timeseries_id <> ''")
 
 
 PLACES = NET + """, placed as (

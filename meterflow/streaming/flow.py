@@ -9,7 +9,7 @@ watermark are dropped by Spark.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +23,14 @@ OUTPUT = "timeseries_id string, timestamp timestamp, delta double"
 
 
 class DeltaProcessor(StatefulProcessor):
-    """State per series: the last emitted (time, value), readings that still wait, by time, and the
-    smallest time of these, for which the timer is set."""
+    """State per series: the last emitted (time, value), readings that still wait, as they came, and the
+    smallest time of these, for which the timer is set. What waits is read and written as a list, so a
+    trigger makes a few calls per series, not per reading."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "at timestamp, value double")
-        self.waiting = handle.getMapState("waiting", "at timestamp", "value double, recorded timestamp")
+        self.waiting = handle.getListState("waiting", "at timestamp, value double, recorded timestamp")
         self.first = handle.getValueState("first", "at timestamp")
 
     def _wait_for(self, at: pd.Timestamp | None) -> None:
@@ -45,27 +46,35 @@ class DeltaProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = pd.Timestamp(self.first.get()[0]) if self.first.exists() else None
         for part in rows:
-            for at, value, recorded in zip(part["timestamp"], part["value"], part["recorded_at"]):
-                recorded = None if pd.isna(recorded) else recorded
-                old = self.waiting.getValue((at,)) if self.waiting.containsKey((at,)) else None
-                if old is None or old[1] is None or (recorded is not None and pd.Timestamp(recorded) >= pd.Timestamp(old[1])):
-                    self.waiting.updateValue((at,), (float(value), recorded))
-                first = at if first is None else min(first, at)
+            new = [(at.to_pydatetime(), float(value), None if pd.isna(recorded) else recorded.to_pydatetime()) for at, value, recorded in zip(part["timestamp"], part["value"], part["recorded_at"])]
+            if new:
+                self.waiting.appendList(new)
+                least = part["timestamp"].min()
+                first = least if first is None else min(first, least)
         self._wait_for(first)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        due = sorted((pd.Timestamp(k[0]), v[0]) for k, v in self.waiting.iterator() if pd.Timestamp(k[0]).timestamp() * 1000 < now)
+        kept: dict[pd.Timestamp, tuple] = {}
+        for at, value, recorded in self.waiting.get():
+            at, old = pd.Timestamp(at), kept.get(pd.Timestamp(at))
+            if old is None or old[1] is None or (recorded is not None and recorded >= old[1]):
+                kept[at] = (value, recorded)
+        due = sorted(at for at in kept if at.timestamp() * 1000 < now)
         out, before = [], self.last.get() if self.last.exists() else None
-        for at, value in due:
+        for at in due:
+            value = kept.pop(at)[0]
             if before is not None:
                 out.append((key[0], at, value - before[1]))
             before = (at, value)
-            self.waiting.removeKey((at.to_pydatetime(),))
         if due:
             self.last.update((before[0].to_pydatetime(), before[1]))
-        self._wait_for(min((pd.Timestamp(k[0]) for k in self.waiting.keys()), default=None))
+            if kept:
+                self.waiting.put([(at.to_pydatetime(), *row) for at, row in kept.items()])
+            else:
+                self.waiting.clear()
+        self._wait_for(min(kept, default=None))
         if out:
             yield pd.DataFrame(out, columns=["timeseries_id", "timestamp", "delta"])
 
@@ -83,18 +92,20 @@ def measured_flow_stream(readings: DataFrame, lateness: str = "2 days") -> DataF
     )
 
 
-def run_once(spark: SparkSession, inbox: str, lateness: str = "2 days") -> DataFrame:
-    """`measured_flow_stream` over the Parquet files in `inbox`, one at a time in the order of their
-    making, until all are read; the rows that came out by then."""
+def run_once(spark: SparkSession, arrivals: Iterable[DataFrame], lateness: str = "2 days") -> DataFrame:
+    """`measured_flow_stream` over tables of readings that arrive one after the other; the rows that came
+    out by then. All files of an arrival are one trigger, so however many tasks write it, the watermark
+    moves only between arrivals."""
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        schema = spark.read.parquet(inbox).schema
-        stream = measured_flow_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox), lateness)
-        out, log = new_path(spark, "stream"), new_path(spark, "stream-checkpoint")
-        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", log).trigger(availableNow=True).start()
-        query.awaitTermination()
+        inbox, out, log = new_path(spark, "inbox"), new_path(spark, "stream"), new_path(spark, "stream-checkpoint")
+        for readings in arrivals:
+            readings.write.mode("append").parquet(inbox)
+            stream = measured_flow_stream(spark.readStream.schema(readings.schema).parquet(inbox), lateness)
+            query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", log).trigger(availableNow=True).start()
+            query.awaitTermination()
         return spark.read.schema(OUTPUT).parquet(out)
     finally:
         spark.conf.set(provider, before)

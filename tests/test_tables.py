@@ -143,3 +143,16 @@ def test_stream_of_readings(spark, tmp_path):
     feed(("A", 21, 70, None))
     got = {(r.timeseries_id, r.timestamp.day): r.delta for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {("A", 2): 6, ("A", 3): 14, ("A", 6): 20, ("B", 7): 8}
+
+
+def test_stream_of_arrivals_in_many_files(spark):
+    """An arrival that several tasks write: no file of it makes the others late."""
+    from meterflow.streaming.flow import run_once
+
+    schema = "timeseries_id string, timestamp timestamp, value double, recorded_at timestamp"
+    rows = [(s, dt.datetime(2024, 1, d), float(d * d), None) for s in "ABCDEFGH" for d in range(1, 25)] + [("A", dt.datetime(2024, 1, 2), 5.0, dt.datetime(2024, 2, 1))]
+    ahead = [spark.createDataFrame([("", dt.datetime(2024, m, 1), 0.0, None)], schema) for m in (3, 4)]
+    out = run_once(spark, [spark.createDataFrame(rows, schema).repartition(4, "timeseries_id"), *ahead]).where("timeseries_id <> ''")
+    got = {(r.timeseries_id, r.timestamp.day): r.delta for r in out.collect()}
+    want = {(s, d): 2.0 * d - 1 for s in "ABCDEFGH" for d in range(2, 25)} | {("A", 2): 4.0, ("A", 3): 4.0}
+    assert got == want and out.count() == len(want)
