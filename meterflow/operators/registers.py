@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.temporal import month_of
 from meterflow.plans.quantiles import percentiles
+from meterflow.plans.stage import staged
 
 EPS = 1e-6
 #: Values at which registers of known devices wrap.
@@ -173,6 +174,7 @@ def segments_from_events(events: DataFrame) -> DataFrame:
 def refs_from_segments(meters: DataFrame, segments: DataFrame, database: str, path: str) -> DataFrame:
     """References of meters (facit_id, meter_id): one raw preferred reference for at most one segment;
     else raw references A, B, ... and one preferred rolling sum of them."""
+    segments = staged(segments, "segments")  # read several times, and dear to compute
     n = segments.groupBy("meter_id").agg(F.count("*").alias("n"))
     rows = meters.join(n, "meter_id", "left").join(segments, "meter_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     sensor, base = F.concat("facit_id", F.lit(".energy")), F.concat("facit_id", F.lit(":d"))
