@@ -28,9 +28,9 @@ def _corrected(rows: DataFrame) -> DataFrame:
 
 def _difference(readings: DataFrame, corrected: bool, lasts: DataFrame | None = None) -> DataFrame:
     """`readings` with `delta` to the one before, all but each series' first. Picking corrections and
-    taking differences share one shuffle, by series and month; the last reading of each month (those of
-    other months in `lasts`, if given) is carried to the next one."""
-    rows = chunked(readings)
+    taking differences share one shuffle, by series and month, and so does finding the last reading of each
+    month (those of other months in `lasts`, if given), which is carried to the next one."""
+    rows = chunked(readings).repartition("timeseries_id", CHUNK)
     kept = _corrected(rows) if corrected else rows
     # of the last time in a month, the row recorded last is the largest (nulls are smallest)
     order = ["timestamp", "recorded_at", "value"]
@@ -43,7 +43,8 @@ def measured_flow(readings: DataFrame, refs: DataFrame, sensors: DataFrame, corr
     latest correction of every reading first. The first reading of a series gives no row. `readings`
     may be some months only, if `lasts` has every series' last reading of each month up to them, with
     its month in `_chunk`."""
-    counters = refs.where("preferred and reading_type = 'counter'").join(sensors, "sensor_id").select("timeseries_id", "meter_id")
+    # written, so that its size is known and the readings need no shuffle of their own to meet it
+    counters = staged(refs.where("preferred and reading_type = 'counter'").join(sensors, "sensor_id").select("timeseries_id", "meter_id"), "counters")
     return _difference(readings.join(counters, "timeseries_id"), corrected, lasts).select("meter_id", "timestamp", "delta")
 
 
@@ -75,17 +76,18 @@ def _windows(relations: DataFrame, kind: str | None, meter: str) -> DataFrame:
     return e.where("lo < hi")
 
 
-def _sub_rows(rows: DataFrame, subs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(parent_meter_id, timestamp, total): of every located row of a sub-meter its share in each parent."""
+def _sub_rows(rows: DataFrame, subs: DataFrame) -> DataFrame:
+    """(parent_meter_id, timestamp, total): of every located row of a sub-meter its share in each parent;
+    `subs` are edges by interval."""
     share = (F.col("delta") * F.coalesce("k", F.lit(1.0))).alias("total")
-    return rows.join(by_interval(subs, marks), ["meter_id", "since"]).select(F.col("other").alias("parent_meter_id"), "timestamp", share)
+    return rows.join(subs, ["meter_id", "since"]).select(F.col("other").alias("parent_meter_id"), "timestamp", share)
 
 
 def sub_total(relations: DataFrame, flow: DataFrame) -> DataFrame:
     """(parent_meter_id, timestamp, total): flow of the active sub-meters times coefficient (null = 1)."""
     subs = _windows(relations, "hasSubMeter", "child_meter_id")
     marks = breakpoints(subs)
-    return _sub_rows(located(flow, marks), subs, marks).groupBy("parent_meter_id", "timestamp").agg(F.sum("total").alias("total"))
+    return _sub_rows(located(flow, marks), staged(by_interval(subs, marks), "sub-meters")).groupBy("parent_meter_id", "timestamp").agg(F.sum("total").alias("total"))
 
 
 def feeds_paths(relations: DataFrame, max_hops: int = MAX_HOPS, strict: bool = False) -> DataFrame:
@@ -108,8 +110,9 @@ def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HO
     sub-meters of every parent on the way times the coefficients from there on. Both factors are sums
     over paths, found on the edges alone: per source and meter, and per source, parent on the way and
     meter. Every reading knows the interval between its meter's breakpoints, so it meets both, and the
-    edges to its parents, by key; sub-meters' sums are joined by (meter, time). Paths end after
-    `max_hops` edges; with `strict`, longer ones raise.
+    edges to its parents, by key; sub-meters' sums are joined by (meter, time). What comes from edges alone
+    is written before readings meet it: its size is known then, and where it is small readings meet it
+    where they are. Paths end after `max_hops` edges; with `strict`, longer ones raise.
     """
     relations = staged(relations, "relations")  # read several times, however it was made
     paths = feeds_paths(relations, max_hops, strict)
@@ -126,10 +129,10 @@ def meter_flow(measured: DataFrame, relations: DataFrame, max_hops: int = MAX_HO
     sums = paths.groupBy(F.col("source").alias("meter_id"), F.col("meter_id").alias("to"), "lo", "hi").agg(F.sum("k").alias("k"))
     marks = staged(breakpoints(subs, sums, legs), "breakpoints")
     rows = staged(located(measured, marks), "located")
-    whole = lambda windows, *key: by_interval(windows, marks).groupBy("meter_id", "since", *key).agg(F.sum("k").alias("k"))
-    sent = rows.join(whole(sums, "to"), ["meter_id", "since"]).select(F.col("to").alias("meter_id"), "timestamp", (F.col("k") * F.col("delta")).alias("delta"))
-    total = _sub_rows(rows, subs, marks).groupBy("parent_meter_id", "timestamp").agg(F.sum("total").alias("total")).withColumnRenamed("parent_meter_id", "parent")
-    taken = rows.select("meter_id", "since", "timestamp").join(whole(legs, "parent", "to"), ["meter_id", "since"]).select("parent", "timestamp", "to", "k").join(total, ["parent", "timestamp"])
+    whole = lambda name, windows, *key: staged(by_interval(windows, marks).groupBy("meter_id", "since", *key).agg(F.sum("k").alias("k")), name)
+    sent = rows.join(whole("deliveries", sums, "to"), ["meter_id", "since"]).select(F.col("to").alias("meter_id"), "timestamp", (F.col("k") * F.col("delta")).alias("delta"))
+    total = _sub_rows(rows, staged(by_interval(subs, marks), "sub-meters")).groupBy("parent_meter_id", "timestamp").agg(F.sum("total").alias("total")).withColumnRenamed("parent_meter_id", "parent")
+    taken = rows.select("meter_id", "since", "timestamp").join(whole("takings", legs, "parent", "to"), ["meter_id", "since"]).select("parent", "timestamp", "to", "k").join(total, ["parent", "timestamp"])
     parts = rows.select("meter_id", "timestamp", "delta").unionByName(sent)
     parts = parts.unionByName(taken.select(F.col("to").alias("meter_id"), "timestamp", (-F.col("k") * F.col("total")).alias("delta")))
     return parts.groupBy("meter_id", "timestamp").agg(F.sum("delta").alias("delta"))
@@ -156,9 +159,9 @@ def feeds_k_sum(relations: DataFrame, flow: DataFrame) -> DataFrame:
 def meter_net(flow: DataFrame, relations: DataFrame) -> DataFrame:
     """(meter_id, timestamp, net) = (flow - sub-meters) * (1 - share fed on), one row per row of `flow`,
     which has one per meter and time. A meter's own row and those of its sub-meters meet in one aggregation."""
-    rows, subs, marks, fed = _net_rows(flow, relations)
-    own = rows.join(fed, ["meter_id", "since"], "left").select("meter_id", "timestamp", F.struct("delta", "total_k").alias("own"), F.lit(None).cast("double").alias("total"))
-    taken = _sub_rows(rows, subs, marks).select(F.col("parent_meter_id").alias("meter_id"), "timestamp", F.lit(None).cast(own.schema["own"].dataType).alias("own"), "total")
+    rows, subs, feeds, marks = _net_rows(flow, relations)
+    own = rows.join(_k_sums(feeds, marks), ["meter_id", "since"], "left").select("meter_id", "timestamp", F.struct("delta", "total_k").alias("own"), F.lit(None).cast("double").alias("total"))
+    taken = _sub_rows(rows, subs).select(F.col("parent_meter_id").alias("meter_id"), "timestamp", F.lit(None).cast(own.schema["own"].dataType).alias("own"), "total")
     both = own.unionByName(taken).groupBy("meter_id", "timestamp").agg(F.first("own", ignorenulls=True).alias("own"), F.sum("total").alias("total"))
     net = (F.col("own.delta") - F.coalesce("total", F.lit(0.0))) * (1 - F.coalesce("own.total_k", F.lit(0.0)))
     return both.where("own is not null").select("meter_id", "timestamp", net.alias("net"))
@@ -168,14 +171,14 @@ def _net_rows(flow: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFra
     relations = staged(relations, "relations")
     subs, feeds = _windows(relations, "hasSubMeter", "child_meter_id"), _windows(relations, "feeds", "parent_meter_id")
     marks = staged(breakpoints(subs, feeds), "breakpoints")
-    return staged(located(flow, marks), "located"), subs, marks, _k_sums(feeds, marks)
+    return staged(located(flow, marks), "located"), staged(by_interval(subs, marks), "sub-meters"), feeds, marks
 
 
 def lost_child_flow(flow: DataFrame, relations: DataFrame) -> DataFrame:
     """(parent_meter_id, month, lost, n_times): what `meter_net` takes from nobody, per parent and calendar
     month: flow of active sub-meters at times at which their parent has no row."""
-    rows, subs, marks, _ = _net_rows(flow, relations)
-    taken = _sub_rows(rows, subs, marks).groupBy("parent_meter_id", "timestamp").agg(F.sum("total").alias("total"))
+    rows, subs, _, _ = _net_rows(flow, relations)
+    taken = _sub_rows(rows, subs).groupBy("parent_meter_id", "timestamp").agg(F.sum("total").alias("total"))
     parents = rows.select(F.col("meter_id").alias("parent_meter_id"), "timestamp")
     lost = taken.join(parents, ["parent_meter_id", "timestamp"], "left_anti")
     month = F.trunc(F.col("timestamp").cast("date"), "month").alias("month")

@@ -19,10 +19,14 @@ def chunked(rows: DataFrame, time: str = "timestamp") -> DataFrame:
 
 def with_previous(rows: DataFrame, key: list[str], order: list[str], values: list[str], lasts: DataFrame | None = None) -> DataFrame:
     """Chunked `rows` with `before`, the `values` of the row before in its series, by `order` (its first
-    column the time). `lasts`: rows to take the chunks' last ones from, if `rows` are dear to compute."""
+    column the time). `lasts`: rows to take the chunks' last ones from, if `rows` are dear to compute; they
+    keep all columns, so that Spark sees a shuffle that `rows` and `lasts` share and makes it once."""
     row = F.struct(*values)
     in_chunk = F.lag(row).over(Window.partitionBy(*key, CHUNK).orderBy(*order))
-    last = (rows if lasts is None else lasts).groupBy(*key, CHUNK).agg(F.max(F.struct(*order, *(v for v in values if v not in order))).alias("_last"))
+    of = rows if lasts is None else lasts
+    first = [*order, *(v for v in values if v not in order)]
+    rest = [] if lasts is None else [c for c in of.columns if c not in (*key, CHUNK, *first)]
+    last = of.groupBy(*key, CHUNK).agg(F.max(F.struct(*first, *rest)).alias("_last"))
     carried = F.lag(F.struct(*(F.col(f"_last.{v}").alias(v) for v in values))).over(Window.partitionBy(*key).orderBy(CHUNK))
     last = last.select(*key, CHUNK, carried.alias("_carried"))
     out = rows.withColumn("before", in_chunk).join(last, [*key, CHUNK], "left")

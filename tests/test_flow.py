@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from meterflow.operators import flow as op
 
 EDGE = "parent_meter_id string, child_meter_id string, relation_type string, flow_coefficient double, valid_from date, valid_to date, derived_from string"
@@ -148,3 +150,51 @@ def test_lost_child_flow(spark):
     subs = total(op.sub_total(edges, sparse), "total")
     fed = op.meter_net(sparse, edges.where("relation_type = 'hasSubMeter'"))
     assert round(total(fed, "net") + subs - lost, 9) == round(total(sparse, "delta"), 9)
+
+
+def planned(df):
+    """The plan without changes while it runs."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        df.sparkSession.conf.unset("spark.sql.adaptive.enabled")
+
+
+def many_readings(spark, n=3_000_000):
+    time = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60)
+    return spark.range(n).select(F.concat(F.lit("T"), F.col("id") % 1000).alias("timeseries_id"), time.alias("timestamp"), F.col("id").cast("double").alias("value"), F.lit(None).cast("timestamp").alias("recorded_at"))
+
+
+def test_readings_are_dealt_out_once(spark):
+    """Counters that come from a large table do not shuffle the readings; windows and lasts share a shuffle."""
+    ids = spark.range(1_000).union(spark.range(1_000)).distinct()
+    refs = ids.select(F.concat(F.lit("T"), "id").alias("timeseries_id"), F.concat(F.lit("S"), "id").alias("sensor_id"), F.lit("counter").alias("reading_type"), F.lit(True).alias("preferred"))
+    sensors = ids.select(F.concat(F.lit("S"), "id").alias("sensor_id"), F.concat(F.lit("M"), "id").alias("meter_id"))
+    plan = planned(op.measured_flow(many_readings(spark), refs, sensors))
+    assert "ReusedExchange" in plan and "BroadcastHashJoin" in plan
+    # one with the readings, and those of the last reading per series and month
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(timeseries_id" in x and "Reused" not in x]) == 3
+
+
+def test_located_readings_meet_edges_where_they_are(spark):
+    _, _, _, edges = site(spark)
+    measured = many_readings(spark, 200_000).select(F.element_at(F.array(*map(F.lit, COUNTERS)), (F.col("value") % 6 + 1).cast("int")).alias("meter_id"), "timestamp", F.rand(1).alias("delta"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")  # less than the readings have
+    try:
+        plan = planned(op.meter_flow(measured, edges))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "since" in x]
+
+
+def test_counters_of_suppliers_take_one_shuffle(spark, tmp_path):
+    """What a supplier shipped is added up and summed over time in one deal of the lines."""
+    from meterflow.fixtures import Site
+
+    day = lambda k: dt.datetime(2024, 1, 1 + k)
+    lines = [(k, float(q), day(q % 3)) for k in (1, 2) for q in range(1, 7)]
+    spark.createDataFrame(lines, "l_suppkey bigint, l_quantity double, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = Site(spark, str(tmp_path)).line_readings
+    assert planned(got).count("Exchange hashpartitioning") == 1
+    assert {(r.timeseries_id, r.timestamp.day): r.value for r in got.collect()} == {(f"L{k}", d): v for k in (1, 2) for d, v in ((1, 9.0), (2, 14.0), (3, 21.0))}
