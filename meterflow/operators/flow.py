@@ -160,11 +160,14 @@ def meter_net(flow: DataFrame, relations: DataFrame) -> DataFrame:
     """(meter_id, timestamp, net) = (flow - sub-meters) * (1 - share fed on), one row per row of `flow`,
     which has one per meter and time. A meter's own row and those of its sub-meters meet in one aggregation."""
     rows, subs, feeds, marks = _net_rows(flow, relations)
-    own = rows.join(_k_sums(feeds, marks), ["meter_id", "since"], "left").select("meter_id", "timestamp", F.struct("delta", "total_k").alias("own"), F.lit(None).cast("double").alias("total"))
-    taken = _sub_rows(rows, subs).select(F.col("parent_meter_id").alias("meter_id"), "timestamp", F.lit(None).cast(own.schema["own"].dataType).alias("own"), "total")
-    both = own.unionByName(taken).groupBy("meter_id", "timestamp").agg(F.first("own", ignorenulls=True).alias("own"), F.sum("total").alias("total"))
-    net = (F.col("own.delta") - F.coalesce("total", F.lit(0.0))) * (1 - F.coalesce("own.total_k", F.lit(0.0)))
-    return both.where("own is not null").select("meter_id", "timestamp", net.alias("net"))
+    fed = staged(_k_sums(feeds, marks), "fed on")
+    # plain columns, which are added up by hash; a struct would have all rows sorted
+    own = rows.join(fed, ["meter_id", "since"], "left").select("meter_id", "timestamp", "delta", "total_k", F.lit(True).alias("own"))
+    taken = _sub_rows(rows, subs).withColumnRenamed("parent_meter_id", "meter_id")
+    both = own.unionByName(taken, allowMissingColumns=True).groupBy("meter_id", "timestamp")
+    both = both.agg(*(F.first(c, ignorenulls=True).alias(c) for c in ("delta", "total_k", "own")), F.sum("total").alias("total"))
+    net = (F.col("delta") - F.coalesce("total", F.lit(0.0))) * (1 - F.coalesce("total_k", F.lit(0.0)))
+    return both.where("own").select("meter_id", "timestamp", net.alias("net"))
 
 
 def _net_rows(flow: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
